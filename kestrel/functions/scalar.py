@@ -94,19 +94,17 @@ def block_offset(i: ColumnOrName, size: int) -> Column:
 
 def render_block(data: ColumnOrName, rows: int, cols: int,
                  cell_fmt: str = "\t%.3f", lead: str = "\n") -> Column:
-    """Text of one dense row-major block.
+    """Text of one dense row-major block of ``rows * cols`` cells.
 
-    ``lead`` first, then for each block row every cell formatted with
-    ``cell_fmt`` and a newline.  ``cell_fmt="\\t%.3f"`` gives the tab layout,
-    ``cell_fmt=" %.2f"`` the space layout.
+    ``lead`` first, then every cell formatted with ``cell_fmt``, with a
+    newline after the last cell of each block row.  ``cell_fmt="\\t%.3f"``
+    gives the tab layout, ``cell_fmt=" %.2f"`` the space layout.  One pass
+    over the array: each cell is read and formatted exactly once.
     """
-    arr = _col(data)
-    row_text = F.transform(
-        F.sequence(F.lit(0), F.lit(rows - 1)),
-        lambda r: F.concat(
-            F.array_join(
-                F.transform(F.slice(arr, r * F.lit(cols) + F.lit(1), F.lit(cols)),
-                            lambda x: F.format_string(cell_fmt, x)),
-                ""),
-            F.lit("\n")))
-    return F.concat(F.lit(lead), F.array_join(row_text, ""))
+    del rows  # the row count is implied by the array length
+    cells = F.transform(
+        _col(data),
+        lambda x, k: F.concat(
+            F.format_string(cell_fmt, x),
+            F.when((k + F.lit(1)) % F.lit(cols) == F.lit(0), F.lit("\n")).otherwise(F.lit(""))))
+    return F.concat(F.lit(lead), F.array_join(cells, ""))

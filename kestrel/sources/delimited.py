@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kestrel.functions.fence import evaluate_once
 from kestrel.functions.scalar import full_match, starts_alphabetic, starts_letter
 
 Policy = Literal["fail", "drop", "null"]
@@ -112,8 +113,10 @@ def parse_delimited(lines: DataFrame, schema: T.StructType | str, *,
     struct = _as_struct(schema)
     positions = positions or {}
 
-    parts = lines.select(F.col(line_col).alias("_line"),
-                         split_fields(F.col(line_col), sep, java_split).alias("_f"))
+    # Split once; the header test and every field below read the array.
+    parts = evaluate_once(lines.select(
+        F.col(line_col).alias("_line"),
+        split_fields(F.col(line_col), sep, java_split).alias("_f")))
     if header is not None:
         parts = parts.where(~header.matches(F.col("_f")))
 
@@ -151,10 +154,13 @@ def parse_delimited(lines: DataFrame, schema: T.StructType | str, *,
         drop_conds += missing
     if on_error == "drop":
         drop_conds += bad
-    if drop_conds:
-        keep = ~_any(drop_conds)
-        parts = parts.where(keep)
-    return parts.select(*typed)
+    names = [fld.name for fld in struct.fields]
+    if not drop_conds:
+        # Convert once: later filters on the typed columns test plain values.
+        return evaluate_once(parts.select(*typed))
+    # Convert once together with the drop flag, then filter on the flag.
+    flagged = evaluate_once(parts.select(*typed, _any(drop_conds).alias("_drop")))
+    return flagged.where(~F.col("_drop")).select(*[F.col(f"`{n}`") for n in names])
 
 
 def _any(conds: list[Column]) -> Column:
