@@ -6,7 +6,7 @@ vertex takes the minimum of its own label and the labels it received.
 Distributed plan of one round:
 
 * light edges (source out-degree below the hot threshold) join the labels
-  on ``src`` with an ordinary shuffle join;
+  on ``src``; both are stored bucketed on the join key, so neither moves;
 * hot edges (sources with a huge out-degree) join a broadcast copy of the
   hot sources' labels, so a hot source's edges are never funnelled into
   one task.  The number of hot sources is at most ``|E| / threshold``,
@@ -14,8 +14,9 @@ Distributed plan of one round:
 * messages are reduced with ``min`` per target, combined map-side first,
   so a target with a huge in-degree sends one row per task to the shuffle.
 
-The labels are written to the checkpoint folder after every round, which
-cuts the lineage and lets a lost executor recompute one round at most.
+The edges and the labels of every round are written as tables in the
+checkpoint folder (``spark.checkpoint.dir``): that cuts the lineage, so a
+lost executor costs at most one round's recomputation.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.operators.grouping import count_by_key
-from kestrel.session import checkpoint_dir
+from kestrel.plans.materialize import write_and_reload, write_bucketed_and_reload
 from kestrel.sources.adjacency import Graph
 
 # A source whose out-degree reaches this many edges is treated as hot
@@ -34,10 +35,9 @@ DEFAULT_MIN_HOT_DEGREE = 100_000
 DEFAULT_MAX_HOT_SOURCES = 10_000
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (reliable)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _cut(df: DataFrame, name: str) -> DataFrame:
+    """Materialise ``df`` as a written table in the checkpoint folder."""
+    return write_and_reload(df, name)
 
 
 def split_hot_sources(edges: DataFrame, min_hot_degree: int = DEFAULT_MIN_HOT_DEGREE,
@@ -52,7 +52,7 @@ def split_hot_sources(edges: DataFrame, min_hot_degree: int = DEFAULT_MIN_HOT_DE
     total = edges.count()
     threshold = max(min_hot_degree, -(-total // max_hot_sources), 1)
     degrees = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
-    hot_ids = _cut(degrees.where(F.col("_deg") >= F.lit(threshold)).select("src"))
+    hot_ids = _cut(degrees.where(F.col("_deg") >= F.lit(threshold)).select("src"), "hot-src")
     if hot_ids.isEmpty():
         return edges, edges.limit(0), None
     light = edges.join(F.broadcast(hot_ids), "src", "left_anti")
@@ -60,43 +60,65 @@ def split_hot_sources(edges: DataFrame, min_hot_degree: int = DEFAULT_MIN_HOT_DE
     return light, hot, hot_ids
 
 
+def _partitions(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def propagate_min(graph: Graph, rounds: int = 5, implicit_vertices: bool = True, *,
-                  dedupe_edges: bool = True,
                   min_hot_degree: int = DEFAULT_MIN_HOT_DEGREE,
                   max_hot_sources: int = DEFAULT_MAX_HOT_SOURCES) -> DataFrame:
     """Labels ``(id bigint, grp bigint)`` after ``rounds`` propagation rounds.
 
     Initially each line head has its own id as label.  ``rounds`` is fixed;
     there is no convergence test, so small groups may still be unmerged.
+    Repeated edges are sent once.
 
     implicit_vertices  a vertex that only appears as a neighbour joins the
         result from round 1 on, labelled with the minimum it received (it
         has no label of its own before that), and keeps no out-edges.
         Without it only line heads are kept.
+
+    Layout: the light edges are written once as a table bucketed and
+    sorted by ``src``; the labels of every round are written bucketed and
+    sorted by ``id`` with the same bucket count.  Each round's join then
+    reads both sides already co-partitioned and sorted: the edges never
+    move again, and only the (map-side combined) messages are shuffled.
     """
     if rounds < 0:
         raise ValueError("rounds must be >= 0")
-    edges = graph.edges.select(F.col("src").cast("bigint"), F.col("dst").cast("bigint"))
-    if dedupe_edges:
-        edges = edges.distinct()
-    heads = graph.vertices.select(F.col("id").cast("bigint")).distinct()
+    spark = graph.pairs.sparkSession
+    buckets = _partitions(spark)
+    # One pass over the input: heads and edges both come from ``pairs``.
+    pairs = _cut(graph.pairs.select(F.col("src").cast("bigint"), F.col("dst").cast("bigint")),
+                 "pairs")
+    heads = pairs.select(F.col("src").alias("id"))
+    edges = pairs.where(F.col("dst").isNotNull())
     if not implicit_vertices:
-        edges = edges.join(heads.select(F.col("id").alias("dst")), "dst", "left_semi")
-    edges = _cut(edges.select("src", "dst"))
+        edges = edges.join(heads.select(F.col("id").alias("dst")).distinct(), "dst", "left_semi")
+        edges = _cut(edges.select("src", "dst"), "edges")
     light, hot, hot_ids = split_hot_sources(edges, min_hot_degree, max_hot_sources)
+    # No source in ``light`` reaches the hot threshold, so bucketing by src
+    # is balanced; repeated edges are dropped on the way.
+    light = write_bucketed_and_reload(light.dropDuplicates(["src", "dst"]), "light-edges",
+                                      buckets, "src")
     if hot_ids is not None:
-        light, hot = _cut(light), _cut(hot)
+        hot = _cut(hot.dropDuplicates(["src", "dst"]), "hot-edges")
 
-    labels = _cut(heads.select("id", F.col("id").alias("grp")))
-    for _ in range(rounds):
+    labels = write_bucketed_and_reload(
+        heads.distinct().select("id", F.col("id").alias("grp")), "labels", buckets, "id")
+    for r in range(rounds):
         src_labels = labels.select(F.col("id").alias("src"), F.col("grp"))
-        msgs = light.join(src_labels, "src").select(F.col("dst").alias("id"), "grp")
+        # Both sides are read bucketed on the key: no exchange.  The labels
+        # bucket (unique ids) is the hash-build side, so the edges are
+        # streamed once, unsorted.
+        msgs = (light.join(src_labels.hint("shuffle_hash"), "src")
+                .select(F.col("dst").alias("id"), "grp"))
         if hot_ids is not None:
             hot_labels = src_labels.join(F.broadcast(hot_ids), "src", "left_semi")
             msgs = msgs.unionByName(
                 hot.join(F.broadcast(hot_labels), "src").select(F.col("dst").alias("id"), "grp"))
-        labels = _cut(msgs.unionByName(labels)
-                      .groupBy("id").agg(F.min("grp").alias("grp")))
+        new = msgs.unionByName(labels).groupBy("id").agg(F.min("grp").alias("grp"))
+        labels = write_bucketed_and_reload(new, f"labels-{r + 1}", buckets, "id")
     return labels
 
 

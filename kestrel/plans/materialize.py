@@ -26,3 +26,24 @@ def write_text_and_reload(lines: DataFrame, name: str = "text") -> DataFrame:
     path = scratch_path(spark, name)
     lines.write.mode("errorifexists").text(path)
     return spark.read.text(path)
+
+
+def write_bucketed_and_reload(df: DataFrame, name: str, buckets: int, key: str,
+                              sort: bool = True) -> DataFrame:
+    """Write ``df`` as a table bucketed (and sorted) by ``key`` under the
+    checkpoint folder, and read it back.
+
+    A bucketed read is hash-partitioned by ``key`` into ``buckets``
+    partitions: two tables bucketed the same way on their join keys are
+    joined without moving either side, and a sorted bucket needs no sort
+    before a merge join.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = "kestrel_" + path.rsplit("-", 1)[-1]
+    writer = df.write.mode("errorifexists").format("parquet").option("path", path)
+    writer = writer.bucketBy(buckets, key)
+    if sort:
+        writer = writer.sortBy(key)
+    writer.saveAsTable(table)
+    return spark.read.table(table)

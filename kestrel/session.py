@@ -8,10 +8,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every kestrel job relies on.  AQE re-plans joins at runtime
-# (broadcast only when the measured side is small), coalesces tiny shuffle
-# partitions and splits skewed join partitions.
+# Settings every kestrel job relies on.  Broadcasts are decided on
+# measured sizes only: the static threshold (which trusts estimates) is
+# off, and AQE converts a join to a broadcast join at runtime when a
+# shuffle stage is measured below the adaptive threshold.  AQE also
+# coalesces tiny shuffle partitions and splits skewed join partitions.
 DEFAULT_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "16m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",

@@ -17,12 +17,23 @@ from kestrel.sources.delimited import split_fields
 
 @dataclass(frozen=True)
 class Graph:
-    """``vertices``: ids that head a line (``id: bigint``).
-    ``edges``: directed edges (``src: bigint, dst: bigint``), head -> neighbour.
+    """A directed graph in edge form.
+
+    ``pairs``: one row per (head, neighbour) (``src: bigint, dst: bigint``);
+    a head with no neighbour has one row with a null ``dst``.
     """
 
-    vertices: DataFrame
-    edges: DataFrame
+    pairs: DataFrame
+
+    @property
+    def vertices(self) -> DataFrame:
+        """Ids that head a line (``id``; may repeat)."""
+        return self.pairs.select(F.col("src").alias("id"))
+
+    @property
+    def edges(self) -> DataFrame:
+        """Directed edges ``(src, dst)``, head -> neighbour."""
+        return self.pairs.where(F.col("dst").isNotNull())
 
 
 def adjacency_rows(lines: DataFrame, sep: str = ",", line_col: str = "value") -> DataFrame:
@@ -39,21 +50,24 @@ def adjacency_rows(lines: DataFrame, sep: str = ",", line_col: str = "value") ->
 
 
 def read_adjacency(lines: DataFrame, sep: str = ",", line_col: str = "value") -> Graph:
-    """Parse adjacency lines straight into edge form.
+    """Parse adjacency lines straight into edge form, in one pass.
 
-    Several lines may head the same vertex; their neighbours add up.
+    Several lines may head the same vertex; their neighbours add up.  A
+    line with no neighbour still makes its head a vertex.
     """
     rows = adjacency_rows(lines, sep, line_col)
-    vertices = rows.select("id").distinct()
-    edges = rows.select(F.col("id").alias("src"), F.explode("adj").alias("dst"))
-    return Graph(vertices=vertices, edges=edges)
+    return Graph(rows.select(F.col("id").alias("src"), F.explode_outer("adj").alias("dst")))
 
 
 def graph_from_edges(edges: DataFrame, src: str = "src", dst: str = "dst",
                      vertices: DataFrame | None = None) -> Graph:
-    """Graph from an edge DataFrame; the heads default to the edge sources."""
-    e = edges.select(F.col(src).cast("bigint").alias("src"),
-                     F.col(dst).cast("bigint").alias("dst"))
-    v = (vertices.select(F.col(vertices.columns[0]).cast("bigint").alias("id"))
-         if vertices is not None else e.select(F.col("src").alias("id"))).distinct()
-    return Graph(vertices=v, edges=e)
+    """Graph from an edge DataFrame; the heads default to the edge sources.
+
+    ``vertices`` (first column = id) adds heads with no out-edge.
+    """
+    e = edges.select(F.col(src).cast("bigint").alias("src"), F.col(dst).cast("bigint").alias("dst"))
+    if vertices is not None:
+        v = vertices.select(F.col(vertices.columns[0]).cast("bigint").alias("src"),
+                            F.lit(None).cast("bigint").alias("dst"))
+        e = e.unionByName(v)
+    return Graph(e)
