@@ -317,7 +317,7 @@ def trip_lines(spark, sf) -> DataFrame:
     li = table(spark, sf, "lineitem")
     fields = [F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber"),
               (F.col("l_quantity") - 10) * 2.5, F.col("l_returnflag"), F.col("l_linestatus"),
-              F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"), F.col("l_discount"),
+              F.col("l_shipdate").cast("string"), F.col("l_discount"),
               F.col("l_extendedprice")]
     body = li.select(F.concat_ws(",", *[f.cast("string") for f in fields]).alias("value"))
     head = spark.range(1).select(F.lit(TRIP_HEADER).alias("value"))

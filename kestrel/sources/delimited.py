@@ -61,7 +61,12 @@ def split_fields(line: Column, sep: str = ",", java_split: bool = False) -> Colu
     ``String.split`` does ("a,b,," has two fields, not four).
     """
     sep_re = separator_regex(sep)
-    text = F.regexp_replace(line, f"(?:{sep_re})+$", "") if java_split else line
+    if java_split:
+        # A one-character separator is stripped with rtrim (no regex).
+        text = (F.rtrim(line, F.lit(sep)) if len(sep) == 1
+                else F.regexp_replace(line, f"(?:{sep_re})+$", ""))
+    else:
+        text = line
     return F.split(text, sep_re, -1)
 
 
