@@ -47,14 +47,17 @@ def split_hot_sources(edges: DataFrame, min_hot_degree: int = DEFAULT_MIN_HOT_DE
 
     The threshold is ``max(min_hot_degree, ceil(|E| / max_hot_sources))``;
     since out-degrees add up to ``|E|``, at most ``max_hot_sources`` sources
-    can reach it.  Returns ``hot = None`` when no source is hot.
+    can reach it.  One aggregation over the out-degrees gives both |E| and
+    the largest degree; when no source reaches the threshold nothing more
+    is computed and ``hot`` is ``None``.
     """
-    total = edges.count()
-    threshold = max(min_hot_degree, -(-total // max_hot_sources), 1)
     degrees = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
-    hot_ids = _cut(degrees.where(F.col("_deg") >= F.lit(threshold)).select("src"), "hot-src")
-    if hot_ids.isEmpty():
+    total, largest = degrees.agg(F.sum("_deg"), F.max("_deg")).first()
+    total, largest = total or 0, largest or 0
+    threshold = max(min_hot_degree, -(-total // max_hot_sources), 1)
+    if largest < threshold:
         return edges, edges.limit(0), None
+    hot_ids = _cut(degrees.where(F.col("_deg") >= F.lit(threshold)).select("src"), "hot-src")
     light = edges.join(F.broadcast(hot_ids), "src", "left_anti")
     hot = edges.join(F.broadcast(hot_ids), "src", "left_semi")
     return light, hot, hot_ids
@@ -78,11 +81,12 @@ def propagate_min(graph: Graph, rounds: int = 5, implicit_vertices: bool = True,
         has no label of its own before that), and keeps no out-edges.
         Without it only line heads are kept.
 
-    Layout: the light edges are written once as a table bucketed and
-    sorted by ``src``; the labels of every round are written bucketed and
-    sorted by ``id`` with the same bucket count.  Each round's join then
-    reads both sides already co-partitioned and sorted: the edges never
-    move again, and only the (map-side combined) messages are shuffled.
+    Layout: the light edges are written once as a table bucketed by
+    ``src``; the labels of every round are written bucketed by ``id`` with
+    the same bucket count.  Each round's join (a hash join built on the
+    labels bucket) then reads both sides already co-partitioned: the edges
+    never move again, and only the (map-side combined) messages are
+    shuffled.
     """
     if rounds < 0:
         raise ValueError("rounds must be >= 0")
@@ -99,13 +103,16 @@ def propagate_min(graph: Graph, rounds: int = 5, implicit_vertices: bool = True,
     light, hot, hot_ids = split_hot_sources(edges, min_hot_degree, max_hot_sources)
     # No source in ``light`` reaches the hot threshold, so bucketing by src
     # is balanced; repeated edges are dropped on the way.
-    light = write_bucketed_and_reload(light.dropDuplicates(["src", "dst"]), "light-edges",
-                                      buckets, "src")
+    # Hash-partitioned by src into exactly one task per bucket: each task
+    # writes one bucket file, and the de-duplication needs no other shuffle.
+    light = write_bucketed_and_reload(
+        light.repartition(buckets, "src").dropDuplicates(["src", "dst"]),
+        "light-edges", buckets, "src", sort=False)
     if hot_ids is not None:
         hot = _cut(hot.dropDuplicates(["src", "dst"]), "hot-edges")
 
     labels = write_bucketed_and_reload(
-        heads.distinct().select("id", F.col("id").alias("grp")), "labels", buckets, "id")
+        heads.distinct().select("id", F.col("id").alias("grp")), "labels", buckets, "id", sort=False)
     for r in range(rounds):
         src_labels = labels.select(F.col("id").alias("src"), F.col("grp"))
         # Both sides are read bucketed on the key: no exchange.  The labels
@@ -118,7 +125,7 @@ def propagate_min(graph: Graph, rounds: int = 5, implicit_vertices: bool = True,
             msgs = msgs.unionByName(
                 hot.join(F.broadcast(hot_labels), "src").select(F.col("dst").alias("id"), "grp"))
         new = msgs.unionByName(labels).groupBy("id").agg(F.min("grp").alias("grp"))
-        labels = write_bucketed_and_reload(new, f"labels-{r + 1}", buckets, "id")
+        labels = write_bucketed_and_reload(new, f"labels-{r + 1}", buckets, "id", sort=False)
     return labels
 
 
