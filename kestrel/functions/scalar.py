@@ -110,7 +110,8 @@ def format_fixed(c: ColumnOrName, digits: int) -> Column:
     x = _col(c)
     zero = "0." + "0" * digits if digits > 0 else "0"
     dec = x.cast(f"decimal(38,{digits})")
-    negative_zero = x.cast("string").startswith("-")   # sign of a zero ("-0.0")
+    # Sign of a zero without formatting it: 1/(-0.0) is -Infinity.
+    negative_zero = F.pow(x, F.lit(-1.0)) < F.lit(0.0)
     return (F.when(x == F.lit(0.0), F.when(negative_zero, F.lit("-" + zero)).otherwise(F.lit(zero)))
              .when(F.isnan(x) | (F.abs(x) >= F.lit(1e20)), F.format_string(f"%.{digits}f", x))
              .when((x < F.lit(0.0)) & (dec == F.lit(0)), F.lit("-" + zero))

@@ -12,10 +12,13 @@ from kestrel.operators.joins import (
 from kestrel.operators.matrix import (
     add_cells,
     add_matrices,
+    add_matrices_text,
     block_coords,
     block_lines,
     cells,
+    coo_to_block_text,
     coo_to_blocks,
+    keyed_block_text,
     dedupe_cells,
     pick_block,
     render_blocks,
@@ -23,9 +26,9 @@ from kestrel.operators.matrix import (
 from kestrel.operators.setops import union_tagged
 
 __all__ = [
-    "add_cells", "add_matrices", "block_coords", "block_lines", "broadcast_if_small",
+    "add_cells", "add_matrices", "add_matrices_text", "block_coords", "block_lines", "broadcast_if_small",
     "bucket_mean", "cells", "component_sizes", "coo_to_blocks", "count_by_key",
-    "dedupe_cells", "equi_join", "equi_join_pairs", "mean_by_key", "mean_expr",
+    "coo_to_block_text", "dedupe_cells", "keyed_block_text", "equi_join", "equi_join_pairs", "mean_by_key", "mean_expr",
     "pick_block", "propagate_min", "render_blocks", "row_count_at_most",
     "split_hot_sources", "union_tagged",
 ]

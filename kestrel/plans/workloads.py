@@ -24,13 +24,13 @@ from kestrel.operators.joins import equi_join_pairs
 from kestrel.operators.matrix import (
     add_cells,
     add_matrices,
+    add_matrices_text,
     block_coords,
-    block_lines,
     cells,
-    coo_to_blocks,
+    coo_to_block_text,
     dedupe_cells,
+    keyed_block_text,
     pick_block,
-    render_blocks,
 )
 from kestrel.operators.setops import union_tagged
 from kestrel.plans.materialize import write_and_reload, write_text_and_reload
@@ -466,27 +466,28 @@ def q_coo_block_coords(spark, sf):
 
 @register("coo_to_blocks", "AGG-7 PRJ-17 PRJ-8", _block_text_sql(_M, _keys_sql(_M), "\t%.3f"))
 def q_coo_to_blocks(spark, sf):
-    blocks = coo_to_blocks(_matrix(spark, sf, "R"), BLOCK_ROWS, BLOCK_COLS, duplicates="sum")
-    return render_blocks(blocks, BLOCK_ROWS, BLOCK_COLS, "\t%.3f")
+    return coo_to_block_text(_matrix(spark, sf, "R"), BLOCK_ROWS, BLOCK_COLS, "\t%.3f",
+                             duplicates="sum")
 
 
 @register("block_add_outer", "JOI-4 AGG-8 SET-1 PRJ-8", _block_text_sql(_UNION, _KEYS_OUTER, "\t%.3f"))
 def q_block_add_outer(spark, sf):
-    s = add_matrices(_matrix(spark, sf, "R"), _matrix(spark, sf, "A"), BLOCK_ROWS, BLOCK_COLS, "outer")
-    return render_blocks(s, BLOCK_ROWS, BLOCK_COLS, "\t%.3f")
+    return add_matrices_text(_matrix(spark, sf, "R"), _matrix(spark, sf, "A"),
+                             BLOCK_ROWS, BLOCK_COLS, "outer", "\t%.3f")
 
 
 @register("block_add_inner", "JOI-3 PRJ-19 PRJ-9", _block_text_sql(_UNION, _KEYS_INNER, " %.2f"))
 def q_block_add_inner(spark, sf):
-    s = add_matrices(_matrix(spark, sf, "R"), _matrix(spark, sf, "A"), BLOCK_ROWS, BLOCK_COLS, "inner")
-    return render_blocks(s, BLOCK_ROWS, BLOCK_COLS, " %.2f")
+    return add_matrices_text(_matrix(spark, sf, "R"), _matrix(spark, sf, "A"),
+                             BLOCK_ROWS, BLOCK_COLS, "inner", " %.2f")
 
 
 @register("block_pick", "FIL-4 JOI-3", _block_text_sql(
     _UNION, f"SELECT * FROM ({_KEYS_INNER}) WHERE bi = 1 AND bj = 2", " %.2f"))
 def q_block_pick(spark, sf):
-    s = add_matrices(_matrix(spark, sf, "R"), _matrix(spark, sf, "A"), BLOCK_ROWS, BLOCK_COLS, "inner")
-    return render_blocks(pick_block(s, 1, 2), BLOCK_ROWS, BLOCK_COLS, " %.2f")
+    s = add_matrices_text(_matrix(spark, sf, "R"), _matrix(spark, sf, "A"),
+                          BLOCK_ROWS, BLOCK_COLS, "inner", " %.2f")
+    return pick_block(s, 1, 2)
 
 
 @register("block_lines", "SNK-1 ORD-3 PRJ-8", f"""
@@ -494,8 +495,24 @@ SELECT CAST(bi AS VARCHAR) || chr(9) || CAST(bj AS VARCHAR) || chr(9) || text AS
 FROM ({_block_text_sql(_UNION, _KEYS_OUTER, chr(9) + '%.3f')})
 """)
 def q_block_lines(spark, sf):
+    s = add_matrices_text(_matrix(spark, sf, "R"), _matrix(spark, sf, "A"),
+                          BLOCK_ROWS, BLOCK_COLS, "outer", "\t%.3f")
+    return keyed_block_text(s.orderBy("bi", "bj"))
+
+
+@register("block_add_dense", "AGG-7 AGG-8 PRJ-17 PRJ-19 (dense arrays)", f"""
+SELECT CAST(i // {BLOCK_ROWS} AS INTEGER) AS bi, CAST(j // {BLOCK_COLS} AS INTEGER) AS bj,
+       {BLOCK_ROWS * BLOCK_COLS} AS n_cells, count(*) AS n_nonzero, sum(v) AS total
+FROM (SELECT i, j, sum(v) AS v FROM ({_UNION}) GROUP BY i, j)
+WHERE v <> 0
+GROUP BY 1, 2
+""")
+def q_block_add_dense(spark, sf):
     s = add_matrices(_matrix(spark, sf, "R"), _matrix(spark, sf, "A"), BLOCK_ROWS, BLOCK_COLS, "outer")
-    return block_lines(s.orderBy("bi", "bj"), BLOCK_ROWS, BLOCK_COLS)
+    return s.select(
+        "bi", "bj", F.size("data").alias("n_cells"),
+        F.size(F.filter("data", lambda x: x != 0)).cast("bigint").alias("n_nonzero"),
+        F.aggregate("data", F.lit(0.0), lambda acc, x: acc + x).alias("total"))
 
 
 @register("block_sum_cells", "JOI-4 AGG-8 (long form, outer)", f"""

@@ -76,3 +76,27 @@ def test_pick_block(spark):
     s = add_matrices(m, m, 2, 2)
     assert rows(pick_block(s, 1, 2), "bi", "bj") == [(1, 2)]
     assert list(pick_block(s, 1, 2).first()["data"]) == [2.0] * 4
+
+
+@pytest.mark.parametrize("shape", [(2, 3), (3, 4), (1, 1), (5, 2)])
+def test_sparse_text_equals_dense_render(spark, shape):
+    import random
+
+    from kestrel.operators import add_matrices_text, coo_to_block_text
+    rows_, cols_ = shape
+    rnd = random.Random(rows_ * 10 + cols_)
+    tri = [(rnd.randrange(0, 13), rnd.randrange(0, 11),
+            rnd.choice([0.0, -0.0, 1.5, -2.25, 8.9525, -0.0004, rnd.uniform(-9, 9)])) for _ in range(40)]
+    tri2 = [(rnd.randrange(0, 13), rnd.randrange(0, 11), rnd.uniform(-5, 5)) for _ in range(30)]
+    m, n = _cells(spark, tri), _cells(spark, tri2)
+    for how in ("outer", "inner"):
+        for fmt in ("\t%.3f", " %.2f"):
+            dense = {(r.bi, r.bj): r.text for r in
+                     render_blocks(add_matrices(m, n, rows_, cols_, how), rows_, cols_, fmt).collect()}
+            sparse = {(r.bi, r.bj): r.text for r in
+                      add_matrices_text(m, n, rows_, cols_, how, fmt).collect()}
+            assert dense == sparse
+    dense = {(r.bi, r.bj): r.text for r in
+             render_blocks(coo_to_blocks(m, rows_, cols_, "sum"), rows_, cols_).collect()}
+    sparse = {(r.bi, r.bj): r.text for r in coo_to_block_text(m, rows_, cols_, duplicates="sum").collect()}
+    assert dense == sparse
