@@ -111,22 +111,29 @@ def propagate_min(graph: Graph, rounds: int = 5, implicit_vertices: bool = True,
     if hot_ids is not None:
         hot = _cut(hot.dropDuplicates(["src", "dst"]), "hot-edges")
 
+    # Semi-naive rounds: only labels that dropped in the previous round
+    # (the frontier) are sent along the edges.  Min-labels never rise, so a
+    # vertex whose in-neighbours kept their labels cannot change.
     labels = write_bucketed_and_reload(
-        heads.distinct().select("id", F.col("id").alias("grp")), "labels", buckets, "id", sort=False)
+        heads.distinct().select("id", F.col("id").alias("grp"), F.lit(True).alias("changed")),
+        "labels", buckets, "id", sort=False)
     for r in range(rounds):
-        src_labels = labels.select(F.col("id").alias("src"), F.col("grp"))
-        # Both sides are read bucketed on the key: no exchange.  The labels
-        # bucket (unique ids) is the hash-build side, so the edges are
-        # streamed once, unsorted.
-        msgs = (light.join(src_labels.hint("shuffle_hash"), "src")
-                .select(F.col("dst").alias("id"), "grp"))
+        frontier = labels.where(F.col("changed")).select(F.col("id").alias("src"), F.col("grp"))
+        msgs = (light.join(frontier.hint("shuffle_hash"), "src")
+                .select(F.col("dst").alias("id"), "grp", F.lit(False).alias("own")))
         if hot_ids is not None:
-            hot_labels = src_labels.join(F.broadcast(hot_ids), "src", "left_semi")
+            hot_frontier = frontier.join(F.broadcast(hot_ids), "src", "left_semi")
             msgs = msgs.unionByName(
-                hot.join(F.broadcast(hot_labels), "src").select(F.col("dst").alias("id"), "grp"))
-        new = msgs.unionByName(labels).groupBy("id").agg(F.min("grp").alias("grp"))
+                hot.join(F.broadcast(hot_frontier), "src")
+                   .select(F.col("dst").alias("id"), "grp", F.lit(False).alias("own")))
+        current = labels.select("id", "grp", F.lit(True).alias("own"))
+        new = (msgs.unionByName(current).groupBy("id")
+               .agg(F.min("grp").alias("grp"),
+                    F.min(F.when(F.col("own"), F.col("grp"))).alias("_old")))
+        new = new.select("id", "grp",
+                         (F.col("_old").isNull() | (F.col("grp") < F.col("_old"))).alias("changed"))
         labels = write_bucketed_and_reload(new, f"labels-{r + 1}", buckets, "id", sort=False)
-    return labels
+    return labels.select("id", "grp")
 
 
 def component_sizes(labels: DataFrame) -> DataFrame:
