@@ -1,7 +1,7 @@
 """DataFrame -> DataFrame operators: keyed means, joins, block matrices,
 label propagation, tagged unions."""
 
-from kestrel.operators.graph import component_sizes, propagate_min, split_hot_sources
+from kestrel.operators.graph import bucket_count, component_sizes, propagate_min, split_hot_sources
 from kestrel.operators.grouping import bucket_mean, count_by_key, mean_by_key, mean_expr
 from kestrel.operators.joins import (
     broadcast_if_small,
@@ -30,5 +30,5 @@ __all__ = [
     "bucket_mean", "cells", "component_sizes", "coo_to_blocks", "count_by_key",
     "coo_to_block_text", "dedupe_cells", "keyed_block_text", "equi_join", "equi_join_pairs", "mean_by_key", "mean_expr",
     "pick_block", "propagate_min", "render_blocks", "row_count_at_most",
-    "split_hot_sources", "union_tagged",
+    "split_hot_sources", "union_tagged", "bucket_count",
 ]

@@ -33,6 +33,8 @@ from kestrel.sources.adjacency import Graph
 DEFAULT_MIN_HOT_DEGREE = 100_000
 # At most this many sources are ever treated as hot (and broadcast).
 DEFAULT_MAX_HOT_SOURCES = 10_000
+# Target size of one bucket of the written edge table (two longs per edge).
+EDGES_PER_BUCKET = 16_000_000
 
 
 def _cut(df: DataFrame, name: str) -> DataFrame:
@@ -42,8 +44,8 @@ def _cut(df: DataFrame, name: str) -> DataFrame:
 
 def split_hot_sources(edges: DataFrame, min_hot_degree: int = DEFAULT_MIN_HOT_DEGREE,
                       max_hot_sources: int = DEFAULT_MAX_HOT_SOURCES
-                      ) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """Split edges into (light, hot, hot source ids).
+                      ) -> tuple[DataFrame, DataFrame, DataFrame | None, int]:
+    """Split edges into (light, hot, hot source ids, |E|).
 
     The threshold is ``max(min_hot_degree, ceil(|E| / max_hot_sources))``;
     since out-degrees add up to ``|E|``, at most ``max_hot_sources`` sources
@@ -56,17 +58,25 @@ def split_hot_sources(edges: DataFrame, min_hot_degree: int = DEFAULT_MIN_HOT_DE
     total, largest = total or 0, largest or 0
     threshold = max(min_hot_degree, -(-total // max_hot_sources), 1)
     if largest < threshold:
-        return edges, edges.limit(0), None
+        return edges, edges.limit(0), None, total
     hot_ids = _cut(degrees.where(F.col("_deg") >= F.lit(threshold)).select("src"), "hot-src")
     light = edges.join(F.broadcast(hot_ids), "src", "left_anti")
     hot = edges.join(F.broadcast(hot_ids), "src", "left_semi")
-    return light, hot, hot_ids
+    return light, hot, hot_ids, total
 
 
 def _partitions(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def bucket_count(spark, edges: int, per_bucket: int = EDGES_PER_BUCKET) -> int:
+    """Buckets for the edge and label tables: about ``per_bucket`` edges
+    each, and a multiple of the shuffle partitions, so each aggregation
+    task writes whole buckets (one file per bucket in total)."""
+    parts = _partitions(spark)
+    return parts * max(1, -(-edges // (per_bucket * parts)))
+
+
 def propagate_min(graph: Graph, rounds: int = 5, implicit_vertices: bool = True, *,
                   min_hot_degree: int = DEFAULT_MIN_HOT_DEGREE,
                   max_hot_sources: int = DEFAULT_MAX_HOT_SOURCES) -> DataFrame:
@@ -91,7 +101,6 @@ def propagate_min(graph: Graph, rounds: int = 5, implicit_vertices: bool = True,
     if rounds < 0:
         raise ValueError("rounds must be >= 0")
     spark = graph.pairs.sparkSession
-    buckets = _partitions(spark)
     # One pass over the input: heads and edges both come from ``pairs``.
     pairs = _cut(graph.pairs.select(F.col("src").cast("bigint"), F.col("dst").cast("bigint")),
                  "pairs")
@@ -100,7 +109,8 @@ def propagate_min(graph: Graph, rounds: int = 5, implicit_vertices: bool = True,
     if not implicit_vertices:
         edges = edges.join(heads.select(F.col("id").alias("dst")).distinct(), "dst", "left_semi")
         edges = _cut(edges.select("src", "dst"), "edges")
-    light, hot, hot_ids = split_hot_sources(edges, min_hot_degree, max_hot_sources)
+    light, hot, hot_ids, total = split_hot_sources(edges, min_hot_degree, max_hot_sources)
+    buckets = bucket_count(spark, total)
     # No source in ``light`` reaches the hot threshold, so bucketing by src
     # is balanced; repeated edges are dropped on the way.
     # Hash-partitioned by src into exactly one task per bucket: each task

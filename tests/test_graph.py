@@ -62,3 +62,11 @@ def test_labels_never_increase(spark, lines):
         cur = _labels(propagate_min(g, k))
         assert all(cur[v] <= prev.get(v, cur[v]) for v in cur)
         prev = cur
+
+
+def test_bucket_count_scales_with_edges(spark):
+    from kestrel.operators import bucket_count
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert bucket_count(spark, 10) == parts
+    big = bucket_count(spark, 10**11)
+    assert big % parts == 0 and 10**11 / big <= 16_000_000
