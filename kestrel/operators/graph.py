@@ -79,7 +79,8 @@ def bucket_count(spark, edges: int, per_bucket: int = EDGES_PER_BUCKET) -> int:
 
 def propagate_min(graph: Graph, rounds: int = 5, implicit_vertices: bool = True, *,
                   min_hot_degree: int = DEFAULT_MIN_HOT_DEGREE,
-                  max_hot_sources: int = DEFAULT_MAX_HOT_SOURCES) -> DataFrame:
+                  max_hot_sources: int = DEFAULT_MAX_HOT_SOURCES,
+                  on_round=None) -> DataFrame:
     """Labels ``(id bigint, grp bigint)`` after ``rounds`` propagation rounds.
 
     Initially each line head has its own id as label.  ``rounds`` is fixed;
@@ -90,6 +91,8 @@ def propagate_min(graph: Graph, rounds: int = 5, implicit_vertices: bool = True,
         result from round 1 on, labelled with the minimum it received (it
         has no label of its own before that), and keeps no out-edges.
         Without it only line heads are kept.
+    on_round  optional callback ``(round, DataFrame)`` seeing each round's
+        plan before it is written (for inspection).
 
     Layout: the light edges are written once as a table bucketed by
     ``src``; the labels of every round are written bucketed by ``id`` with
@@ -142,6 +145,8 @@ def propagate_min(graph: Graph, rounds: int = 5, implicit_vertices: bool = True,
                     F.min(F.when(F.col("own"), F.col("grp"))).alias("_old")))
         new = new.select("id", "grp",
                          (F.col("_old").isNull() | (F.col("grp") < F.col("_old"))).alias("changed"))
+        if on_round is not None:
+            on_round(r + 1, new)
         labels = write_bucketed_and_reload(new, f"labels-{r + 1}", buckets, "id", sort=False)
     return labels.select("id", "grp")
 
