@@ -37,6 +37,7 @@ from kestrel.plans.materialize import write_and_reload, write_text_and_reload
 from kestrel.plans.sql import run_sql
 from kestrel.plans.trip import trip_means_mapreduce, trip_means_pig, trip_means_sql
 from kestrel.sources.adjacency import adjacency_rows, read_adjacency
+from kestrel.sources.coo import read_coo
 from kestrel.sources.delimited import HeaderRule, parse_delimited
 from kestrel.sources.tables import table
 
@@ -361,6 +362,19 @@ def q_trip_sql(spark, sf):
     return trip_means_sql(spark, trip_lines(spark, sf), with_line=True)
 
 
+@register("trip_sql_min_count", "FIL-7 SRC-6 SRC-9 AGG-3 SQL-3", f"""
+SELECT distance, avg AS avg
+FROM (SELECT distance, avg(v) AS avg, count(*) AS n
+      FROM (SELECT {_TRIP_DIST} AS distance,
+                   CAST(CAST(l_extendedprice AS VARCHAR) AS FLOAT) AS v FROM lineitem)
+      WHERE distance < 200
+      GROUP BY distance)
+WHERE n >= 3
+""")
+def q_trip_sql_min_count(spark, sf):
+    return trip_means_sql(spark, trip_lines(spark, sf), min_count=3)
+
+
 # --------------------------------------------------------------------------
 # Joins
 
@@ -455,6 +469,18 @@ _KEYS_OUTER = _keys_sql(_UNION)
 _KEYS_INNER = f"{_keys_sql(_M)} INTERSECT {_keys_sql(_N)}"
 
 
+@register("coo_parse", "SRC-12 PRJ-13 SRC-5", """
+SELECT CAST(l_partkey AS INTEGER) AS i, CAST(l_suppkey AS INTEGER) AS j, l_quantity AS v
+FROM lineitem WHERE l_returnflag = 'R'
+""")
+def q_coo_parse(spark, sf):
+    li = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R")
+    lines = li.select(F.concat_ws(", ", F.col("l_partkey").cast("string"),
+                                  F.col("l_suppkey").cast("string"),
+                                  F.col("l_quantity").cast("string")).alias("value"))
+    return read_coo(lines)
+
+
 @register("coo_block_coords", "SRC-12 PRJ-10 PRJ-18 AGG-8 (long form)", f"""
 SELECT CAST(i // {BLOCK_ROWS} AS INTEGER) AS bi, CAST(j // {BLOCK_COLS} AS INTEGER) AS bj,
        CAST(i % {BLOCK_ROWS} AS INTEGER) AS r, CAST(j % {BLOCK_COLS} AS INTEGER) AS c, i, j, v
