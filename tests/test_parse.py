@@ -1,5 +1,4 @@
 import pytest
-from pyspark.errors import PySparkException
 
 from kestrel.sources import HeaderRule, adjacency_rows, parse_delimited, read_coo
 
