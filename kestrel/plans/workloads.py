@@ -425,21 +425,22 @@ def q_union_all_tagged(spark, sf):
 
 
 # --------------------------------------------------------------------------
-# Block matrices: M = returned line items, N = accepted ones,
-# cell (partkey, suppkey) = total quantity.
+# Block matrices over the whole lineitem table: M = open line items, N =
+# filled ones (l_linestatus 'O' / 'F'); cell (partkey, suppkey) = quantity,
+# repeated cells summed.
 
 BLOCK_ROWS = 300
 BLOCK_COLS = 40
 
 
-def _matrix(spark, sf, flag: str) -> DataFrame:
-    li = table(spark, sf, "lineitem").where(F.col("l_returnflag") == flag)
+def _matrix(spark, sf, status: str) -> DataFrame:
+    li = table(spark, sf, "lineitem").where(F.col("l_linestatus") == status)
     return cells(li, "l_partkey", "l_suppkey", "l_quantity")
 
 
-def _cells_sql(flag: str) -> str:
+def _cells_sql(status: str) -> str:
     return (f"SELECT CAST(l_partkey AS INTEGER) AS i, CAST(l_suppkey AS INTEGER) AS j, "
-            f"CAST(l_quantity AS DOUBLE) AS v FROM lineitem WHERE l_returnflag = '{flag}'")
+            f"CAST(l_quantity AS DOUBLE) AS v FROM lineitem WHERE l_linestatus = '{status}'")
 
 
 def _block_text_sql(cells_sql: str, keys_sql: str, cell_fmt: str, rows=BLOCK_ROWS,
@@ -463,7 +464,7 @@ def _keys_sql(cells_sql: str, rows=BLOCK_ROWS, cols=BLOCK_COLS) -> str:
     return f"SELECT DISTINCT i // {rows} AS bi, j // {cols} AS bj FROM ({cells_sql})"
 
 
-_M, _N = _cells_sql("R"), _cells_sql("A")
+_M, _N = _cells_sql("O"), _cells_sql("F")
 _UNION = f"{_M} UNION ALL {_N}"
 _KEYS_OUTER = _keys_sql(_UNION)
 _KEYS_INNER = f"{_keys_sql(_M)} INTERSECT {_keys_sql(_N)}"
@@ -471,10 +472,10 @@ _KEYS_INNER = f"{_keys_sql(_M)} INTERSECT {_keys_sql(_N)}"
 
 @register("coo_parse", "SRC-12 PRJ-13 SRC-5", """
 SELECT CAST(l_partkey AS INTEGER) AS i, CAST(l_suppkey AS INTEGER) AS j, l_quantity AS v
-FROM lineitem WHERE l_returnflag = 'R'
+FROM lineitem
 """)
 def q_coo_parse(spark, sf):
-    li = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R")
+    li = table(spark, sf, "lineitem")
     lines = li.select(F.concat_ws(", ", F.col("l_partkey").cast("string"),
                                   F.col("l_suppkey").cast("string"),
                                   F.col("l_quantity").cast("string")).alias("value"))
@@ -487,31 +488,31 @@ SELECT CAST(i // {BLOCK_ROWS} AS INTEGER) AS bi, CAST(j // {BLOCK_COLS} AS INTEG
 FROM (SELECT i, j, sum(v) AS v FROM ({_M}) GROUP BY i, j)
 """)
 def q_coo_block_coords(spark, sf):
-    return block_coords(dedupe_cells(_matrix(spark, sf, "R"), "sum"), BLOCK_ROWS, BLOCK_COLS)
+    return block_coords(dedupe_cells(_matrix(spark, sf, "O"), "sum"), BLOCK_ROWS, BLOCK_COLS)
 
 
 @register("coo_to_blocks", "AGG-7 PRJ-17 PRJ-8", _block_text_sql(_M, _keys_sql(_M), "\t%.3f"))
 def q_coo_to_blocks(spark, sf):
-    return coo_to_block_text(_matrix(spark, sf, "R"), BLOCK_ROWS, BLOCK_COLS, "\t%.3f",
+    return coo_to_block_text(_matrix(spark, sf, "O"), BLOCK_ROWS, BLOCK_COLS, "\t%.3f",
                              duplicates="sum")
 
 
 @register("block_add_outer", "JOI-4 AGG-8 SET-1 PRJ-8", _block_text_sql(_UNION, _KEYS_OUTER, "\t%.3f"))
 def q_block_add_outer(spark, sf):
-    return add_matrices_text(_matrix(spark, sf, "R"), _matrix(spark, sf, "A"),
+    return add_matrices_text(_matrix(spark, sf, "O"), _matrix(spark, sf, "F"),
                              BLOCK_ROWS, BLOCK_COLS, "outer", "\t%.3f")
 
 
 @register("block_add_inner", "JOI-3 PRJ-19 PRJ-9", _block_text_sql(_UNION, _KEYS_INNER, " %.2f"))
 def q_block_add_inner(spark, sf):
-    return add_matrices_text(_matrix(spark, sf, "R"), _matrix(spark, sf, "A"),
+    return add_matrices_text(_matrix(spark, sf, "O"), _matrix(spark, sf, "F"),
                              BLOCK_ROWS, BLOCK_COLS, "inner", " %.2f")
 
 
 @register("block_pick", "FIL-4 JOI-3", _block_text_sql(
     _UNION, f"SELECT * FROM ({_KEYS_INNER}) WHERE bi = 1 AND bj = 2", " %.2f"))
 def q_block_pick(spark, sf):
-    s = add_matrices_text(_matrix(spark, sf, "R"), _matrix(spark, sf, "A"),
+    s = add_matrices_text(_matrix(spark, sf, "O"), _matrix(spark, sf, "F"),
                           BLOCK_ROWS, BLOCK_COLS, "inner", " %.2f")
     return pick_block(s, 1, 2)
 
@@ -521,7 +522,7 @@ SELECT CAST(bi AS VARCHAR) || chr(9) || CAST(bj AS VARCHAR) || chr(9) || text AS
 FROM ({_block_text_sql(_UNION, _KEYS_OUTER, chr(9) + '%.3f')})
 """)
 def q_block_lines(spark, sf):
-    s = add_matrices_text(_matrix(spark, sf, "R"), _matrix(spark, sf, "A"),
+    s = add_matrices_text(_matrix(spark, sf, "O"), _matrix(spark, sf, "F"),
                           BLOCK_ROWS, BLOCK_COLS, "outer", "\t%.3f")
     return keyed_block_text(s.orderBy("bi", "bj"))
 
@@ -534,7 +535,7 @@ WHERE v <> 0
 GROUP BY 1, 2
 """)
 def q_block_add_dense(spark, sf):
-    s = add_matrices(_matrix(spark, sf, "R"), _matrix(spark, sf, "A"), BLOCK_ROWS, BLOCK_COLS, "outer")
+    s = add_matrices(_matrix(spark, sf, "O"), _matrix(spark, sf, "F"), BLOCK_ROWS, BLOCK_COLS, "outer")
     return s.select(
         "bi", "bj", F.size("data").alias("n_cells"),
         F.size(F.filter("data", lambda x: x != 0)).cast("bigint").alias("n_nonzero"),
@@ -547,7 +548,7 @@ SELECT CAST(i // {BLOCK_ROWS} AS INTEGER) AS bi, CAST(j // {BLOCK_COLS} AS INTEG
 FROM (SELECT i, j, sum(v) AS v FROM ({_UNION}) GROUP BY i, j)
 """)
 def q_block_sum_cells(spark, sf):
-    return add_cells(_matrix(spark, sf, "R"), _matrix(spark, sf, "A"), BLOCK_ROWS, BLOCK_COLS, "outer")
+    return add_cells(_matrix(spark, sf, "O"), _matrix(spark, sf, "F"), BLOCK_ROWS, BLOCK_COLS, "outer")
 
 
 # --------------------------------------------------------------------------
