@@ -127,9 +127,10 @@ def propagate_min(graph: Graph, rounds: int = 5, implicit_vertices: bool = True,
     # Semi-naive rounds: only labels that dropped in the previous round
     # (the frontier) are sent along the edges.  Min-labels never rise, so a
     # vertex whose in-neighbours kept their labels cannot change.
-    labels = write_bucketed_and_reload(
-        heads.distinct().select("id", F.col("id").alias("grp"), F.lit(True).alias("changed")),
-        "labels", buckets, "id", sort=False)
+    # Round 1 starts from the distinct heads (own id as label, all in the
+    # frontier); they are hash-partitioned by id like the edge buckets, so
+    # even this first join moves no edge.
+    labels = heads.distinct().select("id", F.col("id").alias("grp"), F.lit(True).alias("changed"))
     for r in range(rounds):
         frontier = labels.where(F.col("changed")).select(F.col("id").alias("src"), F.col("grp"))
         msgs = (light.join(frontier.hint("shuffle_hash"), "src")
