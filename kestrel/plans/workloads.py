@@ -39,7 +39,7 @@ from kestrel.plans.trip import trip_means_mapreduce, trip_means_pig, trip_means_
 from kestrel.sources.adjacency import adjacency_rows, read_adjacency
 from kestrel.sources.coo import read_coo
 from kestrel.sources.delimited import HeaderRule, parse_delimited
-from kestrel.sources.tables import table
+from kestrel.sources.tables import fact_table, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -314,8 +314,11 @@ TRIP_HEADER = "orderkey,partkey,suppkey,linenumber,distance,returnflag,linestatu
 
 
 def trip_lines(spark, sf) -> DataFrame:
-    """Ten-field lines: distance in field 4, amount last (field 9), one header."""
-    li = table(spark, sf, "lineitem")
+    """Ten-field lines: distance in field 4, amount last (field 9), one header.
+
+    Rendering and parsing are per-row heavy, so the scan is spread first.
+    """
+    li = fact_table(spark, sf, "lineitem")
     fields = [F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber"),
               (F.col("l_quantity") - 10) * 2.5, F.col("l_returnflag"), F.col("l_linestatus"),
               F.col("l_shipdate").cast("string"), F.col("l_discount"),
@@ -475,7 +478,7 @@ SELECT CAST(l_partkey AS INTEGER) AS i, CAST(l_suppkey AS INTEGER) AS j, l_quant
 FROM lineitem
 """)
 def q_coo_parse(spark, sf):
-    li = table(spark, sf, "lineitem")
+    li = fact_table(spark, sf, "lineitem")
     lines = li.select(F.concat_ws(", ", F.col("l_partkey").cast("string"),
                                   F.col("l_suppkey").cast("string"),
                                   F.col("l_quantity").cast("string")).alias("value"))
@@ -564,7 +567,7 @@ def directed_lines(spark, sf) -> DataFrame:
 
     Parts and suppliers head lines; orders only appear as neighbours.
     """
-    li = table(spark, sf, "lineitem")
+    li = fact_table(spark, sf, "lineitem")
     p, s, o = _vid("l_partkey", 0), _vid("l_suppkey", 1), _vid("l_orderkey", 2)
     return (li.select(F.concat_ws(",", p.cast("string"), s.cast("string")).alias("value"))
               .unionByName(li.select(F.concat_ws(",", s.cast("string"), o.cast("string")).alias("value"))))
@@ -573,7 +576,7 @@ def directed_lines(spark, sf) -> DataFrame:
 def symmetric_lines(spark, sf) -> DataFrame:
     """Three lines per line item: ``part,supplier,order``, ``supplier,part``
     and ``order,part``: an undirected part-supplier / part-order graph."""
-    li = table(spark, sf, "lineitem")
+    li = fact_table(spark, sf, "lineitem")
     p, s, o = _vid("l_partkey", 0), _vid("l_suppkey", 1), _vid("l_orderkey", 2)
     return (li.select(F.concat_ws(",", p.cast("string"), s.cast("string"), o.cast("string")).alias("value"))
               .unionByName(li.select(F.concat_ws(",", s.cast("string"), p.cast("string")).alias("value")))
