@@ -47,3 +47,13 @@ def test_partitioning_does_not_change_result(spark):
                                  min_key=0, max_key=200))
         assert again == base
     assert sum(r["n"] for r in count_by_key(li, "l_returnflag").collect()) == li.count()
+
+
+def test_spread_only_narrow_inputs(spark):
+    from kestrel.sources import spread
+    wide = spark.range(0, 1000, 1, 16)
+    assert spread(wide, 8) is wide                     # enough splits: unchanged
+    narrow = spark.range(0, 1000, 1, 1)
+    spread_df = spread(narrow, 8)
+    assert spread_df.rdd.getNumPartitions() == 8
+    assert sorted(r[0] for r in spread_df.collect()) == list(range(1000))
