@@ -44,3 +44,16 @@ def test_matches_duckdb(spark, duck, name):
     dcols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(dcols)
     assert _norm([tuple(r) for r in df.collect()], df.columns) == _norm(cur.fetchall(), dcols)
+
+
+def test_hot_source_path_on_driver_tables(spark, duck):
+    # Suppliers have ~600 out-edges at sf0.001: with a threshold of 100 they
+    # all take the broadcast path; the labels must not change.
+    from kestrel.operators import propagate_min
+    from kestrel.plans import workloads as W
+    from kestrel.sources import read_adjacency
+    labels = propagate_min(read_adjacency(W.symmetric_lines(spark, SF_SMALL)), rounds=5,
+                           min_hot_degree=100)
+    cur = duck.execute(E.oracle_sql()["propagate_5"])
+    assert _norm([tuple(r) for r in labels.collect()], labels.columns) == \
+        _norm(cur.fetchall(), [d[0] for d in cur.description])
