@@ -4,7 +4,7 @@ A rank file (base64 token, rank per line) becomes a BPE model of the ``tokenizer
 of the 256 bytes is written as one printable character, a token is the string of its bytes'
 characters, and every way to cut a token into two tokens is a merge at that token's rank.  Texts
 are cut by the splitting pattern; each match is encoded on its own.  Inside a task the distinct
-matches of an Arrow batch go through ``Tokenizer.encode_batch`` once; a bounded cache serves
+matches of an Arrow batch go through ``Tokenizer.encode_batch_fast`` once; a bounded cache serves
 repeats.  Decoding maps ids to their characters and reverses the byte table; bytes of a character
 that was cut between tokens meet again, since whole id sequences are joined as bytes first.
 
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import json
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 #: Matches kept in a task's cache; beyond it the cache starts anew (bounds memory, not results).
-CACHE_SIZE = 400_000
+CACHE_SIZE = 200_000
 #: Longer matches are encoded each time, so that the cache stays small.
 CACHE_CHARS = 64
 
@@ -75,6 +76,7 @@ class Encoder:
     """Encodes texts match by match; made once in each task."""
 
     def __init__(self, spec: str, pattern: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         import regex
         from tokenizers import Tokenizer
 
@@ -85,7 +87,7 @@ class Encoder:
 
     def _add(self, matches: list[str]) -> dict[str, bytes]:
         mapped = [to_characters(m.encode(), self.table) for m in matches]
-        found = self.tokenizer.encode_batch(mapped, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(mapped, add_special_tokens=False)
         return {m: np.asarray(e.ids, "<u4").tobytes() for m, e in zip(matches, found)}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -114,17 +116,40 @@ class Encoder:
         return out
 
 
-def _pieces(values: list, limit: int = 1 << 20) -> Iterator[list]:
-    """Consecutive parts of about ``limit`` characters or bytes."""
-    part, size = [], 0
-    for v in values:
-        part.append(v)
-        size += len(v) if v else 0
-        if size >= limit:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
+class Decoder:
+    """Joins the bytes of ids."""
+
+    def __init__(self, spec: str):
+        back = {c: b for b, c in enumerate(byte_characters())}
+        self.tokens = {i: bytes(back[c] for c in t) for t, i in json.loads(spec)["model"]["vocab"].items()}
+
+    def decode(self, ids: bytes | None) -> bytes:
+        """Bytes of little-endian unsigned 32-bit ids; a KeyError for an id that has no token."""
+        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+
+
+def _mapped(df: DataFrame, column: str, drop: tuple[str, ...], into: list[str], make) -> DataFrame:
+    """``df`` with binary columns ``into``: in each task ``make()`` gives a function from a list of
+    values of ``column`` to a list of values for each of ``into``."""
+    rest = [c for c in df.columns if c not in (*drop, *into)]
+    schema = T.StructType([*(df.schema[c] for c in rest), *(T.StructField(c, T.BinaryType()) for c in into)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        f = make()
+        for batch in batches:
+            at = 0
+            while at < batch.num_rows:  # about a megabyte of values at a time, one row at least
+                values, size = [], 0
+                while at + len(values) < batch.num_rows and size < 1 << 20:
+                    values.append(batch.column(column)[at + len(values)].as_py())
+                    size += len(values[-1] or "")
+                rows = batch.slice(at, len(values))
+                at += len(values)
+                yield pa.RecordBatch.from_arrays(
+                    [*(rows.column(c) for c in rest), *(pa.array(x, pa.binary()) for x in f(values))],
+                    [*rest, *into])
+
+    return df.select(*dict.fromkeys([*rest, column])).mapInArrow(run, schema)
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", into: str = "ids") -> DataFrame:
@@ -133,20 +158,12 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", into: str
     A column already named ``into`` is replaced.
     """
     spec = tokenizer_json(read_ranks(path))
-    rest = [c for c in df.columns if c not in (text, into)]
-    schema = T.StructType([*(df.schema[c] for c in rest), T.StructField(into, T.BinaryType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         encoder = Encoder(spec, pattern)
-        for batch in batches:
-            at = 0
-            for part in _pieces(batch.column(text).to_pylist()):
-                ids = pa.array(encoder.encode(part), pa.binary())
-                rows = batch.slice(at, len(part))
-                at += len(part)
-                yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in rest), ids], [*rest, into])
+        return lambda texts: [encoder.encode(texts)]
 
-    return df.select(*rest, text).mapInArrow(run, schema)
+    return _mapped(df, text, (text,), [into], make)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -155,23 +172,28 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
     An id that the vocabulary lacks fails the job.  A null ``ids`` decodes to no bytes.
     """
     spec = tokenizer_json(read_ranks(path))
-    rest = [c for c in df.columns if c != into]
-    schema = T.StructType([*(df.schema[c] for c in rest), T.StructField(into, T.BinaryType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        back = {c: b for b, c in enumerate(byte_characters())}
-        vocab = json.loads(spec)["model"]["vocab"]
-        tokens = {i: bytes(back[c] for c in t) for t, i in vocab.items()}
-        for batch in batches:
-            at = 0
-            for part in _pieces(batch.column(ids).to_pylist()):
-                out = [b"".join([tokens[i] for i in np.frombuffer(v or b"", "<u4").tolist()]) for v in part]
-                rows = batch.slice(at, len(part))
-                at += len(part)
-                yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in rest), pa.array(out, pa.binary())],
-                                                 [*rest, into])
+    def make():
+        decoder = Decoder(spec)
+        return lambda values: [[decoder.decode(v) for v in values]]
+
+    return _mapped(df, ids, (), [into], make)
+
+
+def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+    """``df`` without ``text`` and with ``ids`` and ``decoded``, by one worker in each task."""
+    spec = tokenizer_json(read_ranks(path))
+
+    def make():
+        encoder, decoder = Encoder(spec, pattern), Decoder(spec)
+
+        def both(texts):
+            ids = encoder.encode(texts)
+            return [ids, [decoder.decode(v) for v in ids]]
+
+        return both
 
-    return df.select(*rest).mapInArrow(run, schema)
+    return _mapped(df, text, (text,), ["ids", "decoded"], make)
 
 
 def streamed_text(chunks: Iterator[bytes]) -> Iterator[str]:
@@ -188,8 +210,7 @@ def streamed_text(chunks: Iterator[bytes]) -> Iterator[str]:
 
 def digests(df: DataFrame, path: str, pattern: str) -> DataFrame:
     """Per document: number of ids, digests of the ids and of the bytes decoded from them."""
-    both = decode(encode(df.select("doc_id", "text"), path, pattern), path)
-    return both.select(
+    return round_trip(df.select("doc_id", "text"), path, pattern).select(
         "doc_id",
         F.expr("bigint(octet_length(ids) / 4)").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
