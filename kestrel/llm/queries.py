@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, chat, decontaminate, langid, sharding
+from kestrel.llm import bpe, chat, decontaminate, langid, sharding, toxicity
 from kestrel.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items: hit words and items."""
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -49,7 +54,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, QueryFn]:
     """Query name -> function of (spark, sf_dir)."""
-    return {f.__name__: f for f in (op1_chat, op2_language, op6_decontamination, op9_sharding, op10_bpe)}
+    return {f.__name__: f for f in (op1_chat, op2_language, op5_toxicity, op6_decontamination, op9_sharding, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
