@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, chat, decontaminate, langid, sharding, toxicity
+from kestrel.llm import bpe, chat, decontaminate, fingerprint, langid, sharding, toxicity
 from kestrel.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of every document, and its likeness to an edit and to the next document."""
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents dealt uniformly into 16 shards of exact size."""
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
@@ -54,7 +59,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, QueryFn]:
     """Query name -> function of (spark, sf_dir)."""
-    return {f.__name__: f for f in (op1_chat, op2_language, op5_toxicity, op6_decontamination, op9_sharding, op10_bpe)}
+    return {f.__name__: f for f in (op1_chat, op2_language, op5_toxicity, op6_decontamination, op7_fingerprint, op9_sharding, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
