@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, chat, decontaminate, fingerprint, html, langid, sharding, toxicity, urlfilter
+from kestrel.llm import bpe, chat, decontaminate, fingerprint, html, langid, neardup, sharding, toxicity, urlfilter
 from kestrel.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document by the chosen-path similarity join."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page against the list entries that held on its day."""
     return urlfilter.filtered_pages(table(spark, sf_dir, "pages"))
@@ -69,10 +74,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, QueryFn]:
     """Query name -> function of (spark, sf_dir)."""
-    return {f.__name__: f for f in (op1_chat, op2_language, op4_url_filter, op5_toxicity, op6_decontamination, op7_fingerprint, op8_html, op9_sharding, op10_bpe)}
+    return {f.__name__: f for f in (op1_chat, op2_language, op3_near_duplicates, op4_url_filter, op5_toxicity, op6_decontamination, op7_fingerprint, op8_html, op9_sharding, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {"op1_chat": chat.DIGEST_SQL, "op4_url_filter": urlfilter.EVALUATE_SQL,
+    return {"op1_chat": chat.DIGEST_SQL, "op3_near_duplicates": neardup.NEAR_SQL, "op4_url_filter": urlfilter.EVALUATE_SQL,
             "op6_decontamination": decontaminate.REPORT_SQL}
