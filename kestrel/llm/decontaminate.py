@@ -15,7 +15,8 @@ Words: ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z are lower-cased.  A w
 Documents without words (null, empty) match nothing and are kept; items without words match
 nothing.  An item without an id has the id ''.  Rows that share an item_id are one item; repeated
 documents are judged one by one.  Empty tables: no documents give no rows, no items leave every
-document clean.  Columns named like those of ``MATCHES`` are replaced; others pass through.
+document clean.  A column that
+has the name of a new one is replaced; ``prefix`` keeps them apart.
 """
 
 from __future__ import annotations
@@ -243,12 +244,13 @@ def merge(old: dict, new: dict) -> dict:
             "items": sorted({*old["items"], *new["items"]})}
 
 
-def _pass(df: DataFrame, tests: Tests, again: bool) -> DataFrame:
-    names = MATCHES.fieldNames()
+def _pass(df: DataFrame, tests: Tests, prefix: str, again: bool) -> DataFrame:
+    fields = MATCHES.fieldNames()
+    names = [prefix + c for c in fields]
     rest = [c for c in df.columns if c not in names]
-    schema = T.StructType([*(df.schema[c] for c in rest), *MATCHES.fields])
+    schema = T.StructType([*(df.schema[c] for c in rest), *(T.StructField(prefix + f.name, f.dataType) for f in MATCHES)])
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-    types = dict(zip(names, [pa.int64(), pa.list_(span), pa.list_(pa.string()), pa.int64(), pa.int64(), pa.string()]))
+    types = dict(zip(fields, [pa.int64(), pa.list_(span), pa.list_(pa.string()), pa.int64(), pa.int64(), pa.string()]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(tests)
@@ -258,9 +260,10 @@ def _pass(df: DataFrame, tests: Tests, again: bool) -> DataFrame:
             for b in held:
                 mine, rows = rows[:b.num_rows], rows[b.num_rows:]
                 if again:
-                    mine = [merge(o, m) for o, m in zip(b.select(names).to_pylist(), mine)]
+                    old = b.select(names).rename_columns(fields).to_pylist()
+                    mine = [merge(o, m) for o, m in zip(old, mine)]
                 yield pa.RecordBatch.from_arrays(
-                    [*(b.column(c) for c in rest), *(pa.array([m[c] for m in mine], types[c]) for c in names)],
+                    [*(b.column(c) for c in rest), *(pa.array([m[c] for m in mine], types[c]) for c in fields)],
                     [*rest, *names])
 
         held, size = [], 0
@@ -277,21 +280,22 @@ def _pass(df: DataFrame, tests: Tests, again: bool) -> DataFrame:
     return df.select(*rest, *(names if again else ())).mapInArrow(run, schema)
 
 
-def match(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``documents`` with the columns of ``MATCHES``."""
+def match(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, prefix: str = "",
+          block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``documents`` with the columns of ``MATCHES``, their names behind ``prefix``."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"), "text")
     total = items.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    blocks = max(1, math.ceil(total / BLOCK_BYTES))
+    blocks = max(1, math.ceil(total / block_bytes))
     out = documents
     for k in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == k).orderBy("id", "text").collect()
-        out = _pass(out, Tests([r["id"] for r in rows], [r["text"] for r in rows], window), k > 0)
+        out = _pass(out, Tests([r["id"] for r in rows], [r["text"] for r in rows], window), prefix, k > 0)
     return out
 
 
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``documents`` without those that hold a window of the benchmark."""
-    return match(documents, benchmark).filter(F.size("hit_spans") == 0).select(*documents.columns)
+    return match(documents, benchmark, prefix="__").filter(F.size("__hit_spans") == 0).select(*documents.columns)
 
 
 def report(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

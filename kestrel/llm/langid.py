@@ -9,7 +9,8 @@ probabilities are averaged by length.
 
 A text that is null or holds no letter is ``und`` with score 0, and so is every text if there is
 nothing to learn from.  Ties go to the language that sorts first.  Repeated rows are predicted one
-by one, an empty table gives no rows.  Columns named ``lang_pred`` or ``score`` are replaced.
+by one, an empty table gives no rows.  A column that has the
+name of a new one is replaced; ``prefix`` keeps them apart.
 """
 
 from __future__ import annotations
@@ -168,13 +169,15 @@ def text_windows(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return windows, text_of, length
 
 
-def predict(df: DataFrame, net: Network | None) -> DataFrame:
-    """``df`` with ``lang_pred`` and ``score``, the mean probability of that language."""
-    rest = [c for c in df.columns if c not in ("lang_pred", "score")]
+def predict(df: DataFrame, net: Network | None, prefix: str = "") -> DataFrame:
+    """``df`` with ``lang_pred`` and ``score``, the mean probability of that language, both names
+    behind ``prefix``."""
+    language, sure = prefix + "lang_pred", prefix + "score"
+    rest = [c for c in df.columns if c not in (language, sure)]
     if net is None:
-        return df.select(*rest, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    schema = T.StructType([*(df.schema[c] for c in rest), T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
+        return df.select(*rest, F.lit(UNKNOWN).alias(language), F.lit(0.0).alias(sure))
+    schema = T.StructType([*(df.schema[c] for c in rest), T.StructField(language, T.StringType()),
+                           T.StructField(sure, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array(net.languages, dtype=object)
@@ -189,12 +192,12 @@ def predict(df: DataFrame, net: Network | None) -> DataFrame:
                 score = np.clip(total[np.arange(len(best)), best] / size, 0, 1)
                 yield pa.RecordBatch.from_arrays(
                     [*(rows.column(c) for c in rest), pa.array(names[best], pa.string()),
-                     pa.array(score, pa.float64())], [*rest, "lang_pred", "score"])
+                     pa.array(score, pa.float64())], [*rest, language, sure])
 
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     return (df.select(*rest).mapInArrow(run, schema)
-            .withColumn("score", F.when(lettered, F.col("score")).otherwise(0.0))
-            .withColumn("lang_pred", F.when(lettered, F.col("lang_pred")).otherwise(UNKNOWN)))
+            .withColumn(sure, F.when(lettered, F.col(sure)).otherwise(0.0))
+            .withColumn(language, F.when(lettered, F.col(language)).otherwise(UNKNOWN)))
 
 
 def languages(documents: DataFrame) -> DataFrame:

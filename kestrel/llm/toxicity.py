@@ -13,7 +13,8 @@ of every text.
 Null and empty texts have no words and are scored like any other text.  Labels other than 0 and 1
 and rows without doc_id are not learned from; a document labelled twice is toxic if either label
 says so.  Without any toxic and any clean label every score is 0.  Repeated rows are scored one by
-one, an empty table gives no rows.  Columns named ``score`` or ``predicted`` are replaced.
+one, an empty table gives no rows.  A column that has the name of a new one is
+replaced; ``prefix`` keeps them apart.
 """
 
 from __future__ import annotations
@@ -233,13 +234,15 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model | None:
     return Model(lexicon, boost(x, y), *isotonic(raw, y))
 
 
-def score(df: DataFrame, model: Model | None) -> DataFrame:
-    """``df`` with ``score`` and ``predicted`` (1 if the score reaches ``THRESHOLD``)."""
-    rest = [c for c in df.columns if c not in ("score", "predicted")]
+def score(df: DataFrame, model: Model | None, prefix: str = "") -> DataFrame:
+    """``df`` with ``score`` and ``predicted`` (1 if the score reaches ``THRESHOLD``), both names
+    behind ``prefix``."""
+    names = [prefix + "score", prefix + "predicted"]
+    rest = [c for c in df.columns if c not in names]
     if model is None:
-        return df.select(*rest, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-    schema = T.StructType([*(df.schema[c] for c in rest), T.StructField("score", T.DoubleType()),
-                           T.StructField("predicted", T.IntegerType())])
+        return df.select(*rest, F.lit(0.0).alias(names[0]), F.lit(0).alias(names[1]))
+    schema = T.StructType([*(df.schema[c] for c in rest), T.StructField(names[0], T.DoubleType()),
+                           T.StructField(names[1], T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         featurizer = Featurizer(model.lexicon)
@@ -248,7 +251,7 @@ def score(df: DataFrame, model: Model | None) -> DataFrame:
                 s = model.score(featurizer.features(rows.column("text")))
                 yield pa.RecordBatch.from_arrays(
                     [*(rows.column(c) for c in rest), pa.array(s),
-                     pa.array((s >= THRESHOLD).astype(np.int32))], [*rest, "score", "predicted"])
+                     pa.array((s >= THRESHOLD).astype(np.int32))], [*rest, *names])
 
     return df.select(*rest).mapInArrow(run, schema)
 
