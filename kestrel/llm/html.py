@@ -69,7 +69,7 @@ class Node:
         if self.tag in UNSEEN:
             return True
         if not self.attributes:
-            return False
+            return self.tag == "dialog"
         if self.attribute("hidden") is not None or _HIDING.search(self.attribute("style") or ""):
             return True
         return self.tag == "dialog" and self.attribute("open") is None
@@ -146,8 +146,10 @@ class Builder:
             self.close(HEADINGS)
         elif tag in ("body", "html"):
             return
-        else:
+        elif tag in BLOCKS:
             self.close({tag}, frozenset({"td", "th", "table", "caption"}) - {tag})
+        else:  # an inline element's end doesn't close blocks inside it
+            self.close({tag}, BLOCKS | CELLS)
 
     def text(self, text: str) -> None:
         """Character data."""

@@ -98,6 +98,9 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: i
         for i in range(0, len(order), batch):
             pick = order[i:i + batch]
             x, y = windows[pick], labels[pick]
+            # a third of the windows is cut short, as the last window of a text is
+            cut = np.where(rng.random(len(y)) < 1 / 3, rng.integers(8, WINDOW, len(y)), WINDOW)
+            x = x * (np.arange(WINDOW) < cut[:, None])
             response, p = net.pooled(x)
             where = response.argmax(axis=1)
             top = np.take_along_axis(response, where[:, None, :], 1)[:, 0] + net.bias

@@ -1,0 +1,58 @@
+"""Language ID: held-out accuracy, windows, and awkward rows."""
+
+import numpy as np
+import pyarrow as pa
+from zlib import crc32
+
+from kestrel.llm import langid, queries
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy(spark):
+    langs = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = queries.op2_language(spark, SF).collect()
+    assert len(got) == len(langs)
+    for r in got:
+        assert r["held_out"] == (crc32(str(r["doc_id"]).encode()) % 4 == 2) and 0 <= r["score"] <= 1
+    held = [r for r in got if r["held_out"]]
+    assert sum(r["lang_pred"] == langs[r["doc_id"]] for r in held) >= 0.97 * len(held)
+
+
+def test_awkward_rows(spark):
+    german, english = "der schöne Garten ist größer " * 20, "the garden of this house is with that "
+    learn = [(i, german if i % 2 else english * 15, "de" if i % 2 else "en") for i in range(60)] + [(100, german, None), (101, None, "xx")]
+    rows = learn + [(None, english * 3, None), (102, "", "en"), (103, "12 345 !?", "en"), (104, english * 3000, "de"), (104, english * 3000, "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "'mine' AS score")
+    got = langid.languages(df).collect()
+    assert len(got) == len(rows)
+    by_id = {r["doc_id"]: r for r in got}
+    assert by_id[None]["lang_pred"] == "en" and by_id[104]["lang_pred"] == "en" and by_id[100]["lang_pred"] == "de"
+    for k in (101, 102, 103):
+        assert (by_id[k]["lang_pred"], by_id[k]["score"]) == ("und", 0.0)
+    same = langid.predict(df, langid.fit(df), "__")
+    assert {r["score"] for r in same.collect()} == {"mine"}
+
+
+def test_nothing_to_learn(spark):
+    df = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
+    assert [(r["lang_pred"], r["score"]) for r in langid.languages(df).collect()] == [("und", 0.0)]
+    assert langid.languages(df.limit(0)).count() == 0
+
+
+def test_windows_cover_every_byte():
+    texts = ["", "a" * 10, "b" * langid.WINDOW, "c" * (langid.WINDOW + 1), "dé" * 1000]
+    windows, text_of, length = langid.text_windows(pa.array(texts))
+    for i, t in enumerate(texts):
+        raw = b"".join(bytes(w[:n]) for w, k, n in zip(windows, text_of, length) if k == i)
+        assert raw == t.encode()
+    assert all(not w[n:].any() for w, n in zip(windows, length))
+
+
+def test_gradients_learn():
+    rng = np.random.default_rng(0)
+    windows = rng.integers(97, 123, (200, langid.WINDOW)).astype(np.uint8)
+    labels = np.arange(200) % 2
+    windows[labels == 1, 50:53] = 65
+    net = langid.train(windows, labels, ["a", "b"])
+    assert (net.probabilities(windows).argmax(1) == labels).mean() > 0.97
