@@ -1,0 +1,104 @@
+"""The pipeline, stage by stage, against brute force on what each stage was given."""
+
+import hashlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+import corpus_pipeline as C
+from kestrel.llm import bpe
+from test_decontaminate import brute as leaks
+from test_neardup import set_of
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    docs, out = spark.read.parquet(f"{SF}/documents.parquet"), []
+    extra = spark.createDataFrame([(5000, None, None, None, 0), (5001, "12 !", "en", "s", 4), (None, "the and of the " * 9, "en", "s", 9)],
+                                  docs.schema)
+    docs = docs.unionByName(extra).withColumns({"score": F.lit("mine"), "n_words": F.lit(1)})
+    out.append(docs.collect())
+    for k, (_, stage) in enumerate(C.STAGES):
+        folder = str(tmp_path_factory.mktemp("stage") / "out")
+        before = docs.columns
+        docs = stage(spark, docs, SF)
+        if k < len(C.STAGES) - 1:
+            assert docs.columns == before
+        docs.write.parquet(folder)
+        docs = spark.read.parquet(folder)
+        out.append(docs.collect())
+    return out
+
+
+def test_language_keeps_what_has_words(stages):
+    assert {r["doc_id"] for r in stages[0]} - {r["doc_id"] for r in stages[1]} == {5000, 5001}
+    assert all(r["score"] == "mine" and r["n_words"] == 1 for r in stages[1])
+
+
+def test_toxic_documents_go(spark, stages):
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    gone = {r["doc_id"] for r in stages[1]} - {r["doc_id"] for r in stages[2]}
+    known = [labels[d] for d in gone if d in labels]
+    toxic = sum(t for d, t in labels.items())
+    assert sum(known) >= 0.6 * toxic and len(known) - sum(known) <= 0.02 * len(labels)
+
+
+def test_one_of_each_class_stays(stages):
+    sets = {r["doc_id"]: set_of(r["text"]) for r in stages[2]}
+    kept = {r["doc_id"] for r in stages[3]}
+    ids = list(sets)
+    owners = {}
+    for d, s in sets.items():
+        for shingle in s:
+            owners.setdefault(shingle, []).append(d)
+    root = {d: d for d in ids}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for d in ids:
+        shared = {}
+        for shingle in sets[d]:
+            for other in owners[shingle]:
+                shared[other] = shared.get(other, 0) + 1
+        for other, n in shared.items():
+            if other != d and 100 * n >= 80 * (len(sets[d]) + len(sets[other]) - n):
+                a, b = sorted((find(d), find(other)), key=lambda x: (x is None, x))
+                root[b] = a
+    assert kept == {d for d in ids if find(d) == d}
+
+
+def test_contaminated_documents_go(spark, stages):
+    items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
+    kept = {r["doc_id"] for r in stages[4]}
+    for r in stages[3]:
+        if r["doc_id"] not in kept:
+            assert leaks(r["text"], items)[4]
+    for r in stages[4][::25]:
+        assert not leaks(r["text"], items)[4]
+    assert len(kept) < len(stages[3])
+
+
+def test_ids_are_those_of_tiktoken(stages):
+    reference = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                                  mergeable_ranks=bpe.read_ranks(public_tokenizers.path(C.RANKS)))
+    texts = {r["doc_id"]: r["text"] for r in stages[4]}
+    assert len(stages[5]) == len(texts)
+    for r in stages[5]:
+        ids = np.asarray(reference.encode_ordinary(texts[r["doc_id"]]), "<u4").tobytes()
+        assert bytes(r["ids"]) == ids and r["n_tokens"] == len(ids) // 4
+        assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
+
+
+def test_run_and_empty_input(spark, tmp_path):
+    for t in ("documents", "benchmark", "labels"):
+        spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
+    assert C.run(spark, str(tmp_path)).count() == 0
+    assert C.ORACLE_SQL is None and [n for n, _ in C.STAGES]
