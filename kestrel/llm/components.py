@@ -20,23 +20,25 @@ def _relink(edges: DataFrame) -> DataFrame:
     return edges.join(least, "u")
 
 
+def _state(links: DataFrame) -> tuple:
+    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``edges``: a, b (longs).  One row ``node, root`` for each node with a link; ``root`` is the
     smallest node of its component."""
     links = write_and_reload(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                              .filter("u <> v").distinct(), "links")
+    state = _state(links)
     while True:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (_relink(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .filter("u <> v").distinct())
+        large = _relink(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         seen = _relink(large)
         small = (seen.select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(seen.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
-        after = write_and_reload(small, "links")
-        state = [t.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")).first()
-                 for t in (links, after)]
-        links = after
-        if state[0] == state[1]:
+        links, before = write_and_reload(small, "links"), state
+        state = _state(links)
+        if state == before:
             break
     return (links.select(F.col("u").alias("node"), F.col("v").alias("root"))
-            .unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct())
+            .unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()))

@@ -9,11 +9,13 @@ share tokens and so meet; the number of trees follows from the wanted recall at
 
 Tree nodes of one document are dropped, and of tree nodes with the same members one is kept.  Small
 ones (``LEAF`` documents) are compared exhaustively: token agreement sorts the pairs, pairs that
-aren't connected yet are confirmed on the full sets, and a spanning forest of the links comes out,
-never all pairs.  Larger ones first link their documents to a few leaders; those whose documents
-are all connected by then are done, the others branch on, ``STEP`` levels at a time.  What is still
-large after ``MAX_STEPS`` such steps is compared exhaustively, block by block.  Components of all
-links give each document its class.
+aren't connected yet are confirmed on the full sets, and each class found is told as a star (its
+smallest set with each other one), never as all pairs.  Larger ones first link their documents to a
+few leaders.  Where half of a tree node's documents are of one class by then, the others are
+compared with that class, once for all trees and block by block, and with each other in a tree node
+of their own; where not, the documents branch on, ``STEP`` levels at a time.  What is still large
+after ``MAX_STEPS`` such steps is compared exhaustively, block by block.  Components of all links
+give each document its class.
 
 The depth of the first comparison grows with the logarithm of the number of sets.  Ids of sets
 needed for the comparisons are broadcast only up to ``MAX_BROADCAST`` of them; beyond, the
@@ -44,7 +46,7 @@ SIMILAR = (80, 100)  # intersection * 100 >= union * 80
 TOKENS = 48
 RECALL = 0.9999
 BACKGROUND = 0.03  # similarity of unrelated documents, for the depth
-LEAF = 1024
+LEAF = 2048
 LEAF_SHINGLES = 2_000_000
 TINY = 16  # so many documents are a leaf whatever their sizes
 STEP = 2
@@ -137,8 +139,8 @@ def features(documents: DataFrame) -> DataFrame:
 
 
 def _branch(rows: DataFrame, levels: int, similarity: float, trees: int | None = None) -> DataFrame:
-    """``set_id, path`` after ``levels`` more levels; ``rows``: set_id, tokens and, unless at the
-    roots of ``trees`` trees, path."""
+    """``set_id, n_shingles, path`` after ``levels`` more levels; ``rows``: set_id, n_shingles, tokens
+    and, unless at the roots of ``trees`` trees, path."""
     def run(batches):
         for batch in batches:
             for i in range(0, batch.num_rows, 2048):
@@ -152,10 +154,11 @@ def _branch(rows: DataFrame, levels: int, similarity: float, trees: int | None =
                     path = part.column("path").to_numpy().view(np.uint64)
                 path, row = descend(path, row, t, levels, similarity)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(part.column("set_id").to_numpy()[row]), pa.array(path.view(np.int64))], ["set_id", "path"])
+                    [*(pa.array(part.column(c).to_numpy()[row]) for c in ("set_id", "n_shingles")),
+                     pa.array(path.view(np.int64))], ["set_id", "n_shingles", "path"])
 
-    columns = ["set_id", "tokens"] if trees else ["set_id", "tokens", "path"]
-    return rows.select(*columns).mapInArrow(run, "set_id long, path long")
+    columns = ["set_id", "n_shingles", "tokens"] + ([] if trees else ["path"])
+    return rows.select(*columns).mapInArrow(run, "set_id long, n_shingles long, path long")
 
 
 def _linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -169,10 +172,11 @@ def _linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def spanning_links(ids: list[int], marks: np.ndarray, sets: list[np.ndarray], split: int = 0) -> list[tuple[int, int]]:
-    """A spanning forest of the links among a tree node's documents: pairs in order of token
-    agreement, each confirmed on the full sets unless its ends are connected already.  ``split``:
-    compare only the first so many with the others (0: all with all)."""
-    n, label, out = len(ids), np.arange(len(ids)), []
+    """The classes that links make among a tree node's documents, as pairs (smallest id, other id):
+    pairs of documents in order of token agreement, each confirmed on the full sets unless its ends
+    are connected already.  ``split``: compare only the first so many with the others (0: all with
+    all)."""
+    n, label = len(ids), np.arange(len(ids))
     threshold = SIMILAR[0] / SIMILAR[1]
     least = threshold * TOKENS - SLACK * math.sqrt(threshold * (1 - threshold) * TOKENS)
     left, right, agree = [], [], []
@@ -190,11 +194,13 @@ def spanning_links(ids: list[int], marks: np.ndarray, sets: list[np.ndarray], sp
         for i, j in zip(a[:256].tolist(), b[:256].tolist()):
             if label[i] != label[j] and _linked(sets[i], sets[j]):
                 label[label == label[j]] = label[i]
-                out.append((ids[i], ids[j]))
         a, b = a[256:], b[256:]
         apart = label[a] != label[b]
         a, b = a[apart], b[apart]
-    return out
+    named = np.array(ids, np.int64)
+    least = np.full(n, np.iinfo(np.int64).max)
+    np.minimum.at(least, label, named)
+    return [(x, y) for x, y in zip(least[label].tolist(), named.tolist()) if x != y]
 
 
 def _compare(nodes: DataFrame) -> DataFrame:
@@ -208,8 +214,8 @@ def _compare(nodes: DataFrame) -> DataFrame:
         found = []
         for _, group in groupby(rows(), key=lambda r: r[0]):
             group = list(group)
-            if len(group) > 1:
-                split = sum(r[1] == 0 for r in group) if group[-1][1] else 0
+            split = sum(r[1] == 0 for r in group) if group[-1][1] else 0
+            if len(group) > 1 and (split or not group[-1][1]):
                 marks = np.stack([np.frombuffer(r[3], "<u4") for r in group])
                 found += spanning_links([r[2] for r in group], marks, [np.frombuffer(r[4], "<u8") for r in group], split)
             if len(found) > 10_000:
@@ -217,7 +223,6 @@ def _compare(nodes: DataFrame) -> DataFrame:
                 found = []
         yield _pairs(found)
 
-    # the sort key ends with the agreement of the blocks: side, then set
     dealt = nodes.select("path", "side", "set_id", "tokens", "shingles").repartition("path")
     return dealt.sortWithinPartitions("path", "side", "set_id").mapInArrow(run, "a long, b long")
 
@@ -228,35 +233,37 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def _sets(documents: DataFrame, needed: DataFrame) -> DataFrame:
-    """``set_id, tokens, shingles`` (little-endian 64-bit) of the sets in ``needed`` (set_id, key,
-    tokens), made anew from the documents that they name."""
+    """``set_id, tokens, shingles`` (little-endian) of the sets in ``needed`` (set_id, key), made
+    anew from the documents that they name."""
     rows = documents.select("text", F.xxhash64("doc_id", "text").alias("key"))
-    if needed.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST:
-        needed_ = F.broadcast(needed.select("key", "set_id"))
-    else:
-        needed_ = needed.select("key", "set_id")
+    needed = write_and_reload(needed.select("key", "set_id"), "needed")
+    if needed.count() <= MAX_BROADCAST:
+        needed = F.broadcast(needed)
 
     def run(batches):
-        hasher = WordHasher(SPACE)
+        hasher, factors = WordHasher(SPACE), multipliers()
         for batch in batches:
             for part in slices(batch, "text"):
-                found = [s.tobytes() for s in shingles(part.column("text"), hasher)]
-                yield pa.RecordBatch.from_arrays([part.column("set_id"), pa.array(found, pa.binary())], ["set_id", "shingles"])
+                found = shingles(part.column("text"), hasher)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("set_id"), pa.array([tokens(s, factors).tobytes() for s in found], pa.binary()),
+                     pa.array([s.tobytes() for s in found], pa.binary())], ["set_id", "tokens", "shingles"])
 
-    made = rows.join(needed_, "key").select("set_id", "text").mapInArrow(run, "set_id long, shingles binary")
-    return write_and_reload(made.dropDuplicates(["set_id"]).join(needed.select("set_id", "tokens"), "set_id"), "sets")
+    made = rows.join(needed, "key").select("set_id", "text").mapInArrow(
+        run, "set_id long, tokens binary, shingles binary")
+    return made.dropDuplicates(["set_id"])
 
 
-def _kept_nodes(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+def _kept_nodes(rows: DataFrame) -> DataFrame:
     """``path, n, weight`` of tree nodes with two members or more, one of those with equal members."""
-    stats = (rows.join(sizes, "set_id").groupBy("path")
-             .agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight"),
-                  F.sum(F.xxhash64("set_id").cast("decimal(20,0)")).alias("s")).filter("n > 1"))
+    stats = rows.groupBy("path").agg(
+        F.count("*").alias("n"), F.sum("n_shingles").alias("weight"),
+        F.sum(F.xxhash64("set_id").cast("decimal(20,0)")).alias("s")).filter("n > 1")
     return stats.groupBy("n", "weight", "s").agg(F.min("path").alias("path")).select("path", "n", "weight")
 
 
 def links(documents: DataFrame, nodes: DataFrame, leaf: int = LEAF, max_steps: int = MAX_STEPS) -> list[DataFrame]:
-    """Tables of links ``a, b`` that connect all similar sets; ``nodes``: set_id, key, n_shingles,
+    """Tables of pairs ``a, b`` that connect all similar sets; ``nodes``: set_id, key, n_shingles,
     tokens, one row for each distinct set."""
     similarity = SIMILAR[0] / SIMILAR[1]
     n = nodes.count()
@@ -265,33 +272,30 @@ def links(documents: DataFrame, nodes: DataFrame, leaf: int = LEAF, max_steps: i
     levels = max(2, math.ceil(math.log(n) / -math.log(BACKGROUND)))
     # of the levels that large tree nodes may still take, one step is counted in
     trees = trees_needed(similarity, levels + STEP, RECALL)
-    sizes = nodes.select("set_id", "n_shingles")
     rows = write_and_reload(_branch(nodes, levels, similarity, trees), "paths")
     found: list[DataFrame] = []
     for step in range(max_steps + 1):
-        kept = write_and_reload(_kept_nodes(rows, sizes), "tree-nodes")
         is_leaf = (F.col("n") <= leaf) & ((F.col("weight") <= LEAF_SHINGLES) | (F.col("n") <= TINY))
-        small = write_and_reload(rows.join(kept.filter(is_leaf).select("path"), "path"), "small")
-        needed = small.select("set_id").distinct().join(nodes.select("set_id", "key", "tokens"), "set_id")
-        sets = _sets(documents, write_and_reload(needed, "needed"))
-        leaves = small.join(sets, "set_id").withColumn("side", F.lit(0))
+        members = write_and_reload(rows.join(_kept_nodes(rows), "path").withColumn("is_leaf", is_leaf), "members")
+        small = members.filter("is_leaf")
+        sets = _sets(documents, nodes.join(small, "set_id", "left_semi"))
+        leaves = small.select("path", "set_id").join(sets, "set_id").withColumn("side", F.lit(0))
         found.append(write_and_reload(_compare(leaves), "links"))
-        large = rows.join(kept.filter(~is_leaf).select("path"), "path")
-        large = write_and_reload(large.join(nodes.select("set_id", "key", "tokens"), "set_id"), "large")
+        large = members.filter("not is_leaf")
         if large.isEmpty():
             break
+        large = write_and_reload(large.select("path", "set_id", "n").join(nodes, "set_id"), "large")
         found.append(_leader_links(documents, large))
-        classes = components(_union(found))
-        large = large.join(classes.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
-            "root", F.coalesce("root", "set_id"))
-        several = large.groupBy("path").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-        large = write_and_reload(large.join(several.select("path"), "path"), "several")
-        if large.isEmpty():
+        rows, across = _after_leaders(large, components(_union(found)))
+        found.append(write_and_reload(_across(documents, nodes, large, across), "links"))
+        if rows.isEmpty():
             break
         if step == max_steps:
-            found.append(_block_links(documents, large))
+            found.append(_block_links(documents, nodes, rows))
             break
-        rows = write_and_reload(_branch(large, STEP, similarity), "paths")
+        on = rows.filter("branches").join(nodes.select("set_id", "tokens"), "set_id")
+        rows = write_and_reload(rows.filter("not branches").select("set_id", "n_shingles", "path").unionByName(
+            _branch(on, STEP, similarity)), "paths")
     return found
 
 
@@ -302,9 +306,48 @@ def _union(tables: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _after_leaders(large: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What is left to compare.  First the rows ``path, set_id, n_shingles, branches``: of a tree node
+    half of which is one class, the other documents; of one without such a class, all.  Then
+    ``set_id, root, to``: documents, their classes, and the classes of their tree nodes to compare
+    them with (null: none)."""
+    named = large.join(classes.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
+        "root", F.coalesce("root", "set_id"))
+    shares = named.groupBy("path", "root").agg(F.count("*").alias("share"))
+    top = shares.groupBy("path").agg(F.max_by("root", F.struct("share", "root")).alias("top"),
+                                     F.max("share").alias("share"))
+    named = named.join(top, "path").withColumn("branches", F.col("share") * 2 < F.col("n"))
+    named = write_and_reload(named.select(
+        "path", "set_id", "n_shingles", "root", "branches",
+        F.when(~F.col("branches") & (F.col("root") != F.col("top")), F.col("top")).alias("to"),
+        (F.col("root") == F.col("top")).alias("in_top")), "named")
+    rest = named.filter("branches or not in_top").select("path", "set_id", "n_shingles", "branches")
+    return rest, named.select("set_id", "root", "to")
+
+
+def _across(documents: DataFrame, nodes: DataFrame, large: DataFrame, across: DataFrame) -> DataFrame:
+    """Pairs that connect documents with the classes ``to`` of their tree nodes: each document is
+    compared with each member of the class, in blocks of both."""
+    ours = across.filter("to is not null").select("set_id", "to").distinct()
+    theirs = (across.select("set_id", F.col("root").alias("to")).distinct()
+              .join(ours.select("to").distinct(), "to", "left_semi"))
+    sizes = (ours.groupBy("to").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n0"))
+             .join(theirs.groupBy("to").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n1")), "to"))
+
+    def dealt(members: DataFrame, side: int, own: str, other: str) -> DataFrame:
+        mine = F.pmod(F.xxhash64("set_id"), F.col(own)).cast("int")
+        rows = members.join(sizes, "to").withColumn("mine", mine).withColumn(
+            "others", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+        blocks = ("mine", "others") if side == 0 else ("others", "mine")
+        return rows.select(F.xxhash64("to", *blocks).alias("path"), F.lit(side).alias("side"), "set_id")
+
+    pairs = write_and_reload(dealt(ours, 0, "n0", "n1").unionByName(dealt(theirs, 1, "n1", "n0")), "across")
+    return _compare(pairs.join(_sets(documents, nodes.join(pairs, "set_id", "left_semi")), "set_id"))
+
+
 def _leader_links(documents: DataFrame, large: DataFrame) -> DataFrame:
     """Links of large tree nodes' documents to the best of their nodes' leaders, ``LEADERS`` each
-    chosen by hash.  Just a head start: what it leaves unconnected branches on."""
+    chosen by hash.  Just a head start: nothing is left out for lack of such a link."""
     hashes = [F.xxhash64(F.lit(k), F.col("set_id")) for k in range(LEADERS)]
     chosen = large.groupBy("path").agg(*(
         F.min_by(F.struct("set_id", "tokens"), h).alias(f"l{k}") for k, h in enumerate(hashes)))
@@ -325,9 +368,9 @@ def _leader_links(documents: DataFrame, large: DataFrame) -> DataFrame:
 
     near = pairs.mapInArrow(run, "set_id long, to long, agree int")
     best = write_and_reload(near.groupBy("set_id").agg(F.max_by("to", F.struct("agree", "to")).alias("to")), "leaders")
-    ids = best.select("set_id").unionByName(best.select(F.col("to").alias("set_id"))).distinct()
-    needed = ids.join(large.select("set_id", "key", "tokens").dropDuplicates(["set_id"]), "set_id")
-    sets = _sets(documents, write_and_reload(needed, "needed"))
+    ids = best.select("set_id").unionByName(best.select(F.col("to").alias("set_id")))
+    sets = write_and_reload(_sets(documents, large.select("set_id", "key").dropDuplicates(["set_id"]).join(
+        ids, "set_id", "left_semi")), "sets")
     both = best.join(sets.select("set_id", "shingles"), "set_id").join(
         sets.select(F.col("set_id").alias("to"), F.col("shingles").alias("to_shingles")), "to")
 
@@ -341,17 +384,15 @@ def _leader_links(documents: DataFrame, large: DataFrame) -> DataFrame:
     return write_and_reload(both.select("set_id", "to", "shingles", "to_shingles").mapInArrow(confirm, "a long, b long"), "links")
 
 
-def _block_links(documents: DataFrame, large: DataFrame) -> DataFrame:
-    """Links inside tree nodes that stayed large: exhaustive over pairs of blocks of documents."""
-    size = large.groupBy("path").agg(F.count("*").alias("n"))
-    needed = large.select("set_id", "key", "tokens").dropDuplicates(["set_id"])
-    sets = _sets(documents, write_and_reload(needed, "needed"))
-    dealt = large.select("path", "set_id").join(size, "path").withColumn(
-        "blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn(
+def _block_links(documents: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
+    """Pairs that connect tree nodes which stayed large: exhaustive over pairs of blocks."""
+    size = rows.groupBy("path").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = rows.select("path", "set_id").join(size, "path").withColumn(
         "own", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
-    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+    pairs = write_and_reload(dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other")).alias("path"),
-        F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "set_id")
+        F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "set_id"), "blocks")
+    sets = _sets(documents, nodes.join(pairs, "set_id", "left_semi"))
     return write_and_reload(_compare(pairs.join(sets, "set_id")), "links")
 
 

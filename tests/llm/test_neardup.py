@@ -116,7 +116,7 @@ def test_survival_is_what_trees_do():
             q, _ = N.descend(start, np.zeros(1, np.int64), b, 4, 0.8)
             met += bool(set(p.tolist()) & set(q.tolist()))
     assert abs(met / trees - N.survival(0.8, 4)) < 0.04
-    assert N.trees_needed(0.8, 4, 0.9999) == int(np.ceil(np.log(1e-4) / np.log(1 - N.survival(0.8, 4))))
+    assert N.trees_needed(0.8, 4, 0.9999) == int(np.ceil(np.log(1 - 0.9999) / np.log(1 - N.survival(0.8, 4))))
 
 
 def test_tokens_agree_as_sets_do():
