@@ -7,6 +7,7 @@ whole-stage codegen; none of them is a Python UDF.
 from __future__ import annotations
 
 import re
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,11 +26,17 @@ def round_half_up(c: ColumnOrName) -> Column:
     ``Float.round``: 2.5 -> 3, -2.5 -> -2, 0.5 -> 1, -0.5 -> 0.  Spark's
     ``round`` rounds ties away from zero (-2.5 -> -3), so it is not used.
     ``floor(x) + (x - floor(x) >= 0.5)`` is exact for every double, unlike
-    ``floor(x + 0.5)``, which turns 0.49999999999999994 into 1.
+    ``floor(x + 0.5)``, which turns 0.49999999999999994 into 1.  NaN gives 0;
+    values beyond the int range, infinities too, give its nearest end.
     """
     x = _col(c)
+    wide = x.cast("double")
     base = F.floor(x)
-    return (base + F.when(x - base >= F.lit(0.5), F.lit(1)).otherwise(F.lit(0))).cast("int")
+    rounded = base + F.when(x - base >= F.lit(0.5), F.lit(1)).otherwise(F.lit(0))
+    return (F.when(F.isnan(wide), F.lit(0))
+             .when(wide >= F.lit(2147483647.0), F.lit(2147483647))
+             .when(wide <= F.lit(-2147483648.0), F.lit(-2147483648))
+             .otherwise(rounded).cast("int"))
 
 
 def floor_to(c: ColumnOrName, digits: int = 6) -> Column:
@@ -44,8 +51,12 @@ def floor_to(c: ColumnOrName, digits: int = 6) -> Column:
     fractional digits a double could floor, and are returned unchanged.
     """
     x = _col(c)
-    exact = F.floor(x.cast("string").cast("decimal(38,18)"), digits).cast("double")
-    return F.when(F.abs(x) < F.lit(1e15), exact).otherwise(x)
+    exact = F.floor(x.cast("string").cast("decimal(38,18)"), digits)
+    # More than 18 decimals are rounded by the cast, perhaps up past a step.
+    lower = (exact - F.lit(Decimal(1).scaleb(-digits))).cast("double")
+    exact = exact.cast("double")
+    return (F.when(F.isnan(x) | (F.abs(x) >= F.lit(1e15)), x)
+             .when(exact > x, lower).otherwise(exact))
 
 
 def format_key_value(key: ColumnOrName, value: ColumnOrName,
@@ -79,14 +90,14 @@ def starts_letter(c: ColumnOrName) -> Column:
 
 
 def full_match(c: ColumnOrName, pattern: str) -> Column:
-    """Whole-string regular-expression match (Pig ``MATCHES``)."""
-    return F.coalesce(_col(c).rlike(f"^(?:{pattern})$"), F.lit(False))
+    """Whole-string regular-expression match (Pig ``MATCHES``); null for null."""
+    return _col(c).rlike(f"^(?:{pattern})$")
 
 
 def block_index(i: ColumnOrName, size: int) -> Column:
     """Block number of a cell index: truncating integer division."""
     x = _col(i)
-    return ((x - x % F.lit(size)) / F.lit(size)).cast("int")
+    return F.call_function("div", x.cast("bigint"), F.lit(size).cast("bigint"))
 
 
 def block_offset(i: ColumnOrName, size: int) -> Column:

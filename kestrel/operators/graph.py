@@ -9,72 +9,77 @@ Distributed plan of one round:
   on ``src``; both are stored bucketed on the join key, so neither moves;
 * hot edges (sources with a huge out-degree) join a broadcast copy of the
   hot sources' labels, so a hot source's edges are never funnelled into
-  one task.  The number of hot sources is at most ``|E| / threshold``,
-  which is the proven bound on what is broadcast;
-* messages are reduced with ``min`` per target, combined map-side first,
-  so a target with a huge in-degree sends one row per task to the shuffle.
-
-The edges and the labels of every round are written as tables in the
-checkpoint folder (``spark.checkpoint.dir``): that cuts the lineage, so a
-lost executor costs at most one round's recomputation.
+  one task.  A source is hot once it outweighs a bucket, so there are at
+  most ``MAX_BUCKETS`` of them: the proven bound on what is broadcast;
+* messages alone are reduced with ``min`` per target, combined map-side
+  first, so a target with a huge in-degree sends one row per task to the
+  shuffle.  The reduction has as many partitions as there are buckets, and
+  its result meets the bucketed labels where they lie: labels never move.
+
+The edges and the labels of every round are written as tables of a
+database of the run, in the checkpoint folder (``spark.checkpoint.dir``):
+that cuts the lineage, so a lost executor costs at most one round's
+recomputation.  A round's tables are dropped once the next is written, and
+the database once the result is.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.operators.grouping import count_by_key
-from kestrel.plans.materialize import write_and_reload, write_bucketed_and_reload
+from kestrel.plans.materialize import RunTables, write_and_reload
 from kestrel.sources.adjacency import Graph
 
 # A source whose out-degree reaches this many edges is treated as hot
 # regardless of the graph size.
 DEFAULT_MIN_HOT_DEGREE = 100_000
+# Spark writes no table of more buckets than this.
+MAX_BUCKETS = 100_000
 # At most this many sources are ever treated as hot (and broadcast).
-DEFAULT_MAX_HOT_SOURCES = 10_000
+DEFAULT_MAX_HOT_SOURCES = MAX_BUCKETS
 # Target size of one bucket of the written edge table (two longs per edge).
 EDGES_PER_BUCKET = 16_000_000
 
 
-def _cut(df: DataFrame, name: str) -> DataFrame:
-    """Materialise ``df`` as a written table in the checkpoint folder."""
-    return write_and_reload(df, name)
-
-
-def split_hot_sources(edges: DataFrame, min_hot_degree: int = DEFAULT_MIN_HOT_DEGREE,
-                      max_hot_sources: int = DEFAULT_MAX_HOT_SOURCES
-                      ) -> tuple[DataFrame, DataFrame, DataFrame | None, int]:
-    """Split edges into (light, hot, hot source ids, |E|).
+def hot_sources(pairs: DataFrame, min_hot_degree: int, max_hot_sources: int,
+                tables: RunTables) -> tuple[DataFrame | None, int]:
+    """(ids of the hot sources, |E|) of ``pairs(src, dst)``.
 
     The threshold is ``max(min_hot_degree, ceil(|E| / max_hot_sources))``;
     since out-degrees add up to ``|E|``, at most ``max_hot_sources`` sources
     can reach it.  One aggregation over the out-degrees gives both |E| and
     the largest degree; when no source reaches the threshold nothing more
-    is computed and ``hot`` is ``None``.
+    is computed and the ids are ``None``.
     """
-    degrees = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
+    degrees = pairs.groupBy("src").agg(F.count("dst").alias("_deg"))
     total, largest = degrees.agg(F.sum("_deg"), F.max("_deg")).first()
     total, largest = total or 0, largest or 0
     threshold = max(min_hot_degree, -(-total // max_hot_sources), 1)
     if largest < threshold:
-        return edges, edges.limit(0), None, total
-    hot_ids = _cut(degrees.where(F.col("_deg") >= F.lit(threshold)).select("src"), "hot-src")
-    light = edges.join(F.broadcast(hot_ids), "src", "left_anti")
-    hot = edges.join(F.broadcast(hot_ids), "src", "left_semi")
-    return light, hot, hot_ids, total
+        return None, total
+    return tables.write(degrees.where(F.col("_deg") >= F.lit(threshold)).select("src"), "hot_src"), total
 
 
-def _partitions(spark) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def bucket_count(spark: SparkSession, edges: int, per_bucket: int = EDGES_PER_BUCKET) -> int:
+    """Buckets for the edge and label tables: about ``per_bucket`` edges
+    each, a multiple of the shuffle partitions, at most ``MAX_BUCKETS``."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(parts * max(1, -(-edges // (per_bucket * parts))), MAX_BUCKETS)
 
 
-def bucket_count(spark, edges: int, per_bucket: int = EDGES_PER_BUCKET) -> int:
-    """Buckets for the edge and label tables: about ``per_bucket`` edges
-    each, and a multiple of the shuffle partitions, so each aggregation
-    task writes whole buckets (one file per bucket in total)."""
-    parts = _partitions(spark)
-    return parts * max(1, -(-edges // (per_bucket * parts)))
+@contextmanager
+def _shuffle_partitions(spark: SparkSession, n: int):
+    """While inside, shuffles of this session have ``n`` partitions."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", n)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def propagate_min(graph: Graph, rounds: int = 5, implicit_vertices: bool = True, *,
@@ -96,60 +101,74 @@ def propagate_min(graph: Graph, rounds: int = 5, implicit_vertices: bool = True,
 
     Layout: the light edges are written once as a table bucketed by
     ``src``; the labels of every round are written bucketed by ``id`` with
-    the same bucket count.  Each round's join (a hash join built on the
-    labels bucket) then reads both sides already co-partitioned: the edges
-    never move again, and only the (map-side combined) messages are
-    shuffled.
+    the same bucket count.  Each round's joins read them where they lie:
+    edges and labels never move again, and only the (map-side combined)
+    messages are shuffled.
+
+    Rounds run when this function is called; the labels returned are read
+    from a written table.
     """
     if rounds < 0:
         raise ValueError("rounds must be >= 0")
     spark = graph.pairs.sparkSession
-    # One pass over the input: heads and edges both come from ``pairs``.
-    pairs = _cut(graph.pairs.select(F.col("src").cast("bigint"), F.col("dst").cast("bigint")),
-                 "pairs")
-    heads = pairs.select(F.col("src").alias("id"))
-    edges = pairs.where(F.col("dst").isNotNull())
-    if not implicit_vertices:
-        edges = edges.join(heads.select(F.col("id").alias("dst")).distinct(), "dst", "left_semi")
-        edges = _cut(edges.select("src", "dst"), "edges")
-    light, hot, hot_ids, total = split_hot_sources(edges, min_hot_degree, max_hot_sources)
-    buckets = bucket_count(spark, total)
-    # No source in ``light`` reaches the hot threshold, so bucketing by src
-    # is balanced; repeated edges are dropped on the way.
-    # Hash-partitioned by src into exactly one task per bucket: each task
-    # writes one bucket file, and the de-duplication needs no other shuffle.
-    light = write_bucketed_and_reload(
-        light.repartition(buckets, "src").dropDuplicates(["src", "dst"]),
-        "light-edges", buckets, "src", sort=False)
-    if hot_ids is not None:
-        hot = _cut(hot.dropDuplicates(["src", "dst"]), "hot-edges")
-
-    # Semi-naive rounds: only labels that dropped in the previous round
-    # (the frontier) are sent along the edges.  Min-labels never rise, so a
-    # vertex whose in-neighbours kept their labels cannot change.
-    # Round 1 starts from the distinct heads (own id as label, all in the
-    # frontier); they are hash-partitioned by id like the edge buckets, so
-    # even this first join moves no edge.
-    labels = heads.distinct().select("id", F.col("id").alias("grp"), F.lit(True).alias("changed"))
-    for r in range(rounds):
-        frontier = labels.where(F.col("changed")).select(F.col("id").alias("src"), F.col("grp"))
-        msgs = (light.join(frontier.hint("shuffle_hash"), "src")
-                .select(F.col("dst").alias("id"), "grp", F.lit(False).alias("own")))
+    with RunTables(spark, "graph") as tables:
+        # One pass over the input: heads and edges both come from ``pairs``.
+        pairs = tables.write(graph.pairs.select(F.col("src").cast("bigint"), F.col("dst").cast("bigint")), "pairs")
+        if not implicit_vertices:
+            heads = pairs.select(F.col("src").alias("dst")).distinct()
+            known = pairs.where(F.col("dst").isNotNull()).join(heads, "dst", "left_semi").select("src", "dst")
+            pairs = tables.write(known.unionByName(heads.select(
+                F.col("dst").alias("src"), F.lit(None).cast("bigint").alias("dst"))), "known")
+        hot_ids, total = hot_sources(pairs, min_hot_degree, max_hot_sources, tables)
+        buckets = bucket_count(spark, total)
+        # A row with a null ``dst`` makes its source a head; a hot source
+        # leaves just that in the bucketed table.  No source there outweighs
+        # a bucket, so bucketing by src is balanced; repeated edges are
+        # dropped on the way, in the shuffle that deals out the buckets.
+        light, hot = pairs, None
         if hot_ids is not None:
-            hot_frontier = frontier.join(F.broadcast(hot_ids), "src", "left_semi")
-            msgs = msgs.unionByName(
-                hot.join(F.broadcast(hot_frontier), "src")
-                   .select(F.col("dst").alias("id"), "grp", F.lit(False).alias("own")))
-        current = labels.select("id", "grp", F.lit(True).alias("own"))
-        new = (msgs.unionByName(current).groupBy("id")
-               .agg(F.min("grp").alias("grp"),
-                    F.min(F.when(F.col("own"), F.col("grp"))).alias("_old")))
-        new = new.select("id", "grp",
-                         (F.col("_old").isNull() | (F.col("grp") < F.col("_old"))).alias("changed"))
-        if on_round is not None:
-            on_round(r + 1, new)
-        labels = write_bucketed_and_reload(new, f"labels-{r + 1}", buckets, "id", sort=False)
-    return labels.select("id", "grp")
+            light = (pairs.join(F.broadcast(hot_ids), "src", "left_anti")
+                     .unionByName(hot_ids.select("src", F.lit(None).cast("bigint").alias("dst"))))
+            hot = tables.write(pairs.where(F.col("dst").isNotNull()).join(F.broadcast(hot_ids), "src", "left_semi")
+                               .dropDuplicates(["src", "dst"]), "hot_edges")
+        light = tables.write_bucketed(light.repartition(buckets, "src").dropDuplicates(["src", "dst"]),
+                                      "light_edges", buckets, "src")
+        tables.drop("pairs", "known")
+
+        # Semi-naive rounds: only labels that dropped in the previous round
+        # (the frontier) are sent along the edges.  Min-labels never rise, so
+        # a vertex whose in-neighbours kept their labels cannot change.
+        # Round 1 starts from the distinct heads (own id as label, all in the
+        # frontier), which lie in the buckets of the edges.
+        labels = light.select(F.col("src").alias("id")).distinct().select(
+            "id", F.col("id").alias("grp"), F.lit(True).alias("changed"))
+        with _shuffle_partitions(spark, buckets):
+            for r in range(1, rounds + 1):
+                new = _round(labels, light, hot, hot_ids, implicit_vertices)
+                if on_round is not None:
+                    on_round(r, new)
+                if r < rounds:
+                    labels = tables.write_bucketed(new, f"labels_{r}", buckets, "id")
+                    tables.drop(f"labels_{r - 1}")
+                else:
+                    labels = new
+            return write_and_reload(labels.select("id", "grp"), "labels")
+
+
+def _round(labels: DataFrame, light: DataFrame, hot: DataFrame | None, hot_ids: DataFrame | None,
+           implicit_vertices: bool) -> DataFrame:
+    """``(id, grp, changed)`` after one more round."""
+    frontier = labels.where(F.col("changed")).select(F.col("id").alias("src"), F.col("grp"))
+    msgs = (light.where(F.col("dst").isNotNull()).join(frontier.hint("shuffle_hash"), "src")
+            .select(F.col("dst").alias("id"), "grp"))
+    if hot_ids is not None:
+        hot_frontier = frontier.join(F.broadcast(hot_ids), "src", "left_semi")
+        msgs = msgs.unionByName(hot.join(F.broadcast(hot_frontier), "src").select(F.col("dst").alias("id"), "grp"))
+    best = msgs.groupBy("id").agg(F.min("grp").alias("_best"))
+    joined = labels.select("id", "grp").join(best.hint("shuffle_hash"), "id",
+                                             "full_outer" if implicit_vertices else "left")
+    return joined.select("id", F.least("grp", "_best").alias("grp"),
+                         (F.col("grp").isNull() | F.coalesce(F.col("_best") < F.col("grp"), F.lit(False))).alias("changed"))
 
 
 def component_sizes(labels: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from typing import Literal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.functions.fence import evaluate_once
 from kestrel.functions.scalar import floor_to, round_half_up
 
 ValueType = Literal["double", "float", "as_is"]
@@ -71,7 +72,8 @@ def bucket_mean(df: DataFrame, key: Column | str, value: Column | str, *,
     elif value_type == "double":
         v = v.cast("double")
 
-    rows = df.select(k.alias(key_name), v.alias("_v"))
+    # The key is computed once: the bounds below test its value.
+    rows = evaluate_once(df.select(k.alias(key_name), v.alias("_v")))
     if min_key is not None:
         rows = rows.where(F.col(key_name) >= F.lit(min_key))
     if max_key is not None:

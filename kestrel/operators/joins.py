@@ -1,10 +1,11 @@
 """Equi-joins of keyed record sets.
 
-Strategy: let Catalyst choose.  A side is broadcast only after a bounded
-check proves it small (``broadcast_if_small``); otherwise Spark shuffles
-both sides on the key, and AQE turns the join into a broadcast join at
-runtime when a side is measured small, or splits a skewed key's partition
-over several tasks (``spark.sql.adaptive.skewJoin.enabled``).
+Strategy: let Catalyst choose by size.  A side whose scan statistics lie
+below ``spark.sql.autoBroadcastJoinThreshold`` is broadcast, and the other
+side never moves.  Beyond it Spark shuffles both sides on the key, and AQE
+turns the join into a broadcast join at runtime when a side is measured
+small, or splits a skewed key's partition over several tasks
+(``spark.sql.adaptive.skewJoin.enabled``).
 """
 
 from __future__ import annotations
@@ -15,34 +16,8 @@ from pyspark.sql import functions as F
 from kestrel.functions.scalar import pair_text
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``limit(max_rows + 1).count()`` stops once the bound is exceeded, so
-    the check costs at most ``max_rows + 1`` rows, never a full count of a
-    large input.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Mark ``df`` for broadcast only when it provably has few rows.
-
-    Beyond the bound the DataFrame is returned unchanged and the join
-    falls back to a shuffle join.
-    """
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
-def equi_join(left: DataFrame, right: DataFrame, on: str | list[str],
-              how: str = "inner", broadcast_right_max_rows: int | None = None) -> DataFrame:
-    """Join on equal key columns (N x M rows within a key).
-
-    ``broadcast_right_max_rows`` broadcasts ``right`` when it has at most
-    that many rows (checked); otherwise the plan is left to Catalyst/AQE.
-    """
-    if broadcast_right_max_rows is not None:
-        right = broadcast_if_small(right, broadcast_right_max_rows)
+def equi_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """Join on equal key columns (N x M rows within a key)."""
     return left.join(right, on=on, how=how)
 
 
@@ -50,8 +25,7 @@ def equi_join_pairs(left: DataFrame, right: DataFrame, *,
                     left_key: str, right_key: str,
                     left_value: Column | str, right_value: Column | str,
                     keep_key: bool = True, sep: str = " ",
-                    key_name: str = "dno", pair_name: str = "pair",
-                    broadcast_right_max_rows: int | None = None) -> DataFrame:
+                    key_name: str = "dno", pair_name: str = "pair") -> DataFrame:
     """Inner join that emits ``"<left value><sep><right value>"`` per match.
 
     With ``keep_key`` the join key is kept as a first column (keyed text
@@ -62,6 +36,6 @@ def equi_join_pairs(left: DataFrame, right: DataFrame, *,
     rv = F.col(right_value) if isinstance(right_value, str) else right_value
     l_side = left.select(F.col(left_key).alias(key_name), lv.alias("_l"))
     r_side = right.select(F.col(right_key).alias(key_name), rv.alias("_r"))
-    joined = equi_join(l_side, r_side, key_name, "inner", broadcast_right_max_rows)
+    joined = equi_join(l_side, r_side, key_name, "inner")
     cols = ([F.col(key_name)] if keep_key else []) + [pair_text("_l", "_r", sep).alias(pair_name)]
     return joined.select(*cols)

@@ -15,7 +15,13 @@ from kestrel.functions.scalar import pair_text, tab_line
 from kestrel.operators.graph import component_sizes, propagate_min
 from kestrel.operators.grouping import mean_by_key
 from kestrel.operators.joins import equi_join_pairs
-from kestrel.operators.matrix import add_matrices_text, keyed_block_text, pick_block
+from kestrel.operators.matrix import (
+    Duplicates,
+    add_matrices_text,
+    cells_of_block,
+    keyed_block_text,
+    tuple_block_text,
+)
 from kestrel.plans.trip import trip_means_mapreduce, trip_means_pig, trip_means_sql
 from kestrel.sources.adjacency import read_adjacency
 from kestrel.sources.coo import read_coo
@@ -42,7 +48,7 @@ def trip_job(spark: SparkSession, inputs: str | list[str], output: str | None =
     elif dialect == "pig":
         out = trip_means_pig(lines).select(tab_line("distance", "mean").alias("value"))
     elif dialect == "sql":
-        out = trip_means_sql(spark, lines, min_count=min_count, with_line=True).select(
+        out = trip_means_sql(lines, min_count=min_count, with_line=True).select(
             F.col("line").alias("value"))
     else:
         raise ValueError(f"unknown dialect {dialect!r}")
@@ -51,8 +57,8 @@ def trip_job(spark: SparkSession, inputs: str | list[str], output: str | None =
 
 def simple_mean_job(spark: SparkSession, inputs: str | list[str],
                     output: str | None = None) -> DataFrame:
-    """``key \\t mean`` of ``int,double`` lines (fail-fast parse)."""
-    parsed = parse_delimited(read_lines(spark, inputs), "k int, v double", on_error="fail")
+    """``key \\t mean`` of ``bigint,double`` lines (fail-fast parse)."""
+    parsed = parse_delimited(read_lines(spark, inputs), "k bigint, v double", on_error="fail")
     means = mean_by_key(parsed, "k", "v").orderBy("key")
     return _emit(means.select(tab_line("key", "mean").alias("value")), output)
 
@@ -63,9 +69,9 @@ def join_job(spark: SparkSession, employees: str, departments: str, output: str
 
     ``keyed``: ``dno \\t ename dname`` lines; otherwise ``ename dname``.
     """
-    emp = parse_delimited(read_lines(spark, employees), "name string, dno int, address string",
+    emp = parse_delimited(read_lines(spark, employees), "name string, dno bigint, address string",
                           on_error="fail")
-    dept = parse_delimited(read_lines(spark, departments), "name string, dno int", on_error="fail")
+    dept = parse_delimited(read_lines(spark, departments), "name string, dno bigint", on_error="fail")
     pairs = equi_join_pairs(emp, dept, left_key="dno", right_key="dno", left_value="name",
                             right_value="name", keep_key=keyed)
     out = (pairs.select(tab_line("dno", "pair").alias("value")) if keyed
@@ -75,14 +81,21 @@ def join_job(spark: SparkSession, employees: str, departments: str, output: str
 
 def add_job(spark: SparkSession, m_path: str, n_path: str, rows: int, cols: int,
             output: str | None = None, how: str = "outer", cell_fmt: str = "\t%.3f",
-            only_block: tuple[int, int] | None = None) -> DataFrame:
+            only_block: tuple[int, int] | None = None, duplicates: Duplicates = "error",
+            tuple_text: bool = False) -> DataFrame:
     """Block sum of two ``i,j,v`` matrices: ``bi \\t bj \\t <block text>``
-    per block, ordered by (bi, bj); ``only_block`` keeps one block."""
+    per block, ordered by (bi, bj).
+
+    only_block  keep one block: cells of others are left out as they are read.
+    duplicates  what a cell given twice in one matrix does (``error``, ``sum``
+                or ``max``).
+    tuple_text  ``((bi,bj),<block text>)`` instead of tab-separated text.
+    """
     m, n = read_coo(read_lines(spark, m_path)), read_coo(read_lines(spark, n_path))
-    text = add_matrices_text(m, n, rows, cols, how, cell_fmt)
     if only_block is not None:
-        text = pick_block(text, *only_block)
-    return _emit(keyed_block_text(text.orderBy("bi", "bj")), output)
+        m, n = (cells_of_block(x, *only_block, rows, cols) for x in (m, n))
+    text = add_matrices_text(m, n, rows, cols, how, cell_fmt, duplicates=duplicates, ordered=True)
+    return _emit(tuple_block_text(text) if tuple_text else keyed_block_text(text), output)
 
 
 def graph_job(spark: SparkSession, inputs: str | list[str], output: str | None = None,

@@ -7,7 +7,7 @@ came before.  The folder comes from ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from kestrel.session import scratch_path
 
@@ -28,22 +28,40 @@ def write_text_and_reload(lines: DataFrame, name: str = "text") -> DataFrame:
     return spark.read.text(path)
 
 
-def write_bucketed_and_reload(df: DataFrame, name: str, buckets: int, key: str,
-                              sort: bool = True) -> DataFrame:
-    """Write ``df`` as a table bucketed (and sorted) by ``key`` under the
-    checkpoint folder, and read it back.
+class RunTables:
+    """Tables of one run, in a database of its own under the checkpoint folder.
 
-    A bucketed read is hash-partitioned by ``key`` into ``buckets``
-    partitions: two tables bucketed the same way on their join keys are
-    joined without moving either side, and a sorted bucket needs no sort
-    before a merge join.
+    Tables are managed, so dropping one removes its files; leaving the
+    ``with`` block drops the database.  A bucketed table is read
+    hash-partitioned by its key: two tables bucketed alike on their join
+    keys are joined without moving either side.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    table = "kestrel_" + path.rsplit("-", 1)[-1]
-    writer = df.write.mode("errorifexists").format("parquet").option("path", path)
-    writer = writer.bucketBy(buckets, key)
-    if sort:
-        writer = writer.sortBy(key)
-    writer.saveAsTable(table)
-    return spark.read.table(table)
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        path = scratch_path(spark, name)
+        self.database = "kestrel_" + path.rsplit("-", 1)[-1]
+        self.path = path
+
+    def __enter__(self) -> RunTables:
+        self.spark.sql(f"CREATE DATABASE {self.database} LOCATION '{self.path}'")
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.spark.sql(f"DROP DATABASE IF EXISTS {self.database} CASCADE")
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` as table ``name`` and read it back."""
+        df.write.mode("errorifexists").format("parquet").saveAsTable(f"{self.database}.{name}")
+        return self.spark.read.table(f"{self.database}.{name}")
+
+    def write_bucketed(self, df: DataFrame, name: str, buckets: int, key: str) -> DataFrame:
+        """``write`` in ``buckets`` buckets of ``key``."""
+        (df.write.mode("errorifexists").format("parquet").bucketBy(buckets, key)
+         .saveAsTable(f"{self.database}.{name}"))
+        return self.spark.read.table(f"{self.database}.{name}")
+
+    def drop(self, *names: str) -> None:
+        """Drop those of the tables that exist."""
+        for name in names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.database}.{name}")

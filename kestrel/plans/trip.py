@@ -16,21 +16,27 @@ sql        field 4 letter   drop row    d < 200      last fld   none
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from kestrel.functions.scalar import format_key_value, round_half_up
+from kestrel.functions.scalar import format_key_value
 from kestrel.operators.grouping import bucket_mean
-from kestrel.plans.sql import run_sql
 from kestrel.sources.delimited import HeaderRule, parse_delimited
 
 # Fixed values of the trip input layout.
+TRIP_FIELDS = 19
 DISTANCE_FIELD = 4
 AMOUNT_FIELD = 18
 HEADER_PATTERN = ".*VendorID.*"
 MAX_DISTANCE = 200
 
 
+def trip_schema(types: dict[int, str] | None = None) -> str:
+    """The whole record: ``f0 .. f18``, strings unless ``types`` (by
+    position) says otherwise; the distance and the amount are doubles."""
+    given = {DISTANCE_FIELD: "double", AMOUNT_FIELD: "double"} | (types or {})
+    return ", ".join(f"f{k} {given.get(k, 'string')}" for k in range(TRIP_FIELDS))
+
+
 def trip_means_mapreduce(lines: DataFrame, *, distance_field: int = DISTANCE_FIELD,
                          amount_type: str = "double", min_key: int | None = 0,
                          max_key: int | None = MAX_DISTANCE) -> DataFrame:
@@ -67,44 +73,23 @@ def trip_means_pig(lines: DataFrame, *, distance_field: int = DISTANCE_FIELD,
                        key_name="distance", mean_name="mean")
 
 
-TRIP_SQL = """
-SELECT ROUND(distance) AS distance, AVG(amount) AS avg
-FROM {trip_data}
-WHERE distance < :max_key
-GROUP BY distance
-HAVING COUNT(*) >= :min_count
-ORDER BY distance
-"""
-
-
-def trip_records_sql(lines: DataFrame, *, distance_field: int = DISTANCE_FIELD,
-                     amount_type: str = "float") -> DataFrame:
-    """``(distance int, amount float)`` records of the SQL dialect.
+def trip_means_sql(lines: DataFrame, *, distance_field: int = DISTANCE_FIELD, amount_type: str = "float",
+                   max_key: int = MAX_DISTANCE, min_count: int = 1, with_line: bool = False) -> DataFrame:
+    """``(distance int, avg double[, line string])``, single-precision input.
 
     Header: first character of the distance field is a letter.  A row whose
     numbers do not convert is dropped; a row too short to have a distance
-    field fails the job.
+    field fails the job.  ``min_count`` keeps only distances with at least
+    that many rows (1 keeps all).  ``with_line`` adds the ``%3d\\t%3.3f``
+    text of each row.
     """
     parsed = parse_delimited(
         lines, f"distance float, amount {amount_type}",
         header=HeaderRule("letter", distance_field),
         positions={"distance": distance_field, "amount": -1},
         java_split=True, on_error="drop", on_short="fail")
-    return parsed.select(round_half_up("distance").alias("distance"), "amount")
-
-
-def trip_means_sql(spark: SparkSession, lines: DataFrame, *,
-                   distance_field: int = DISTANCE_FIELD, amount_type: str = "float",
-                   max_key: int = MAX_DISTANCE, min_count: int = 1,
-                   with_line: bool = False) -> DataFrame:
-    """``(distance int, avg double[, line string])`` through ``spark.sql``.
-
-    ``min_count`` keeps only distances with at least that many rows
-    (1 keeps all).  ``with_line`` adds the ``%3d\\t%3.3f`` text of each row.
-    """
-    records = trip_records_sql(lines, distance_field=distance_field, amount_type=amount_type)
-    out = run_sql(spark, TRIP_SQL, args={"max_key": max_key, "min_count": min_count},
-                  trip_data=records)
+    out = bucket_mean(parsed, "distance", "amount", max_key=max_key, min_count=min_count,
+                      key_name="distance", mean_name="avg")
     if with_line:
-        out = out.withColumn("line", format_key_value(F.col("distance"), F.col("avg")))
+        out = out.withColumn("line", format_key_value("distance", "avg"))
     return out

@@ -1,7 +1,8 @@
 """The registered queries over the driver's tables, each with its DuckDB SQL.
 
 Every query reads whole tables (or text lines Spark renders from them) and
-returns a lazy DataFrame.  The SQL next to each one computes the same
+returns a DataFrame.  Graph queries and ``materialise_roundtrip`` run and
+write while they are called; the others are lazy.  The SQL next to each one computes the same
 result in DuckDB over the same parquet files; column names match.
 
 Exactness: money columns are summed as decimals, so a mean is
@@ -14,10 +15,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kestrel.functions.scalar import format_key_value, round_half_up
+from kestrel.functions.scalar import block_index, format_key_value, round_half_up
 from kestrel.operators.graph import component_sizes, propagate_min
 from kestrel.operators.grouping import bucket_mean, mean_by_key
 from kestrel.operators.joins import equi_join_pairs
@@ -27,10 +28,11 @@ from kestrel.operators.matrix import (
     add_matrices_text,
     block_coords,
     cells,
+    cells_of_block,
     coo_to_block_text,
+    coo_to_blocks,
     dedupe_cells,
     keyed_block_text,
-    pick_block,
 )
 from kestrel.operators.setops import union_tagged
 from kestrel.plans.materialize import write_and_reload, write_text_and_reload
@@ -40,6 +42,7 @@ from kestrel.sources.adjacency import adjacency_rows, read_adjacency
 from kestrel.sources.coo import read_coo
 from kestrel.sources.delimited import HeaderRule, parse_delimited
 from kestrel.sources.tables import fact_table, table
+from kestrel.sources.text import render_lines
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -152,6 +155,19 @@ def q_bucket_mean_min_count(spark, sf):
                        min_count=3)
 
 
+@register("bucket_mean_rare", "FIL-7 PRJ-22 AGG-1 (most groups are too small)", f"""
+SELECT distance, {_mean('v')} AS mean, count(*) AS n
+FROM (SELECT {_rhu('o_totalprice / 10')} AS distance,
+             CAST(CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice END AS DECIMAL(12,2)) AS v FROM orders)
+GROUP BY distance
+HAVING count(*) >= 2
+""")
+def q_bucket_mean_rare(spark, sf):
+    # a group may hold nulls only: its mean is null
+    value = F.when(F.col("o_orderkey") % 2 == 0, F.col("o_totalprice")).cast("decimal(12,2)")
+    return bucket_mean(table(spark, sf, "orders"), F.col("o_totalprice") / 10, value, min_count=2, count_name="n")
+
+
 @register("fmt_kv", "PRJ-7 SNK-8", f"""
 SELECT distance, printf('%3d\t%3.3f', distance,
        round(CAST(CAST(mean AS VARCHAR) AS DECIMAL(38,18)), 3)) AS line
@@ -188,20 +204,30 @@ def q_sql_bucket_mean(spark, sf):
     keyed = li.select(round_half_up(F.col("l_extendedprice") / 500).alias("distance"),
                       _revenue().alias("v"))
     return run_sql(spark, """
-        SELECT ROUND(distance) AS distance,
-               CAST(SUM(v) AS DOUBLE) / COUNT(v) AS mean
-        FROM {rows}
-        WHERE distance >= :lo AND distance < :hi
-        GROUP BY distance
-        ORDER BY distance""", args={"lo": 0, "hi": 200}, rows=keyed)
+        WITH kept AS (SELECT * FROM {rows} WHERE distance BETWEEN :first AND :last)
+        SELECT distance, TRY_DIVIDE(CAST(SUM(v) AS DOUBLE), COUNT(v)) AS mean
+        FROM kept GROUP BY ALL ORDER BY 1""", args={"first": 0, "last": 199}, rows=keyed)
+
+
+@register("sql_size_classes", "SQL-1 SQL-2 SQL-4 PRJ-5 (ROUND of a whole number)", """
+SELECT CAST(round(n, -1) AS BIGINT) AS size_class, count(*) AS customers, max(n) AS largest
+FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey)
+GROUP BY 1 HAVING count(*) >= 2
+""")
+def q_sql_size_classes(spark, sf):
+    return run_sql(spark, """
+        WITH per_customer AS (SELECT o_custkey, COUNT(*) AS n FROM {placed} GROUP BY o_custkey)
+        SELECT ROUND(n, -1) AS size_class, COUNT(*) AS customers, MAX(n) AS largest
+        FROM per_customer GROUP BY 1 HAVING customers >= :least""",
+                   args={"least": 2}, placed=table(spark, sf, "orders"))
 
 
 @register("simple_mean", "AGG-1 SRC-5 PRJ-12", f"""
-SELECT CAST(user_id AS INTEGER) AS key, {_mean('CAST(value AS DECIMAL(12,2))')} AS mean
+SELECT CAST(user_id AS BIGINT) AS key, {_mean('CAST(value AS DECIMAL(12,2))')} AS mean
 FROM events GROUP BY 1
 """)
 def q_simple_mean(spark, sf):
-    parsed = parse_delimited(_event_lines(spark, sf), "k int, v decimal(12,2)", on_error="fail")
+    parsed = parse_delimited(_event_lines(spark, sf), "k bigint, v decimal(12,2)", on_error="fail")
     return mean_by_key(parsed, "k", "v", key_name="key", mean_name="mean")
 
 
@@ -242,52 +268,52 @@ def _event_lines(spark, sf, corrupt: bool = False, header: str | None = None) ->
     return lines
 
 
-_PARSED_CLEAN = "SELECT CAST(user_id AS INTEGER) AS k, value AS v FROM events"
+_PARSED_CLEAN = "SELECT CAST(user_id AS BIGINT) AS k, value AS v FROM events"
 
 
 @register("parse_fail_fast", "SRC-5 PRJ-11 PRJ-12", _PARSED_CLEAN)
 def q_parse_fail_fast(spark, sf):
-    return parse_delimited(_event_lines(spark, sf), "k int, v double", on_error="fail")
+    return parse_delimited(_event_lines(spark, sf), "k bigint, v double", on_error="fail")
 
 
 @register("parse_drop", "SRC-6 PRJ-2", """
-SELECT CAST(user_id AS INTEGER) AS k, value AS v FROM events
+SELECT CAST(user_id AS BIGINT) AS k, value AS v FROM events
 WHERE event_type NOT IN ('error', 'signup')
 """)
 def q_parse_drop(spark, sf):
-    return parse_delimited(_event_lines(spark, sf, corrupt=True), "k int, v double",
+    return parse_delimited(_event_lines(spark, sf, corrupt=True), "k bigint, v double",
                            on_error="drop")
 
 
 @register("parse_null", "SRC-7 SRC-2", """
-SELECT CAST(user_id AS INTEGER) AS k,
+SELECT CAST(user_id AS BIGINT) AS k,
        CASE WHEN event_type IN ('error', 'signup') THEN NULL ELSE value END AS v
 FROM events
 """)
 def q_parse_null(spark, sf):
-    return parse_delimited(_event_lines(spark, sf, corrupt=True), "k int, v double",
+    return parse_delimited(_event_lines(spark, sf, corrupt=True), "k bigint, v double",
                            on_error="null")
 
 
 @register("sum_count_ratio", "AGG-2 SRC-7 FIL-5", f"""
-SELECT CAST(user_id AS INTEGER) AS key,
+SELECT CAST(user_id AS BIGINT) AS key,
        {_mean("CASE WHEN event_type IN ('error', 'signup') THEN NULL ELSE CAST(value AS DECIMAL(12,2)) END")} AS mean
 FROM events GROUP BY 1
 """)
 def q_sum_count_ratio(spark, sf):
-    parsed = parse_delimited(_event_lines(spark, sf, corrupt=True), "k int, v decimal(12,2)",
+    parsed = parse_delimited(_event_lines(spark, sf, corrupt=True), "k bigint, v decimal(12,2)",
                              on_error="null")
     return mean_by_key(parsed, "k", "v", key_name="key", mean_name="mean")
 
 
 _HEADER_MEANS = f"""
-SELECT CAST(user_id AS INTEGER) AS key, {_mean('CAST(value AS DECIMAL(12,2))')} AS mean
+SELECT CAST(user_id AS BIGINT) AS key, {_mean('CAST(value AS DECIMAL(12,2))')} AS mean
 FROM events GROUP BY 1
 """
 
 
 def _header_means(spark, sf, rule: HeaderRule, header: str):
-    parsed = parse_delimited(_event_lines(spark, sf, header=header), "k int, v decimal(12,2)",
+    parsed = parse_delimited(_event_lines(spark, sf, header=header), "k bigint, v decimal(12,2)",
                              header=rule, on_error="fail")
     return mean_by_key(parsed, "k", "v", key_name="key", mean_name="mean")
 
@@ -314,16 +340,13 @@ TRIP_HEADER = "orderkey,partkey,suppkey,linenumber,distance,returnflag,linestatu
 
 
 def trip_lines(spark, sf) -> DataFrame:
-    """Ten-field lines: distance in field 4, amount last (field 9), one header.
-
-    Rendering and parsing are per-row heavy, so the scan is spread first.
-    """
+    """Ten-field lines: distance in field 4, amount last (field 9), one header."""
     li = fact_table(spark, sf, "lineitem")
     fields = [F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber"),
               (F.col("l_quantity") - 10) * 2.5, F.col("l_returnflag"), F.col("l_linestatus"),
               F.col("l_shipdate").cast("string"), F.col("l_discount"),
               F.col("l_extendedprice")]
-    body = li.select(F.concat_ws(",", *[f.cast("string") for f in fields]).alias("value"))
+    body = render_lines(li, fields)
     head = spark.range(1).select(F.lit(TRIP_HEADER).alias("value"))
     return head.unionByName(body)
 
@@ -362,7 +385,7 @@ FROM (SELECT distance, avg(v) AS avg
       GROUP BY distance)
 """)
 def q_trip_sql(spark, sf):
-    return trip_means_sql(spark, trip_lines(spark, sf), with_line=True)
+    return trip_means_sql(trip_lines(spark, sf), with_line=True)
 
 
 @register("trip_sql_min_count", "FIL-7 SRC-6 SRC-9 AGG-3 SQL-3", f"""
@@ -375,7 +398,107 @@ FROM (SELECT distance, avg(v) AS avg, count(*) AS n
 WHERE n >= 3
 """)
 def q_trip_sql_min_count(spark, sf):
-    return trip_means_sql(spark, trip_lines(spark, sf), min_count=3)
+    return trip_means_sql(trip_lines(spark, sf), min_count=3)
+
+
+# The same lines with damage, by a rule on the order key.
+
+_EXTREME = {0: "NaN", 1: "3e9", 2: "-3e9", 3: "Infinity", 4: "-Infinity", 5: "9.999999999999997e-7", 6: "2147483646.5"}
+_RULE = 23
+
+
+def trip_lines_extreme(spark, sf) -> DataFrame:
+    """``trip_lines`` with distances at the ends of what a number can be."""
+    distance = ((F.col("l_quantity") - 10) * 2.5).cast("string")
+    for k, text in _EXTREME.items():
+        distance = F.when(F.col("l_orderkey") % _RULE == k, F.lit(text)).otherwise(distance)
+    return _trip_text(spark, sf, distance, F.col("l_extendedprice").cast("string"), F.col("l_orderkey").cast("string"))
+
+
+def trip_lines_dirty(spark, sf) -> DataFrame:
+    """``trip_lines_extreme`` with broken numbers, missing fields, an empty
+    first field and rows that end after the distance."""
+    k = F.col("l_orderkey") % _RULE
+    distance = ((F.col("l_quantity") - 10) * 2.5).cast("string")
+    for n, text in _EXTREME.items():
+        distance = F.when(k == n, F.lit(text)).otherwise(distance)
+    distance = F.when(k == 7, F.lit("1.2.3")).when(k == 8, F.lit("")).otherwise(distance)
+    amount = F.when(k == 9, F.lit("n/a")).otherwise(F.col("l_extendedprice").cast("string"))
+    first = F.when(k == 10, F.lit("")).otherwise(F.col("l_orderkey").cast("string"))
+    lines = _trip_text(spark, sf, distance, amount, first, short=k == 11)
+    return lines
+
+
+def _trip_text(spark, sf, distance, amount, first, short=None) -> DataFrame:
+    li = fact_table(spark, sf, "lineitem")
+    start = [first, F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber"), distance]
+    rest = [F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_shipdate").cast("string"), F.col("l_discount"), amount]
+
+    def joined(cols):
+        return F.concat_ws(",", *(F.coalesce(c.cast("string"), F.lit("")) for c in cols))
+
+    line = joined([*start, *rest])
+    if short is not None:
+        line = F.when(short, joined(start)).otherwise(line)
+    head = spark.range(1).select(F.lit(TRIP_HEADER).alias("value"))
+    return head.unionByName(li.select(line.alias("value")))
+
+
+# What the damaged distances are as int keys: NaN is 0, the rest is clamped.
+_KEY = f"""CASE l_orderkey % {_RULE} WHEN 0 THEN 0 WHEN 1 THEN 2147483647 WHEN 2 THEN -2147483648
+     WHEN 3 THEN 2147483647 WHEN 4 THEN -2147483648 WHEN 5 THEN 0 WHEN 6 THEN 2147483647 ELSE {_TRIP_DIST} END"""
+_CENTS = "CAST(l_extendedprice AS DECIMAL(12,2))"
+
+
+@register("trip_mapreduce_extreme", "PRJ-4 PRJ-6 FIL-1 SRC-5 (NaN, infinities, values beyond int)", f"""
+SELECT distance, {_floor6(_mean('v'))} AS mean
+FROM (SELECT {_KEY} AS distance, {_CENTS} AS v FROM lineitem)
+WHERE distance >= 0 AND distance < 200
+GROUP BY distance
+""")
+def q_trip_mapreduce_extreme(spark, sf):
+    return trip_means_mapreduce(trip_lines_extreme(spark, sf), amount_type="decimal(12,2)")
+
+
+@register("trip_pig_dirty", "SRC-2 SRC-7 SRC-10 FIL-2 FIL-3 FIL-5 AGG-2 (broken lines)", f"""
+SELECT distance, {_mean('v')} AS mean
+FROM (SELECT {_KEY} AS distance, CASE WHEN l_orderkey % {_RULE} IN (9, 11) THEN NULL ELSE {_CENTS} END AS v
+      FROM lineitem WHERE l_orderkey % {_RULE} NOT IN (7, 8, 10))
+WHERE distance < 200
+GROUP BY distance
+""")
+def q_trip_pig_dirty(spark, sf):
+    return trip_means_pig(trip_lines_dirty(spark, sf), amount_field=9, amount_type="decimal(12,2)",
+                          header_pattern=".*orderkey.*")
+
+
+@register("trip_sql_dirty", "SRC-6 SRC-9 AGG-3 FIL-2 (broken lines)", f"""
+SELECT distance, avg(v) AS avg
+FROM (SELECT {_KEY} AS distance,
+             CAST(CASE WHEN l_orderkey % {_RULE} = 11 THEN CAST((l_quantity - 10) * 2.5 AS VARCHAR)
+                       ELSE CAST(l_extendedprice AS VARCHAR) END AS FLOAT) AS v
+      FROM lineitem WHERE l_orderkey % {_RULE} NOT IN (0, 3, 7, 8, 9))
+WHERE distance < 200
+GROUP BY distance
+""")
+def q_trip_sql_dirty(spark, sf):
+    # a row that ends after the distance has it as its last field; "NaN" and
+    # "Infinity" begin with a letter, as a header does
+    return trip_means_sql(trip_lines_dirty(spark, sf))
+
+
+@register("trip_sql_rare", "FIL-7 SRC-6 AGG-3 (rare distances go)", f"""
+SELECT distance, avg(v) AS avg
+FROM (SELECT {_rhu('(l_quantity - 10) * 2.5 - l_orderkey % 997 * 100')} AS distance,
+             CAST(CAST(l_extendedprice AS VARCHAR) AS FLOAT) AS v FROM lineitem)
+WHERE distance < 200
+GROUP BY distance
+HAVING count(*) >= 3
+""")
+def q_trip_sql_rare(spark, sf):
+    distance = ((F.col("l_quantity") - 10) * 2.5 - F.col("l_orderkey") % 997 * 100).cast("string")
+    lines = _trip_text(spark, sf, distance, F.col("l_extendedprice").cast("string"), F.col("l_orderkey").cast("string"))
+    return trip_means_sql(lines, min_count=3)
 
 
 # --------------------------------------------------------------------------
@@ -388,8 +511,7 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey
 def q_equi_join_keyed(spark, sf):
     return equi_join_pairs(table(spark, sf, "customer"), table(spark, sf, "nation"),
                            left_key="c_nationkey", right_key="n_nationkey",
-                           left_value="c_name", right_value="n_name", keep_key=True,
-                           broadcast_right_max_rows=100_000)
+                           left_value="c_name", right_value="n_name", keep_key=True)
 
 
 @register("equi_join_names", "JOI-2 PRJ-16 SNK-2", """
@@ -399,8 +521,7 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey
 def q_equi_join_names(spark, sf):
     return equi_join_pairs(table(spark, sf, "supplier"), table(spark, sf, "nation"),
                            left_key="s_nationkey", right_key="n_nationkey",
-                           left_value="s_name", right_value="n_name", keep_key=False,
-                           broadcast_right_max_rows=100_000)
+                           left_value="s_name", right_value="n_name", keep_key=False)
 
 
 @register("equi_join_large", "JOI-1 (both sides large: shuffle join, AQE skew split)", """
@@ -414,6 +535,24 @@ def q_equi_join_large(spark, sf):
                            keep_key=True)
 
 
+@register("join_two_layouts", "SRC-4 JOI-1 SRC-2 SRC-5 (a parser for each input)", """
+SELECT c_nationkey AS dno, c_name || ' ' || n_name AS pair
+FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 7 <> 0
+""")
+def q_join_two_layouts(spark, sf):
+    # customers: name;nation, some without a nation; nations: header, then key|name|region
+    c = table(spark, sf, "customer")
+    people = parse_delimited(
+        c.select(F.concat(F.col("c_name"), F.lit(";"), F.when(F.col("c_custkey") % 7 == 0, F.lit("?"))
+                          .otherwise(F.col("c_nationkey").cast("string"))).alias("value")),
+        "name string, dno bigint", sep=";", on_error="drop")
+    n = render_lines(table(spark, sf, "nation"), ["n_nationkey", "n_name", "n_regionkey"], sep="|")
+    head = spark.range(1).select(F.lit("key|name|region").alias("value"))
+    places = parse_delimited(head.unionByName(n), "dno bigint, name string", sep="|", on_error="fail",
+                             header=HeaderRule("letter", 0))
+    return equi_join_pairs(people, places, left_key="dno", right_key="dno", left_value="name", right_value="name")
+
+
 @register("union_all_tagged", "SRC-4 SET-1", """
 SELECT c_nationkey AS key, c_name AS name, 0 AS tag FROM customer
 UNION ALL
@@ -441,8 +580,12 @@ def _matrix(spark, sf, status: str) -> DataFrame:
     return cells(li, "l_partkey", "l_suppkey", "l_quantity")
 
 
+def _whole_matrix(spark, sf) -> DataFrame:
+    return cells(table(spark, sf, "lineitem"), "l_partkey", "l_suppkey", "l_quantity")
+
+
 def _cells_sql(status: str) -> str:
-    return (f"SELECT CAST(l_partkey AS INTEGER) AS i, CAST(l_suppkey AS INTEGER) AS j, "
+    return (f"SELECT CAST(l_partkey AS BIGINT) AS i, CAST(l_suppkey AS BIGINT) AS j, "
             f"CAST(l_quantity AS DOUBLE) AS v FROM lineitem WHERE l_linestatus = '{status}'")
 
 
@@ -458,7 +601,7 @@ filled AS (SELECT g.bi, g.bj, g.r, g.c, coalesce(cb.v, 0.0) AS v
            FROM grid g LEFT JOIN cb ON g.bi = cb.bi AND g.bj = cb.bj AND g.r = cb.r AND g.c = cb.c),
 rowtext AS (SELECT bi, bj, r, string_agg(printf('{cell_fmt}', v), '' ORDER BY c) || chr(10) AS t
             FROM filled GROUP BY bi, bj, r)
-SELECT CAST(bi AS INTEGER) AS bi, CAST(bj AS INTEGER) AS bj, {lead} || string_agg(t, '' ORDER BY r) AS text
+SELECT CAST(bi AS BIGINT) AS bi, CAST(bj AS BIGINT) AS bj, {lead} || string_agg(t, '' ORDER BY r) AS text
 FROM rowtext GROUP BY bi, bj
 """
 
@@ -474,7 +617,7 @@ _KEYS_INNER = f"{_keys_sql(_M)} INTERSECT {_keys_sql(_N)}"
 
 
 @register("coo_parse", "SRC-12 PRJ-13 SRC-5", """
-SELECT CAST(l_partkey AS INTEGER) AS i, CAST(l_suppkey AS INTEGER) AS j, l_quantity AS v
+SELECT CAST(l_partkey AS BIGINT) AS i, CAST(l_suppkey AS BIGINT) AS j, l_quantity AS v
 FROM lineitem
 """)
 def q_coo_parse(spark, sf):
@@ -486,17 +629,17 @@ def q_coo_parse(spark, sf):
 
 
 @register("coo_block_coords", "SRC-12 PRJ-10 PRJ-18 AGG-8 (long form)", f"""
-SELECT CAST(i // {BLOCK_ROWS} AS INTEGER) AS bi, CAST(j // {BLOCK_COLS} AS INTEGER) AS bj,
+SELECT CAST(i // {BLOCK_ROWS} AS BIGINT) AS bi, CAST(j // {BLOCK_COLS} AS BIGINT) AS bj,
        CAST(i % {BLOCK_ROWS} AS INTEGER) AS r, CAST(j % {BLOCK_COLS} AS INTEGER) AS c, i, j, v
-FROM (SELECT i, j, sum(v) AS v FROM ({_M}) GROUP BY i, j)
+FROM (SELECT i, j, sum(v) AS v FROM ({_UNION}) GROUP BY i, j)
 """)
 def q_coo_block_coords(spark, sf):
-    return block_coords(dedupe_cells(_matrix(spark, sf, "O"), "sum"), BLOCK_ROWS, BLOCK_COLS)
+    return block_coords(dedupe_cells(_whole_matrix(spark, sf), "sum"), BLOCK_ROWS, BLOCK_COLS)
 
 
-@register("coo_to_blocks", "AGG-7 PRJ-17 PRJ-8", _block_text_sql(_M, _keys_sql(_M), "\t%.3f"))
+@register("coo_to_blocks", "AGG-7 PRJ-17 PRJ-8", _block_text_sql(_UNION, _KEYS_OUTER, "\t%.3f"))
 def q_coo_to_blocks(spark, sf):
-    return coo_to_block_text(_matrix(spark, sf, "O"), BLOCK_ROWS, BLOCK_COLS, "\t%.3f",
+    return coo_to_block_text(_whole_matrix(spark, sf), BLOCK_ROWS, BLOCK_COLS, "\t%.3f",
                              duplicates="sum")
 
 
@@ -515,9 +658,10 @@ def q_block_add_inner(spark, sf):
 @register("block_pick", "FIL-4 JOI-3", _block_text_sql(
     _UNION, f"SELECT * FROM ({_KEYS_INNER}) WHERE bi = 1 AND bj = 2", " %.2f"))
 def q_block_pick(spark, sf):
-    s = add_matrices_text(_matrix(spark, sf, "O"), _matrix(spark, sf, "F"),
-                          BLOCK_ROWS, BLOCK_COLS, "inner", " %.2f")
-    return pick_block(s, 1, 2)
+    # the block's index ranges reach the scan
+    li = cells_of_block(table(spark, sf, "lineitem"), 1, 2, BLOCK_ROWS, BLOCK_COLS, "l_partkey", "l_suppkey")
+    m, n = (cells(li.where(F.col("l_linestatus") == status), "l_partkey", "l_suppkey", "l_quantity") for status in "OF")
+    return add_matrices_text(m, n, BLOCK_ROWS, BLOCK_COLS, "inner", " %.2f")
 
 
 @register("block_lines", "SNK-1 ORD-3 PRJ-8", f"""
@@ -526,12 +670,76 @@ FROM ({_block_text_sql(_UNION, _KEYS_OUTER, chr(9) + '%.3f')})
 """)
 def q_block_lines(spark, sf):
     s = add_matrices_text(_matrix(spark, sf, "O"), _matrix(spark, sf, "F"),
-                          BLOCK_ROWS, BLOCK_COLS, "outer", "\t%.3f")
-    return keyed_block_text(s.orderBy("bi", "bj"))
+                          BLOCK_ROWS, BLOCK_COLS, "outer", "\t%.3f", ordered=True)
+    return keyed_block_text(s)
+
+
+@register("block_order", "ORD-3 (places of the blocks in the sorted output)", f"""
+SELECT bi, bj, row_number() OVER (ORDER BY bi, bj) AS place FROM ({_KEYS_OUTER})
+""")
+def q_block_order(spark, sf):
+    """Each block's place among the lines as they come out: partitions of a
+    sort are in order, and so are their rows."""
+    s = add_matrices_text(_matrix(spark, sf, "O"), _matrix(spark, sf, "F"),
+                          BLOCK_ROWS, BLOCK_COLS, "outer", "\t%.3f", ordered=True)
+    told = write_and_reload(s.select(
+        F.struct("bi", "bj").alias("block"), F.spark_partition_id().alias("part"),
+        F.monotonically_increasing_id().alias("row")), "block-order")
+    before = told.groupBy("part").agg(F.count("*").alias("n"), F.min("row").alias("first"))
+    starts = before.select("part", "first", F.coalesce(F.sum("n").over(
+        Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"))
+    return told.join(starts, "part").select(
+        "block.bi", "block.bj", (F.col("start") + F.col("row") - F.col("first") + 1).alias("place"))
+
+
+# M and N with blocks that only one of them has, by rows of blocks.
+
+def _partial(spark, sf, status: str, missing: int) -> DataFrame:
+    return _matrix(spark, sf, status).where(block_index("i", BLOCK_ROWS) % 3 != missing)
+
+
+_PM = f"SELECT * FROM ({_M}) WHERE i // {BLOCK_ROWS} % 3 <> 0"
+_PN = f"SELECT * FROM ({_N}) WHERE i // {BLOCK_ROWS} % 3 <> 1"
+
+
+@register("block_add_outer_partial", "JOI-4 AGG-8 (blocks of one side)", _block_text_sql(
+    f"{_PM} UNION ALL {_PN}", _keys_sql(f"{_PM} UNION ALL {_PN}"), "\t%.3f"))
+def q_block_add_outer_partial(spark, sf):
+    return add_matrices_text(_partial(spark, sf, "O", 0), _partial(spark, sf, "F", 1),
+                             BLOCK_ROWS, BLOCK_COLS, "outer", "\t%.3f")
+
+
+@register("block_add_inner_partial", "JOI-3 PRJ-19 (blocks of one side go)", _block_text_sql(
+    f"{_PM} UNION ALL {_PN}", f"{_keys_sql(_PM)} INTERSECT {_keys_sql(_PN)}", " %.2f"))
+def q_block_add_inner_partial(spark, sf):
+    return add_matrices_text(_partial(spark, sf, "O", 0), _partial(spark, sf, "F", 1),
+                             BLOCK_ROWS, BLOCK_COLS, "inner", " %.2f")
+
+
+@register("blocks_dense_cells", "AGG-7 PRJ-17 (every place of the dense arrays)", f"""
+SELECT i // {BLOCK_ROWS} AS bi, j // {BLOCK_COLS} AS bj,
+       CAST(i % {BLOCK_ROWS} * {BLOCK_COLS} + j % {BLOCK_COLS} AS INTEGER) AS place, v
+FROM (SELECT i, j, max(v) AS v FROM ({_UNION}) GROUP BY i, j)
+WHERE v <> 0
+""")
+def q_blocks_dense_cells(spark, sf):
+    dense = coo_to_blocks(_whole_matrix(spark, sf), BLOCK_ROWS, BLOCK_COLS, duplicates="max")
+    return dense.select("bi", "bj", F.posexplode("data").alias("place", "v")).where("v <> 0")
+
+
+@register("block_add_max", "JOI-4 AGG-8 (the larger of repeated cells, one shuffle)", f"""
+SELECT i // {BLOCK_ROWS} AS bi, j // {BLOCK_COLS} AS bj, CAST(i % {BLOCK_ROWS} AS INTEGER) AS r,
+       CAST(j % {BLOCK_COLS} AS INTEGER) AS c, i, j, sum(v) AS v
+FROM (SELECT i, j, max(v) AS v FROM ({_M}) GROUP BY i, j
+      UNION ALL SELECT i, j, max(v) AS v FROM ({_N}) GROUP BY i, j)
+GROUP BY i, j
+""")
+def q_block_add_max(spark, sf):
+    return add_cells(_matrix(spark, sf, "O"), _matrix(spark, sf, "F"), BLOCK_ROWS, BLOCK_COLS, "outer", duplicates="max")
 
 
 @register("block_add_dense", "AGG-7 AGG-8 PRJ-17 PRJ-19 (dense arrays)", f"""
-SELECT CAST(i // {BLOCK_ROWS} AS INTEGER) AS bi, CAST(j // {BLOCK_COLS} AS INTEGER) AS bj,
+SELECT CAST(i // {BLOCK_ROWS} AS BIGINT) AS bi, CAST(j // {BLOCK_COLS} AS BIGINT) AS bj,
        {BLOCK_ROWS * BLOCK_COLS} AS n_cells, count(*) AS n_nonzero, sum(v) AS total
 FROM (SELECT i, j, sum(v) AS v FROM ({_UNION}) GROUP BY i, j)
 WHERE v <> 0
@@ -546,7 +754,7 @@ def q_block_add_dense(spark, sf):
 
 
 @register("block_sum_cells", "JOI-4 AGG-8 (long form, outer)", f"""
-SELECT CAST(i // {BLOCK_ROWS} AS INTEGER) AS bi, CAST(j // {BLOCK_COLS} AS INTEGER) AS bj,
+SELECT CAST(i // {BLOCK_ROWS} AS BIGINT) AS bi, CAST(j // {BLOCK_COLS} AS BIGINT) AS bj,
        CAST(i % {BLOCK_ROWS} AS INTEGER) AS r, CAST(j % {BLOCK_COLS} AS INTEGER) AS c, i, j, v
 FROM (SELECT i, j, sum(v) AS v FROM ({_UNION}) GROUP BY i, j)
 """)
@@ -562,25 +770,25 @@ def _vid(col: str, kind: int):
     return F.col(col) * 4 + kind
 
 
+def _line(*ids):
+    return F.concat_ws(",", *(i.cast("string") for i in ids))
+
+
 def directed_lines(spark, sf) -> DataFrame:
     """Two lines per line item: ``part,supplier`` and ``supplier,order``.
 
     Parts and suppliers head lines; orders only appear as neighbours.
     """
-    li = fact_table(spark, sf, "lineitem")
     p, s, o = _vid("l_partkey", 0), _vid("l_suppkey", 1), _vid("l_orderkey", 2)
-    return (li.select(F.concat_ws(",", p.cast("string"), s.cast("string")).alias("value"))
-              .unionByName(li.select(F.concat_ws(",", s.cast("string"), o.cast("string")).alias("value"))))
+    return fact_table(spark, sf, "lineitem").select(F.explode(F.array(_line(p, s), _line(s, o))).alias("value"))
 
 
 def symmetric_lines(spark, sf) -> DataFrame:
     """Three lines per line item: ``part,supplier,order``, ``supplier,part``
     and ``order,part``: an undirected part-supplier / part-order graph."""
-    li = fact_table(spark, sf, "lineitem")
     p, s, o = _vid("l_partkey", 0), _vid("l_suppkey", 1), _vid("l_orderkey", 2)
-    return (li.select(F.concat_ws(",", p.cast("string"), s.cast("string"), o.cast("string")).alias("value"))
-              .unionByName(li.select(F.concat_ws(",", s.cast("string"), p.cast("string")).alias("value")))
-              .unionByName(li.select(F.concat_ws(",", o.cast("string"), p.cast("string")).alias("value"))))
+    return fact_table(spark, sf, "lineitem").select(F.explode(F.array(
+        _line(p, s, o), _line(s, p), _line(o, p))).alias("value"))
 
 
 _SYM_EDGES = """
@@ -653,6 +861,12 @@ def q_propagate_5_explicit_only(spark, sf):
     return _labels(spark, sf, directed_lines, 5, False)
 
 
+@register("propagate_5_hot", "GRA-3 GRA-2 AGG-4 (sources of 50 edges or more are broadcast)",
+          _propagate_sql(_SYM_EDGES, 5, True) + "SELECT id, grp FROM l5")
+def q_propagate_5_hot(spark, sf):
+    return propagate_min(read_adjacency(symmetric_lines(spark, sf)), rounds=5, min_hot_degree=50)
+
+
 @register("component_sizes", "GRA-4 AGG-5 PRJ-21",
           _propagate_sql(_SYM_EDGES, 5, True) + "SELECT grp, count(*) AS n FROM l5 GROUP BY grp")
 def q_component_sizes(spark, sf):

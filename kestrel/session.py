@@ -8,13 +8,13 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every kestrel job relies on.  Broadcasts are decided on
-# measured sizes only: the static threshold (which trusts estimates) is
-# off, and AQE converts a join to a broadcast join at runtime when a
-# shuffle stage is measured below the adaptive threshold.  AQE also
-# coalesces tiny shuffle partitions and splits skewed join partitions.
+# Settings every kestrel job relies on.  Broadcasts are decided by size:
+# a side whose files lie below the threshold is broadcast at once, and AQE
+# converts a join to a broadcast join at runtime when a shuffle stage is
+# measured below the adaptive threshold.  AQE also coalesces tiny shuffle
+# partitions and splits skewed join partitions.
 DEFAULT_CONF = {
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.autoBroadcastJoinThreshold": "16m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "16m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -44,7 +44,6 @@ def build_session(master: str | None = None, app: str = "kestrel",
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
 
 

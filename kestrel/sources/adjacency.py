@@ -39,12 +39,17 @@ class Graph:
 def adjacency_rows(lines: DataFrame, sep: str = ",", line_col: str = "value") -> DataFrame:
     """``(id, adj)`` per line, ``adj`` the listed neighbours in order.
 
-    Ids are parsed like ``Long.parseLong``: a bad id fails the job.
-    Trailing separators are ignored, so ``"1,"`` is vertex 1 with no
-    neighbours.
+    Ids are parsed like ``Long.parseLong``: a bad id fails the job, whatever
+    the ANSI setting.  Trailing separators are ignored, so ``"1,"`` is
+    vertex 1 with no neighbours.
     """
-    ids = split_fields(F.col(line_col), sep, java_split=True).cast("array<bigint>")
-    return lines.select(ids.alias("_v")).select(
+    fields = split_fields(F.col(line_col), sep, java_split=True)
+
+    def parsed(x):
+        return F.coalesce(x.try_cast("bigint"), F.raise_error(F.concat(
+            F.lit("cannot parse id '"), x, F.lit("' in an adjacency line"))).cast("bigint"))
+
+    return lines.select(F.transform(fields, parsed).alias("_v")).select(
         F.col("_v")[0].alias("id"),
         F.slice("_v", 2, F.size("_v") - 1).alias("adj"))
 

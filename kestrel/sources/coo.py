@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 
 from kestrel.sources.delimited import parse_delimited
 
-COO_SCHEMA = "i int, j int, v double"
+COO_SCHEMA = "i bigint, j bigint, v double"
 
 
 def read_coo(lines: DataFrame, sep: str = ",", line_col: str = "value",
              strict_arity: bool = True) -> DataFrame:
-    """``(i int, j int, v double)`` per line; fields are trimmed.
+    """``(i bigint, j bigint, v double)`` per line; fields are trimmed.
 
     Malformed numbers fail the job.  With ``strict_arity`` a line must have
     exactly three fields; otherwise extra fields are ignored.

@@ -1,8 +1,9 @@
 """Delimited text -> typed rows, with explicit error and header policies.
 
 The parse is a projection of ``split`` + ``try_cast`` expressions over the
-line column, so it runs inside whole-stage codegen, in every scan task, and
-Catalyst can prune the fields a query never uses.
+line column, so it runs inside whole-stage codegen, in every scan task.  The
+split happens once per line; a column that a query never uses is not
+converted, unless the parse policy has to look at it.
 """
 
 from __future__ import annotations
@@ -28,14 +29,28 @@ class HeaderRule:
     kind ``alphabetic``: the first character of field ``field`` is alphabetic
     (``Character.isAlphabetic``); ``letter``: it is a letter
     (``Char.isLetter``); ``regex``: field ``field`` fully matches ``pattern``.
+
+    ``on_null``: what happens to a row whose field is missing or, for
+    ``regex``, empty (a typed load reads it as null, and a negated match of
+    null is not true): ``keep`` or ``drop``.  Default: ``drop`` for
+    ``regex``, ``keep`` for the others.
     """
 
     kind: Literal["alphabetic", "letter", "regex"]
     field: int = 0
     pattern: str | None = None
+    on_null: Literal["keep", "drop"] | None = None
 
-    def matches(self, fields: Column) -> Column:
+    def skips(self, fields: Column) -> Column:
+        """True for rows to skip; never null."""
+        null = (self.on_null or ("drop" if self.kind == "regex" else "keep")) == "drop"
         raw = field_at(fields, self.field)
+        if self.kind == "regex":
+            raw = F.nullif(raw, F.lit(""))
+        return F.coalesce(self._matches(raw), F.lit(null)) if self.kind == "regex" else (
+            F.when(raw.isNull(), F.lit(null)).otherwise(self._matches(raw)))
+
+    def _matches(self, raw: Column) -> Column:
         if self.kind == "alphabetic":
             return starts_alphabetic(raw)
         if self.kind == "letter":
@@ -123,7 +138,7 @@ def parse_delimited(lines: DataFrame, schema: T.StructType | str, *,
         F.col(line_col).alias("_line"),
         split_fields(F.col(line_col), sep, java_split).alias("_f")))
     if header is not None:
-        parts = parts.where(~header.matches(F.col("_f")))
+        parts = parts.where(~header.skips(F.col("_f")))
 
     fields = F.col("_f")
     line = F.col("_line")
@@ -161,8 +176,7 @@ def parse_delimited(lines: DataFrame, schema: T.StructType | str, *,
         drop_conds += bad
     names = [fld.name for fld in struct.fields]
     if not drop_conds:
-        # Convert once: later filters on the typed columns test plain values.
-        return evaluate_once(parts.select(*typed))
+        return parts.select(*typed)
     # Convert once together with the drop flag, then filter on the flag.
     flagged = evaluate_once(parts.select(*typed, _any(drop_conds).alias("_drop")))
     return flagged.where(~F.col("_drop")).select(*[F.col(f"`{n}`") for n in names])

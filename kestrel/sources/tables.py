@@ -22,23 +22,19 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
         table(spark, sf_dir, name).createOrReplaceTempView(name)
 
 
-def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Spread an input that has fewer partitions than the cluster has cores.
-
-    A scan is split by parquet row groups; a file written as one row group
-    is read by one task however large it is, and every per-row expression
-    after it (rendering, parsing, partial aggregation) runs on one core.
-    When the scan has fewer than ``partitions`` (default: the default
-    parallelism) partitions, the rows are dealt round-robin over that many
-    partitions (deterministic under retries, and without the skew a key
-    could bring); otherwise ``df`` is returned unchanged, so a large input
-    with thousands of splits is never reshuffled.  Filters and column
-    pruning still reach the scan below the repartition.
+def spread(df: DataFrame, partitions: int) -> DataFrame:
+    """Deal ``df`` round-robin over ``partitions`` tasks.
+
+    Only for an input whose row groups are too few for the cluster's cores
+    and whose rows are costly to process: it shuffles the whole input.
     """
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    return df.repartition(partitions)
 
 
 def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A large table for per-row heavy work: ``table`` then ``spread``."""
-    return spread(table(spark, sf_dir, name))
+    """A large table for per-row heavy work: the scan as it is, or spread
+    over as many tasks as the session setting ``kestrel.scan.partitions``
+    says (unset by default: nothing is shuffled)."""
+    df = table(spark, sf_dir, name)
+    partitions = spark.conf.get("kestrel.scan.partitions", None)
+    return spread(df, int(partitions)) if partitions else df

@@ -10,6 +10,9 @@ from conftest import SF_SMALL
 
 FAST = ["bucket_mean", "bucket_mean_floor6", "bucket_mean_signed", "bucket_mean_float",
         "fmt_kv", "simple_mean", "parse_drop", "parse_null", "header_rule_b", "trip_pig",
+        "bucket_mean_rare", "sql_size_classes", "trip_mapreduce_extreme", "trip_pig_dirty", "trip_sql_dirty",
+        "trip_sql_rare", "join_two_layouts", "block_order", "block_add_inner_partial", "block_add_outer_partial",
+        "blocks_dense_cells", "block_add_max", "propagate_5_hot",
         "trip_sql", "equi_join_keyed", "union_all_tagged", "block_add_inner", "block_pick",
         "propagate_5_directed", "component_sizes"]
 
@@ -59,3 +62,28 @@ def test_hot_source_path_on_driver_tables(spark, duck):
     cur = duck.execute(E.oracle_sql()["propagate_5"])
     assert _norm([tuple(r) for r in labels.collect()], labels.columns) == \
         _norm(cur.fetchall(), [d[0] for d in cur.description])
+
+
+def test_wrong_variants_are_seen(spark):
+    """Each oracle below tells its query from the nearest wrong one."""
+    from kestrel.plans import workloads as W
+    sf = SF_SMALL.replace("0.001", "0.01")  # the smallest has one block only
+    duck = duckdb.connect()
+    for t in TABLES:
+        duck.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+
+    def same(df, name):
+        cur = duck.execute(E.oracle_sql()[name])
+        return _norm([tuple(r) for r in df.collect()], df.columns) == _norm(cur.fetchall(), [d[0] for d in cur.description])
+
+    orders = W.table(spark, sf, "orders")
+    value = W.F.when(W.F.col("o_orderkey") % 2 == 0, W.F.col("o_totalprice")).cast("decimal(12,2)")
+    assert not same(W.bucket_mean(orders, W.F.col("o_totalprice") / 10, value, min_count=1, count_name="n"), "bucket_mean_rare")
+    m, n = W._partial(spark, sf, "O", 0), W._partial(spark, sf, "F", 1)
+    inner = W.add_matrices_text(m, n, W.BLOCK_ROWS, W.BLOCK_COLS, "inner", "\t%.3f")
+    assert not same(inner, "block_add_outer_partial")
+    dense = W.coo_to_blocks(W._whole_matrix(spark, sf), W.BLOCK_ROWS, W.BLOCK_COLS, duplicates="max").select(
+        "bi", "bj", W.F.posexplode(W.F.reverse("data")).alias("place", "v")).where("v <> 0")
+    assert not same(dense, "blocks_dense_cells")
+    placed = W.q_block_order(spark, sf)
+    assert not same(placed.withColumn("place", W.F.max("place").over(W.Window.partitionBy()) + 1 - W.F.col("place")), "block_order")

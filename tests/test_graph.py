@@ -70,3 +70,44 @@ def test_bucket_count_scales_with_edges(spark):
     assert bucket_count(spark, 10) == parts
     big = bucket_count(spark, 10**11)
     assert big % parts == 0 and 10**11 / big <= 16_000_000
+
+
+def test_bucket_count_stays_legal(spark):
+    from kestrel.operators import bucket_count
+    assert bucket_count(spark, 10**13) == 100_000
+
+
+def test_nothing_of_a_run_remains_but_the_labels(spark, lines):
+    import os
+    import re
+
+    from kestrel.session import checkpoint_dir
+    folder = re.sub("^file:/*", "/", checkpoint_dir(spark))
+    before = set(os.listdir(folder))
+    databases = {d.name for d in spark.catalog.listDatabases()}
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    labels = propagate_min(read_adjacency(lines(FIXTURE)), rounds=4, min_hot_degree=2)
+    left = {f for f in set(os.listdir(folder)) - before if os.listdir(f"{folder}/{f}")}
+    assert len(left) == 1 and next(iter(left)).startswith("kestrel-labels")
+    assert {d.name for d in spark.catalog.listDatabases()} == databases
+    assert spark.conf.get("spark.sql.shuffle.partitions") == partitions
+    assert labels.count() == 10
+
+
+def test_labels_enter_no_exchange(spark, lines):
+    plans = {}
+
+    def look(r, df):
+        plans[r] = df._jdf.queryExecution().executedPlan().toString()
+
+    propagate_min(read_adjacency(lines(FIXTURE)), rounds=3, on_round=look)
+    # one exchange, of messages that were reduced on their side
+    assert plans[2].count("Exchange") == 1 and "partial_min" in plans[2]
+
+
+def test_hot_sources_without_edges_and_repeats(spark, lines):
+    text = ["1,2,3,4,2", "1,5", "7", "7", "2,1,1", "9,7"]
+    for implicit in (True, False):
+        a = _labels(propagate_min(read_adjacency(lines(text)), 3, implicit))
+        b = _labels(propagate_min(read_adjacency(lines(text)), 3, implicit, min_hot_degree=2))
+        assert a == b and (set(a) == {1, 2, 3, 4, 5, 7, 9} if implicit else set(a) == {1, 2, 7, 9})

@@ -49,11 +49,16 @@ def test_partitioning_does_not_change_result(spark):
     assert sum(r["n"] for r in count_by_key(li, "l_returnflag").collect()) == li.count()
 
 
-def test_spread_only_narrow_inputs(spark):
-    from kestrel.sources import spread
-    wide = spark.range(0, 1000, 1, 16)
-    assert spread(wide, 8) is wide                     # enough splits: unchanged
-    narrow = spark.range(0, 1000, 1, 1)
-    spread_df = spread(narrow, 8)
-    assert spread_df.rdd.getNumPartitions() == 8
-    assert sorted(r[0] for r in spread_df.collect()) == list(range(1000))
+def test_scans_are_spread_only_when_asked(spark):
+    from conftest import SF_SMALL
+    from kestrel.sources import fact_table
+
+    def plan():
+        return fact_table(spark, SF_SMALL, "lineitem")._jdf.queryExecution().executedPlan().toString()
+
+    assert "RoundRobin" not in plan()
+    spark.conf.set("kestrel.scan.partitions", "5")
+    try:
+        assert "RoundRobinPartitioning(5)" in plan()
+    finally:
+        spark.conf.unset("kestrel.scan.partitions")

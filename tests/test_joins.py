@@ -1,4 +1,4 @@
-from kestrel.operators import broadcast_if_small, equi_join_pairs, row_count_at_most, union_tagged
+from kestrel.operators import equi_join_pairs, union_tagged
 from kestrel.sources import parse_delimited
 
 from conftest import rows
@@ -21,7 +21,7 @@ def test_keyed_join_golden(spark, lines):
 def test_unkeyed_join_golden(spark, lines):
     emp, dept = _emp_dept(lines)
     out = equi_join_pairs(emp, dept, left_key="dno", right_key="dno", left_value="name",
-                          right_value="name", keep_key=False, broadcast_right_max_rows=10)
+                          right_value="name", keep_key=False)
     assert out.columns == ["pair"]
     assert rows(out) == [("Jones EE",), ("Mary CSE",), ("Smith CSE",)]
 
@@ -33,10 +33,22 @@ def test_n_by_m_within_key(spark):
     assert len(out.collect()) == 4
 
 
-def test_broadcast_check(spark):
-    df = spark.range(10)
-    assert row_count_at_most(df, 10) and not row_count_at_most(df, 9)
-    assert broadcast_if_small(df, 5) is df
+def test_size_decides_how_to_join(spark, tmp_path):
+    spark.range(1000).selectExpr("id % 10 AS k", "'x' AS v").write.parquet(f"{tmp_path}/large")
+    spark.range(10).selectExpr("id AS k", "'y' AS w").write.parquet(f"{tmp_path}/small")
+    large, small = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("large", "small"))
+
+    def plan():
+        return equi_join_pairs(large, small, left_key="k", right_key="k", left_value="v",
+                               right_value="w")._jdf.queryExecution().executedPlan().toString()
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan() and "hashpartitioning" not in plan()
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+        assert "SortMergeJoin" in plan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_union_tagged(spark):

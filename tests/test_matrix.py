@@ -100,3 +100,50 @@ def test_sparse_text_equals_dense_render(spark, shape):
              render_blocks(coo_to_blocks(m, rows_, cols_, "sum"), rows_, cols_).collect()}
     sparse = {(r.bi, r.bj): r.text for r in coo_to_block_text(m, rows_, cols_, duplicates="sum").collect()}
     assert dense == sparse
+
+
+def test_duplicate_policies_of_a_sum(spark):
+    m = spark.createDataFrame([(0, 0, 1.0), (0, 0, 4.0), (5, 5, -0.0)], "i long, j long, v double")
+    n = spark.createDataFrame([(0, 0, 2.0), (9, 0, 3.0)], "i long, j long, v double")
+
+    def cell(how, duplicates):
+        return {(r["i"], r["j"]): r["v"] for r in add_cells(m, n, 4, 4, how, duplicates).collect()}
+
+    assert cell("outer", "sum") == {(0, 0): 7.0, (5, 5): 0.0, (9, 0): 3.0}
+    assert cell("outer", "max") == {(0, 0): 6.0, (5, 5): 0.0, (9, 0): 3.0}
+    assert cell("inner", "max") == {(0, 0): 6.0}
+    with pytest.raises(Exception, match="duplicate cell 0,0"):
+        cell("outer", "error")
+    with pytest.raises(ValueError):
+        cell("outer", "last")
+
+
+def test_one_exchange_for_unique_cells(spark):
+    from kestrel.operators import add_matrices
+    m = spark.range(50).selectExpr("id AS i", "id % 7 AS j", "1.0D AS v")
+    plan = add_matrices(m, m, 4, 4, "inner", "error")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_block_ranges_reach_the_scan(spark):
+    from conftest import SF_SMALL
+    from kestrel.plans import workloads
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    try:
+        plan = workloads.q_block_pick(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(l_partkey,300)" in plan and "LessThanOrEqual(l_suppkey,119)" in plan
+
+
+def test_blocks_too_large_for_a_row(spark):
+    from kestrel.operators import coo_to_blocks
+    with pytest.raises(ValueError, match="cells"):
+        coo_to_blocks(spark.range(1).selectExpr("id AS i", "id AS j", "1.0D AS v"), 100_000, 100_000)
+
+
+def test_tuple_text(spark):
+    from kestrel.operators import coo_to_block_text, tuple_block_text
+    m = spark.createDataFrame([(1, 0, 2.0)], "i long, j long, v double")
+    text = tuple_block_text(coo_to_block_text(m, 2, 2, " %.2f")).first()[0]
+    assert text == "((0,0),\n 0.00 0.00\n 2.00 0.00\n)"

@@ -75,3 +75,43 @@ def test_adjacency_rows(spark, lines):
     df = adjacency_rows(lines(["3,2,1", "5", "7,6,"]))
     got = sorted((r["id"], list(r["adj"])) for r in df.collect())
     assert got == [(3, [2, 1]), (5, []), (7, [6])]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_a_bad_id_fails_whatever_the_ansi_setting(spark, lines, ansi):
+    from kestrel.sources import read_adjacency
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for text in ("x,2", "1,y", "1,,2"):
+            with pytest.raises(Exception, match="cannot parse id"):
+                read_adjacency(lines([text])).pairs.collect()
+        assert read_adjacency(lines(["1,", "2,3"])).pairs.count() == 2
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_regex_header_drops_an_empty_first_field(spark, lines):
+    from kestrel.sources import HeaderRule
+    text = ["id,v", ",1", "a,2"]
+    for on_null, want in ((None, [("a", 2)]), ("drop", [("a", 2)]), ("keep", [("", 1), ("a", 2)])):
+        rule = HeaderRule("regex", 0, "id", on_null)
+        got = parse_delimited(lines(text), "k string, v int", header=rule, on_error="null").collect()
+        assert sorted(map(tuple, got)) == want
+    first = parse_delimited(lines(["x", "9,y"]), "k string, v string", header=HeaderRule("letter", 1), on_error="null").collect()
+    assert len(first) == 1  # a missing field is no header; "y" is
+
+
+def test_only_selected_columns_are_converted(spark, lines):
+    df = parse_delimited(lines(["1,2,3"]), "a int, b double, c long", on_error="null").select("b")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("cast(") == 1
+
+
+def test_indices_beyond_int(spark, lines):
+    from kestrel.operators import add_cells, coo_to_blocks, cells
+    from kestrel.sources import read_coo
+    m = read_coo(lines(["3000000001, 2, 1.5", "0,0,1"]))
+    got = coo_to_blocks(cells(m), 10, 10).orderBy("bi").collect()
+    assert [(r["bi"], r["bj"]) for r in got] == [(0, 0), (300000000, 0)] and got[1]["data"][12] == 1.5
+    assert add_cells(m, m, 10, 10).agg({"v": "sum"}).first()[0] == 5.0

@@ -68,3 +68,27 @@ def test_render_block_layouts(spark):
     assert tab == "\n\t1.000\t2.500\t8.953\n\t0.000\t-0.000\t3.000\n"
     space = df.select(render_block("d", 2, 3, " %.2f")).first()[0]
     assert space == "\n 1.00 2.50 8.95\n 0.00 -0.00 3.00\n"
+
+
+EXTREMES = [(float("nan"), 0), (float("inf"), 2147483647), (float("-inf"), -2147483648), (3e9, 2147483647),
+            (-3e9, -2147483648), (2147483646.5, 2147483647), (-2147483647.5, -2147483647), (0.49999999999999994, 0)]
+
+
+def test_round_half_up_at_the_ends(spark):
+    df = spark.createDataFrame([(float(x),) for x, _ in EXTREMES], "x double")
+    assert [r[0] for r in df.select(round_half_up("x")).collect()] == [want for _, want in EXTREMES]
+    assert [r[0] for r in df.select(round_half_up(F.col("x").cast("float"))).limit(3).collect()] == [0, 2147483647, -2147483648]
+
+
+def test_floor_to_never_rounds_up(spark):
+    values = [9.999999999999997e-7, -9.999999999999997e-7, 1e-6, 1e-300, -1e-300, 0.0, 1e15, 2.5e-7]
+    df = spark.createDataFrame([(x,) for x in values], "x double")
+    got = [r[0] for r in df.select(floor_to("x")).collect()]
+    assert got == [0.0, -1e-6, 1e-6, 0.0, -1e-6, 0.0, 1e15, 0.0]
+    odd = spark.createDataFrame([(float("nan"),), (float("inf"),)], "x double").select(floor_to("x")).collect()
+    assert odd[0][0] != odd[0][0] and odd[1][0] == float("inf")
+
+
+def test_block_index_beyond_int(spark):
+    df = spark.createDataFrame([(3_000_000_007, )], "i long")
+    assert tuple(df.select(block_index("i", 10), block_offset("i", 10)).first()) == (300_000_000, 7)

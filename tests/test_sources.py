@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from kestrel.plans.materialize import write_and_reload, write_bucketed_and_reload
+from kestrel.plans.materialize import RunTables, write_and_reload
 from kestrel.plans.sql import run_sql
 from kestrel.sources import read_lines, render_lines, write_lines
 
@@ -35,8 +35,16 @@ def test_written_tables_round_trip(spark):
     df = spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
     back = write_and_reload(df, "t")
     assert back.count() == 100
-    bucketed = write_bucketed_and_reload(df, "b", 4, "k")
-    assert sorted(tuple(r) for r in bucketed.collect()) == sorted(tuple(r) for r in df.collect())
+    with RunTables(spark, "t") as tables:
+        bucketed = tables.write_bucketed(df, "b", 4, "k")
+        assert sorted(tuple(r) for r in bucketed.collect()) == sorted(tuple(r) for r in df.collect())
+        tables.write(df, "c")
+        folder = tables.path.removeprefix("file:")
+        assert sorted(os.listdir(folder)) == ["b", "c"]
+        tables.drop("c", "never_written")
+        assert os.listdir(folder) == ["b"]
+    assert not os.path.exists(folder) or not os.listdir(folder)
+    assert not spark.catalog.databaseExists(tables.database)
 
 
 def test_run_sql_scoped_frames_and_parameters(spark):

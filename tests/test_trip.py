@@ -48,17 +48,17 @@ def test_pig_dialect_nulls_and_negative(spark, lines):
 
 def test_sql_dialect_drop_float_and_min_count(spark, lines):
     data = GOOD + [trip("2.0", "abc"), trip("-2.5", "9.0")]
-    out = trip_means_sql(spark, lines(data), with_line=True).collect()
+    out = trip_means_sql(lines(data), with_line=True).collect()
     got = {r["distance"]: r["avg"] for r in out}
     assert set(got) == {-2, 1, 2, 3}
     # float amounts averaged in double: 4.8f widened
     assert got[1] == pytest.approx(4.800000190734863)
     assert [r["distance"] for r in out] == sorted(got)   # ORDER BY distance
     assert out[1]["line"].startswith("  1\t4.800")
-    kept = trip_means_sql(spark, lines(data), min_count=3).collect()
+    kept = trip_means_sql(lines(data), min_count=3).collect()
     assert [r["distance"] for r in kept] == [2]
 
 
 def test_sql_dialect_short_row_fails(spark, lines):
     with pytest.raises(Exception):
-        trip_means_sql(spark, lines(GOOD + ["1,2,3"])).collect()
+        trip_means_sql(lines(GOOD + ["1,2,3"])).collect()
