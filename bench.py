@@ -59,7 +59,9 @@ def main() -> None:
         master=f"local[{cpus}]", app="kestrel-bench",
         shuffle_partitions=max(2 * int(cpus), 8),
         conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
-              "spark.sql.files.maxPartitionBytes": str(32 * 1024 * 1024)})
+              "spark.sql.files.maxPartitionBytes": str(32 * 1024 * 1024),
+              # each bench table is one row group, which one task would read alone
+              "kestrel.scan.partitions": cpus})
     if warm_dir and os.path.isdir(warm_dir):
         for name in names:
             _run(spark, name, warm_dir)
