@@ -15,7 +15,6 @@ Columns other than the text are passed through untouched.
 from __future__ import annotations
 
 import base64
-import json
 import os
 from collections.abc import Iterator
 
@@ -25,8 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
+from kestrel.llm.textnum import map_batches
+
 #: Matches kept in a task's cache; beyond it the cache starts anew (bounds memory, not results).
-CACHE_SIZE = 200_000
+CACHE_SIZE = 150_000
 #: Longer matches are encoded each time, so that the cache stays small.
 CACHE_CHARS = 64
 
@@ -116,12 +117,18 @@ class Encoder:
         return out
 
 
+def token_bytes(ranks: dict[bytes, int]) -> dict[int, bytes]:
+    """Id -> bytes, by way of the tokenizer's characters: the byte table reversed."""
+    table = byte_characters()
+    back = {c: b for b, c in enumerate(table)}
+    return {i: bytes(back[c] for c in to_characters(t, table)) for t, i in ranks.items()}
+
+
 class Decoder:
-    """Joins the bytes of ids."""
+    """Joins the bytes of ids; ``tokens``: id -> bytes."""
 
-    def __init__(self, spec: str):
-        back = {c: b for b, c in enumerate(byte_characters())}
-        self.tokens = {i: bytes(back[c] for c in t) for t, i in json.loads(spec)["model"]["vocab"].items()}
+    def __init__(self, tokens: dict[int, bytes]):
+        self.tokens = tokens
 
     def decode(self, ids: bytes | None) -> bytes:
         """Bytes of little-endian unsigned 32-bit ids; a KeyError for an id that has no token."""
@@ -138,9 +145,9 @@ def _mapped(df: DataFrame, column: str, drop: tuple[str, ...], into: list[str],
         f = make()
         for batch in batches:
             at = 0
-            while at < batch.num_rows:  # about a megabyte of values at a time, one row at least
+            while at < batch.num_rows:  # about 256 kB of values at a time, one row at least
                 values, size = [], 0
-                while at + len(values) < batch.num_rows and size < 1 << 20:
+                while at + len(values) < batch.num_rows and size < 1 << 18:
                     values.append(batch.column(column)[at + len(values)].as_py())
                     size += len(values[-1] or "")
                 rows = batch.slice(at, len(values))
@@ -149,7 +156,7 @@ def _mapped(df: DataFrame, column: str, drop: tuple[str, ...], into: list[str],
                     [*(rows.column(c) for c in rest), *(pa.array(x, pa.binary()) for x in f(values))],
                     [*rest, *into])
 
-    return df.select(*dict.fromkeys([*rest, column])).mapInArrow(run, schema)
+    return map_batches(df.select(*dict.fromkeys([*rest, column])), run, schema)
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", into: str = "ids") -> DataFrame:
@@ -171,10 +178,10 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
 
     An id that the vocabulary lacks fails the job.  A null ``ids`` decodes to no bytes.
     """
-    spec = tokenizer_json(read_ranks(path))
+    tokens = token_bytes(read_ranks(path))
 
     def make():
-        decoder = Decoder(spec)
+        decoder = Decoder(tokens)
         return lambda values: [[decoder.decode(v) for v in values]]
 
     return _mapped(df, ids, (), [into], make)
@@ -182,10 +189,11 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
 
 def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """``df`` without ``text`` and with ``ids`` and ``decoded``, by one worker in each task."""
-    spec = tokenizer_json(read_ranks(path))
+    ranks = read_ranks(path)
+    spec, tokens = tokenizer_json(ranks), token_bytes(ranks)
 
     def make():
-        encoder, decoder = Encoder(spec, pattern), Decoder(spec)
+        encoder, decoder = Encoder(spec, pattern), Decoder(tokens)
 
         def both(texts):
             ids = encoder.encode(texts)

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from kestrel.llm.template import compile_template
+from kestrel.llm.textnum import map_batches
 
 START, END = "<|im_start|>", "<|im_end|>"
 CHAT_TEMPLATE = (
@@ -105,8 +106,8 @@ def render_conversations(df: DataFrame, template: str = CHAT_TEMPLATE) -> DataFr
                  pa.array([spans], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
                 ["conv_id", "formatted", "loss_spans"])
 
-    return _turns(df).mapInArrow(
-        run, "conv_id long, formatted string, loss_spans array<struct<start: long, end: long>>")
+    return map_batches(
+        _turns(df), run, "conv_id long, formatted string, loss_spans array<struct<start: long, end: long>>")
 
 
 def conversation_digests(df: DataFrame, template: str = CHAT_TEMPLATE) -> DataFrame:
@@ -149,8 +150,8 @@ def conversation_digests(df: DataFrame, template: str = CHAT_TEMPLATE) -> DataFr
                 out = []
         yield pa.RecordBatch.from_pylist(out, schema)
 
-    return _turns(df).mapInArrow(
-        run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
+    return map_batches(
+        _turns(df), run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
              "formatted_chars long")
 
 

@@ -30,10 +30,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.llm.textnum import WordHasher, separators, slices
+from kestrel.llm.textnum import WordHasher, map_batches, separators, slices
 
 WINDOW = 10
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 19
 BLOCK_BYTES = 4 << 20
 SEPARATORS = separators(bytes([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]) )
 SEPARATORS[65:91] = False  # lower-cased before words are cut
@@ -277,7 +277,7 @@ def _pass(df: DataFrame, tests: Tests, prefix: str, again: bool) -> DataFrame:
         if held:
             yield from flush(held)
 
-    return df.select(*rest, *(names if again else ())).mapInArrow(run, schema)
+    return map_batches(df.select(*rest, *(names if again else ())), run, schema)
 
 
 def match(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, prefix: str = "",

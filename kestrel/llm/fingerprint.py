@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.textnum import U64, WordHasher, flat
+from kestrel.llm.textnum import U64, WordHasher, flat, map_batches
 
 WIDTH = 64
 SPREAD = 64
@@ -236,6 +236,6 @@ def fingerprints(documents: DataFrame) -> DataFrame:
                 pa.array([likeness(own[i], own[i + 1]) for i in at], pa.float64())],
                 ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
-    return with_successors(documents).mapInArrow(
-        run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    return map_batches(
+        with_successors(documents), run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
              "near_edited double, near_next double")

@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kestrel.llm.textnum import map_batches
+
 # Classes of elements in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
@@ -429,7 +431,7 @@ def extract(pages: DataFrame, column: str = "html", into: str = "text") -> DataF
                 texts = pa.array([to_text(x) for x in rows.column(column).to_pylist()], pa.string())
                 yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in rest), texts], [*rest, into])
 
-    return pages.select(*dict.fromkeys([*rest, column])).mapInArrow(run, schema)
+    return map_batches(pages.select(*dict.fromkeys([*rest, column])), run, schema)
 
 
 def page_texts(pages: DataFrame) -> DataFrame:

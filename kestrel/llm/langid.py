@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kestrel.llm.folds import held_out
-from kestrel.llm.textnum import flat, slices
+from kestrel.llm.textnum import flat, map_batches, slices
 
 WINDOW = 256
 WIDTHS = (2, 3, 4, 5)
@@ -198,7 +198,7 @@ def predict(df: DataFrame, net: Network | None, prefix: str = "") -> DataFrame:
                      pa.array(score, pa.float64())], [*rest, language, sure])
 
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return (df.select(*rest).mapInArrow(run, schema)
+    return (map_batches(df.select(*rest), run, schema)
             .withColumn(sure, F.when(lettered, F.col(sure)).otherwise(0.0))
             .withColumn(language, F.when(lettered, F.col(language)).otherwise(UNKNOWN)))
 

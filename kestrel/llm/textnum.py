@@ -7,20 +7,35 @@ prefix sums, so that no Python object is made per word.  Nulls count as empty te
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 
 #: The 256 bytes with A-Z lower-cased.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+#: Rows of an Arrow batch between the JVM and a Python worker, where the session leaves Spark's
+#: default: documents may be long.
+BATCH_ROWS = 1000
+
+
+def map_batches(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
+    """``mapInArrow`` with batches of at most ``BATCH_ROWS`` rows."""
+    name, spark = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string array, and the n + 1 offsets of its texts."""
     arr = texts.cast(pa.large_binary())
