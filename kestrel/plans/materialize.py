@@ -7,6 +7,8 @@ came before.  The folder comes from ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from kestrel.session import scratch_path
@@ -50,6 +52,10 @@ class RunTables:
     def __exit__(self, *_) -> None:
         self.spark.sql(f"DROP DATABASE IF EXISTS {self.database} CASCADE")
 
+    def add(self, df: DataFrame, name: str) -> DataFrame:
+        """``write`` under a name of its own that begins with ``name``."""
+        return self.write(df, f"{name}_{uuid.uuid4().hex}")
+
     def write(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` as table ``name`` and read it back."""
         df.write.mode("errorifexists").format("parquet").saveAsTable(f"{self.database}.{name}")
