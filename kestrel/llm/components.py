@@ -8,6 +8,8 @@ with very many links is never gathered.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,10 +26,10 @@ def _state(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = write_and_reload) -> DataFrame:
     """``edges``: a, b (longs).  One row ``node, root`` for each node with a link; ``root`` is the
-    smallest node of its component."""
-    links = write_and_reload(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    smallest node of its component.  ``keep`` writes a round's table and reads it back."""
+    links = keep(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                              .filter("u <> v").distinct(), "links")
     state = _state(links)
     while True:
@@ -36,7 +38,7 @@ def components(edges: DataFrame) -> DataFrame:
         seen = _relink(large)
         small = (seen.select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(seen.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
-        links, before = write_and_reload(small, "links"), state
+        links, before = keep(small, "links"), state
         state = _state(links)
         if state == before:
             break

@@ -30,7 +30,7 @@ class.  An empty table gives no rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import groupby
 
 import numpy as np
@@ -39,8 +39,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm.components import components
-from kestrel.llm.textnum import U64, WordHasher, mix, separators, slices
-from kestrel.plans.materialize import write_and_reload
+from kestrel.llm.textnum import U64, WordHasher, map_batches, mix, separators, slices
+from kestrel.plans.materialize import RunTables, write_and_reload
 
 SIMILAR = (80, 100)  # intersection * 100 >= union * 80
 TOKENS = 48
@@ -57,6 +57,8 @@ MAX_BROADCAST = 1_000_000
 SLACK = 4.0  # standard deviations of the token agreement below the threshold
 SPACE = separators(b" \t\n\x0b\x0c\r")
 
+Keep = Callable[[DataFrame, str], DataFrame]
+
 _PAIR = U64(0xD6E8FEB86659FD93)
 _PATH = U64(0xA0761D6478BD642F)
 _PLACE = U64(0xE7037ED1A0B428DB)
@@ -133,9 +135,10 @@ def features(documents: DataFrame) -> DataFrame:
                     pa.array([tokens(s, factors).tobytes() if len(s) else None for s in sets], pa.binary())],
                     ["doc_id", "key", "n_shingles", "set_id", "tokens"])
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
-                            F.xxhash64("doc_id", "text").alias("key")).mapInArrow(
-        run, "doc_id long, key long, n_shingles long, set_id long, tokens binary")
+    named = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
+                             F.xxhash64("doc_id", "text").alias("key"))
+    return map_batches(
+        named, run, "doc_id long, key long, n_shingles long, set_id long, tokens binary")
 
 
 def _branch(rows: DataFrame, levels: int, similarity: float, trees: int | None = None) -> DataFrame:
@@ -158,7 +161,7 @@ def _branch(rows: DataFrame, levels: int, similarity: float, trees: int | None =
                      pa.array(path.view(np.int64))], ["set_id", "n_shingles", "path"])
 
     columns = ["set_id", "n_shingles", "tokens"] + ([] if trees else ["path"])
-    return rows.select(*columns).mapInArrow(run, "set_id long, n_shingles long, path long")
+    return map_batches(rows.select(*columns), run, "set_id long, n_shingles long, path long")
 
 
 def _linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -184,19 +187,22 @@ def spanning_links(ids: list[int], marks: np.ndarray, sets: list[np.ndarray], sp
         begin = split or i + 1
         same = (marks[begin:] == marks[i]).sum(axis=1)
         near = np.flatnonzero(same >= least)
-        left.append(np.full(len(near), i))
-        right.append(near + begin)
-        agree.append(same[near])
+        left.append(np.full(len(near), i, np.int32))
+        right.append((near + begin).astype(np.int32))
+        agree.append(same[near].astype(np.uint8))
     a, b = np.concatenate(left), np.concatenate(right)
-    order = np.argsort(-np.concatenate(agree), kind="stable")
+    order = np.argsort(TOKENS - np.concatenate(agree), kind="stable")
     a, b = a[order], b[order]
     while len(a):
-        for i, j in zip(a[:256].tolist(), b[:256].tolist()):
+        joined = False
+        for i, j in zip(a[:1024].tolist(), b[:1024].tolist()):
             if label[i] != label[j] and _linked(sets[i], sets[j]):
                 label[label == label[j]] = label[i]
-        a, b = a[256:], b[256:]
-        apart = label[a] != label[b]
-        a, b = a[apart], b[apart]
+                joined = True
+        a, b = a[1024:], b[1024:]
+        if joined:
+            apart = label[a] != label[b]
+            a, b = a[apart], b[apart]
     named = np.array(ids, np.int64)
     least = np.full(n, np.iinfo(np.int64).max)
     np.minimum.at(least, label, named)
@@ -224,7 +230,7 @@ def _compare(nodes: DataFrame) -> DataFrame:
         yield _pairs(found)
 
     dealt = nodes.select("path", "side", "set_id", "tokens", "shingles").repartition("path")
-    return dealt.sortWithinPartitions("path", "side", "set_id").mapInArrow(run, "a long, b long")
+    return map_batches(dealt.sortWithinPartitions("path", "side", "set_id"), run, "a long, b long")
 
 
 def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -232,11 +238,11 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
                                        pa.array([b for _, b in found], pa.int64())], ["a", "b"])
 
 
-def _sets(documents: DataFrame, needed: DataFrame) -> DataFrame:
+def _sets(documents: DataFrame, needed: DataFrame, keep: Keep) -> DataFrame:
     """``set_id, tokens, shingles`` (little-endian) of the sets in ``needed`` (set_id, key), made
     anew from the documents that they name."""
     rows = documents.select("text", F.xxhash64("doc_id", "text").alias("key"))
-    needed = write_and_reload(needed.select("key", "set_id"), "needed")
+    needed = keep(needed.select("key", "set_id"), "needed")
     if needed.count() <= MAX_BROADCAST:
         needed = F.broadcast(needed)
 
@@ -249,8 +255,8 @@ def _sets(documents: DataFrame, needed: DataFrame) -> DataFrame:
                     [part.column("set_id"), pa.array([tokens(s, factors).tobytes() for s in found], pa.binary()),
                      pa.array([s.tobytes() for s in found], pa.binary())], ["set_id", "tokens", "shingles"])
 
-    made = rows.join(needed, "key").select("set_id", "text").mapInArrow(
-        run, "set_id long, tokens binary, shingles binary")
+    made = map_batches(
+        rows.join(needed, "key").select("set_id", "text"), run, "set_id long, tokens binary, shingles binary")
     return made.dropDuplicates(["set_id"])
 
 
@@ -262,9 +268,9 @@ def _kept_nodes(rows: DataFrame) -> DataFrame:
     return stats.groupBy("n", "weight", "s").agg(F.min("path").alias("path")).select("path", "n", "weight")
 
 
-def links(documents: DataFrame, nodes: DataFrame, leaf: int = LEAF, max_steps: int = MAX_STEPS) -> list[DataFrame]:
+def links(documents: DataFrame, nodes: DataFrame, keep: Keep, leaf: int = LEAF, max_steps: int = MAX_STEPS) -> list[DataFrame]:
     """Tables of pairs ``a, b`` that connect all similar sets; ``nodes``: set_id, key, n_shingles,
-    tokens, one row for each distinct set."""
+    tokens, one row for each distinct set; ``keep`` writes a table and reads it back."""
     similarity = SIMILAR[0] / SIMILAR[1]
     n = nodes.count()
     if n < 2:
@@ -272,29 +278,29 @@ def links(documents: DataFrame, nodes: DataFrame, leaf: int = LEAF, max_steps: i
     levels = max(2, math.ceil(math.log(n) / -math.log(BACKGROUND)))
     # of the levels that large tree nodes may still take, one step is counted in
     trees = trees_needed(similarity, levels + STEP, RECALL)
-    rows = write_and_reload(_branch(nodes, levels, similarity, trees), "paths")
+    rows = keep(_branch(nodes, levels, similarity, trees), "paths")
     found: list[DataFrame] = []
     for step in range(max_steps + 1):
         is_leaf = (F.col("n") <= leaf) & ((F.col("weight") <= LEAF_SHINGLES) | (F.col("n") <= TINY))
-        members = write_and_reload(rows.join(_kept_nodes(rows), "path").withColumn("is_leaf", is_leaf), "members")
+        members = keep(rows.join(_kept_nodes(rows), "path").withColumn("is_leaf", is_leaf), "members")
         small = members.filter("is_leaf")
-        sets = _sets(documents, nodes.join(small, "set_id", "left_semi"))
+        sets = _sets(documents, nodes.join(small, "set_id", "left_semi"), keep)
         leaves = small.select("path", "set_id").join(sets, "set_id").withColumn("side", F.lit(0))
-        found.append(write_and_reload(_compare(leaves), "links"))
+        found.append(keep(_compare(leaves), "links"))
         large = members.filter("not is_leaf")
         if large.isEmpty():
             break
-        large = write_and_reload(large.select("path", "set_id", "n").join(nodes, "set_id"), "large")
-        found.append(_leader_links(documents, large))
-        rows, across = _after_leaders(large, components(_union(found)))
-        found.append(write_and_reload(_across(documents, nodes, large, across), "links"))
+        large = keep(large.select("path", "set_id", "n").join(nodes, "set_id"), "large")
+        found.append(_leader_links(documents, large, keep))
+        rows, across = _after_leaders(large, components(_union(found), keep), keep)
+        found.append(keep(_across(documents, nodes, across, keep), "links"))
         if rows.isEmpty():
             break
         if step == max_steps:
-            found.append(_block_links(documents, nodes, rows))
+            found.append(_block_links(documents, nodes, rows, keep))
             break
         on = rows.filter("branches").join(nodes.select("set_id", "tokens"), "set_id")
-        rows = write_and_reload(rows.filter("not branches").select("set_id", "n_shingles", "path").unionByName(
+        rows = keep(rows.filter("not branches").select("set_id", "n_shingles", "path").unionByName(
             _branch(on, STEP, similarity)), "paths")
     return found
 
@@ -306,7 +312,7 @@ def _union(tables: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _after_leaders(large: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _after_leaders(large: DataFrame, classes: DataFrame, keep: Keep) -> tuple[DataFrame, DataFrame]:
     """What is left to compare.  First the rows ``path, set_id, n_shingles, branches``: of a tree node
     half of which is one class, the other documents; of one without such a class, all.  Then
     ``set_id, root, to``: documents, their classes, and the classes of their tree nodes to compare
@@ -317,7 +323,7 @@ def _after_leaders(large: DataFrame, classes: DataFrame) -> tuple[DataFrame, Dat
     top = shares.groupBy("path").agg(F.max_by("root", F.struct("share", "root")).alias("top"),
                                      F.max("share").alias("share"))
     named = named.join(top, "path").withColumn("branches", F.col("share") * 2 < F.col("n"))
-    named = write_and_reload(named.select(
+    named = keep(named.select(
         "path", "set_id", "n_shingles", "root", "branches",
         F.when(~F.col("branches") & (F.col("root") != F.col("top")), F.col("top")).alias("to"),
         (F.col("root") == F.col("top")).alias("in_top")), "named")
@@ -325,7 +331,7 @@ def _after_leaders(large: DataFrame, classes: DataFrame) -> tuple[DataFrame, Dat
     return rest, named.select("set_id", "root", "to")
 
 
-def _across(documents: DataFrame, nodes: DataFrame, large: DataFrame, across: DataFrame) -> DataFrame:
+def _across(documents: DataFrame, nodes: DataFrame, across: DataFrame, keep: Keep) -> DataFrame:
     """Pairs that connect documents with the classes ``to`` of their tree nodes: each document is
     compared with each member of the class, in blocks of both."""
     ours = across.filter("to is not null").select("set_id", "to").distinct()
@@ -341,11 +347,11 @@ def _across(documents: DataFrame, nodes: DataFrame, large: DataFrame, across: Da
         blocks = ("mine", "others") if side == 0 else ("others", "mine")
         return rows.select(F.xxhash64("to", *blocks).alias("path"), F.lit(side).alias("side"), "set_id")
 
-    pairs = write_and_reload(dealt(ours, 0, "n0", "n1").unionByName(dealt(theirs, 1, "n1", "n0")), "across")
-    return _compare(pairs.join(_sets(documents, nodes.join(pairs, "set_id", "left_semi")), "set_id"))
+    pairs = keep(dealt(ours, 0, "n0", "n1").unionByName(dealt(theirs, 1, "n1", "n0")), "across")
+    return _compare(pairs.join(_sets(documents, nodes.join(pairs, "set_id", "left_semi"), keep), "set_id"))
 
 
-def _leader_links(documents: DataFrame, large: DataFrame) -> DataFrame:
+def _leader_links(documents: DataFrame, large: DataFrame, keep: Keep) -> DataFrame:
     """Links of large tree nodes' documents to the best of their nodes' leaders, ``LEADERS`` each
     chosen by hash.  Just a head start: nothing is left out for lack of such a link."""
     hashes = [F.xxhash64(F.lit(k), F.col("set_id")) for k in range(LEADERS)]
@@ -366,11 +372,11 @@ def _leader_links(documents: DataFrame, large: DataFrame) -> DataFrame:
                     [batch.column("set_id").take(pick), batch.column("to").take(pick),
                      pa.array(agree[agree >= threshold * TOKENS].astype(np.int32))], ["set_id", "to", "agree"])
 
-    near = pairs.mapInArrow(run, "set_id long, to long, agree int")
-    best = write_and_reload(near.groupBy("set_id").agg(F.max_by("to", F.struct("agree", "to")).alias("to")), "leaders")
+    near = map_batches(pairs, run, "set_id long, to long, agree int")
+    best = keep(near.groupBy("set_id").agg(F.max_by("to", F.struct("agree", "to")).alias("to")), "leaders")
     ids = best.select("set_id").unionByName(best.select(F.col("to").alias("set_id")))
-    sets = write_and_reload(_sets(documents, large.select("set_id", "key").dropDuplicates(["set_id"]).join(
-        ids, "set_id", "left_semi")), "sets")
+    sets = keep(_sets(documents, large.select("set_id", "key").dropDuplicates(["set_id"]).join(
+        ids, "set_id", "left_semi"), keep), "sets")
     both = best.join(sets.select("set_id", "shingles"), "set_id").join(
         sets.select(F.col("set_id").alias("to"), F.col("shingles").alias("to_shingles")), "to")
 
@@ -381,40 +387,43 @@ def _leader_links(documents: DataFrame, large: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("set_id").filter(pa.array(ok, pa.bool_())),
                                               batch.column("to").filter(pa.array(ok, pa.bool_()))], ["a", "b"])
 
-    return write_and_reload(both.select("set_id", "to", "shingles", "to_shingles").mapInArrow(confirm, "a long, b long"), "links")
+    both = both.select("set_id", "to", "shingles", "to_shingles")
+    return keep(map_batches(both, confirm, "a long, b long"), "links")
 
 
-def _block_links(documents: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
+def _block_links(documents: DataFrame, nodes: DataFrame, rows: DataFrame, keep: Keep) -> DataFrame:
     """Pairs that connect tree nodes which stayed large: exhaustive over pairs of blocks."""
     size = rows.groupBy("path").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = rows.select("path", "set_id").join(size, "path").withColumn(
         "own", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
-    pairs = write_and_reload(dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+    pairs = keep(dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other")).alias("path"),
         F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "set_id"), "blocks")
-    sets = _sets(documents, nodes.join(pairs, "set_id", "left_semi"))
-    return write_and_reload(_compare(pairs.join(sets, "set_id")), "links")
+    sets = _sets(documents, nodes.join(pairs, "set_id", "left_semi"), keep)
+    return keep(_compare(pairs.join(sets, "set_id")), "links")
 
 
 def near_duplicates(documents: DataFrame, leaf: int = LEAF, max_steps: int = MAX_STEPS) -> DataFrame:
-    """Per document: size of its set, the smallest doc_id of its class, and whether it is that one."""
-    rows = write_and_reload(features(documents), "features")
-    nodes = write_and_reload(rows.filter("n_shingles > 0").groupBy("set_id").agg(
-        F.min("key").alias("key"), F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens")), "sets")
-    found = links(documents, nodes, leaf, max_steps)
-    narrow = rows.select("doc_id", "n_shingles", "set_id")
-    if found:
-        classes = write_and_reload(components(_union(found)), "classes")
-        narrow = narrow.join(classes.withColumnRenamed("node", "set_id"), "set_id", "left")
-        narrow = narrow.withColumn("root", F.coalesce("root", "set_id"))
-    else:
-        narrow = narrow.withColumn("root", F.col("set_id"))
-    narrow = write_and_reload(narrow, "rooted")
-    first = narrow.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
-    out = narrow.join(first, "root", "left").withColumn(
-        "component_id", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")))
-    return out.select("doc_id", "n_shingles", "component_id",
-                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    """Per document: size of its set, the smallest doc_id of its class, and whether it is that one.
+    Tables on the way are dropped; what is returned is read from a written one."""
+    with RunTables(documents.sparkSession, "near-duplicates") as tables:
+        rows = tables.add(features(documents), "features")
+        nodes = tables.add(rows.filter("n_shingles > 0").groupBy("set_id").agg(
+            F.min("key").alias("key"), F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens")), "nodes")
+        found = links(documents, nodes, tables.add, leaf, max_steps)
+        narrow = rows.select("doc_id", "n_shingles", "set_id")
+        if found:
+            classes = components(_union(found), tables.add)
+            narrow = narrow.join(classes.withColumnRenamed("node", "set_id"), "set_id", "left")
+            narrow = narrow.withColumn("root", F.coalesce("root", "set_id"))
+        else:
+            narrow = narrow.withColumn("root", F.col("set_id"))
+        narrow = tables.add(narrow, "rooted")
+        first = narrow.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
+        out = narrow.join(first, "root", "left").withColumn(
+            "component_id", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")))
+        return write_and_reload(out.select(
+            "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")), "classes")
 
 
 NEAR_SQL = r"""

@@ -22,7 +22,7 @@ import random
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.plans.materialize import write_and_reload
+from kestrel.plans.materialize import RunTables, write_and_reload
 
 MAX_GROUPS = 4096
 BLOCK_ROWS = 100_000
@@ -87,28 +87,29 @@ def exact_shuffle(df: DataFrame, n_shards: int, seed: int = 7) -> DataFrame:
     spark = df.sparkSession
     keep = [c for c in df.columns if c not in ("shard", "slot")]
     row = F.struct(*keep) if keep else F.struct(F.lit(0).alias("none"))
-    held = write_and_reload(df.select(
-        row.alias("row"), F.spark_partition_id().alias("source"),
-        F.rand(seed).alias("first"), F.rand(seed + 1).alias("second")), "shuffle-rows")
-    sources = held.agg((F.max("source") + 1).alias("n")).first()["n"] or 1
-    groups = min(sources, MAX_GROUPS)
-    grouped = held.withColumn("part", F.floor(F.col("source") * F.lit(groups) / F.lit(sources)).cast("int"))
-    sizes = {r["part"]: r["count"] for r in grouped.groupBy("part").count().collect()}
-    rows = [sizes.get(i, 0) for i in range(groups)]
-    total = sum(rows)
-    shards = [total // n_shards + (j < total % n_shards) for j in range(n_shards)]
-    ends = []
-    for counts in communication_matrix(rows, shards, seed):
-        ends.append([sum(counts[:j + 1]) for j in range(n_shards)])
-    table = spark.range(1).select(F.posexplode(
-        F.from_json(F.lit(json.dumps(ends)), "array<array<bigint>>")).alias("part", "ends"))
-
-    local = Window.partitionBy("part").orderBy("first", "second")
-    sent = (grouped.withColumn("rank", F.row_number().over(local) - 1)
-            .join(F.broadcast(table), "part")  # MAX_GROUPS rows at most
-            .select("row", "second", F.size(F.filter("ends", lambda e: e <= F.col("rank"))).alias("shard")))
-    blocks = max(MIN_BLOCKS, math.ceil(total / n_shards / BLOCK_ROWS))
-    sent = write_and_reload(sent.withColumn("block", F.floor(F.col("second") * blocks).cast("int")), "shuffle-sent")
+    with RunTables(spark, "shuffle") as tables:
+        held = tables.write(df.select(
+            row.alias("row"), F.spark_partition_id().alias("source"),
+            F.rand(seed).alias("first"), F.rand(seed + 1).alias("second")), "rows")
+        sources = held.agg((F.max("source") + 1).alias("n")).first()["n"] or 1
+        groups = min(sources, MAX_GROUPS)
+        grouped = held.withColumn("part", F.floor(F.col("source") * F.lit(groups) / F.lit(sources)).cast("int"))
+        sizes = {r["part"]: r["count"] for r in grouped.groupBy("part").count().collect()}
+        rows = [sizes.get(i, 0) for i in range(groups)]
+        total = sum(rows)
+        shards = [total // n_shards + (j < total % n_shards) for j in range(n_shards)]
+        ends = []
+        for counts in communication_matrix(rows, shards, seed):
+            ends.append([sum(counts[:j + 1]) for j in range(n_shards)])
+        table = spark.range(1).select(F.posexplode(
+            F.from_json(F.lit(json.dumps(ends)), "array<array<bigint>>")).alias("part", "ends"))
+
+        local = Window.partitionBy("part").orderBy("first", "second")
+        sent = (grouped.withColumn("rank", F.row_number().over(local) - 1)
+                .join(F.broadcast(table), "part")  # MAX_GROUPS rows at most
+                .select("row", "second", F.size(F.filter("ends", lambda e: e <= F.col("rank"))).alias("shard")))
+        blocks = max(MIN_BLOCKS, math.ceil(total / n_shards / BLOCK_ROWS))
+        sent = write_and_reload(sent.withColumn("block", F.floor(F.col("second") * blocks).cast("int")), "shuffle-sent")
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     start = (sent.groupBy("shard", "block").count()
              .select("shard", "block", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start")))
