@@ -36,8 +36,9 @@ def binned(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
 
 
 def boost(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 3, rate: float = 0.15, bins: int = 32,
-          smooth: float = 1.0) -> Trees:
-    """Newton steps on the logistic loss; the split with the most gain in each node of a level."""
+          smooth: float = 1.0, least: float = 0.1) -> Trees:
+    """Newton steps on the logistic loss; the split with the most gain in each node of a level, if it
+    gains ``least`` and leaves as much curvature on either side."""
     edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(x.shape[1])]
     b, (n, f) = binned(x, edges), x.shape
     share = np.clip(y.mean(), 1e-4, 1 - 1e-4)
@@ -61,8 +62,9 @@ def boost(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 3, rate: f
                 return a * a / (c + smooth)
 
             value = gain(sums_g, sums_h) + gain(all_g - sums_g, all_h - sums_h) - gain(all_g, all_h)
+            value = np.where((sums_h >= least) & (all_h - sums_h >= least), value, 0.0)
             best = value.reshape(width, -1).argmax(1)
-            found = value.reshape(width, -1)[np.arange(width), best] > 1e-6
+            found = value.reshape(width, -1)[np.arange(width), best] >= least
             nodes = first + np.arange(width)
             feature[t, nodes] = np.where(found, best // (bins + 1), 0)
             cut[t, nodes] = np.where(found, best % (bins + 1), bins)
@@ -73,18 +75,20 @@ def boost(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 3, rate: f
     return Trees(edges, base, feature, cut, leaf)
 
 
-def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pool adjacent violators: knots (score, share of ones), both non-decreasing."""
-    order = np.argsort(score, kind="stable")
+def isotonic(score: np.ndarray, y: np.ndarray, prior: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+    """Pool adjacent violators: knots (score, share of ones), both non-decreasing.  ``prior``: so many
+    rows with the average share are added to each pool, so that a small one says little."""
+    values, group = np.unique(score, return_inverse=True)  # rows of one score stay together
+    all_ones, all_rows = np.bincount(group, y), np.bincount(group)
     blocks: list[list[float]] = []  # ones, rows, lowest and highest score
-    for s, one in zip(score[order], y[order]):
-        blocks.append([float(one), 1.0, s, s])
-        while len(blocks) > 1 and (blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]
-                                   or blocks[-2][3] == blocks[-1][2]):
+    for s, one, n in zip(values, all_ones, all_rows):
+        blocks.append([float(one), float(n), s, s])
+        while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
             ones, rows, _, high = blocks.pop()
             blocks[-1][0] += ones
             blocks[-1][1] += rows
             blocks[-1][3] = high
     xs = np.array([v for b in blocks for v in (b[2], b[3])])
-    ys = np.array([b[0] / b[1] for b in blocks for _ in (0, 1)])
+    ys = np.array([(b[0] + prior * y.mean()) / (b[1] + prior) for b in blocks for _ in (0, 1)])
+    ys = np.maximum.accumulate(ys)
     return xs, ys

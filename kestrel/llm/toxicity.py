@@ -5,9 +5,10 @@ near second-person words, capitals, punctuation, digits, and obfuscation (hits t
 look-alike characters are mapped back and marks inside words are taken out).
 
 Learning takes a bounded sample, ``SAMPLE`` labelled documents that aren't held out, chosen by a
-hash of their id.  Half of it (by another hash) gives the learned lexicon: words and beginnings
-that occur in many more toxic than clean documents.  The other half trains the trees; predictions
-across ``FOLDS`` folds of it calibrate the scores (isotonic regression).  Scoring covers every byte
+hash of their id.  Of near copies (texts whose smallest hash of two words is the same) one is kept,
+so that they don't count as independent evidence.  Half of the rest gives the learned lexicon: words
+and beginnings that occur in many more toxic than clean documents.  The other half trains the trees;
+predictions across ``FOLDS`` folds of it calibrate the scores (isotonic regression).  Scoring covers every byte
 of every text.
 
 Null and empty texts have no words and are scored like any other text.  Labels other than 0 and 1
@@ -30,14 +31,17 @@ from pyspark.sql import types as T
 
 from kestrel.llm.boosting import Trees, boost, isotonic
 from kestrel.llm.folds import held_out
-from kestrel.llm.textnum import LOWER, U64, WordHasher, flat, separators, slices
-from kestrel.plans.materialize import write_and_reload
+from kestrel.llm.textnum import LOWER, U64, WordHasher, flat, map_batches, mix, separators, slices
+from kestrel.plans.materialize import RunTables
 
 SAMPLE = 10_000
 FOLDS = 3
+#: Rows of the average share added to each pool of the calibration.
+PRIOR = 10.0
 THRESHOLD = 0.3
-#: A learned entry occurs in so many toxic documents of its half, and its log-odds are so high.
-MIN_SHARE, MIN_DOCUMENTS, MIN_ODDS = 0.004, 3, 2.0
+#: A learned entry occurs in such a share of its half's toxic documents, its log-odds are so high,
+#: and its count lies so many standard deviations above what chance gives.
+MIN_SHARE, MIN_ODDS, MIN_DEVIATIONS = 0.01, 3.0, 4.0
 LEXICON_SIZE = 4000
 NEAR = 5  # words between a hit and a second-person word
 BEGINNINGS = (4, 5, 6)  # bytes
@@ -189,9 +193,10 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
     total = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     bad, good = total.get(1, 0), total.get(0, 0)
     odds = (F.log((F.col("bad") + 0.5) / F.lit(bad + 1.0)) - F.log((F.col("all") - F.col("bad") + 0.5) / F.lit(good + 1.0)))
-    found = (rows.select("text", "toxic").mapInArrow(run, "h long, toxic int")
+    chance = F.col("all") * F.lit(bad / max(bad + good, 1))
+    found = (map_batches(rows.select("text", "toxic"), run, "h long, toxic int")
              .groupBy("h").agg(F.sum("toxic").alias("bad"), F.count("*").alias("all"))
-             .filter(F.col("bad") >= max(MIN_DOCUMENTS, MIN_SHARE * bad))
+             .filter((F.col("bad") >= MIN_SHARE * bad) & (F.col("bad") - chance >= MIN_DEVIATIONS * F.sqrt(chance)))
              .select("h", odds.alias("odds"), "bad").filter(F.col("odds") >= MIN_ODDS)
              .orderBy(F.desc("odds"), "h").limit(LEXICON_SIZE).collect())
     hashes = np.array([r["h"] for r in found], np.int64).view(np.uint64)
@@ -200,17 +205,30 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
     return Lexicon(_hash(SEED_WORDS), _hash(SECOND_PERSON), hashes[order], weight[order])
 
 
+def _with_kin(rows: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, toxic, text) with ``kin``: the smallest hash of two neighbouring words, which
+    near copies share more often than not."""
+    def run(batches):
+        hasher = WordHasher(NOT_WORD)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                hashes, per_text = hasher.words(part.column("text"))
+                pairs = mix(hashes[:-1] ^ (hashes[1:] << U64(1)))
+                kin = [int(pairs[a:b - 1].min() >> U64(1)) if b - a > 1 else int(hashes[a] >> U64(1)) if b > a else 0
+                       for a, b in zip(per_text[:-1], per_text[1:])]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "toxic", "text")),
+                                                  pa.array(kin, pa.int64())], ["doc_id", "toxic", "text", "kin"])
+
+    rows = rows.select("doc_id", "toxic", "text")
+    return map_batches(rows, run, T.StructType([*rows.schema.fields, T.StructField("kin", T.LongType())]))
+
+
 def fit(documents: DataFrame, labels: DataFrame) -> Model | None:
     """Learn from the labelled documents that aren't held out."""
     place = F.xxhash64(F.lit("sample"), F.col("doc_id"))
     chosen = (labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
               .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
               .orderBy(place, "doc_id").limit(SAMPLE))
-    rows = write_and_reload(  # SAMPLE rows of two numbers are broadcast
-        documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-        .withColumn("half", F.pmod(F.xxhash64(F.lit("half"), F.col("doc_id")), F.lit(2))), "toxicity-sample")
-    lexicon = learn_lexicon(rows.filter("half = 0"))
-
     def run(batches):
         featurizer = Featurizer(lexicon)
         for batch in batches:
@@ -219,10 +237,16 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model | None:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), pa.array(list(x))],
                                                  ["doc_id", "toxic", "x"])
 
-    got = (rows.filter("half = 1").select("doc_id", "toxic", "text")
-           .mapInArrow(run, T.StructType([rows.schema["doc_id"], rows.schema["toxic"],
-                                          T.StructField("x", T.ArrayType(T.DoubleType()))]))
-           .orderBy(place, "doc_id", "x").collect())
+    with RunTables(documents.sparkSession, "toxicity") as tables:
+        rows = tables.write(  # SAMPLE rows of two numbers are broadcast
+            _with_kin(documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")), "sample")
+        first = rows.groupBy("kin", "toxic").agg(F.min("doc_id").alias("doc_id"))
+        rows = rows.join(F.broadcast(first), ["kin", "toxic", "doc_id"]).withColumn(
+            "half", F.pmod(F.xxhash64(F.lit("half"), F.col("kin")), F.lit(2)))
+        lexicon = learn_lexicon(rows.filter("half = 0"))
+        schema = T.StructType([rows.schema["doc_id"], rows.schema["toxic"], T.StructField("x", T.ArrayType(T.DoubleType()))])
+        got = (map_batches(rows.filter("half = 1").select("doc_id", "toxic", "text"), run, schema)
+               .orderBy(place, "doc_id", "x").collect())
     y = np.array([r["toxic"] for r in got], float)
     if len(set(y)) < 2:
         return None
@@ -231,7 +255,7 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model | None:
     raw = np.zeros(len(y))
     for k in range(FOLDS):
         raw[fold == k] = boost(x[fold != k], y[fold != k]).raw(x[fold == k])
-    return Model(lexicon, boost(x, y), *isotonic(raw, y))
+    return Model(lexicon, boost(x, y), *isotonic(raw, y, PRIOR))
 
 
 def score(df: DataFrame, model: Model | None, prefix: str = "") -> DataFrame:
@@ -253,7 +277,7 @@ def score(df: DataFrame, model: Model | None, prefix: str = "") -> DataFrame:
                     [*(rows.column(c) for c in rest), pa.array(s),
                      pa.array((s >= THRESHOLD).astype(np.int32))], [*rest, *names])
 
-    return df.select(*rest).mapInArrow(run, schema)
+    return map_batches(df.select(*rest), run, schema)
 
 
 def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
