@@ -18,7 +18,7 @@ def main(argv=None) -> None:
     t.add_argument("--dialect", choices=["mapreduce", "pig", "sql"], default="mapreduce")
     t.add_argument("--min-count", type=int, default=1)
 
-    s = sub.add_parser("simple", help="mean of int,double lines per key")
+    s = sub.add_parser("simple", help="mean of key,value lines per key")
     s.add_argument("input"), s.add_argument("output")
 
     j = sub.add_parser("join", help="employees x departments on dno")
@@ -31,6 +31,8 @@ def main(argv=None) -> None:
     a.add_argument("--inner", action="store_true")
     a.add_argument("--cell-format", default="\t%.3f")
     a.add_argument("--block", type=int, nargs=2, default=None)
+    a.add_argument("--duplicates", choices=["error", "sum", "max"], default="error")
+    a.add_argument("--tuple-text", action="store_true")
 
     g = sub.add_parser("graph", help="group sizes after min-label propagation")
     g.add_argument("input"), g.add_argument("output")
@@ -48,7 +50,7 @@ def main(argv=None) -> None:
     elif args.job == "add":
         jobs.add_job(spark, args.m, args.n, args.rows, args.cols, args.output,
                      "inner" if args.inner else "outer", args.cell_format,
-                     tuple(args.block) if args.block else None)
+                     tuple(args.block) if args.block else None, args.duplicates, args.tuple_text)
     elif args.job == "graph":
         jobs.graph_job(spark, args.input, args.output, args.rounds, not args.explicit_only)
     spark.stop()
