@@ -36,7 +36,7 @@ def binned(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
 
 
 def boost(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 3, rate: float = 0.15, bins: int = 32,
-          smooth: float = 1.0, least: float = 0.1) -> Trees:
+          smooth: float = 1.0, least: float = 1.0) -> Trees:
     """Newton steps on the logistic loss; the split with the most gain in each node of a level, if it
     gains ``least`` and leaves as much curvature on either side."""
     edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(x.shape[1])]

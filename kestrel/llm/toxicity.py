@@ -37,7 +37,7 @@ from kestrel.plans.materialize import RunTables
 SAMPLE = 10_000
 FOLDS = 3
 #: Rows of the average share added to each pool of the calibration.
-PRIOR = 10.0
+PRIOR = 20.0
 THRESHOLD = 0.3
 #: A learned entry occurs in such a share of its half's toxic documents, its log-odds are so high,
 #: and its count lies so many standard deviations above what chance gives.

@@ -27,16 +27,18 @@ def test_held_out_quality(spark):
 
 def test_awkward_rows(spark):
     bad, good = "you are a stupid idiot and a worthless loser ", "this is a friendly note about the garden "
-    docs = [(i, (bad if i % 3 == 0 else good) * (1 + i % 4)) for i in range(120)]
-    docs += [(200, None), (201, ""), (202, bad * 5000), (None, bad), (203, "St.u.p1d 1d10t, you w0rthless m0ron!!"), (3, bad)]
-    labels = [(i, 1, int(i % 3 == 0)) for i in range(120)] + [(1, 1, None), (1, 0, 7), (None, 1, 1), (4, 1, 0)]
+    # texts of their own: copies are learned from once
+    rng = np.random.default_rng(2)
+    docs = [(i, " ".join(f"word{k}" for k in rng.integers(0, 500, 20 + i % 17)) + " " + (bad if i % 6 == 0 else good)) for i in range(300)]
+    docs += [(900, None), (901, ""), (902, bad * 5000), (None, bad), (903, "St.u.p1d 1d10t, you w0rthless m0ron!!"), (3, bad)]
+    labels = [(i, 1, int(i % 6 == 0)) for i in range(300)] + [(1, 1, None), (1, 0, 7), (None, 1, 1), (4, 1, 0)]
     df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "0 AS toxic", "'mine' AS score")
     marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int").selectExpr("*", "'x' AS text")
     got = toxicity.toxicity(df, marks).collect()
     assert len(got) == len(docs)
     by_id = {r["doc_id"]: r for r in got}
-    assert by_id[202]["predicted"] == by_id[None]["predicted"] == by_id[0]["predicted"] == 1
-    assert by_id[1]["predicted"] == by_id[200]["predicted"] == by_id[201]["predicted"] == 0
+    assert by_id[902]["predicted"] == by_id[None]["predicted"] == by_id[0]["predicted"] == 1
+    assert by_id[1]["predicted"] == by_id[900]["predicted"] == by_id[901]["predicted"] == 0
     assert {r["score"] for r in toxicity.score(df, toxicity.fit(df, marks), "__").collect()} == {"mine"}
 
 
