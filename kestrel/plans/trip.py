@@ -30,11 +30,9 @@ HEADER_PATTERN = ".*VendorID.*"
 MAX_DISTANCE = 200
 
 
-def trip_schema(types: dict[int, str] | None = None) -> str:
-    """The whole record: ``f0 .. f18``, strings unless ``types`` (by
-    position) says otherwise; the distance and the amount are doubles."""
-    given = {DISTANCE_FIELD: "double", AMOUNT_FIELD: "double"} | (types or {})
-    return ", ".join(f"f{k} {given.get(k, 'string')}" for k in range(TRIP_FIELDS))
+def trip_schema(types: dict[int, str]) -> str:
+    """The whole record, ``f0 .. f18``: strings unless ``types`` (by position) says otherwise."""
+    return ", ".join(f"f{k} {types.get(k, 'string')}" for k in range(TRIP_FIELDS))
 
 
 def trip_means_mapreduce(lines: DataFrame, *, distance_field: int = DISTANCE_FIELD,
@@ -64,12 +62,11 @@ def trip_means_pig(lines: DataFrame, *, distance_field: int = DISTANCE_FIELD,
     convert, or are missing, become null; a null distance is dropped by the
     bound, a null amount is ignored by both SUM and COUNT.
     """
-    parsed = parse_delimited(
-        lines, f"distance double, amount {amount_type}",
-        header=HeaderRule("regex", 0, header_pattern),
-        positions={"distance": distance_field, "amount": amount_field},
-        on_error="null")
-    return bucket_mean(parsed, "distance", "amount", min_key=None, max_key=max_key,
+    # The whole record is declared; only the two fields used are converted.
+    record = parse_delimited(
+        lines, trip_schema({distance_field: "double", amount_field: amount_type}),
+        header=HeaderRule("regex", 0, header_pattern), on_error="null")
+    return bucket_mean(record, f"f{distance_field}", f"f{amount_field}", min_key=None, max_key=max_key,
                        key_name="distance", mean_name="mean")
 
 
