@@ -83,13 +83,22 @@ class Builder:
     def __init__(self):
         self.root = Node("html")
         self.open = [self.root]
+        self.count: dict[str, int] = {}  # open elements by tag, so that deep pages aren't searched in vain
+
+    def pop(self, i: int) -> None:
+        """Close the open elements from position ``i`` on."""
+        for node in self.open[i:]:
+            self.count[node.tag] -= 1
+        del self.open[i:]
 
     def close(self, tags: frozenset[str] | set[str], stop: frozenset[str] = SCOPE) -> bool:
         """Close the innermost open element among ``tags``, and all inside it, unless one of
         ``stop`` lies between."""
+        if not any(self.count.get(tag) for tag in tags):
+            return False
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag in tags:
-                del self.open[i:]
+                self.pop(i)
                 return True
             if self.open[i].tag in stop:
                 return False
@@ -104,9 +113,9 @@ class Builder:
         elif tag in ("dt", "dd"):
             self.close({"dt", "dd"}, SCOPE | {"dl"})
         elif tag in HEADINGS and self.open[-1].tag in HEADINGS:
-            self.open.pop()
+            self.pop(len(self.open) - 1)
         elif tag in ("option", "optgroup") and self.open[-1].tag == "option":
-            self.open.pop()
+            self.pop(len(self.open) - 1)
         elif tag in CELLS or tag == "tr" or tag in SECTIONS or tag in ("caption", "colgroup"):
             inside = frozenset({"table", "html", "template"})
             self.close(CELLS | {"caption"}, inside)
@@ -132,11 +141,12 @@ class Builder:
         self.imply(tag)
         if tag not in ("head", "title", "meta", "link", "script", "style", "base", "noscript", "template") \
                 and self.open[-1].tag == "head":
-            self.open.pop()
+            self.pop(len(self.open) - 1)
         node = Node(tag, attributes)
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.open.append(node)
+            self.count[tag] = self.count.get(tag, 0) + 1
 
     def end(self, tag: str) -> None:
         """An end tag; one without its start tag is ignored (``</br>`` is a line break)."""
@@ -159,7 +169,7 @@ class Builder:
         if top.tag == "head":
             if not text.strip(_SPACES):
                 return
-            self.open.pop()
+            self.pop(len(self.open) - 1)
             top = self.open[-1]
         top.children.append(text)
 

@@ -58,10 +58,14 @@ def test_decode_null_ids(spark):
     assert [bytes(r["decoded"]) for r in bpe.decode(df, PATH).collect()] == [b""]
 
 
+@pytest.fixture(scope="module")
+def encoder(spec):
+    return bpe.Encoder(spec, public_tokenizers.PATTERN)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.characters(exclude_categories=["Cs"]), max_size=60))
-def test_any_text(spec, reference, text):
-    encoder = test_any_text.__dict__.setdefault("encoder", bpe.Encoder(spec, public_tokenizers.PATTERN))
+def test_any_text(encoder, reference, text):
     assert encoder.encode([text])[0] == packed(reference.encode_ordinary(text))
 
 
