@@ -1,11 +1,13 @@
 """Near-duplicate documents by a chosen-path set similarity join.
 
 A document's set is its distinct two-word shingles; documents link if 100 * |A & B| >= 80 * |A | B|.
-Documents with equal sets are one node from the start.  A node has ``TOKENS`` minwise tokens.  In
-each of several independent trees a document starts at the root and descends along tokens: at a
-tree node, positions are chosen by a hash of the path (one, now and then two, on average
-1 / similarity), and the document goes on to the child for its token at each.  Similar documents
-share tokens and so meet; the number of trees follows from the wanted recall at the threshold.
+Documents with equal sets are one node from the start.  A node has ``TOKENS`` minwise tokens that
+sort and sift pairs, and ``TREE_TOKENS`` others for each tree.  In each of several trees a document
+starts at the root and descends along the tree's tokens: at a tree node, positions are chosen by a
+hash of the path (one, now and then two, on average 1 / similarity), and the document goes on to the
+child for its token at each.  Similar documents share tokens and so meet.  No two trees share a
+token, so they are independent; their number follows from the wanted recall at the threshold, the
+binomial agreement of a tree's tokens and the depth.
 
 Tree nodes of one document are dropped, and of tree nodes with the same members one is kept.  Small
 ones (``LEAF`` documents) are compared exhaustively: token agreement sorts the pairs, pairs that
@@ -13,9 +15,13 @@ aren't connected yet are confirmed on the full sets, and each class found is tol
 smallest set with each other one), never as all pairs.  Larger ones first link their documents to a
 few leaders.  Where half of a tree node's documents are of one class by then, the others are
 compared with that class, once for all trees and block by block, and with each other in a tree node
-of their own; where not, the documents branch on, ``STEP`` levels at a time.  What is still large
-after ``MAX_STEPS`` such steps is compared exhaustively, block by block.  Components of all links
-give each document its class.
+of their own; where not, the documents branch on, ``STEP`` levels at a time, and as fewer pairs survive a longer
+path, they are put into further trees, down to the same depth.  What is still large after
+``MAX_STEPS`` such steps is compared exhaustively, block by block.  Components of all links give each
+document its class.
+
+A pair is missed with a chance of ``1 - RECALL`` at most: half of it goes to the first depth, half of
+the rest to each further step, and what is left to the sifting by token agreement.
 
 The depth of the first comparison grows with the logarithm of the number of sets.  Ids of sets
 needed for the comparisons are broadcast only up to ``MAX_BROADCAST`` of them; beyond, the
@@ -44,6 +50,7 @@ from kestrel.plans.materialize import RunTables, write_and_reload
 
 SIMILAR = (80, 100)  # intersection * 100 >= union * 80
 TOKENS = 48
+TREE_TOKENS = 24  # of each tree, its own
 RECALL = 0.9999
 BACKGROUND = 0.03  # similarity of unrelated documents, for the depth
 LEAF = 2048
@@ -54,7 +61,6 @@ MAX_STEPS = 6
 LEADERS = 3
 BLOCK = 512
 MAX_BROADCAST = 1_000_000
-SLACK = 4.0  # standard deviations of the token agreement below the threshold
 SPACE = separators(b" \t\n\x0b\x0c\r")
 
 Keep = Callable[[DataFrame, str], DataFrame]
@@ -74,12 +80,22 @@ def shingles(texts: pa.Array, hasher: WordHasher) -> list[np.ndarray]:
     return out
 
 
+def _smallest(set_: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
+    """For each multiplier the smallest product."""
+    best, size = np.full(len(multipliers), 2**64 - 1, np.uint64), max(1, (1 << 17) // len(multipliers))
+    for i in range(0, len(set_), size):
+        best = np.minimum(best, (set_[None, i:i + size] * multipliers[:, None]).min(axis=1))
+    return best
+
+
 def tokens(set_: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
     """Minwise tokens: for each multiplier the upper half of the smallest product."""
-    best = np.full(len(multipliers), 2**64 - 1, np.uint64)
-    for i in range(0, len(set_), 4096):
-        best = np.minimum(best, (set_[None, i:i + 4096] * multipliers[:, None]).min(axis=1))
-    return (best >> U64(32)).astype(np.uint32)
+    return (_smallest(set_, multipliers) >> U64(32)).astype(np.uint32)
+
+
+def tree_tokens(set_: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
+    """Minwise tokens of the trees: for each multiplier 16 bits of a hash of the smallest product."""
+    return (mix(_smallest(set_, multipliers)) >> U64(48)).astype(np.uint16)
 
 
 def multipliers() -> np.ndarray:
@@ -87,13 +103,27 @@ def multipliers() -> np.ndarray:
     return np.random.default_rng(41).integers(0, 2**63, TOKENS, dtype=np.uint64) * U64(2) + U64(1)
 
 
+def tree_multipliers(trees: int) -> np.ndarray:
+    """Odd factors, ``TREE_TOKENS`` for each tree; those of a tree don't depend on how many there are."""
+    return np.random.default_rng(43).integers(0, 2**63, trees * TREE_TOKENS, dtype=np.uint64) * U64(2) + U64(1)
+
+
+def agreement(similarity: float, n: int) -> list[float]:
+    """Chances that 0, 1, ... n of n tokens agree."""
+    return [math.comb(n, k) * similarity**k * (1 - similarity)**(n - k) for k in range(n + 1)]
+
+
 def survival(similarity: float, levels: int) -> float:
-    """Chance that two documents of this similarity share a path of so many levels in one tree."""
-    one, two, s = 2 - 1 / similarity, 1 / similarity - 1, 1.0
-    for _ in range(levels):
-        miss = 1 - similarity * s
-        s = 1 - one * miss - two * miss * miss
-    return s
+    """Chance that two documents of this similarity share a path of so many levels in one tree: the
+    mean over how many of the tree's tokens agree."""
+    one, two, mean = 2 - 1 / similarity, 1 / similarity - 1, 0.0
+    for k, chance in enumerate(agreement(similarity, TREE_TOKENS)):
+        s = 1.0
+        for _ in range(levels):
+            miss = 1 - k / TREE_TOKENS * s
+            s = 1 - one * miss - two * miss * miss
+        mean += chance * s
+    return mean
 
 
 def trees_needed(similarity: float, levels: int, recall: float) -> int:
@@ -101,13 +131,34 @@ def trees_needed(similarity: float, levels: int, recall: float) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - survival(similarity, levels)))
 
 
+def depth(n: int) -> int:
+    """Levels before the first comparison of n sets."""
+    return max(2, math.ceil(math.log(max(n, 2)) / -math.log(BACKGROUND)))
+
+
+def trees_at(levels: int, step: int) -> int:
+    """Trees after so many steps; ``levels``: those before the first."""
+    return trees_needed(SIMILAR[0] / SIMILAR[1], levels + STEP * step, 1 - (1 - RECALL) / 2**(step + 1))
+
+
+def least_agreement() -> int:
+    """Tokens of ``TOKENS`` that agree in all but a negligible share of similar pairs."""
+    below, chances = 0.0, agreement(SIMILAR[0] / SIMILAR[1], TOKENS)
+    for k, chance in enumerate(chances):
+        below += chance
+        if below > (1 - RECALL) / 2**(MAX_STEPS + 1):
+            return k
+    return TOKENS
+
+
 def descend(path: np.ndarray, row: np.ndarray, tokens_: np.ndarray, levels: int, similarity: float):
-    """Paths and rows after so many more levels; ``tokens_``: (rows, TOKENS)."""
+    """Paths and rows after so many more levels; ``tokens_``: (rows, tokens)."""
+    n = tokens_.shape[1]
     twice = U64(int((1 / similarity - 1) * 2**32))
     for _ in range(levels):
         h = mix(path * _PATH + _PLACE)
-        first = (h % U64(TOKENS)).astype(np.int64)
-        second = (first + 1 + ((h >> U64(8)) % U64(TOKENS - 1)).astype(np.int64)) % TOKENS
+        first = (h % U64(n)).astype(np.int64)
+        second = (first + 1 + ((h >> U64(8)) % U64(n - 1)).astype(np.int64)) % n
         more = (h >> U64(32)) < twice
         place = np.concatenate([first, second[more]])
         row = np.concatenate([row, row[more]])
@@ -120,11 +171,11 @@ def _tokens_of(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, TOKENS)
 
 
-def features(documents: DataFrame) -> DataFrame:
-    """``doc_id, key, n_shingles, set_id, tokens``: ``key`` names the row (id and text), ``set_id``
-    the set (null without one)."""
+def features(documents: DataFrame, trees: int) -> DataFrame:
+    """``doc_id, key, n_shingles, set_id, tokens, tree_tokens``: ``key`` names the row (id and text),
+    ``set_id`` the set (null without one)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, factors = WordHasher(SPACE), multipliers()
+        hasher, factors, tree_factors = WordHasher(SPACE), multipliers(), tree_multipliers(trees)
         for batch in batches:
             for rows in slices(batch, "text"):
                 sets = shingles(rows.column("text"), hasher)
@@ -132,36 +183,43 @@ def features(documents: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     rows.column("doc_id"), rows.column("key"), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(ids, pa.int64()),
-                    pa.array([tokens(s, factors).tobytes() if len(s) else None for s in sets], pa.binary())],
-                    ["doc_id", "key", "n_shingles", "set_id", "tokens"])
+                    pa.array([tokens(s, factors).tobytes() if len(s) else None for s in sets], pa.binary()),
+                    pa.array([tree_tokens(s, tree_factors).tobytes() if len(s) else None for s in sets], pa.binary())],
+                    ["doc_id", "key", "n_shingles", "set_id", "tokens", "tree_tokens"])
 
     named = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                              F.xxhash64("doc_id", "text").alias("key"))
     return map_batches(
-        named, run, "doc_id long, key long, n_shingles long, set_id long, tokens binary")
+        named, run, "doc_id long, key long, n_shingles long, set_id long, tokens binary, tree_tokens binary")
 
 
-def _branch(rows: DataFrame, levels: int, similarity: float, trees: int | None = None) -> DataFrame:
-    """``set_id, n_shingles, path`` after ``levels`` more levels; ``rows``: set_id, n_shingles, tokens
-    and, unless at the roots of ``trees`` trees, path."""
+def _branch(rows: DataFrame, levels: int, similarity: float, trees: range | None = None) -> DataFrame:
+    """``set_id, n_shingles, tree, path`` after ``levels`` more levels; ``rows``: set_id, n_shingles,
+    tree_tokens (of all trees) and, unless at the roots of ``trees``, tree and path."""
     def run(batches):
         for batch in batches:
             for i in range(0, batch.num_rows, 2048):
                 part = batch.slice(i, 2048)
-                t = _tokens_of(part.column("tokens"))
+                t = np.frombuffer(b"".join(part.column("tree_tokens").to_pylist()), "<u2")
+                t, at = t.reshape(part.num_rows, -1, TREE_TOKENS), np.arange(part.num_rows)
                 if trees:
-                    row = np.repeat(np.arange(len(t)), trees)
-                    path = np.tile(mix(np.arange(1, trees + 1).astype(np.uint64) * _PATH), len(t))
+                    at, tree = np.repeat(at, len(trees)), np.tile(np.array(trees), len(at))
+                    path = mix((tree + 1).astype(np.uint64) * _PATH)
+                    t = t[:, trees.start:trees.stop].reshape(-1, TREE_TOKENS)
                 else:
-                    row = np.arange(len(t))
-                    path = part.column("path").to_numpy().view(np.uint64)
-                path, row = descend(path, row, t, levels, similarity)
+                    tree, path = part.column("tree").to_numpy(), part.column("path").to_numpy().view(np.uint64)
+                    t = t.reshape(-1, TREE_TOKENS)
+                path, row = descend(path, np.arange(len(at)), t, levels, similarity)
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(part.column(c).to_numpy()[row]) for c in ("set_id", "n_shingles")),
-                     pa.array(path.view(np.int64))], ["set_id", "n_shingles", "path"])
+                    [*(pa.array(part.column(c).to_numpy()[at[row]]) for c in ("set_id", "n_shingles")),
+                     pa.array(tree[row].astype(np.int32)), pa.array(path.view(np.int64))], ["set_id", "n_shingles", "tree", "path"])
 
-    columns = ["set_id", "n_shingles", "tokens"] + ([] if trees else ["path"])
-    return map_batches(rows.select(*columns), run, "set_id long, n_shingles long, path long")
+    if trees:
+        rows = rows.select("set_id", "n_shingles", "tree_tokens")
+    else:
+        own = F.substring("tree_tokens", F.col("tree") * (2 * TREE_TOKENS) + 1, F.lit(2 * TREE_TOKENS))
+        rows = rows.select("set_id", "n_shingles", "tree", "path", own.alias("tree_tokens"))
+    return map_batches(rows, run, "set_id long, n_shingles long, tree int, path long")
 
 
 def _linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -180,8 +238,7 @@ def spanning_links(ids: list[int], marks: np.ndarray, sets: list[np.ndarray], sp
     are connected already.  ``split``: compare only the first so many with the others (0: all with
     all)."""
     n, label = len(ids), np.arange(len(ids))
-    threshold = SIMILAR[0] / SIMILAR[1]
-    least = threshold * TOKENS - SLACK * math.sqrt(threshold * (1 - threshold) * TOKENS)
+    least = least_agreement()
     left, right, agree = [], [], []
     for i in range(split or n - 1):
         begin = split or i + 1
@@ -238,14 +295,18 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
                                        pa.array([b for _, b in found], pa.int64())], ["a", "b"])
 
 
-def _sets(documents: DataFrame, needed: DataFrame, keep: Keep) -> DataFrame:
-    """``set_id, tokens, shingles`` (little-endian) of the sets in ``needed`` (set_id, key), made
-    anew from the documents that they name."""
+def _texts(documents: DataFrame, needed: DataFrame, keep: Keep) -> DataFrame:
+    """``set_id, text`` of the sets in ``needed`` (set_id, key), from the documents that they name."""
     rows = documents.select("text", F.xxhash64("doc_id", "text").alias("key"))
     needed = keep(needed.select("key", "set_id"), "needed")
     if needed.count() <= MAX_BROADCAST:
         needed = F.broadcast(needed)
+    return rows.join(needed, "key").select("set_id", "text")
 
+
+def _sets(documents: DataFrame, needed: DataFrame, keep: Keep) -> DataFrame:
+    """``set_id, tokens, shingles`` (little-endian) of the sets in ``needed`` (set_id, key), made
+    anew from the documents that they name."""
     def run(batches):
         hasher, factors = WordHasher(SPACE), multipliers()
         for batch in batches:
@@ -255,34 +316,51 @@ def _sets(documents: DataFrame, needed: DataFrame, keep: Keep) -> DataFrame:
                     [part.column("set_id"), pa.array([tokens(s, factors).tobytes() for s in found], pa.binary()),
                      pa.array([s.tobytes() for s in found], pa.binary())], ["set_id", "tokens", "shingles"])
 
-    made = map_batches(
-        rows.join(needed, "key").select("set_id", "text"), run, "set_id long, tokens binary, shingles binary")
+    made = map_batches(_texts(documents, needed, keep), run, "set_id long, tokens binary, shingles binary")
     return made.dropDuplicates(["set_id"])
 
 
-def _kept_nodes(rows: DataFrame) -> DataFrame:
-    """``path, n, weight`` of tree nodes with two members or more, one of those with equal members."""
+def _more_tokens(documents: DataFrame, needed: DataFrame, trees: int, keep: Keep) -> DataFrame:
+    """``set_id, n_shingles, tree_tokens`` for so many trees, made anew as in ``_sets``."""
+    def run(batches):
+        hasher, factors = WordHasher(SPACE), tree_multipliers(trees)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                found = shingles(part.column("text"), hasher)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("set_id"), pa.array([len(s) for s in found], pa.int64()),
+                     pa.array([tree_tokens(s, factors).tobytes() for s in found], pa.binary())],
+                    ["set_id", "n_shingles", "tree_tokens"])
+
+    made = map_batches(_texts(documents, needed, keep), run, "set_id long, n_shingles long, tree_tokens binary")
+    return keep(made.dropDuplicates(["set_id"]), "more_tokens")
+
+
+def _kept_nodes(rows: DataFrame, leaf: int) -> DataFrame:
+    """``path, n, is_leaf`` of tree nodes with two members or more, one of the leaves with equal
+    members.  Large ones all stay: their documents may branch on, in each tree for itself."""
+    is_leaf = (F.col("n") <= leaf) & ((F.col("weight") <= LEAF_SHINGLES) | (F.col("n") <= TINY))
     stats = rows.groupBy("path").agg(
         F.count("*").alias("n"), F.sum("n_shingles").alias("weight"),
-        F.sum(F.xxhash64("set_id").cast("decimal(20,0)")).alias("s")).filter("n > 1")
-    return stats.groupBy("n", "weight", "s").agg(F.min("path").alias("path")).select("path", "n", "weight")
+        F.sum(F.xxhash64("set_id").cast("decimal(20,0)")).alias("s")).filter("n > 1").withColumn("is_leaf", is_leaf)
+    return stats.groupBy("n", "weight", "s", "is_leaf", F.when(~F.col("is_leaf"), F.col("path")).alias("own")).agg(
+        F.min("path").alias("path")).select("path", "n", "is_leaf")
 
 
 def links(documents: DataFrame, nodes: DataFrame, keep: Keep, leaf: int = LEAF, max_steps: int = MAX_STEPS) -> list[DataFrame]:
     """Tables of pairs ``a, b`` that connect all similar sets; ``nodes``: set_id, key, n_shingles,
-    tokens, one row for each distinct set; ``keep`` writes a table and reads it back."""
+    tokens, tree_tokens, one row for each distinct set; ``keep`` writes a table and reads it back."""
     similarity = SIMILAR[0] / SIMILAR[1]
     n = nodes.count()
     if n < 2:
         return []
-    levels = max(2, math.ceil(math.log(n) / -math.log(BACKGROUND)))
-    # of the levels that large tree nodes may still take, one step is counted in
-    trees = trees_needed(similarity, levels + STEP, RECALL)
-    rows = keep(_branch(nodes, levels, similarity, trees), "paths")
+    levels = depth(n)
+    trees = trees_at(levels, 0)
+    rows = keep(_branch(nodes, levels, similarity, range(trees)), "paths")
+    nodes = nodes.drop("tree_tokens")
     found: list[DataFrame] = []
     for step in range(max_steps + 1):
-        is_leaf = (F.col("n") <= leaf) & ((F.col("weight") <= LEAF_SHINGLES) | (F.col("n") <= TINY))
-        members = keep(rows.join(_kept_nodes(rows), "path").withColumn("is_leaf", is_leaf), "members")
+        members = keep(rows.join(_kept_nodes(rows, leaf), "path"), "members")
         small = members.filter("is_leaf")
         sets = _sets(documents, nodes.join(small, "set_id", "left_semi"), keep)
         leaves = small.select("path", "set_id").join(sets, "set_id").withColumn("side", F.lit(0))
@@ -290,7 +368,7 @@ def links(documents: DataFrame, nodes: DataFrame, keep: Keep, leaf: int = LEAF,
         large = members.filter("not is_leaf")
         if large.isEmpty():
             break
-        large = keep(large.select("path", "set_id", "n").join(nodes, "set_id"), "large")
+        large = keep(large.select("path", "tree", "set_id", "n").join(nodes, "set_id"), "large")
         found.append(_leader_links(documents, large, keep))
         rows, across = _after_leaders(large, components(_union(found), keep), keep)
         found.append(keep(_across(documents, nodes, across, keep), "links"))
@@ -299,9 +377,16 @@ def links(documents: DataFrame, nodes: DataFrame, keep: Keep, leaf: int = LEAF,
         if step == max_steps:
             found.append(_block_links(documents, nodes, rows, keep))
             break
-        on = rows.filter("branches").join(nodes.select("set_id", "tokens"), "set_id")
-        rows = keep(rows.filter("not branches").select("set_id", "n_shingles", "path").unionByName(
-            _branch(on, STEP, similarity)), "paths")
+        on = keep(rows.filter("branches").drop("branches"), "on")
+        rows = rows.filter("not branches").drop("branches")
+        if not on.isEmpty():
+            more = trees_at(levels, step + 1)
+            made = _more_tokens(documents, nodes.join(on, "set_id", "left_semi"), more, keep)
+            first = on.filter(F.col("tree") < trees).join(made.drop("n_shingles"), "set_id")
+            rows = rows.unionByName(_branch(first, STEP, similarity))
+            if more > trees:  # anew from the root: a document may branch on for the first time
+                rows = rows.unionByName(_branch(made, levels + STEP * (step + 1), similarity, range(trees, more)))
+            rows = keep(rows, "paths")
     return found
 
 
@@ -313,7 +398,7 @@ def _union(tables: list[DataFrame]) -> DataFrame:
 
 
 def _after_leaders(large: DataFrame, classes: DataFrame, keep: Keep) -> tuple[DataFrame, DataFrame]:
-    """What is left to compare.  First the rows ``path, set_id, n_shingles, branches``: of a tree node
+    """What is left to compare.  First the rows ``path, tree, set_id, n_shingles, branches``: of a tree node
     half of which is one class, the other documents; of one without such a class, all.  Then
     ``set_id, root, to``: documents, their classes, and the classes of their tree nodes to compare
     them with (null: none)."""
@@ -324,10 +409,10 @@ def _after_leaders(large: DataFrame, classes: DataFrame, keep: Keep) -> tuple[Da
                                      F.max("share").alias("share"))
     named = named.join(top, "path").withColumn("branches", F.col("share") * 2 < F.col("n"))
     named = keep(named.select(
-        "path", "set_id", "n_shingles", "root", "branches",
+        "path", "tree", "set_id", "n_shingles", "root", "branches",
         F.when(~F.col("branches") & (F.col("root") != F.col("top")), F.col("top")).alias("to"),
         (F.col("root") == F.col("top")).alias("in_top")), "named")
-    rest = named.filter("branches or not in_top").select("path", "set_id", "n_shingles", "branches")
+    rest = named.filter("branches or not in_top").select("path", "tree", "set_id", "n_shingles", "branches")
     return rest, named.select("set_id", "root", "to")
 
 
@@ -407,9 +492,10 @@ def near_duplicates(documents: DataFrame, leaf: int = LEAF, max_steps: int = MAX
     """Per document: size of its set, the smallest doc_id of its class, and whether it is that one.
     Tables on the way are dropped; what is returned is read from a written one."""
     with RunTables(documents.sparkSession, "near-duplicates") as tables:
-        rows = tables.add(features(documents), "features")
+        rows = tables.add(features(documents, trees_at(depth(documents.count()), 0)), "features")
         nodes = tables.add(rows.filter("n_shingles > 0").groupBy("set_id").agg(
-            F.min("key").alias("key"), F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens")), "nodes")
+            F.min("key").alias("key"), F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens"),
+            F.first("tree_tokens").alias("tree_tokens")), "nodes")
         found = links(documents, nodes, tables.add, leaf, max_steps)
         narrow = rows.select("doc_id", "n_shingles", "set_id")
         if found:

@@ -119,6 +119,42 @@ def test_survival_is_what_trees_do():
     assert N.trees_needed(0.8, 4, 0.9999) == int(np.ceil(np.log(1 - 0.9999) / np.log(1 - N.survival(0.8, 4))))
 
 
+@pytest.mark.parametrize("similarity", [0.8, 0.82])
+@pytest.mark.parametrize("step", [0, 3, N.MAX_STEPS])
+def test_recall_on_rows_that_branch_on(similarity, step):
+    """Pairs of a templated source meet at every depth that its tree nodes may be taken to."""
+    rng, pairs, missed = np.random.default_rng(step), 2000, 0
+    levels, trees = 4 + N.STEP * step, N.trees_at(4, step)
+    missed += int((rng.binomial(N.TOKENS, similarity, 100_000) < N.least_agreement()).sum())
+    start = np.tile(N.mix(np.arange(1, trees + 1).astype(np.uint64)), pairs)
+    row = np.arange(pairs * trees)
+    a = rng.integers(0, 2**16, (pairs * trees, N.TREE_TOKENS)).astype(np.uint16)
+    b = np.where(rng.random(a.shape) < similarity, a, a + np.uint16(1))
+    (p, i), (q, j) = (N.descend(start, row, t, levels, 0.8) for t in (a, b))
+    met = np.intersect1d(p * np.uint64(31) + (i // trees).astype(np.uint64), q * np.uint64(31) + (j // trees).astype(np.uint64))
+    owner = dict(zip((p * np.uint64(31) + (i // trees).astype(np.uint64)).tolist(), (i // trees).tolist()))
+    missed += pairs - len({owner[x] for x in met.tolist()})
+    assert missed <= 2
+
+
+def test_trees_share_no_token():
+    factors = N.tree_multipliers(40)
+    assert len(set(factors.tolist())) == 40 * N.TREE_TOKENS
+    assert np.array_equal(N.tree_multipliers(7), factors[:7 * N.TREE_TOKENS])
+
+
+def test_templated_source(spark, monkeypatch):
+    """Documents alike in two thirds, none a copy but in pairs: their tree nodes branch on."""
+    monkeypatch.setattr(N, "TINY", 4)
+    template = [RNG.choice(VOCABULARY) for _ in range(80)]
+    texts = []
+    for k in range(60):
+        own = template + [f"own{k}x{i}" for i in range(25)]
+        texts += [" ".join(own), " ".join(own[:-10] + [f"other{k}x{i}" for i in range(10)])]
+    rows = rows_of(texts)
+    assert sorted(map(repr, map(tuple, N.near_duplicates(frame(spark, rows), 8, 3).collect()))) == brute(rows)
+
+
 def test_tokens_agree_as_sets_do():
     hasher, factors = WordHasher(N.SPACE), N.multipliers()
     shares = []
