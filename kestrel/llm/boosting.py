@@ -36,19 +36,20 @@ def binned(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
 
 
 def boost(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 3, rate: float = 0.15, bins: int = 32,
-          smooth: float = 1.0, least: float = 1.0) -> Trees:
+          smooth: float = 1.0, least: float = 1.0, weight: np.ndarray | None = None) -> Trees:
     """Newton steps on the logistic loss; the split with the most gain in each node of a level, if it
-    gains ``least`` and leaves as much curvature on either side."""
+    gains ``least`` and leaves as much curvature on either side.  ``weight``: of each row (1)."""
+    weight = np.ones(len(y)) if weight is None else weight
     edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(x.shape[1])]
     b, (n, f) = binned(x, edges), x.shape
-    share = np.clip(y.mean(), 1e-4, 1 - 1e-4)
+    share = np.clip(np.average(y, weights=weight), 1e-4, 1 - 1e-4)
     base, inner, leaves = float(np.log(share / (1 - share))), 2 ** depth - 1, 2 ** depth
     raw = np.full(n, base)
     feature, cut = np.zeros((trees, inner), np.int64), np.full((trees, inner), bins)
     leaf = np.zeros((trees, leaves))
     for t in range(trees):
         p = 1 / (1 + np.exp(-raw))
-        g, h = y - p, p * (1 - p)
+        g, h = weight * (y - p), weight * p * (1 - p)
         node = np.zeros(n, np.int64)
         for level in range(depth):
             first, width = 2 ** level - 1, 2 ** level
@@ -75,11 +76,13 @@ def boost(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 3, rate: f
     return Trees(edges, base, feature, cut, leaf)
 
 
-def isotonic(score: np.ndarray, y: np.ndarray, prior: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+def isotonic(score: np.ndarray, y: np.ndarray, prior: float = 0.0,
+             weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Pool adjacent violators: knots (score, share of ones), both non-decreasing.  ``prior``: so many
-    rows with the average share are added to each pool, so that a small one says little."""
+    rows with the average share are added to each pool, so that a small one says little.  ``weight``: rows that each one stands for (1)."""
+    weight = np.ones(len(y)) if weight is None else weight
     values, group = np.unique(score, return_inverse=True)  # rows of one score stay together
-    all_ones, all_rows = np.bincount(group, y), np.bincount(group)
+    all_ones, all_rows = np.bincount(group, y * weight), np.bincount(group, weight)
     blocks: list[list[float]] = []  # ones, rows, lowest and highest score
     for s, one, n in zip(values, all_ones, all_rows):
         blocks.append([float(one), float(n), s, s])
@@ -89,6 +92,6 @@ def isotonic(score: np.ndarray, y: np.ndarray, prior: float = 0.0) -> tuple[np.n
             blocks[-1][1] += rows
             blocks[-1][3] = high
     xs = np.array([v for b in blocks for v in (b[2], b[3])])
-    ys = np.array([(b[0] + prior * y.mean()) / (b[1] + prior) for b in blocks for _ in (0, 1)])
+    ys = np.array([(b[0] + prior * np.average(y, weights=weight)) / (b[1] + prior) for b in blocks for _ in (0, 1)])
     ys = np.maximum.accumulate(ys)
     return xs, ys

@@ -5,11 +5,13 @@ near second-person words, capitals, punctuation, digits, and obfuscation (hits t
 look-alike characters are mapped back and marks inside words are taken out).
 
 Learning takes a bounded sample, ``SAMPLE`` labelled documents that aren't held out, chosen by a
-hash of their id.  Of near copies (texts whose smallest hash of two words is the same) one is kept,
+hash of their id: all toxic ones up to half of it (more if there are too few clean ones), and clean
+ones to fill.  Of near copies (texts whose smallest hash of two words is the same) one is kept,
 so that they don't count as independent evidence.  Half of the rest gives the learned lexicon: words
-and beginnings that occur in many more toxic than clean documents.  The other half trains the trees;
-predictions across ``FOLDS`` folds of it calibrate the scores (isotonic regression).  Scoring covers every byte
-of every text.
+and beginnings that occur in many more toxic than clean documents.  The other half trains the trees,
+toxic rows weighing ``LEAST_SHARE`` of all at least; predictions across ``FOLDS`` folds of it calibrate
+the scores (isotonic regression), with rows weighed back to the share of toxic labels in the whole table.
+Scoring covers every byte of every text.
 
 Null and empty texts have no words and are scored like any other text.  Labels other than 0 and 1
 and rows without doc_id are not learned from; a document labelled twice is toxic if either label
@@ -36,8 +38,10 @@ from kestrel.plans.materialize import RunTables
 
 SAMPLE = 10_000
 FOLDS = 3
-#: Rows of the average share added to each pool of the calibration.
-PRIOR = 20.0
+#: Rows of the average share added to each pool of the calibration: so many, but no more than this
+#: part of the toxic rows.
+PRIOR, PRIOR_PART = 20.0, 0.1
+LEAST_SHARE = 0.05
 THRESHOLD = 0.3
 #: A learned entry occurs in such a share of its half's toxic documents, its log-odds are so high,
 #: and its count lies so many standard deviations above what chance gives.
@@ -226,9 +230,9 @@ def _with_kin(rows: DataFrame) -> DataFrame:
 def fit(documents: DataFrame, labels: DataFrame) -> Model | None:
     """Learn from the labelled documents that aren't held out."""
     place = F.xxhash64(F.lit("sample"), F.col("doc_id"))
-    chosen = (labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
-              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-              .orderBy(place, "doc_id").limit(SAMPLE))
+    marks = (labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
+             .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
+
     def run(batches):
         featurizer = Featurizer(lexicon)
         for batch in batches:
@@ -238,6 +242,14 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model | None:
                                                  ["doc_id", "toxic", "x"])
 
     with RunTables(documents.sparkSession, "toxicity") as tables:
+        marks = tables.write(marks, "marks")
+        total = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
+        if len(total) < 2:
+            return None
+        taken = {1: min(total[1], max(SAMPLE // 2, SAMPLE - total[0]))}
+        taken[0] = min(total[0], SAMPLE - taken[1])
+        chosen = marks.filter("toxic = 1").orderBy(place, "doc_id").limit(taken[1]).unionByName(
+            marks.filter("toxic = 0").orderBy(place, "doc_id").limit(taken[0]))
         rows = tables.write(  # SAMPLE rows of two numbers are broadcast
             _with_kin(documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")), "sample")
         first = rows.groupBy("kin", "toxic").agg(F.min("doc_id").alias("doc_id"))
@@ -251,11 +263,23 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model | None:
     if len(set(y)) < 2:
         return None
     x = np.array([r["x"] for r in got])
-    fold = np.arange(len(y)) % FOLDS
+    fold = np.zeros(len(y), int)
+    for label in (0, 1):
+        fold[y == label] = np.arange((y == label).sum()) % FOLDS
     raw = np.zeros(len(y))
     for k in range(FOLDS):
-        raw[fold == k] = boost(x[fold != k], y[fold != k]).raw(x[fold == k])
-    return Model(lexicon, boost(x, y), *isotonic(raw, y, PRIOR))
+        raw[fold == k] = boost(x[fold != k], y[fold != k], weight=balance(y[fold != k])).raw(x[fold == k])
+    # a clean row stands for so many, where a toxic one stands for one
+    weight = np.where(y == 1, 1.0, (total[0] / taken[0]) / (total[1] / taken[1]))
+    return Model(lexicon, boost(x, y, weight=balance(y)),
+                 *isotonic(raw, y, min(PRIOR, PRIOR_PART * y.sum()), weight))
+
+
+def balance(y: np.ndarray) -> np.ndarray:
+    """Weights: 1, and for toxic rows as much as gives them ``LEAST_SHARE`` of all."""
+    toxic = y.sum()
+    least = (len(y) - toxic) * LEAST_SHARE / (1 - LEAST_SHARE)
+    return np.where(y == 1, max(1.0, least / max(toxic, 1.0)), 1.0)
 
 
 def score(df: DataFrame, model: Model | None, prefix: str = "") -> DataFrame:

@@ -49,6 +49,22 @@ def test_nothing_to_learn(spark):
     assert toxicity.toxicity(docs.limit(0), labels).count() == 0
 
 
+def test_rare_toxic_class(spark):
+    """One document in a thousand is toxic."""
+    rng = np.random.default_rng(5)
+    docs, labels = [], []
+    for i in range(20_000):
+        words = [f"word{k}" for k in rng.integers(0, 3000, 20)]
+        toxic = i % 1000 == 0
+        docs.append((i, " ".join(words + ["you", "stupid", "worthless", "idiot"] * toxic)))
+        labels.append((i, 1, int(toxic)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = toxicity.toxicity(df, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    found = {r["doc_id"] for r in got if r["predicted"]}
+    toxic = {i for i, _, t in labels if t}
+    assert len(found & toxic) >= 0.9 * len(toxic) and len(found - toxic) <= 20
+
+
 def features(*texts):
     none = np.empty(0, np.uint64)
     lexicon = toxicity.Lexicon(toxicity._hash(toxicity.SEED_WORDS), toxicity._hash(toxicity.SECOND_PERSON), none, np.empty(0))
