@@ -15,7 +15,7 @@ Scoring covers every byte of every text.
 
 Null and empty texts have no words and are scored like any other text.  Labels other than 0 and 1
 and rows without doc_id are not learned from; a document labelled twice is toxic if either label
-says so.  Without any toxic and any clean label every score is 0.  Repeated rows are scored one by
+says so.  Of rows that share a doc_id, one is learned from, chosen by a hash of the text.  Without any toxic and any clean label every score is 0.  Repeated rows are scored one by
 one, an empty table gives no rows.  A column that has the name of a new one is
 replaced; ``prefix`` keeps them apart.
 """
@@ -250,8 +250,10 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model | None:
         taken[0] = min(total[0], SAMPLE - taken[1])
         chosen = marks.filter("toxic = 1").orderBy(place, "doc_id").limit(taken[1]).unionByName(
             marks.filter("toxic = 0").orderBy(place, "doc_id").limit(taken[0]))
-        rows = tables.write(  # SAMPLE rows of two numbers are broadcast
-            _with_kin(documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")), "sample")
+        # SAMPLE rows of two numbers are broadcast
+        held = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(
+            F.first("toxic").alias("toxic"), F.min_by("text", F.xxhash64("text")).alias("text"))
+        rows = tables.write(_with_kin(held), "sample")
         first = rows.groupBy("kin", "toxic").agg(F.min("doc_id").alias("doc_id"))
         rows = rows.join(F.broadcast(first), ["kin", "toxic", "doc_id"]).withColumn(
             "half", F.pmod(F.xxhash64(F.lit("half"), F.col("kin")), F.lit(2)))

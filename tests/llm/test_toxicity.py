@@ -65,6 +65,17 @@ def test_rare_toxic_class(spark):
     assert len(found & toxic) >= 0.9 * len(toxic) and len(found - toxic) <= 20
 
 
+def test_one_row_of_each_id_is_learned_from(spark, monkeypatch):
+    sizes, boost = [], toxicity.boost
+    monkeypatch.setattr(toxicity, "boost", lambda x, y, **more: (sizes.append(len(y)), boost(x, y, **more))[1])
+    docs = [(i, f"text{i} word{i * 7} " + "stupid idiot " * (i % 3 == 0)) for i in range(90)]
+    docs += [(1, f"many{k} texts{k * 3} of{k * 5}") for k in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(90)], "doc_id long, quality int, toxic int")
+    assert toxicity.toxicity(df, labels).count() == len(docs)
+    assert max(sizes) <= 90
+
+
 def features(*texts):
     none = np.empty(0, np.uint64)
     lexicon = toxicity.Lexicon(toxicity._hash(toxicity.SEED_WORDS), toxicity._hash(toxicity.SECOND_PERSON), none, np.empty(0))
