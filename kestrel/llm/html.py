@@ -5,7 +5,11 @@ stray end tags ignored) and rendered without recursion: blocks on lines of their
 around paragraphs, headings, lists and tables, bullets and numbers before list items, table cells
 padded to columns, white space kept in ``pre``.  All visible text comes out; what a browser doesn't
 show (``head``, scripts, styles, templates, ``hidden``, ``display: none``, closed ``details``)
-doesn't.
+doesn't.  Formulas (``math``) and the text of diagrams (``svg``) come out in the order they are written,
+without annotations, titles, descriptions, metadata and definitions; their layout is lost.
+
+One thing that a browser shows is left out: the options of ``select``, ``datalist`` and their like, the
+chosen one too.
 
 A null or empty page gives an empty text.  Unclosed and deeply nested elements, unknown tags and
 broken entities are rendered as far as they go.  Repeated rows are rendered one by one, an empty
@@ -29,7 +33,10 @@ from kestrel.llm.textnum import map_batches
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 UNSEEN = frozenset("head script style template title noscript iframe noembed noframes object datalist "
-                   "audio video canvas svg math select option optgroup meta link base".split())
+                   "audio video canvas select option optgroup meta link base".split())
+#: Elements without visible text inside math and svg.
+UNSEEN_INSIDE = {"math": frozenset("annotation annotation-xml".split()),
+                 "svg": frozenset("title desc defs metadata".split())}
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
                    "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol "
                    "p pre search section summary table ul xmp".split())
@@ -52,10 +59,11 @@ _RUN = re.compile(r"[ \t\n\r\f]+")
 class Node:
     """An element; children are nodes and texts."""
 
-    __slots__ = ("tag", "attributes", "children")
+    __slots__ = ("tag", "attributes", "children", "unseen", "apart")
 
     def __init__(self, tag: str, attributes: str = ""):
         self.tag, self.attributes, self.children = tag, attributes, []
+        self.unseen = self.apart = False  # not shown, a line of its own: by where it is
 
     def attribute(self, name: str) -> str | None:
         """Value of an attribute ('' if it has none), None if it is missing."""
@@ -68,7 +76,7 @@ class Node:
 
     def hidden(self) -> bool:
         """True if a browser shows nothing of it."""
-        if self.tag in UNSEEN:
+        if self.tag in UNSEEN or self.unseen:
             return True
         if not self.attributes:
             return self.tag == "dialog"
@@ -144,7 +152,11 @@ class Builder:
             self.pop(len(self.open) - 1)
         node = Node(tag, attributes)
         self.open[-1].children.append(node)
-        if tag not in VOID:
+        inside = next((t for t in UNSEEN_INSIDE if self.count.get(t)), None)
+        if inside:
+            node.unseen = tag in UNSEEN_INSIDE[inside] or inside == "svg" and node.attribute("display") == "none"
+            node.apart = inside == "svg" and tag == "text"
+        if tag not in VOID and not ((inside or tag in UNSEEN_INSIDE) and attributes.rstrip().endswith("/")):
             self.open.append(node)
             self.count[tag] = self.count.get(tag, 0) + 1
 
@@ -192,7 +204,7 @@ def parse(page: str) -> Node:
             builder.end(tag)
             continue
         builder.start(tag, m[3])
-        if tag in RAW:
+        if tag in RAW and builder.open[-1].tag == tag:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             raw = page[at:end.start() if end else n]
             if tag in ("textarea", "title"):
@@ -411,7 +423,7 @@ def render(root: Node) -> str:
             flow.verbatim(verbatim(node).removeprefix("\n").rstrip("\n"))
             flow.block(True)
             continue
-        elif tag in BLOCKS or tag in CELLS or tag == "tr":
+        elif tag in BLOCKS or tag in CELLS or tag == "tr" or node.apart:
             spaced = tag in SPACED
             flow.block(spaced)
 

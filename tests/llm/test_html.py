@@ -35,6 +35,20 @@ def test_cases(page, want):
     assert H.to_text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ("a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b", "a x=2 b"),
+    ("<math><semantics><mi>y</mi><annotation encoding='TeX'>no</annotation></semantics></math>", "y"),
+    ("<math><semantics><mi>y</mi><annotation-xml>no<mi>no</mi></annotation-xml></semantics></math>z", "yz"),
+    ("<svg><title>no</title><desc>no</desc><defs><text>no</text></defs><metadata>no</metadata><text>one</text></svg>two", "one\ntwo"),
+    ("<svg><text>one</text><text>two</text></svg>", "one\ntwo"), ("<svg><style>no</style><g><text>a<tspan>b</tspan></text></g></svg>c", "ab\nc"),
+    ("<svg><path d='M0'/><circle r=1 /><text>t</text></svg>u", "t\nu"), ("<svg/>x", "x"),
+    ("<svg><defs/><text>t</text></svg>u", "t\nu"), ("<math><mspace/><mi>k</mi></math>", "k"), ("<desc>yes</desc>", "yes"),
+    ("<svg><title/><text>t</text></svg>u", "t\nu"), ("<svg><g display=none><text>no</text></g></svg>u", "u"),
+    ("<p display=none>yes <svg><path d='M0'/></svg> <text>here</text> too", "yes here too")])
+def test_formulas_and_diagrams(page, want):
+    assert H.to_text(page) == want
+
+
 def test_deep_and_long_pages():
     assert H.to_text("<div>" * 20_000 + "deep" + "</div>" * 20_000) == "deep"
     assert H.to_text("<ul><li>" * 200 + "deep").endswith("deep")
