@@ -5,8 +5,8 @@ Each stage takes all that the stage before it kept, written as Parquet and read
 1. language ID: documents without a letter, or whose best language scores below
    ``MIN_LANGUAGE_SCORE``, go;
 2. toxicity: documents predicted as toxic go;
-3. near-duplicates: the document with the smallest doc_id of each class stays (rows that share a
-   doc_id are one document);
+3. near-duplicates: the row with the smallest doc_id of each class stays (null ids last; rows that
+   share a doc_id but not the class are documents of their own), and one of repeated rows;
 4. benchmark decontamination: documents that hold a window of a benchmark item go;
 5. byte-level BPE: every document left is encoded and decoded.
 
@@ -42,8 +42,11 @@ def clean_speech(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates."""
-    copies = neardup.near_duplicates(docs.select("doc_id", "text")).filter("not kept").select("doc_id").distinct()
-    return docs.join(write_and_reload(copies, "copies"), "doc_id", "left_anti").select(*docs.columns)
+    found = neardup.surplus(docs.select("doc_id", "text")).withColumnRenamed("key", "__key")
+    rows = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
+    once = rows.join(found.select("__key"), "__key", "left_anti")
+    repeated = rows.join(found.filter("kept").select("__key"), "__key", "left_semi").dropDuplicates(["__key"])
+    return once.unionByName(repeated).select(*docs.columns)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -488,23 +488,29 @@ def _block_links(documents: DataFrame, nodes: DataFrame, rows: DataFrame, keep:
     return keep(_compare(pairs.join(sets, "set_id")), "links")
 
 
+def _rooted(documents: DataFrame, tables: RunTables, leaf: int, max_steps: int) -> DataFrame:
+    """``doc_id, key, n_shingles, set_id, root`` of each row: ``key`` names id and text, ``root`` the
+    class (null without a set)."""
+    rows = tables.add(features(documents, trees_at(depth(documents.count()), 0)), "features")
+    nodes = tables.add(rows.filter("n_shingles > 0").groupBy("set_id").agg(
+        F.min("key").alias("key"), F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens"),
+        F.first("tree_tokens").alias("tree_tokens")), "nodes")
+    found = links(documents, nodes, tables.add, leaf, max_steps)
+    narrow = rows.select("doc_id", "key", "n_shingles", "set_id")
+    if found:
+        classes = components(_union(found), tables.add)
+        narrow = narrow.join(classes.withColumnRenamed("node", "set_id"), "set_id", "left")
+        narrow = narrow.withColumn("root", F.coalesce("root", "set_id"))
+    else:
+        narrow = narrow.withColumn("root", F.col("set_id"))
+    return tables.add(narrow, "rooted")
+
+
 def near_duplicates(documents: DataFrame, leaf: int = LEAF, max_steps: int = MAX_STEPS) -> DataFrame:
     """Per document: size of its set, the smallest doc_id of its class, and whether it is that one.
     Tables on the way are dropped; what is returned is read from a written one."""
     with RunTables(documents.sparkSession, "near-duplicates") as tables:
-        rows = tables.add(features(documents, trees_at(depth(documents.count()), 0)), "features")
-        nodes = tables.add(rows.filter("n_shingles > 0").groupBy("set_id").agg(
-            F.min("key").alias("key"), F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens"),
-            F.first("tree_tokens").alias("tree_tokens")), "nodes")
-        found = links(documents, nodes, tables.add, leaf, max_steps)
-        narrow = rows.select("doc_id", "n_shingles", "set_id")
-        if found:
-            classes = components(_union(found), tables.add)
-            narrow = narrow.join(classes.withColumnRenamed("node", "set_id"), "set_id", "left")
-            narrow = narrow.withColumn("root", F.coalesce("root", "set_id"))
-        else:
-            narrow = narrow.withColumn("root", F.col("set_id"))
-        narrow = tables.add(narrow, "rooted")
+        narrow = _rooted(documents, tables, leaf, max_steps)
         first = narrow.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
         out = narrow.join(first, "root", "left").withColumn(
             "component_id", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")))
@@ -512,6 +518,20 @@ def near_duplicates(documents: DataFrame, leaf: int = LEAF, max_steps: int = MAX
             "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")), "classes")
 
 
+def surplus(documents: DataFrame) -> DataFrame:
+    """``key, kept`` of the rows that aren't needed to have one of each class: ``key`` is xxhash64 of
+    doc_id and text.  Those not kept go; those kept occur more than once, and one of them stays.  Of a
+    class the row with the smallest doc_id is kept (null ids last; ties by key)."""
+    with RunTables(documents.sparkSession, "near-duplicates") as tables:
+        rows = _rooted(documents, tables, LEAF, MAX_STEPS).groupBy("key").agg(
+            F.first("doc_id").alias("doc_id"), F.first("root").alias("root"), F.count("*").alias("n"))
+        rows = tables.add(rows, "distinct")
+        first = rows.filter("root is not null").groupBy("root").agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key"))["key"].alias("first"))
+        rows = rows.join(first, "root", "left").withColumn("kept", F.coalesce(F.col("key") == F.col("first"), F.lit(True)))
+        return write_and_reload(rows.filter("not kept or n > 1").select("key", "kept"), "surplus")
+
+
 NEAR_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

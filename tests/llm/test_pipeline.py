@@ -75,6 +75,18 @@ def test_one_of_each_class_stays(stages):
     assert kept == {d for d in ids if find(d) == d}
 
 
+def test_rows_are_filtered_by_row(spark):
+    a, b, c = ("".join(f"{x}{i} " for i in range(30)) for x in "abc")
+    rows = [(1, a, 0), (2, a, 1), (2, b, 2), (3, c, 3), (3, c, 4), (None, a, 5), (None, "null one", 6), (None, "null one", 7),
+            (4, "", 8), (4, "", 9), (5, None, 10), (None, None, 11), (None, "of its own", 12), (1, a + "end", 13)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(3)
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in C.one_of_each(spark, docs, SF).collect())
+    first = [t for _, i, t in got if i == 1]
+    assert len(first) == 1 and first[0] in (a, a + "end")
+    assert [x for x in got if x[1] != 1] == [(False, 2, b), (False, 3, c), (False, 4, ""), (False, 5, ""),
+                                             (True, 0, ""), (True, 0, "null one"), (True, 0, "of its own")]
+
+
 def test_contaminated_documents_go(spark, stages):
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
     kept = {r["doc_id"] for r in stages[4]}
