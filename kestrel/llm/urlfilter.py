@@ -1,7 +1,8 @@
 """URL filter lists that change over time, joined as of the time of each capture.
 
 Entries are dated: a list adds or removes a domain (it and all below it), a host (just it) or a
-URL (without scheme, query, fragment and closing slash).  The dated entries of a key become
+URL (without scheme, query, fragment and closing slash); a domain may be one label (``xyz``).  Hosts in
+keys count in lower case and without a closing dot, as in captures.  The dated entries of a key become
 validity intervals, and every capture is evaluated against the intervals that hold on its day.
 
 Nothing but DataFrame functions is used.  An interval is laid out over the weeks it touches, and
@@ -37,13 +38,19 @@ def page_of(url: Column) -> Column:
     return F.concat(host_of(url), F.rtrim(F.regexp_extract(url, PATH, 1), F.lit("/")))
 
 
-def domains_of(host: Column) -> Column:
-    """The host and the domains above it, down to two labels."""
+def domains_of(host: Column, least: int = 1) -> Column:
+    """The host and the domains above it, down to ``least`` labels."""
     parts = F.split(host, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), lambda i: F.array_join(
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - (least - 1), F.lit(1))), lambda i: F.array_join(
         F.slice(parts, i, F.size(parts)), "."))
 
 
+def key_of(scope: Column, key: Column) -> Column:
+    """An entry's key as captures are: lower-case host without closing dot, no closing slash."""
+    host = F.rtrim(F.lower(F.regexp_extract(key, r"^[^/]*", 0)), F.lit("."))
+    return F.when(scope == "url", F.concat(host, F.rtrim(F.regexp_extract(key, r"^[^/]*(.*)", 1), F.lit("/")))).otherwise(host)
+
+
 def day_number(day: Column) -> Column:
     """Days since 1970-01-01."""
     return F.unix_date(day.cast("date"))
@@ -54,6 +61,7 @@ def intervals(entries: DataFrame) -> DataFrame:
     clean = entries.filter(F.col("list").isNotNull() & F.col("scope").isin("domain", "host", "url")
                            & F.col("key").isNotNull() & F.col("day").isNotNull()
                            & F.col("action").isin("add", "remove"))
+    clean = clean.withColumn("key", key_of(F.col("scope"), F.col("key"))).filter("key <> ''")
     # one row per key and day, so a key's history has a row per day at most
     days = clean.groupBy("list", "scope", "key", day_number(F.col("day")).alias("begin")).agg(
         F.max("action").alias("action"))
@@ -116,10 +124,11 @@ def derived_captures(pages: DataFrame) -> DataFrame:
 
 def derived_entries(pages: DataFrame) -> DataFrame:
     """Dated entries for the domains, hosts and URLs that occur: about half of the domains and
-    hosts and a tenth of the URLs have four changes each, by hash."""
+    hosts and a tenth of the URLs have four changes each, by hash.  Domains have two labels or more,
+    as in the SQL."""
     rows = pages.select(host_of(F.col("url")).alias("host"), page_of(F.col("url")).alias("page"))
     hosts = rows.filter("host is not null").select("host").distinct()
-    keys = (hosts.select(F.lit("domain").alias("scope"), F.explode(domains_of(F.col("host"))).alias("key")).distinct()
+    keys = (hosts.select(F.lit("domain").alias("scope"), F.explode(domains_of(F.col("host"), 2)).alias("key")).distinct()
             .unionByName(hosts.select(F.lit("host").alias("scope"), F.col("host").alias("key")))
             .unionByName(rows.filter("page is not null").select(F.lit("url").alias("scope"), F.col("page").alias("key")).distinct()))
     scope, key, k = F.col("scope"), F.col("key"), F.col("k")

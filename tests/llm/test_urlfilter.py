@@ -68,6 +68,17 @@ def test_random_histories(spark):
     assert Counter(map(tuple, got)) == want
 
 
+def test_one_label_domains_and_keys_as_typed(spark):
+    urls = ["http://a.xyz/p", "http://b.c.xyz", "http://xyz.org/", "http://d.Example.com/Path/", "http://e.net"]
+    captures = spark.createDataFrame([(i, u, START) for i, u in enumerate(urls)], CAPTURES)
+    entries = spark.createDataFrame([
+        ("l0", "domain", "xyz", START, "add"), ("l1", "domain", "EXAMPLE.com.", START, "add"), ("l2", "host", "E.net.", START, "add"),
+        ("l3", "url", "D.example.COM./Path/", START, "add"), ("l4", "url", "d.example.com/path", START, "add"),
+        ("l5", "domain", ".", START, "add")], ENTRIES)
+    got = {r["id"]: r["lists"] for r in urlfilter.evaluate(captures, entries, "id").collect()}
+    assert got == {0: "l0", 1: "l0", 2: "", 3: "l1,l3", 4: "l2"}
+
+
 def test_empty_tables(spark):
     captures, entries = spark.createDataFrame([(1, "http://a.b/c", START)], CAPTURES), spark.createDataFrame([], ENTRIES)
     assert [r["blocked"] for r in urlfilter.evaluate(captures, entries, "id").collect()] == [False]
