@@ -10,7 +10,8 @@ the most that could be shared; each filter of the shorter digest takes its best
 mean of these is the likeness (0 to 1).
 
 Entropies are sums of whole numbers (scaled logarithms), so a digest depends on nothing but the
-text's bytes.  A text of fewer than ``WIDTH`` bytes is one feature; a null or empty text has none.
+text's bytes.  A text of fewer than ``WIDTH`` bytes is one feature, and so is a longer one whose windows are all
+trivial; a null or empty text has none.
 Two digests without features are alike (1), one without and one with are not (0).  Repeated rows
 have equal digests, and an empty table gives no rows.
 
@@ -126,6 +127,11 @@ class Digester:
         """For each text its filters, (number of filters, FILTER_BYTES / 8) 64-bit words."""
         buf, offsets = flat(texts)
         starts, ends = self.selected(buf, offsets)
+        bare = np.diff(offsets) > 0
+        bare[np.searchsorted(offsets, starts, side="right") - 1] = False
+        starts, ends = np.concatenate([starts, offsets[:-1][bare]]), np.concatenate([ends, offsets[1:][bare]])
+        order = np.argsort(starts, kind="stable")
+        starts, ends = starts[order], ends[order]
         hashes = self.hasher.hashes(buf, starts, ends)
         text_of = np.searchsorted(offsets, starts, side="right") - 1
         order = np.lexsort((starts, hashes, text_of))

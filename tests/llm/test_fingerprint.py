@@ -51,6 +51,12 @@ def test_digests_do_not_depend_on_neighbours():
     assert together == [*alone, "0:", *alone]
 
 
+def test_texts_of_trivial_windows_differ():
+    a, b, none, again, longer = FP.Digester().digests(pa.array(["a" * 500, "-" * 500, None, "a" * 500, "a" * 501]))
+    assert len(a) == len(b) == 1 and FP.likeness(a, again) == 1
+    assert FP.likeness(a, b) < 0.1 and FP.likeness(a, longer) < 0.1 and FP.likeness(a, none) == 0
+
+
 def test_filters_chain():
     x = FP.Digester().digests(pa.array([PROSE[-1]]))[0]
     distinct = {PROSE[-1].encode()[a:b] for a, b in brute_features(PROSE[-1].encode())}
