@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, chat, decontaminate, fingerprint, html, langid, neardup, sharding, toxicity, urlfilter
+from kestrel.llm import alignment, bpe, chat, decontaminate, fingerprint, html, langid, neardup, sharding, toxicity, urlfilter
 from kestrel.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 RANKS = "byte_bpe_multi_50k.tiktoken"
+ALIGNED = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,9 +73,14 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        public_tokenizers.PATTERN)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens by two tokenizers, aligned, as counts and digests."""
+    return alignment.digests(table(spark, sf_dir, "documents"), *map(public_tokenizers.path, ALIGNED))
+
+
 def queries() -> dict[str, QueryFn]:
     """Query name -> function of (spark, sf_dir)."""
-    return {f.__name__: f for f in (op1_chat, op2_language, op3_near_duplicates, op4_url_filter, op5_toxicity, op6_decontamination, op7_fingerprint, op8_html, op9_sharding, op10_bpe)}
+    return {f.__name__: f for f in (op1_chat, op2_language, op3_near_duplicates, op4_url_filter, op5_toxicity, op6_decontamination, op7_fingerprint, op8_html, op9_sharding, op10_bpe, op11_alignment)}
 
 
 def oracle_sql() -> dict[str, str]:
