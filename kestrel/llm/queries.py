@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import alignment, bpe, chat, decontaminate, fingerprint, html, langid, neardup, sharding, toxicity, urlfilter
+from kestrel.llm import (
+    alignment,
+    bpe,
+    centroids,
+    chat,
+    decontaminate,
+    fingerprint,
+    html,
+    langid,
+    neardup,
+    postings,
+    sharding,
+    toxicity,
+    urlfilter,
+)
 from kestrel.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -78,12 +92,23 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.digests(table(spark, sf_dir, "documents"), *map(public_tokenizers.path, ALIGNED))
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every embedding by ten rounds from eight hashed seeds."""
+    return centroids.clusters_of(table(spark, sf_dir, "embeddings"))
+
+
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every embedding whose id is divisible by 20."""
+    return postings.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, QueryFn]:
     """Query name -> function of (spark, sf_dir)."""
-    return {f.__name__: f for f in (op1_chat, op2_language, op3_near_duplicates, op4_url_filter, op5_toxicity, op6_decontamination, op7_fingerprint, op8_html, op9_sharding, op10_bpe, op11_alignment)}
+    return {f.__name__: f for f in (op1_chat, op2_language, op3_near_duplicates, op4_url_filter, op5_toxicity, op6_decontamination, op7_fingerprint, op8_html, op9_sharding, op10_bpe, op11_alignment,
+                                   op12_centroids, op13_neighbours)}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
     return {"op1_chat": chat.DIGEST_SQL, "op3_near_duplicates": neardup.NEAR_SQL, "op4_url_filter": urlfilter.EVALUATE_SQL,
-            "op6_decontamination": decontaminate.REPORT_SQL}
+            "op6_decontamination": decontaminate.REPORT_SQL, "op12_centroids": centroids.CLUSTERS_SQL}

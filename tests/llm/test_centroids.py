@@ -1,0 +1,100 @@
+"""Centroid clustering against whole numbers in plain Python, and against DuckDB."""
+
+import hashlib
+import math
+
+import duckdb
+import numpy as np
+import pytest
+
+from conftest import SF_SMALL
+from kestrel.llm import centroids, queries
+
+
+def brute(rows, k=8, rounds=10, dims=64, scale=1024, seed=3):
+    """[(id, cluster, distance)], centroids of (id, vector) rows."""
+    kept = [(i, [math.floor(float(x) * scale) for x in v]) for i, v in rows
+            if v is not None and len(v) == dims and all(x is not None and math.isfinite(x) for x in v)]
+    name = lambda i: hashlib.sha256(f"{seed}:{'' if i is None else i}".encode()).hexdigest()
+    found = [v for _, v in sorted(kept, key=lambda r: (name(r[0]), r[1]))[:k]]
+
+    def nearest(v):
+        return min((sum((x - y) ** 2 for x, y in zip(v, c)), n) for n, c in enumerate(found))
+
+    for _ in range(rounds):
+        where = [nearest(v)[1] for _, v in kept]
+        for n in range(len(found)):
+            mine = [v for (_, v), w in zip(kept, where) if w == n]
+            if mine:
+                found[n] = [sum(column) // len(mine) for column in zip(*mine)]
+    return [(i, nearest(v)[1], nearest(v)[0]) for i, v in kept], found
+
+
+def digest(rows, found):
+    parts = {}
+    for _, c, far in rows:
+        parts[c] = parts.get(c, 0) + far
+    name = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in found]
+    return sorted((i, c, far, parts[c], sum(parts.values()), name[c]) for i, c, far in rows)
+
+
+def test_whole_table_equals_brute_force_and_sql(spark):
+    table = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
+    rows = [(r["vec_id"], r["embedding"]) for r in table.collect()]
+    got = queries.op12_centroids(spark, SF_SMALL)
+    assert [(f.name, f.dataType.simpleString()) for f in got.schema] == [
+        ("vec_id", "bigint"), ("cluster", "int"), ("distance", "bigint"), ("cluster_inertia", "bigint"),
+        ("inertia", "bigint"), ("centroid_sha256", "string")]
+    got = sorted(map(tuple, got.collect()))
+    assert got == digest(*brute(rows))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF_SMALL}/embeddings.parquet'")
+    assert sorted(db.execute(centroids.CLUSTERS_SQL).fetchall()) == got
+
+
+AWKWARD = [(1, [0.5, -0.25]), (2, None), (3, [0.5]), (4, [0.5, None]), (5, [float("nan"), 1.0]), (6, [float("-inf"), 1.0]), (7, []),
+           (8, [0.5, -0.25]), (8, [0.5, -0.25]), (8, [0.1, 0.1]), (None, [3.0, -3.0]), (None, [3.0, 3.0]), (9, [-0.0001, 0.0001]),
+           (10, [0.0, 0.0]), (11, [5.5, 5.5]), (12, [5.5, -5.5]), (13, [-7.25, 1.5])]
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_awkward_rows_and_clashing_columns(spark, kind):
+    rows = [(i, v if v is None or kind == "double" else [None if x is None else float(np.float32(x)) for x in v]) for i, v in AWKWARD]
+    df = spark.createDataFrame([(i, v, "x", 5) for i, v in rows], f"vec_id long, embedding array<{kind}>, cluster string, id int")
+    for k, rounds in ((3, 4), (8, 10), (40, 2)):
+        got, found = centroids.cluster(df.repartition(3), k=k, rounds=rounds, dims=2)
+        expected, plain = brute(rows, k=k, rounds=rounds, dims=2)
+        assert found.tolist() == plain
+        assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, expected))
+
+
+def test_empty_clusters_stay_and_ties_go_to_the_smaller_number(spark):
+    df = spark.createDataFrame([(i, [1.0, 1.0]) for i in range(12)], "vec_id long, embedding array<double>")
+    got, found = centroids.cluster(df, k=3, rounds=3, dims=2, scale=10)
+    assert {(r["cluster"], r["distance"]) for r in got.collect()} == {(0, 0)}
+    assert found.tolist() == [[10, 10]] * 3
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([(1, None)], "vec_id long, embedding array<float>")
+    assert centroids.clusters_of(df).count() == 0
+    assert centroids.clusters_of(df.limit(0)).columns == [
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+
+
+def test_values_beyond_64_bit_distances_fail(spark):
+    df = spark.createDataFrame([(1, [1e30, 0.0]), (2, [0.0, 0.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="component too large"):
+        centroids.cluster(df, dims=2)
+
+
+def test_block_distances_and_sums():
+    rng = np.random.default_rng(5)
+    ints, found = rng.integers(-2**25, 2**25, (300, 7)), rng.integers(-2**25, 2**25, (4, 7))
+    ints[::3] = ints[0]
+    block = centroids.Block.of(ints)
+    far = block.distances(found)
+    assert (far == np.square(ints[:, None] - found[None]).sum(2)).all()
+    rows, sums = block.sums(far.argmin(1), 4)
+    for c in range(4):
+        assert rows[c] == (far.argmin(1) == c).sum() and (sums[c] == ints[far.argmin(1) == c].sum(0)).all()
