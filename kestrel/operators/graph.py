@@ -14,13 +14,15 @@ Distributed plan of one round:
 * messages alone are reduced with ``min`` per target, combined map-side
   first, so a target with a huge in-degree sends one row per task to the
   shuffle.  The reduction has as many partitions as there are buckets, and
-  its result meets the bucketed labels where they lie: labels never move.
-
-The edges and the labels of every round are written as tables of a
-database of the run, in the checkpoint folder (``spark.checkpoint.dir``):
-that cuts the lineage, so a lost executor costs at most one round's
-recomputation.  A round's tables are dropped once the next is written, and
-the database once the result is.
+  its result meets the bucketed labels where they lie: labels never move;
+* the labels are a log (``LayeredTable``): a round writes those that
+  dropped, as a layer in the same buckets, and the next round sends that
+  layer alone.  What a round writes and sends follows its changes.
+
+The edges and the log are tables of a database of the run, in the
+checkpoint folder (``spark.checkpoint.dir``): that cuts the lineage, so a
+lost executor costs at most one round's recomputation.  The database is
+dropped once the result is written.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.operators.grouping import count_by_key
+from kestrel.plans.layers import LayeredTable
 from kestrel.plans.materialize import RunTables, write_and_reload
 from kestrel.sources.adjacency import Graph
 
@@ -43,6 +46,8 @@ MAX_BUCKETS = 100_000
 DEFAULT_MAX_HOT_SOURCES = MAX_BUCKETS
 # Target size of one bucket of the written edge table (two longs per edge).
 EDGES_PER_BUCKET = 16_000_000
+# Layers of the label log before those below the newest are merged.
+MERGE_DEPTH = 8
 
 
 def hot_sources(pairs: DataFrame, min_hot_degree: int, max_hot_sources: int,
@@ -85,6 +90,7 @@ def _shuffle_partitions(spark: SparkSession, n: int):
 def propagate_min(graph: Graph, rounds: int = 5, implicit_vertices: bool = True, *,
                   min_hot_degree: int = DEFAULT_MIN_HOT_DEGREE,
                   max_hot_sources: int = DEFAULT_MAX_HOT_SOURCES,
+                  merge_depth: int = MERGE_DEPTH,
                   on_round=None) -> DataFrame:
     """Labels ``(id bigint, grp bigint)`` after ``rounds`` propagation rounds.
 
@@ -96,14 +102,15 @@ def propagate_min(graph: Graph, rounds: int = 5, implicit_vertices: bool = True,
         result from round 1 on, labelled with the minimum it received (it
         has no label of its own before that), and keeps no out-edges.
         Without it only line heads are kept.
+    merge_depth  layers of the label log before they are merged.
     on_round  optional callback ``(round, DataFrame)`` seeing each round's
-        plan before it is written (for inspection).
+        plan, the labels that drop, before it is written (for inspection).
 
     Layout: the light edges are written once as a table bucketed by
-    ``src``; the labels of every round are written bucketed by ``id`` with
-    the same bucket count.  Each round's joins read them where they lie:
-    edges and labels never move again, and only the (map-side combined)
-    messages are shuffled.
+    ``src``; the layers of the labels are bucketed by ``id`` with the same
+    bucket count.  Each round's joins read them where they lie: edges and
+    labels never move again, and only the (map-side combined) messages are
+    shuffled.
 
     Rounds run when this function is called; the labels returned are read
     from a written table.
@@ -136,39 +143,33 @@ def propagate_min(graph: Graph, rounds: int = 5, implicit_vertices: bool = True,
         tables.drop("pairs", "known")
 
         # Semi-naive rounds: only labels that dropped in the previous round
-        # (the frontier) are sent along the edges.  Min-labels never rise, so
-        # a vertex whose in-neighbours kept their labels cannot change.
-        # Round 1 starts from the distinct heads (own id as label, all in the
-        # frontier), which lie in the buckets of the edges.
-        labels = light.select(F.col("src").alias("id")).distinct().select(
-            "id", F.col("id").alias("grp"), F.lit(True).alias("changed"))
+        # (the log's newest layer) are sent along the edges.  Min-labels never
+        # rise, so a vertex whose in-neighbours kept their labels cannot change.
+        # Round 1 starts from the distinct heads (own id as label), which lie
+        # in the buckets of the edges.
+        log = LayeredTable(tables, "labels", "id", buckets, merge_depth)
         with _shuffle_partitions(spark, buckets):
+            log.append(light.select(F.col("src").alias("id")).distinct().select("id", F.col("id").alias("grp")))
             for r in range(1, rounds + 1):
-                new = _round(labels, light, hot, hot_ids, implicit_vertices)
+                dropped = _dropped(log, light, hot, hot_ids, implicit_vertices)
                 if on_round is not None:
-                    on_round(r, new)
-                if r < rounds:
-                    labels = tables.write_bucketed(new, f"labels_{r}", buckets, "id")
-                    tables.drop(f"labels_{r - 1}")
-                else:
-                    labels = new
-            return write_and_reload(labels.select("id", "grp"), "labels")
-
-
-def _round(labels: DataFrame, light: DataFrame, hot: DataFrame | None, hot_ids: DataFrame | None,
-           implicit_vertices: bool) -> DataFrame:
-    """``(id, grp, changed)`` after one more round."""
-    frontier = labels.where(F.col("changed")).select(F.col("id").alias("src"), F.col("grp"))
+                    on_round(r, dropped)
+                log.append(dropped)
+            return write_and_reload(log.current(), "labels")
+
+
+def _dropped(log: LayeredTable, light: DataFrame, hot: DataFrame | None, hot_ids: DataFrame | None,
+             implicit_vertices: bool) -> DataFrame:
+    """``(id, grp)`` of the vertices whose label drops in one more round."""
+    frontier = log.newest().select(F.col("id").alias("src"), F.col("grp"))
     msgs = (light.where(F.col("dst").isNotNull()).join(frontier.hint("shuffle_hash"), "src")
             .select(F.col("dst").alias("id"), "grp"))
     if hot_ids is not None:
         hot_frontier = frontier.join(F.broadcast(hot_ids), "src", "left_semi")
         msgs = msgs.unionByName(hot.join(F.broadcast(hot_frontier), "src").select(F.col("dst").alias("id"), "grp"))
     best = msgs.groupBy("id").agg(F.min("grp").alias("_best"))
-    joined = labels.select("id", "grp").join(best.hint("shuffle_hash"), "id",
-                                             "full_outer" if implicit_vertices else "left")
-    return joined.select("id", F.least("grp", "_best").alias("grp"),
-                         (F.col("grp").isNull() | F.coalesce(F.col("_best") < F.col("grp"), F.lit(False))).alias("changed"))
+    met = log.current().join(best.hint("shuffle_hash"), "id", "right" if implicit_vertices else "inner")
+    return met.where(F.col("grp").isNull() | (F.col("_best") < F.col("grp"))).select("id", F.col("_best").alias("grp"))
 
 
 def component_sizes(labels: DataFrame) -> DataFrame:

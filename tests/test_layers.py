@@ -1,0 +1,99 @@
+"""The log of label layers: newest rows, merges, and what a round writes."""
+
+import os
+
+import pytest
+
+from kestrel.operators import propagate_min
+from kestrel.operators import graph as graph_module
+from kestrel.plans.layers import LAYER, LayeredTable
+from kestrel.plans.materialize import RunTables
+from kestrel.sources import graph_from_edges, read_adjacency
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _state(df):
+    return {r["id"]: tuple(r)[1:] for r in df.collect()}
+
+
+@pytest.mark.parametrize("depth", [2, 3, 8])
+def test_newest_row_of_each_key_counts(spark, depth):
+    layers = [[(1, 9, "a"), (2, 9, "b"), (3, 9, None)], [(2, 5, "c")], [], [(2, 7, None), (4, 1, "d")], [(1, 0, "e")], [(5, 5, "f")]]
+    with RunTables(spark, "layers") as tables:
+        log, expected = LayeredTable(tables, "t", "id", 4, depth), {}
+        for rows in layers:
+            log.append(spark.createDataFrame(rows, "id long, v long, s string"))
+            expected |= {r[0]: r[1:] for r in rows}
+            assert _state(log.current()) == {k: v for k, v in expected.items()}
+            assert _state(log.newest()) == {r[0]: r[1:] for r in rows}
+            assert log.layers <= depth
+        names = {t.name for t in spark.catalog.listTables(tables.database)}
+        assert names == {log.table}, "tables of earlier generations are dropped"
+
+
+def test_a_layer_may_be_made_from_the_log_itself(spark):
+    with RunTables(spark, "layers") as tables:
+        log = LayeredTable(tables, "t", "id", 4, 2)
+        log.append(spark.range(50).selectExpr("id", "id * 10 AS v"))
+        for _ in range(4):
+            log.append(log.current().where("id % 2 = 0").selectExpr("id", "v + 1 AS v"))
+        assert _state(log.current()) == {k: (k * 10 + 4 * (k % 2 == 0),) for k in range(50)}
+
+
+def test_reads_move_nothing_and_the_newest_layer_is_read_alone(spark):
+    with RunTables(spark, "layers") as tables:
+        log = LayeredTable(tables, "t", "id", 4)
+        for k in range(3):
+            log.append(spark.range(k, 20).selectExpr("id", f"{k} AS v"))
+        assert "Exchange" not in _plan(log.current())
+        newest = log.newest()
+        assert f"{LAYER}#" in _plan(newest) and "PartitionFilters: [isnotnull" in _plan(newest)
+        assert all("_layer=2" in f for f in newest.inputFiles())
+
+
+def test_a_log_keeps_two_layers_at_least(spark):
+    with RunTables(spark, "layers") as tables:
+        with pytest.raises(ValueError, match="two layers"):
+            LayeredTable(tables, "t", "id", 4, 1)
+        with pytest.raises(ValueError, match="nothing was written"):
+            LayeredTable(tables, "t", "id", 4).current()
+
+
+def _path_graph(spark, n):
+    """One vertex hangs on a chain: from round 2 on a single label drops in each round."""
+    stars = spark.range(1, n).selectExpr("id AS src", "0L AS dst").union(spark.range(1, n).selectExpr("0L", "id"))
+    chain = spark.createDataFrame([(n + k, n + k + 1) for k in range(6)], "src long, dst long")
+    return graph_from_edges(stars.union(chain))
+
+
+def test_a_round_writes_what_changed(spark, monkeypatch):
+    written = []
+
+    def size(log, layer):
+        folder = f"{log.tables.path}/{log.table}/{LAYER}={layer}".replace("file:", "")
+        return sum(os.path.getsize(f"{d}/{f}") for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet"))
+
+    class Watched(LayeredTable):
+        def append(self, df):
+            super().append(df)
+            written.append((self.newest().count(), size(self, self.layers - 1)))
+
+    monkeypatch.setattr(graph_module, "LayeredTable", Watched)
+    labels = propagate_min(_path_graph(spark, 100_000), rounds=5)
+    rows = [n for n, _ in written]
+    assert rows[0] >= 100_000 and rows[1] > 99_000 and all(0 < n <= 6 for n in rows[2:])
+    small = max(b for _, b in written[2:])
+    assert small < 20_000 < written[1][1] / 10, "a round of few changes writes few bytes"
+    assert labels.where("grp = 0").count() == 100_000
+
+
+@pytest.mark.parametrize("implicit", [True, False])
+def test_merges_change_no_label(spark, lines, implicit):
+    text = [f"{k},{k - 1}" for k in range(1, 30)] + ["40,39,3", "50", "60,61"]
+    graph = read_adjacency(lines(text))
+    deep = propagate_min(graph, 9, implicit, merge_depth=20)
+    shallow = propagate_min(graph, 9, implicit, merge_depth=2)
+    assert _state(deep) == _state(shallow)
