@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.functions.fence import evaluate_once
 from kestrel.functions.scalar import pair_text
 
 
@@ -39,3 +40,18 @@ def equi_join_pairs(left: DataFrame, right: DataFrame, *,
     joined = equi_join(l_side, r_side, key_name, "inner")
     cols = ([F.col(key_name)] if keep_key else []) + [pair_text("_l", "_r", sep).alias(pair_name)]
     return joined.select(*cols)
+
+
+def join_tagged(stream: DataFrame, key: str, left_tag, right_tag, *, tag: str = "layout",
+                left_value: str = "name", right_value: str = "name", sep: str = " ",
+                pair_name: str = "pair") -> DataFrame:
+    """``(key, "<left value><sep><right value>")`` of the rows of ``stream`` tagged ``left_tag`` and
+    ``right_tag`` that share a key.
+
+    The stream is made and dealt by key once; both sides of the join read that one exchange.
+    """
+    dealt = evaluate_once(stream.where(F.col(tag).isin(left_tag, right_tag) & F.col(key).isNotNull())
+                          .select(key, tag, *dict.fromkeys([left_value, right_value])).repartition(key))
+    left = dealt.where(F.col(tag) == left_tag).select(key, F.col(left_value).alias("_l"))
+    right = dealt.where(F.col(tag) == right_tag).select(key, F.col(right_value).alias("_r"))
+    return left.join(right.hint("merge"), key).select(key, pair_text("_l", "_r", sep).alias(pair_name))

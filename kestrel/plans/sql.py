@@ -20,9 +20,3 @@ def run_sql(spark: SparkSession, query: str, args: dict[str, Any] | None = None,
     if frames:
         return spark.sql(query, args=args, **frames)
     return spark.sql(query, args=args)
-
-
-def register_view(df: DataFrame, name: str) -> DataFrame:
-    """Expose ``df`` as a session temp view named ``name``."""
-    df.createOrReplaceTempView(name)
-    return df
