@@ -118,11 +118,13 @@ def test_duplicate_policies_of_a_sum(spark):
         cell("outer", "last")
 
 
-def test_one_exchange_for_unique_cells(spark):
+@pytest.mark.parametrize("duplicates", ["error", "max", "sum"])
+def test_repeats_of_a_cell_are_combined_before_they_move(spark, duplicates):
     from kestrel.operators import add_matrices
     m = spark.range(50).selectExpr("id AS i", "id % 7 AS j", "1.0D AS v")
-    plan = add_matrices(m, m, 4, 4, "inner", "error")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1
+    plan = add_matrices(m, m, 4, 4, "inner", duplicates)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.rindex("Exchange"):]
+    assert "partial_max" in below and "hashpartitioning(i#" in below and "collect_list" not in below
 
 
 def test_block_ranges_reach_the_scan(spark):
