@@ -15,13 +15,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kestrel.functions.scalar import block_index, format_key_value, round_half_up
+from kestrel.functions.scalar import block_index, format_key_value, full_match, pair_text, round_half_up, tab_line
 from kestrel.operators.graph import component_sizes, propagate_min
-from kestrel.operators.grouping import bucket_mean, mean_by_key
-from kestrel.operators.joins import equi_join_pairs
+from kestrel.operators.grouping import bucket_mean, count_by_key, mean_by_key
+from kestrel.operators.joins import equi_join_pairs, join_tagged
 from kestrel.operators.matrix import (
     add_cells,
     add_matrices,
@@ -35,14 +36,21 @@ from kestrel.operators.matrix import (
     keyed_block_text,
 )
 from kestrel.operators.setops import union_tagged
+from kestrel.operators.skew import equi_join_hot
+from kestrel.plans.committed import read_committed, write_committed
 from kestrel.plans.materialize import write_and_reload, write_text_and_reload
+from kestrel.plans.script import trip_means_script
 from kestrel.plans.sql import run_sql
+from kestrel.plans.states import StateFolder, mean_states, means_of
 from kestrel.plans.trip import trip_means_mapreduce, trip_means_pig, trip_means_sql
-from kestrel.sources.adjacency import adjacency_rows, read_adjacency
+from kestrel.session import scratch_path
+from kestrel.sources.adjacency import adjacency_rows, read_adjacency, read_long_adjacency
 from kestrel.sources.coo import read_coo
+from kestrel.sources.csv import CORRUPT, bad_records, read_csv, write_csv
 from kestrel.sources.delimited import HeaderRule, parse_delimited
+from kestrel.sources.layouts import Layout, read_layouts
 from kestrel.sources.tables import fact_table, table
-from kestrel.sources.text import render_lines
+from kestrel.sources.text import render_lines, write_lines
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -879,6 +887,167 @@ def q_component_sizes_directed(spark, sf):
     return component_sizes(_labels(spark, sf, directed_lines, 5, True))
 
 
+# --------------------------------------------------------------------------
+# Files: typed loads, layouts, long lines, committed output, stored states
+
+@register("csv_quoted", "SRC-2 SRC-7 PRJ-20 (quoted separators and quotes, bad records kept)", """
+SELECT c_custkey AS id, c_name || ', "' || c_mktsegment || '", ' || c_nationkey AS name,
+       CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_acctbal END AS balance,
+       CASE WHEN c_custkey % 7 = 0 THEN CAST(c_custkey AS VARCHAR) || ',"' || c_name || ', ""' || c_mktsegment || '"", '
+            || c_nationkey || '",n/a' END AS bad
+FROM customer
+""")
+def q_csv_quoted(spark, sf):
+    c = table(spark, sf, "customer")
+    name = F.concat("c_name", F.lit(', "'), "c_mktsegment", F.lit('", '), F.col("c_nationkey").cast("string"))
+    balance = F.when(F.col("c_custkey") % 7 == 0, "n/a").otherwise(F.col("c_acctbal").cast("string"))
+    path = scratch_path(spark, "csv-quoted")
+    write_csv(c.select("c_custkey", name, balance), path)
+    back = read_csv(spark, path, "id bigint, name string, balance double", corrupt=True)
+    return back.select("id", "name", "balance", F.col(CORRUPT).alias("bad"))
+
+
+@register("csv_bad_records", "SRC-2 SRC-6 (records that do not fit a declared schema)", """
+SELECT CAST(o_orderkey AS VARCHAR) || ',' || o_orderstatus || CASE WHEN o_custkey % 11 = 0 THEN '' ELSE ',x' END AS value
+FROM orders WHERE o_custkey % 11 = 0 OR o_orderkey % 13 = 0
+""")
+def q_csv_bad_records(spark, sf):
+    # short records, and records with a number that is none
+    o = table(spark, sf, "orders")
+    last = F.when(F.col("o_custkey") % 11 == 0, "").when(F.col("o_orderkey") % 13 == 0, ",x").otherwise(",1.5")
+    lines = o.select(F.concat(F.col("o_orderkey").cast("string"), F.lit(","), "o_orderstatus", last).alias("value"))
+    path = scratch_path(spark, "csv-bad")
+    write_lines(lines, path)
+    return bad_records(read_csv(spark, path, "k bigint, status string, x double", corrupt=True))
+
+
+@register("csv_trip_pruned", "SRC-2 SRC-10 FIL-2 AGG-2 PRJ-1 (typed load of a whole record, three columns read)", f"""
+SELECT distance, {_mean('v')} AS mean
+FROM (SELECT {_TRIP_DIST} AS distance, CAST(l_extendedprice AS DECIMAL(12,2)) AS v FROM lineitem)
+WHERE distance < 200
+GROUP BY distance
+""")
+def q_csv_trip_pruned(spark, sf):
+    path = scratch_path(spark, "csv-trip")
+    write_lines(trip_lines(spark, sf), path)
+    record = read_csv(spark, path, "key string, " + ", ".join(f"s{k} string" for k in range(3))
+                      + ", distance double, " + ", ".join(f"t{k} string" for k in range(4)) + ", amount decimal(12,2)")
+    kept = record.where(~full_match("key", ".*orderkey.*"))
+    return bucket_mean(kept, "distance", "amount", min_key=None, max_key=200)
+
+
+@register("trip_pig_script", "SRC-13 SQL-1 SQL-2 UDX-1 SRC-2 FIL-3 (one SQL script, its path a parameter)", f"""
+SELECT distance, {_mean('v')} AS mean
+FROM (SELECT {_TRIP_DIST} AS distance, CAST(l_extendedprice AS DECIMAL(12,2)) AS v FROM lineitem)
+WHERE distance < 200
+GROUP BY distance
+""")
+def q_trip_pig_script(spark, sf):
+    path = scratch_path(spark, "trip-script")
+    write_lines(trip_lines(spark, sf), path)
+    return trip_means_script(spark, path, amount_field=9, amount_type="decimal(12,2)", header_pattern=".*orderkey.*")
+
+
+@register("adjacency_long_lines", "SRC-11 PRJ-15 ARR-1 (lines that no task holds)", """
+SELECT l_suppkey * 4 + 1 AS src, l_partkey * 4 AS dst FROM lineitem
+UNION ALL SELECT s_suppkey * 4 + 1, NULL FROM supplier
+""")
+def q_adjacency_long_lines(spark, sf):
+    # a line for each supplier and sixteenth of its orders, written number by number: its neighbours add up
+    li, s = fact_table(spark, sf, "lineitem"), table(spark, sf, "supplier")
+    line = Window.partitionBy("l_suppkey", F.col("l_orderkey") % 16).orderBy("l_orderkey", "l_linenumber")
+    head = F.concat(F.lit("\n"), _vid("l_suppkey", 1).cast("string"), F.lit(","))
+    number = F.concat(F.when(F.row_number().over(line) == 1, head).otherwise(""), _vid("l_partkey", 0).cast("string"))
+    lonely = s.select(F.concat(F.lit("\n"), _vid("s_suppkey", 1).cast("string")).alias("value"))
+    path = scratch_path(spark, "long-lines")
+    li.select(number.alias("value")).write.option("lineSep", ",").text(f"{path}/lines")
+    lonely.write.option("lineSep", ",").text(f"{path}/heads")
+    pairs = read_long_adjacency(spark, [f"{path}/lines", f"{path}/heads"]).pairs
+    alone = pairs.where("dst IS NULL").distinct()  # each line tells its head
+    return pairs.where("dst IS NOT NULL").unionByName(alone)
+
+
+@register("join_two_layouts_one_scan", "SRC-4 SRC-3 JOI-1 SRC-5 (the parser chosen by the file, one scan)", """
+SELECT c_nationkey AS dno, c_name || ' ' || n_name AS pair
+FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 7 <> 0
+""")
+def q_join_two_layouts_one_scan(spark, sf):
+    c = table(spark, sf, "customer")
+    people = c.select(F.concat(F.col("c_name"), F.lit(";"), F.when(F.col("c_custkey") % 7 == 0, F.lit("?"))
+                               .otherwise(F.col("c_nationkey").cast("string"))).alias("value"))
+    n = render_lines(table(spark, sf, "nation"), ["n_nationkey", "n_name", "n_regionkey"], sep="|")
+    head = spark.range(1).select(F.lit("key|name|region").alias("value"))
+    path = scratch_path(spark, "layouts")
+    write_lines(people, f"{path}/people")
+    write_lines(head.unionByName(n), f"{path}/places")
+    rows = read_layouts(spark, f"{path}/*", {
+        "people": Layout("/people/", "name string, dno bigint", sep=";", on_error="drop"),
+        "places": Layout("/places/", "dno bigint, name string", sep="|", header=HeaderRule("letter", 0))})
+    return join_tagged(rows, "dno", "people", "places")
+
+
+@register("join_hot_both", "JOI-1 (a key with a third of both sides)", """
+SELECT dno, name || ' ' || place AS pair
+FROM (SELECT CASE WHEN c_custkey % 3 = 0 THEN -1 ELSE c_nationkey END AS dno, c_name AS name FROM customer)
+JOIN (SELECT CASE WHEN s_suppkey % 3 = 0 THEN -1 ELSE s_nationkey END AS dno, s_name AS place FROM supplier) USING (dno)
+""")
+def q_join_hot_both(spark, sf):
+    c, s = table(spark, sf, "customer"), table(spark, sf, "supplier")
+    left = c.select(F.when(F.col("c_custkey") % 3 == 0, -1).otherwise(F.col("c_nationkey")).alias("dno"), F.col("c_name").alias("name"))
+    right = s.select(F.when(F.col("s_suppkey") % 3 == 0, -1).otherwise(F.col("s_nationkey")).alias("dno"), F.col("s_name").alias("place"))
+    return equi_join_hot(left, right, "dno").select("dno", pair_text("name", "place").alias("pair"))
+
+
+@register("bucket_mean_states", "AGG-10 AGG-1 SNK-3 (stored states of two halves, merged)", f"""
+SELECT distance, {_mean('v')} AS mean
+FROM (SELECT {_rhu('l_extendedprice / 500')} AS distance, {REVENUE_SQL} AS v FROM lineitem)
+WHERE distance >= 0 AND distance < 200
+GROUP BY distance
+""")
+def q_bucket_mean_states(spark, sf):
+    li = table(spark, sf, "lineitem")
+    folder = StateFolder(spark, scratch_path(spark, "states"))
+    for half in (0, 1):
+        rows = li.where(F.col("l_orderkey") % 2 == half)
+        folder.add(f"half-{half}", mean_states(rows, F.col("l_extendedprice") / 500, _revenue()))
+    return means_of(folder.states(), min_key=0, max_key=200)
+
+
+@register("committed_output", "SNK-4 SNK-1 SNK-3 (read back through a manifest; a second write is refused)", f"""
+SELECT distance, {_mean('v')} AS mean, TRUE AS refused
+FROM (SELECT {_rhu('o_totalprice / 1000')} AS distance, CAST(o_totalprice AS DECIMAL(12,2)) AS v FROM orders)
+GROUP BY distance
+""")
+def q_committed_output(spark, sf):
+    o, path = table(spark, sf, "orders"), scratch_path(spark, "committed")
+    write_committed(bucket_mean(o, F.col("o_totalprice") / 1000, F.col("o_totalprice").cast("decimal(12,2)")), path)
+    try:
+        write_committed(o.select("o_orderkey"), path)
+        refused = False
+    except AnalysisException as error:
+        refused = "PATH_ALREADY_EXISTS" in str(error)
+    return read_committed(spark, path, verify="rows").withColumn("refused", F.lit(refused))
+
+
+@register("sorted_lines", "ORD-2 SNK-1 SRC-3 (lines of a job in the order of their keys)", f"""
+SELECT CAST(user_id AS BIGINT) || chr(9) || n AS value, row_number() OVER (ORDER BY user_id) AS place
+FROM (SELECT user_id, count(*) AS n FROM events GROUP BY user_id)
+""")
+def q_sorted_lines(spark, sf):
+    """Each line's place in the written files: files are in the order of their names, lines in that of a file."""
+    counts = count_by_key(table(spark, sf, "events"), "user_id", key_name="key").orderBy("key")
+    path = scratch_path(spark, "sorted")
+    write_lines(counts.select(tab_line("key", "n").alias("value")), path)
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"),
+                                         F.col("_metadata.file_block_start").alias("block"),
+                                         F.monotonically_increasing_id().alias("row"))
+    told = write_and_reload(lines, "sorted-places")
+    pieces = told.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("row").alias("first"))
+    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file split
+    starts = pieces.select("file", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return told.join(starts, ["file", "block"]).select("value", (F.col("start") + F.col("row") - F.col("first") + 1).alias("place"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {name: q.run for name, q in REGISTRY.items()}
 
