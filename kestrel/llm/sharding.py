@@ -4,7 +4,11 @@ Rows lie in source partitions.  How many rows of partition i belong to shard j i
 as in a uniform random permutation: the matrix of counts has the partitions' sizes as row sums and
 the shards' sizes as column sums (multivariate hypergeometric).  Each partition is permuted
 locally and cut by its row of the matrix, rows are exchanged, and each shard is permuted again.
-Every permutation of the rows over the shard slots is equally likely.
+With ideal random numbers every permutation of the rows over the shard slots is equally likely.
+
+The numbers of the two permutations are 64-bit hashes of the seed, the permutation's name, the source
+partition and the row's place in it.  (Two calls of ``rand`` would not do: Spark adds the partition's
+number to the seed, so one partition's second numbers are another's first ones.)
 
 Only DataFrame functions run on the rows.  The driver draws the matrix, at most
 ``MAX_GROUPS`` x shards numbers whatever the input's size (source partitions are joined into that
@@ -19,7 +23,7 @@ import json
 import math
 import random
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.plans.materialize import RunTables, write_and_reload
@@ -29,21 +33,59 @@ BLOCK_ROWS = 100_000
 MIN_BLOCKS = 64
 
 
+def _deviance(x: float, mean: float) -> float:
+    """``x log(x / mean) + mean - x``, without the cancellation where x is near the mean."""
+    if x == 0:
+        return mean
+    if abs(x - mean) < 0.1 * (x + mean):
+        v = (x - mean) / (x + mean)
+        total, term, k = (x - mean) * v, 2 * x * v, 1
+        while True:
+            term *= v * v
+            more = total + term / (2 * k + 1)
+            if more == total:
+                return total
+            total, k = more, k + 1
+    return x * math.log(x / mean) + mean - x
+
+
+def _stirling(n: int) -> float:
+    """What Stirling's formula leaves out of log n!."""
+    if n <= 15:
+        return math.lgamma(n + 1) - (n + 0.5) * math.log(n) + n - 0.5 * math.log(2 * math.pi)
+    x = 1 / (n * n)
+    return (1 / 12 - x * (1 / 360 - x * (1 / 1260 - x * (1 / 1680 - x / 1188)))) / n
+
+
+def _binomial(k: int, n: int, p: float, q: float) -> float:
+    """Log of the probability of ``k`` successes among ``n``, at full precision for any ``n``."""
+    if k in (0, n):
+        return n * (math.log1p(-p) if p < 0.5 else math.log(q)) if k == 0 else n * (math.log1p(-q) if q < 0.5 else math.log(p))
+    rest = _stirling(n) - _stirling(k) - _stirling(n - k) - _deviance(k, n * p) - _deviance(n - k, n * q)
+    return rest + 0.5 * (math.log(n) - math.log(2 * math.pi) - math.log(k) - math.log(n - k))
+
+
+def probability(k: int, good: int, bad: int, draws: int) -> float:
+    """Of ``k`` good ones among ``draws`` from ``good + bad``: a quotient of binomial probabilities
+    near their modes, as differences of log-factorials lose their digits for large numbers."""
+    if draws in (0, good + bad):
+        return 1.0
+    p, q = draws / (good + bad), (good + bad - draws) / (good + bad)
+    log = lambda k, n: _binomial(k, n, p, q) if n else 0.0
+    return math.exp(log(k, good) + log(draws - k, bad) - log(draws, good + bad))
+
+
 def hypergeometric(rng: random.Random, good: int, bad: int, draws: int) -> int:
     """Good ones among ``draws`` taken without return from ``good + bad``.
 
-    Exact inversion that starts at the mode and goes outwards by ratios of neighbouring
-    probabilities: expected steps are of the order of the standard deviation.
+    Inversion that starts at the mode and goes outwards by ratios of neighbouring probabilities:
+    expected steps are of the order of the standard deviation.
     """
     low, high = max(0, draws - bad), min(good, draws)
     if low == high:
         return low
     mode = min(max((draws + 1) * (good + 1) // (good + bad + 2), low), high)
-
-    def choose(n: int, k: int) -> float:
-        return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
-
-    peak = math.exp(choose(good, mode) + choose(bad, draws - mode) - choose(good + bad, draws))
+    peak = probability(mode, good, bad, draws)
     left = rng.random() - peak
     down, up, at_down, at_up = mode, mode, peak, peak
     while left > 0 and (down > low or up < high):
@@ -77,6 +119,12 @@ def communication_matrix(rows: list[int], shards: list[int], seed: int) -> list[
     return matrix
 
 
+def uniform(seed: int, name: str) -> Column:
+    """A number from 0 to 1 for each row, of a stream of its own for each seed and name."""
+    bits = F.xxhash64(F.lit(f"{seed}:{name}"), F.monotonically_increasing_id())
+    return F.shiftrightunsigned(bits, 11) / F.lit(float(1 << 53))
+
+
 def exact_shuffle(df: DataFrame, n_shards: int, seed: int = 7) -> DataFrame:
     """``df`` with ``shard`` (0 .. n_shards - 1) and ``slot`` (0 .. size - 1 inside the shard).
 
@@ -90,7 +138,7 @@ def exact_shuffle(df: DataFrame, n_shards: int, seed: int = 7) -> DataFrame:
     with RunTables(spark, "shuffle") as tables:
         held = tables.write(df.select(
             row.alias("row"), F.spark_partition_id().alias("source"),
-            F.rand(seed).alias("first"), F.rand(seed + 1).alias("second")), "rows")
+            uniform(seed, "first").alias("first"), uniform(seed, "second").alias("second")), "rows")
         sources = held.agg((F.max("source") + 1).alias("n")).first()["n"] or 1
         groups = min(sources, MAX_GROUPS)
         grouped = held.withColumn("part", F.floor(F.col("source") * F.lit(groups) / F.lit(sources)).cast("int"))

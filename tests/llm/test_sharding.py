@@ -69,3 +69,50 @@ def test_every_row_is_as_likely_in_every_shard(spark):
     for seed in range(40):
         seen.update((r["id"], r["shard"]) for r in sharding.exact_shuffle(df, 2, seed * 10).collect())
     assert all(6 <= seen[i, s] <= 34 for i in range(8) for s in range(2))
+
+
+def test_rows_of_other_partitions_tell_nothing(spark):
+    """Where row k of one partition goes says nothing of where row k of another lies."""
+    n, parts = 1000, 4
+    df = spark.range(n * parts, numPartitions=parts)
+    for seed in (0, 7):
+        at = {r["id"]: (r["shard"], r["slot"]) for r in sharding.exact_shuffle(df, 2, seed).collect()}
+        size = n * parts / 2
+        for a in range(parts):
+            for b in range(parts):
+                if a == b:
+                    continue
+                slots = {s: [at[a * n + k][1] for k in range(n) if at[b * n + k][0] == s] for s in (0, 1)}
+                mean = {s: sum(x) / len(x) for s, x in slots.items()}
+                spread = size / 12**0.5 * (1 / len(slots[0]) + 1 / len(slots[1])) ** 0.5
+                assert abs(mean[0] - mean[1]) < 5 * spread, (seed, a, b, mean)
+                same = sum(at[a * n + k][0] == at[b * n + k][0] for k in range(n))
+                assert abs(same - n / 2) < 5 * (n / 4) ** 0.5
+
+
+def test_streams_do_not_meet(spark):
+    df = spark.range(4000, numPartitions=4).select(
+        *(sharding.uniform(seed, name).alias(f"{name}{seed}") for seed in (7, 8) for name in ("first", "second")))
+    rows = df.collect()
+    values = [v for r in rows for v in r]
+    assert len(set(values)) == len(values) and 0 <= min(values) and max(values) < 1
+    for k in range(4):
+        column = [r[k] for r in rows]
+        assert abs(sum(column) / len(column) - 0.5) < 0.025
+        assert abs(sum(v * v for v in column) / len(column) - 1 / 3) < 0.025
+
+
+def test_probability_is_precise():
+    from fractions import Fraction
+    from math import comb, pi, sqrt
+
+    for good, bad, draws in ((5, 4, 4), (300, 20, 111), (40, 4000, 77), (1, 1, 1), (500, 500, 999)):
+        for k in range(max(0, draws - bad), min(good, draws) + 1):
+            exact = float(Fraction(comb(good, k) * comb(bad, draws - k), comb(good + bad, draws)))
+            if exact > 1e-250:
+                assert abs(sharding.probability(k, good, bad, draws) / exact - 1) < 1e-11
+    # at 10**12 rows the peak is that of the normal law
+    n, good, draws = 10**12, 10**12 // 16, 10**12 // 4096
+    mode = (draws + 1) * (good + 1) // (n + 2)
+    variance = draws * (good / n) * (1 - good / n) * (n - draws) / (n - 1)
+    assert abs(sharding.probability(mode, good, n - good, draws) * sqrt(2 * pi * variance) - 1) < 1e-7
