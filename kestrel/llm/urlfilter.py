@@ -5,11 +5,12 @@ URL (without scheme, query, fragment and closing slash); a domain may be one lab
 keys count in lower case and without a closing dot, as in captures.  The dated entries of a key become
 validity intervals, and every capture is evaluated against the intervals that hold on its day.
 
-Nothing but DataFrame functions is used.  An interval is laid out over the weeks it touches, and
-captures join it on key and week with the day inside the interval, so a host with a third of all
-captures is dealt over as many groups as there are weeks; the host's captures of a day are first
-reduced to one row, and AQE splits what remains large.  Captures are then joined to the verdicts
-of their (host, day) and (URL, day).
+Nothing but DataFrame functions is used.  What captures ask is first reduced to distinct keys and
+days, so that a host, or a domain above very many hosts, has a row for each day at most.  The as-of
+join puts those days and the begins of the key's intervals into one order for each list, and takes
+the last begin before each day; what it makes follows the days asked, however long an interval is
+open or however far off a day lies.  Captures are then joined to the verdicts of their (host, day)
+and (URL, day).
 
 On one day a list's removal of a key wins over its addition.  Entries without list, scope, key,
 day or a known action are ignored, as are repeats.  Captures without URL or day, or with a URL
@@ -22,13 +23,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#]*@)?([^/?#:]*)"
+HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#:]*)"
 PATH = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)"
-WEEK = 7
 
 
 def host_of(url: Column) -> Column:
-    """Lower-case host without user, port and closing dot; null if there is none."""
+    """Lower-case host without user, port and closing dot, an address in brackets whole; null if
+    there is none."""
     host = F.rtrim(F.lower(F.regexp_extract(url, HOST, 1)), F.lit("."))
     return F.when(host != "", host)
 
@@ -39,8 +40,8 @@ def page_of(url: Column) -> Column:
 
 
 def domains_of(host: Column, least: int = 1) -> Column:
-    """The host and the domains above it, down to ``least`` labels."""
-    parts = F.split(host, r"\.")
+    """The host and the domains above it, down to ``least`` labels (an address in brackets is one)."""
+    parts = F.when(host.startswith("["), F.array(host)).otherwise(F.split(host, r"\."))
     return F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - (least - 1), F.lit(1))), lambda i: F.array_join(
         F.slice(parts, i, F.size(parts)), "."))
 
@@ -72,16 +73,26 @@ def intervals(entries: DataFrame) -> DataFrame:
             .filter(F.col("action") == "add").select("list", "scope", "key", "begin", "end"))
 
 
-def active(keys: DataFrame, valid: DataFrame, by: list[str], low: int, high: int) -> DataFrame:
-    """For each ``by`` and day: the entries that hold.  ``keys``: by, scope, key, day number, which
-    lies from ``low`` to ``high``."""
-    weeks = (valid.withColumn("last", F.least(F.coalesce(F.col("end") - 1, F.lit(high)), F.lit(high)))
-             .withColumn("first", F.greatest(F.col("begin"), F.lit(low))).filter(F.col("first") <= F.col("last"))
-             .withColumn("week", F.explode(F.sequence(
-                 F.floor(F.col("first") / WEEK), F.floor(F.col("last") / WEEK)))))
-    return (keys.withColumn("week", F.floor(F.col("day") / WEEK))
-            .join(weeks.select("scope", "key", "week", "list", "begin", "end"), ["scope", "key", "week"])
-            .filter((F.col("begin") <= F.col("day")) & (F.coalesce(F.col("end") > F.col("day"), F.lit(True))))
+def as_of(asked: DataFrame, valid: DataFrame) -> DataFrame:
+    """``scope, key, day, list, begin``: the intervals that hold on the ``asked(scope, key, day)`` days,
+    which are distinct."""
+    listed = valid.select("scope", "key", "list").distinct()
+    none = F.lit(None).cast("int")
+    order = (asked.join(listed, ["scope", "key"]).select(
+        "scope", "key", "list", "day", F.lit(1).alias("asks"), none.alias("begin"), none.alias("end"))
+        .unionByName(valid.select("scope", "key", "list", F.col("begin").alias("day"), F.lit(0).alias("asks"), "begin", "end")))
+    # an interval that begins on a day holds on it
+    before = Window.partitionBy("scope", "key", "list").orderBy("day", "asks")
+    last = F.last(F.when(F.col("asks") == 0, F.struct("begin", "end")), ignorenulls=True).over(before)
+    return (order.withColumn("last", last).filter("asks = 1 and last is not null")
+            .filter(F.coalesce(F.col("last.end") > F.col("day"), F.lit(True)))
+            .select("scope", "key", "day", "list", F.col("last.begin").alias("begin")))
+
+
+def active(keys: DataFrame, valid: DataFrame, by: list[str]) -> DataFrame:
+    """For each ``by`` and day: the entries that hold.  ``keys``: by, scope, key, day number."""
+    held = as_of(keys.select("scope", "key", "day").distinct(), valid)
+    return (keys.join(held, ["scope", "key", "day"])
             .groupBy(*by, "day").agg(F.count("*").alias("n"), F.collect_set("list").alias("lists"),
                                      F.max("begin").alias("since")))
 
@@ -92,16 +103,14 @@ def evaluate(captures: DataFrame, entries: DataFrame, identity: str, url: str =
     valid = intervals(entries)
     rows = captures.select(F.col(identity), F.col(url).alias("__url"), day_number(F.col(day)).alias("day")).select(
         identity, host_of(F.col("__url")).alias("host"), page_of(F.col("__url")).alias("page"), "day")
-    span = rows.agg(F.min("day").alias("low"), F.max("day").alias("high")).first()
-    low, high = (span["low"], span["high"]) if span["low"] is not None else (0, 0)
     hosts = rows.filter("host is not null and day is not null").select("host", "day").distinct()
     keyed = hosts.select("host", "day", F.inline(F.concat(
         F.transform(domains_of(F.col("host")), lambda d: F.struct(F.lit("domain").alias("scope"), d.alias("key"))),
         F.array(F.struct(F.lit("host").alias("scope"), F.col("host").alias("key"))))))
-    by_host = active(keyed, valid.filter("scope <> 'url'"), ["host"], low, high)
+    by_host = active(keyed, valid.filter("scope <> 'url'"), ["host"])
     pages = rows.filter("page is not null and day is not null").select(
         "page", "day", F.lit("url").alias("scope"), F.col("page").alias("key")).distinct()
-    by_page = active(pages, valid.filter("scope = 'url'"), ["page"], low, high).select(
+    by_page = active(pages, valid.filter("scope = 'url'"), ["page"]).select(
         "page", "day", F.col("n").alias("n2"), F.col("lists").alias("lists2"), F.col("since").alias("since2"))
     none = F.array().cast("array<string>")
     n = F.coalesce("n", F.lit(0)) + F.coalesce("n2", F.lit(0))
@@ -151,7 +160,7 @@ WITH captures AS (
          rtrim(regexp_extract(url, '{PATH}', 1), '/') AS path
   FROM pages
 ), labels_of AS (
-  SELECT *, string_split(host, '.') AS parts FROM (SELECT DISTINCT host FROM captures WHERE host IS NOT NULL)
+  SELECT *, CASE WHEN host LIKE '[%' THEN [host] ELSE string_split(host, '.') END AS parts FROM (SELECT DISTINCT host FROM captures WHERE host IS NOT NULL)
 ), above AS (
   SELECT host, array_to_string(parts[i:], '.') AS domain
   FROM (SELECT host, parts, unnest(range(1, greatest(len(parts) - 1, 1) + 1)) AS i FROM labels_of)

@@ -5,6 +5,7 @@ from collections import Counter
 from datetime import date, timedelta
 
 import duckdb
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from kestrel.llm import queries, urlfilter
@@ -79,6 +80,50 @@ def test_one_label_domains_and_keys_as_typed(spark):
     assert got == {0: "l0", 1: "l0", 2: "", 3: "l1,l3", 4: "l2"}
 
 
+def test_a_far_off_day_makes_no_more_rows(spark):
+    """What the as-of join makes follows the days asked and the intervals, not the time between them."""
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
+    far = spark.createDataFrame([(-1, "http://far.example.org/", date(9999, 12, 31)), (-2, "http://far.example.org/", date(1, 1, 1))],
+                                "page_id long, url string, day date")
+    captures, entries = urlfilter.derived_captures(pages), urlfilter.derived_entries(pages)
+    valid = urlfilter.intervals(entries)
+
+    def ordered(rows):
+        asked = rows.select(F.lit("host").alias("scope"), urlfilter.host_of(F.col("url")).alias("key"),
+                            urlfilter.day_number(F.col("day")).alias("day")).distinct()
+        plan = urlfilter.as_of(asked, valid)
+        return plan.count(), asked.join(valid.select("scope", "key", "list").distinct(), ["scope", "key"]).count() + valid.count()
+
+    held, made = ordered(captures)
+    held_far, made_far = ordered(captures.unionByName(far))
+    assert made_far <= made + 2 * 3 and held_far >= held
+    plain = urlfilter.evaluate(captures, entries, "page_id").collect()
+    more = urlfilter.evaluate(captures.unionByName(far), entries, "page_id").collect()
+    assert set(map(tuple, plain)) == {tuple(r) for r in more if r["page_id"] >= 0}
+    text = queries.op4_url_filter(spark, SF_SMALL)._jdf.queryExecution().toString()
+    assert "sequence(floor" not in text
+
+
+def test_a_hot_host_and_open_intervals(spark):
+    captures = spark.range(3000).selectExpr("id", "concat('http://h', id % 900, '.big.xyz/') AS url",
+                                            "date_add(DATE '2024-01-01', cast(id % 50 as int)) AS day")
+    entries = [("l0", "domain", "big.xyz", START + timedelta(10), "add"), ("l1", "domain", "xyz", START, "add"),
+               ("l1", "domain", "xyz", START + timedelta(20), "remove"), ("l1", "domain", "xyz", START + timedelta(45), "add")]
+    got = urlfilter.evaluate(captures, spark.createDataFrame(entries, ENTRIES), "id").collect()
+    for r in got:
+        d = r["id"] % 50
+        assert r["lists"] == ",".join(["l0"] * (d >= 10) + ["l1"] * (d < 20 or d >= 45)), r
+
+
+def test_hosts_in_brackets(spark):
+    urls = ["http://[2001:db8::1]/a", "http://[2001:db8::2]:8080/a", "http://user@[::ffff:1.2.3.4]", "http://[broken/a"]
+    captures = spark.createDataFrame([(i, u, START) for i, u in enumerate(urls)], CAPTURES)
+    entries = spark.createDataFrame([("l0", "host", "[2001:DB8::1]", START, "add"), ("l1", "url", "[2001:db8::2]/a/", START, "add"),
+                                     ("l2", "domain", "4]", START, "add"), ("l3", "domain", "[::ffff:1.2.3.4]", START, "add")], ENTRIES)
+    got = {r["id"]: (r["host"], r["lists"]) for r in urlfilter.evaluate(captures, entries, "id").collect()}
+    assert got == {0: ("[2001:db8::1]", "l0"), 1: ("[2001:db8::2]", "l1"), 2: ("[::ffff:1.2.3.4]", "l3"), 3: ("[broken", "")}
+
+
 def test_empty_tables(spark):
     captures, entries = spark.createDataFrame([(1, "http://a.b/c", START)], CAPTURES), spark.createDataFrame([], ENTRIES)
     assert [r["blocked"] for r in urlfilter.evaluate(captures, entries, "id").collect()] == [False]
