@@ -5,11 +5,13 @@ stray end tags ignored) and rendered without recursion: blocks on lines of their
 around paragraphs, headings, lists and tables, bullets and numbers before list items, table cells
 padded to columns, white space kept in ``pre``.  All visible text comes out; what a browser doesn't
 show (``head``, scripts, styles, templates, ``hidden``, ``display: none``, closed ``details``)
-doesn't.  Formulas (``math``) and the text of diagrams (``svg``) come out in the order they are written,
-without annotations, titles, descriptions, metadata and definitions; their layout is lost.
+doesn't.  ``visibility`` is inherited: a visible element inside a hidden one is shown.  Of a ``select`` the
+chosen option is shown, of a list box all options.  Formulas (``math``) and the text of diagrams
+(``svg``) come out in the order they are written, without annotations, titles, descriptions, metadata
+and definitions; their layout is lost.
 
-One thing that a browser shows is left out: the options of ``select``, ``datalist`` and their like, the
-chosen one too.
+Attributes are read as browsers do: a quote opens a value only behind ``=``, elsewhere it is a
+character of a name or of an unquoted value.  A value whose quote never closes ends like an unquoted one.
 
 A null or empty page gives an empty text.  Unclosed and deeply nested elements, unknown tags and
 broken entities are rendered as far as they go.  Repeated rows are rendered one by one, an empty
@@ -33,7 +35,7 @@ from kestrel.llm.textnum import map_batches
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 UNSEEN = frozenset("head script style template title noscript iframe noembed noframes object datalist "
-                   "audio video canvas select option optgroup meta link base".split())
+                   "audio video canvas meta link base".split())
 #: Elements without visible text inside math and svg.
 UNSEEN_INSIDE = {"math": frozenset("annotation annotation-xml".split()),
                  "svg": frozenset("title desc defs metadata".split())}
@@ -49,9 +51,14 @@ CELLS = frozenset("td th".split())
 #: Elements that an implied end tag doesn't reach beyond.
 SCOPE = frozenset("html table td th caption template button object".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+# a name, and a value behind "=": quoted, or up to the next space; possessive, so that no tag is tried twice
+_ATTRIBUTE = re.compile(r"(=?+[^\s/>=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]*+)))?+")
+_TAG = r"<(/?)([A-Za-z][^\s/>]*+)((?:[\s/]++|=?+[^\s/>=]++(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))?+|=)*+)>"
+_TOKEN = re.compile(rf"<!--(?:-?>|.*?(?:--!?>|\Z))|{_TAG}|<[!?/][^>]*(?:>|\Z)", re.S)
+_DISPLAY = re.compile(r"(?:^|[;\s])display\s*:\s*([a-z-]+)", re.I)
+_VISIBILITY = re.compile(r"(?:^|[;\s])visibility\s*:\s*([a-z]+)", re.I)
+#: Tags without an end after which the rest of a page counts as text.
+MISSES = 50
 _SPACES = " \t\n\r\f"
 _RUN = re.compile(r"[ \t\n\r\f]+")
 
@@ -59,11 +66,15 @@ _RUN = re.compile(r"[ \t\n\r\f]+")
 class Node:
     """An element; children are nodes and texts."""
 
-    __slots__ = ("tag", "attributes", "children", "unseen", "apart")
+    __slots__ = ("tag", "attributes", "children", "unseen", "apart", "veiled")
 
-    def __init__(self, tag: str, attributes: str = ""):
+    def __init__(self, tag: str, attributes: str = "", veiled: bool = False):
         self.tag, self.attributes, self.children = tag, attributes, []
         self.unseen = self.apart = False  # not shown, a line of its own: by where it is
+        self.veiled = veiled  # its own text isn't visible: inherited, unless its style says otherwise
+        if "visibility" in attributes.lower() and (told := _VISIBILITY.findall(self.attribute("style") or "")):
+            if told[-1].lower() in ("visible", "hidden", "collapse"):
+                self.veiled = told[-1].lower() != "visible"
 
     def attribute(self, name: str) -> str | None:
         """Value of an attribute ('' if it has none), None if it is missing."""
@@ -74,13 +85,19 @@ class Node:
                 return html.unescape(next((v for v in m.groups()[1:] if v is not None), ""))
         return None
 
+    def shown(self) -> list:
+        """Children that may be seen: texts only if the element is visible itself."""
+        return [c for c in self.children if not isinstance(c, str)] if self.veiled else self.children
+
     def hidden(self) -> bool:
-        """True if a browser shows nothing of it."""
+        """True if a browser shows nothing of it, nor of anything inside."""
         if self.tag in UNSEEN or self.unseen:
             return True
         if not self.attributes:
             return self.tag == "dialog"
-        if self.attribute("hidden") is not None or _HIDING.search(self.attribute("style") or ""):
+        if self.attribute("hidden") is not None:
+            return True
+        if (told := _DISPLAY.findall(self.attribute("style") or "")) and told[-1].lower() == "none":
             return True
         return self.tag == "dialog" and self.attribute("open") is None
 
@@ -122,8 +139,11 @@ class Builder:
             self.close({"dt", "dd"}, SCOPE | {"dl"})
         elif tag in HEADINGS and self.open[-1].tag in HEADINGS:
             self.pop(len(self.open) - 1)
-        elif tag in ("option", "optgroup") and self.open[-1].tag == "option":
-            self.pop(len(self.open) - 1)
+        elif tag in ("option", "optgroup"):
+            inside = frozenset({"select", "html", "template"})
+            self.close({"option"}, inside)
+            if tag == "optgroup":
+                self.close({"optgroup"}, inside)
         elif tag in CELLS or tag == "tr" or tag in SECTIONS or tag in ("caption", "colgroup"):
             inside = frozenset({"table", "html", "template"})
             self.close(CELLS | {"caption"}, inside)
@@ -150,7 +170,7 @@ class Builder:
         if tag not in ("head", "title", "meta", "link", "script", "style", "base", "noscript", "template") \
                 and self.open[-1].tag == "head":
             self.pop(len(self.open) - 1)
-        node = Node(tag, attributes)
+        node = Node(tag, attributes, self.open[-1].veiled)
         self.open[-1].children.append(node)
         inside = next((t for t in UNSEEN_INSIDE if self.count.get(t)), None)
         if inside:
@@ -163,7 +183,7 @@ class Builder:
     def end(self, tag: str) -> None:
         """An end tag; one without its start tag is ignored (``</br>`` is a line break)."""
         if tag == "br":
-            self.open[-1].children.append(Node("br"))
+            self.open[-1].children.append(Node("br", "", self.open[-1].veiled))
         elif tag in ("table", "template") or tag in SECTIONS or tag in ("tr", "caption") or tag in CELLS:
             self.close({tag}, frozenset({"template"} if tag == "table" else {"table", "template"}) - {tag})
         elif tag in HEADINGS:
@@ -188,14 +208,17 @@ class Builder:
 
 def parse(page: str) -> Node:
     """The tree of a page."""
-    builder, at, n = Builder(), 0, len(page)
+    builder, at, n, misses = Builder(), 0, len(page), 0
     while at < n:
-        m = _TOKEN.search(page, at)
+        begin, m = page.find("<", at), None
+        while begin >= 0 and misses < MISSES and not (m := _TOKEN.match(page, begin)):
+            misses += page[begin + 1:begin + 2].isalpha()  # a tag without an end was read up to the page's end
+            begin = page.find("<", begin + 1)
         if not m:
             builder.text(html.unescape(page[at:]))
             break
-        if m.start() > at:
-            builder.text(html.unescape(page[at:m.start()]))
+        if begin > at:
+            builder.text(html.unescape(page[at:begin]))
         at = m.end()
         if m[2] is None:
             continue
@@ -332,7 +355,7 @@ def _number(value: str | None, default: int, most: int) -> int:
 
 def verbatim(node: Node) -> str:
     """All visible text below a node as it is written, with a line break for each ``br``."""
-    out, todo = [], list(reversed(node.children))
+    out, todo = [], list(reversed(node.shown()))
     while todo:
         x = todo.pop()
         if isinstance(x, str):
@@ -340,10 +363,28 @@ def verbatim(node: Node) -> str:
         elif x.tag == "br":
             out.append("\n")
         elif not x.hidden():
-            todo.extend(reversed(x.children))
+            todo.extend(reversed(x.shown()))
     return "".join(out)
 
 
+def options(node: Node) -> list[Node]:
+    """The options of a ``select`` that are seen: all of a list box, else the chosen one, which is the
+    last that is marked or the first that isn't disabled."""
+    found, todo = [], list(reversed(node.children))
+    while todo:
+        x = todo.pop()
+        if isinstance(x, str) or x.hidden():
+            continue
+        if x.tag == "option":
+            found.append(x)
+        elif x.tag == "optgroup":
+            todo.extend(reversed(x.children))
+    if node.attribute("multiple") is not None or _number(node.attribute("size"), 1, 10**9) > 1:
+        return found
+    marked = [x for x in found if x.attribute("selected") is not None]
+    return marked[-1:] or [x for x in found if x.attribute("disabled") is None][:1]
+
+
 def render(root: Node) -> str:
     """Visible text of a tree, laid out."""
     flow = Flow()
@@ -367,10 +408,11 @@ def render(root: Node) -> str:
             continue
         if tag == "hr":
             flow.block(True)
-            flow.append("---")
-            flow.gap = True
+            if not node.veiled:
+                flow.append("---")
+                flow.gap = True
             continue
-        children = node.children
+        children = node.shown()
         if tag == "details" and node.attribute("open") is None:
             children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
         after = None
@@ -378,15 +420,18 @@ def render(root: Node) -> str:
             flow.block(tag == "blockquote")
             flows.append(Flow())
             if tag == "li" and lists and lists[-1] is not None:
+                lists[-1] = _number(node.attribute("value"), lists[-1], 10**9)
                 mark = f"{lists[-1]}. "
                 lists[-1] += 1
             else:
                 mark = {"li": "- ", "dd": "  ", "blockquote": "> "}[tag]
+            if node.veiled:
+                mark = " " * len(mark)
 
             def after(node, mark=mark):
                 inner = flows.pop()
                 inner.end_line()
-                if inner.lines or node.tag == "li":
+                if inner.lines or node.tag == "li" and not node.veiled:
                     flows[-1].nested(inner.lines, mark, mark if node.tag == "blockquote" else " " * len(mark))
                 flows[-1].gap |= node.tag == "blockquote"
         elif tag in LISTS:
@@ -418,6 +463,22 @@ def render(root: Node) -> str:
                 inner.end_line()
                 tables[-1].cell(inner.lines, max(_number(node.attribute("colspan"), 1, 1000), 1),
                                 max(_number(node.attribute("rowspan"), 1, 65534), 1))
+        elif tag == "select":
+            # a control of its own: apart from the words beside it
+            children, flow.space = options(node), True
+            many = len(children) > 1
+            for x in children:
+                x.apart = many
+
+            def after(node, many=many):
+                flows[-1].space = True
+                if many:
+                    flows[-1].block(False)
+        elif tag == "option":
+            if node.apart:
+                flow.block(False)
+            if label := node.attribute("label"):
+                children = [] if node.veiled else [label]
         elif tag in ("pre", "xmp"):
             flow.block(True)
             flow.verbatim(verbatim(node).removeprefix("\n").rstrip("\n"))
