@@ -3,9 +3,9 @@
 A window of ``WINDOW`` bytes is embedded byte by byte, passed through filters of several widths,
 max-pooled over the window and classified by a softmax layer.  The network is trained in numpy on
 the driver, from a bounded sample: about ``SAMPLE_PER_LANGUAGE`` documents of each language (rows
-chosen by a hash of their id, at most ``MAX_LANGUAGES`` languages, the most frequent ones), and
-``SAMPLE_WINDOWS`` windows of each.  Prediction covers every byte of every text: its windows'
-probabilities are averaged by length.
+chosen by a hash of their id), and ``SAMPLE_WINDOWS`` windows of each.  More languages than
+``max_languages``, which bounds the sample, fail the job: none is left out.  Prediction covers every
+byte of every text: its windows' probabilities are averaged by length.
 
 A text that is null or holds no letter is ``und`` with score 0, and so is every text if there is
 nothing to learn from.  Ties go to the language that sorts first.  Repeated rows are predicted one
@@ -33,6 +33,7 @@ FILTERS = 12
 EMBEDDING = 8
 SAMPLE_PER_LANGUAGE = 500
 SAMPLE_WINDOWS = 4
+#: Languages by default: so many times the sample of one goes through the driver.
 MAX_LANGUAGES = 256
 EPOCHS = 6
 UNKNOWN = "und"
@@ -74,18 +75,48 @@ class Network:
         return out / out.sum(axis=1, keepdims=True)
 
 
+def gradients(net: Network, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, list[np.ndarray]]:
+    """Weighted cross-entropy of windows and labels, and its gradient by each array of the network."""
+    width = max(WIDTHS)
+    response, p = net.pooled(x)
+    where = response.argmax(axis=1)
+    top = np.take_along_axis(response, where[:, None, :], 1)[:, 0] + net.bias
+    hidden = np.maximum(top, 0)
+    z = hidden @ net.dense + net.dense_bias
+    z = np.exp(z - z.max(axis=1, keepdims=True))
+    g = z / z.sum(axis=1, keepdims=True)
+    loss = float(-(np.log(g[np.arange(len(y)), y]) * weight).sum())
+    g[np.arange(len(y)), y] -= 1
+    g *= weight[:, None]
+    back = (g @ net.dense.T) * (top > 0)
+    rows = np.arange(len(y))[:, None]
+    chosen = p[rows, where]  # (batch, filters, width * EMBEDDING)
+    d_filters = np.einsum("bf,bfk->kf", back, chosen) * filter_mask()
+    d_patch = (back[:, :, None] * net.filters.T[None]).reshape(-1, width, EMBEDDING)
+    d_embedding = np.zeros_like(net.embedding)
+    for k in range(width):
+        np.add.at(d_embedding, x[rows, where + k].ravel(), d_patch[:, k])
+    return loss, [d_embedding, d_filters, back.sum(0), hidden.T @ g, g.sum(0)]
+
+
+def filter_mask() -> np.ndarray:
+    """1 where a filter of its width has a weight."""
+    mask = np.zeros((max(WIDTHS) * EMBEDDING, len(WIDTHS) * FILTERS), np.float32)
+    for k, w in enumerate(WIDTHS):
+        mask[:w * EMBEDDING, k * FILTERS:(k + 1) * FILTERS] = 1
+    return mask
+
+
 def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: int = 5) -> Network:
     """Adam on cross-entropy, classes weighted alike; single precision."""
     rng = np.random.default_rng(seed)
     width, n_filters = max(WIDTHS), len(WIDTHS) * FILTERS
-    mask = np.zeros((width * EMBEDDING, n_filters), np.float32)
-    for k, w in enumerate(WIDTHS):
-        mask[:w * EMBEDDING, k * FILTERS:(k + 1) * FILTERS] = 1
+
     def normal(*shape, scale):
         return (rng.standard_normal(shape) * scale).astype(np.float32)
 
     net = Network(languages, normal(256, EMBEDDING, scale=0.5),
-                  normal(width * EMBEDDING, n_filters, scale=0.2) * mask, np.zeros(n_filters, np.float32),
+                  normal(width * EMBEDDING, n_filters, scale=0.2) * filter_mask(), np.zeros(n_filters, np.float32),
                   normal(n_filters, len(languages), scale=0.2), np.zeros(len(languages), np.float32))
     weights = [net.embedding, net.filters, net.bias, net.dense, net.dense_bias]
     means = [np.zeros_like(w) for w in weights]
@@ -101,38 +132,23 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: i
             # a third of the windows is cut short, as the last window of a text is
             cut = np.where(rng.random(len(y)) < 1 / 3, rng.integers(8, WINDOW, len(y)), WINDOW)
             x = x * (np.arange(WINDOW) < cut[:, None])
-            response, p = net.pooled(x)
-            where = response.argmax(axis=1)
-            top = np.take_along_axis(response, where[:, None, :], 1)[:, 0] + net.bias
-            hidden = np.maximum(top, 0)
-            z = hidden @ net.dense + net.dense_bias
-            z = np.exp(z - z.max(axis=1, keepdims=True))
-            g = z / z.sum(axis=1, keepdims=True)
-            g[np.arange(len(y)), y] -= 1
-            g *= (class_weight[y] / len(y))[:, None]
-            back = (g @ net.dense.T) * (top > 0)
-            rows = np.arange(len(y))[:, None]
-            chosen = p[rows, where]  # (batch, filters, width * EMBEDDING)
-            d_filters = np.einsum("bf,bfk->kf", back, chosen) * mask
-            d_patch = (back[:, :, None] * net.filters.T[None]).reshape(-1, width, EMBEDDING)
-            d_embedding = np.zeros_like(net.embedding)
-            for k in range(width):
-                np.add.at(d_embedding, x[rows, where + k].ravel(), d_patch[:, k])
+            _, found = gradients(net, x, y, class_weight[y] / len(y))
             step += 1
-            for w, m, s, d in zip(weights, means, squares,
-                                  (d_embedding, d_filters, back.sum(0), hidden.T @ g, g.sum(0))):
+            for w, m, s, d in zip(weights, means, squares, found):
                 m += 0.1 * (d - m)
                 s += 0.001 * (d * d - s)
                 w -= 0.004 * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.999 ** step)) + 1e-8)
     return net
 
 
-def fit(documents: DataFrame) -> Network | None:
+def fit(documents: DataFrame, max_languages: int = MAX_LANGUAGES) -> Network | None:
     """A network learned from ``text`` and ``lang`` of the rows that aren't held out."""
     known = documents.filter(F.col("lang").isNotNull() & ~held_out())
-    counts = (known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect())
+    counts = known.groupBy("lang").count().orderBy("lang").limit(max_languages + 1).collect()
     if not counts:
         return None
+    if len(counts) > max_languages:
+        raise ValueError(f"there are more than {max_languages} languages: set max_languages, which bounds the sample")
     languages = sorted(r["lang"] for r in counts)
     place = F.xxhash64(F.lit("sample"), F.col("doc_id")).bitwiseAND((1 << 40) - 1)
     keep = F.lit(False)

@@ -1,8 +1,10 @@
 """Language ID: held-out accuracy, windows, and awkward rows."""
 
+from zlib import crc32
+
 import numpy as np
 import pyarrow as pa
-from zlib import crc32
+import pytest
 
 from kestrel.llm import langid, queries
 
@@ -56,3 +58,35 @@ def test_gradients_learn():
     windows[labels == 1, 50:53] = 65
     net = langid.train(windows, labels, ["a", "b"])
     assert (net.probabilities(windows).argmax(1) == labels).mean() > 0.97
+
+
+def test_gradients_equal_differences():
+    """Of every array of the network, against the loss a little to either side."""
+    rng = np.random.default_rng(3)
+    n_filters, k = len(langid.WIDTHS) * langid.FILTERS, 3
+    net = langid.Network(list("abc"), rng.normal(size=(256, langid.EMBEDDING)),
+                         rng.normal(size=(max(langid.WIDTHS) * langid.EMBEDDING, n_filters)) * langid.filter_mask() * 0.3,
+                         rng.normal(size=n_filters) * 0.1, rng.normal(size=(n_filters, k)) * 0.3, rng.normal(size=k))
+    x = rng.integers(97, 123, (6, 40)).astype(np.uint8)
+    y, weight = np.array([0, 1, 2, 2, 1, 0]), rng.random(6)
+    _, found = langid.gradients(net, x, y, weight)
+    for array, gradient in zip((net.embedding, net.filters, net.bias, net.dense, net.dense_bias), found):
+        assert array.shape == gradient.shape and np.abs(gradient).max() > 0
+        flat, step = array.reshape(-1), 1e-6
+        some = np.argsort(-np.abs(gradient.reshape(-1)))[:15].tolist() + rng.integers(0, array.size, 15).tolist()
+        for i in some:
+            value, loss = flat[i], []
+            if array is net.filters and not langid.filter_mask().reshape(-1)[i]:
+                continue
+            for d in (-step, step):
+                flat[i] = value + d
+                loss.append(langid.gradients(net, x, y, weight)[0])
+            flat[i] = value
+            assert gradient.reshape(-1)[i] == pytest.approx((loss[1] - loss[0]) / (2 * step), rel=1e-4, abs=1e-7)
+
+
+def test_too_many_languages_fail(spark):
+    df = spark.createDataFrame([(i, "some text", f"l{i % 9}") for i in range(90)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="more than 8 languages"):
+        langid.fit(df, max_languages=8)
+    assert langid.fit(df, max_languages=9).languages == sorted(f"l{i}" for i in range(9))
