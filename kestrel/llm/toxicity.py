@@ -1,7 +1,7 @@
 """Toxicity by gradient-boosted trees over dense features of whole texts, calibrated.
 
-Features: densities of a fixed and of a learned lexicon (whole words and word beginnings), hits
-near second-person words, capitals, punctuation, digits, and obfuscation (hits that show only after
+Features: densities of a given lexicon (``seed_words``, none by default) and of a learned one (whole
+words and word beginnings), hits near second-person words, capitals, punctuation, digits, and obfuscation (hits that show only after
 look-alike characters are mapped back and marks inside words are taken out).
 
 Learning takes a bounded sample, ``SAMPLE`` labelled documents that aren't held out, chosen by a
@@ -50,9 +50,7 @@ LEXICON_SIZE = 4000
 NEAR = 5  # words between a hit and a second-person word
 BEGINNINGS = (4, 5, 6)  # bytes
 
-# Seed lexicon and second-person words.
-SEED_WORDS = ("clown disgusting dumb fool idiot imbecile jerk loser moron pathetic scum stupid trash ugly "
-              "vermin worthless").split()
+# Second-person words.
 SECOND_PERSON = ("you your yours yourself u ur tu te toi ton ta tes vous votre vos du dich dir dein deine "
                  "deinen ihr euch euer tú ti usted ustedes vosotros").split()
 
@@ -76,7 +74,7 @@ class Lexicon:
 
 
 def _hash(words: list[str]) -> np.ndarray:
-    return np.sort(np.concatenate([WordHasher(NOT_WORD).words(pa.array([w]))[0] for w in words]))
+    return np.sort(WordHasher(NOT_WORD).words(pa.array(words, pa.string()))[0])
 
 
 def _has(sorted_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -175,7 +173,7 @@ class Model:
         return np.clip(np.interp(self.trees.raw(x), self.knots, self.shares), 0, 1)
 
 
-def learn_lexicon(rows: DataFrame) -> Lexicon:
+def learn_lexicon(rows: DataFrame, seed_words: list[str]) -> Lexicon:
     """Words and beginnings that mark toxic documents; ``rows``: text and toxic."""
     def run(batches):
         hasher = WordHasher(NOT_WORD)
@@ -206,7 +204,7 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
     hashes = np.array([r["h"] for r in found], np.int64).view(np.uint64)
     order = np.argsort(hashes)
     weight = np.array([r["odds"] for r in found], float)
-    return Lexicon(_hash(SEED_WORDS), _hash(SECOND_PERSON), hashes[order], weight[order])
+    return Lexicon(_hash(seed_words), _hash(SECOND_PERSON), hashes[order], weight[order])
 
 
 def _with_kin(rows: DataFrame) -> DataFrame:
@@ -227,8 +225,11 @@ def _with_kin(rows: DataFrame) -> DataFrame:
     return map_batches(rows, run, T.StructType([*rows.schema.fields, T.StructField("kin", T.LongType())]))
 
 
-def fit(documents: DataFrame, labels: DataFrame) -> Model | None:
-    """Learn from the labelled documents that aren't held out."""
+def fit(documents: DataFrame, labels: DataFrame, seed_words: list[str] = ()) -> Model | None:
+    """Learn from the labelled documents that aren't held out.
+
+    ``seed_words``: a lexicon that is known beforehand.
+    """
     place = F.xxhash64(F.lit("sample"), F.col("doc_id"))
     marks = (labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
@@ -257,7 +258,7 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model | None:
         first = rows.groupBy("kin", "toxic").agg(F.min("doc_id").alias("doc_id"))
         rows = rows.join(F.broadcast(first), ["kin", "toxic", "doc_id"]).withColumn(
             "half", F.pmod(F.xxhash64(F.lit("half"), F.col("kin")), F.lit(2)))
-        lexicon = learn_lexicon(rows.filter("half = 0"))
+        lexicon = learn_lexicon(rows.filter("half = 0"), list(seed_words))
         schema = T.StructType([rows.schema["doc_id"], rows.schema["toxic"], T.StructField("x", T.ArrayType(T.DoubleType()))])
         got = (map_batches(rows.filter("half = 1").select("doc_id", "toxic", "text"), run, schema)
                .orderBy(place, "doc_id", "x").collect())

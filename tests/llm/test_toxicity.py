@@ -76,9 +76,12 @@ def test_one_row_of_each_id_is_learned_from(spark, monkeypatch):
     assert max(sizes) <= 90
 
 
+SEED_WORDS = ["stupid", "idiot", "clown"]
+
+
 def features(*texts):
     none = np.empty(0, np.uint64)
-    lexicon = toxicity.Lexicon(toxicity._hash(toxicity.SEED_WORDS), toxicity._hash(toxicity.SECOND_PERSON), none, np.empty(0))
+    lexicon = toxicity.Lexicon(toxicity._hash(SEED_WORDS), toxicity._hash(toxicity.SECOND_PERSON), none, np.empty(0))
     return toxicity.Featurizer(lexicon).features(pa.array(texts, pa.string()))
 
 
@@ -116,3 +119,46 @@ def test_trees_learn_an_interaction():
     y = ((x[:, 0] > 0.5) & (x[:, 2] < 0.3)).astype(float)
     model = boosting.boost(x, y)
     assert ((model.raw(x) > 0) == y).mean() > 0.97
+
+
+def test_splits_against_brute_force():
+    """The first tree's splits have the most gain among all features and cuts."""
+    rng = np.random.default_rng(7)
+    for _ in range(5):
+        x = rng.integers(0, 12, (300, 3)).astype(float)
+        y = (rng.random(300) < 0.1 + 0.7 * ((x[:, 1] > 5) ^ (x[:, 2] < 3))).astype(float)
+        weight = rng.integers(1, 4, 300).astype(float)
+        trees = boosting.boost(x, y, trees=1, depth=2, weight=weight)
+        p = np.average(y, weights=weight)
+        g, h = weight * (y - p), weight * p * (1 - p)
+
+        def gain(rows):
+            return g[rows].sum() ** 2 / (h[rows].sum() + 1.0)
+
+        def best(rows):
+            found = (0.0, None)
+            for j in range(3):
+                for c in trees.edges[j]:
+                    left, right = rows & (x[:, j] <= c), rows & (x[:, j] > c)
+                    if min(h[left].sum(), h[right].sum()) >= 1.0:
+                        found = max(found, (gain(left) + gain(right) - gain(rows), (j, c)), key=lambda f: f[0])
+            return found
+
+        def taken(node, rows):
+            j, c = trees.feature[0, node], trees.cut[0, node]
+            if c >= len(trees.edges[j]):
+                return 0.0, rows, rows & False
+            left, right = rows & (x[:, j] <= trees.edges[j][c]), rows & (x[:, j] > trees.edges[j][c])
+            return gain(left) + gain(right) - gain(rows), left, right
+
+        rows = np.ones(300, bool)
+        got, left, right = taken(0, rows)
+        assert got == pytest.approx(best(rows)[0])
+        for node, part in ((1, left), (2, right)):
+            value, want = taken(node, part)[0], best(part)[0]
+            assert value == pytest.approx(want if want >= 1.0 else 0.0)
+        # leaves are Newton steps
+        raw = trees.raw(x) - trees.base
+        for step in np.unique(raw):
+            leaf = raw == step
+            assert step == pytest.approx(0.15 * g[leaf].sum() / (h[leaf].sum() + 1.0))
