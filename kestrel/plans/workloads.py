@@ -34,6 +34,7 @@ from kestrel.operators.matrix import (
     coo_to_blocks,
     dedupe_cells,
     keyed_block_text,
+    tuple_block_text,
 )
 from kestrel.operators.setops import union_tagged
 from kestrel.operators.skew import equi_join_hot
@@ -49,7 +50,7 @@ from kestrel.sources.coo import read_coo
 from kestrel.sources.csv import CORRUPT, bad_records, read_csv, write_csv
 from kestrel.sources.delimited import HeaderRule, parse_delimited
 from kestrel.sources.layouts import Layout, read_layouts
-from kestrel.sources.tables import fact_table, table
+from kestrel.sources.tables import fact_table, register_views, table
 from kestrel.sources.text import render_lines, write_lines
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -230,6 +231,18 @@ def q_sql_size_classes(spark, sf):
                    args={"least": 2}, placed=table(spark, sf, "orders"))
 
 
+@register("sql_session_views", "SQL-1 SQL-2 SQL-3 JOI-1 (views that outlive a call, read by later statements)", """
+SELECT n_name, count(*) AS customers, CAST(sum(CAST(c_acctbal AS DECIMAL(12,2))) AS DOUBLE) AS balance
+FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name
+""")
+def q_sql_session_views(spark, sf):
+    register_views(spark, sf, ["customer", "nation"])
+    spark.sql("CREATE OR REPLACE TEMPORARY VIEW per_nation AS SELECT c_nationkey, count(*) AS customers, "
+              "sum(CAST(c_acctbal AS DECIMAL(12,2))) AS balance FROM customer GROUP BY c_nationkey")
+    return spark.sql("SELECT n_name, customers, CAST(balance AS DOUBLE) AS balance "
+                     "FROM per_nation JOIN nation ON c_nationkey = n_nationkey")
+
+
 @register("simple_mean", "AGG-1 SRC-5 PRJ-12", f"""
 SELECT CAST(user_id AS BIGINT) AS key, {_mean('CAST(value AS DECIMAL(12,2))')} AS mean
 FROM events GROUP BY 1
@@ -672,6 +685,14 @@ def q_block_pick(spark, sf):
     return add_matrices_text(m, n, BLOCK_ROWS, BLOCK_COLS, "inner", " %.2f")
 
 
+@register("block_tuple_text", "SNK-2 PRJ-9 FIL-4 (one block as tuple text)", f"""
+SELECT '((' || bi || ',' || bj || '),' || text || ')' AS value
+FROM ({_block_text_sql(_UNION, f"SELECT * FROM ({_KEYS_INNER}) WHERE bi = 1 AND bj = 2", " %.2f")})
+""")
+def q_block_tuple_text(spark, sf):
+    return tuple_block_text(q_block_pick(spark, sf))
+
+
 @register("block_lines", "SNK-1 ORD-3 PRJ-8", f"""
 SELECT CAST(bi AS VARCHAR) || chr(9) || CAST(bj AS VARCHAR) || chr(9) || text AS value
 FROM ({_block_text_sql(_UNION, _KEYS_OUTER, chr(9) + '%.3f')})

@@ -14,7 +14,9 @@ FAST = ["bucket_mean", "bucket_mean_floor6", "bucket_mean_signed", "bucket_mean_
         "trip_sql_rare", "join_two_layouts", "block_order", "block_add_inner_partial", "block_add_outer_partial",
         "blocks_dense_cells", "block_add_max", "propagate_5_hot",
         "trip_sql", "equi_join_keyed", "union_all_tagged", "block_add_inner", "block_pick",
-        "propagate_5_directed", "component_sizes"]
+        "propagate_5_directed", "component_sizes", "csv_quoted", "csv_bad_records", "csv_trip_pruned", "trip_pig_script",
+        "adjacency_long_lines", "join_two_layouts_one_scan", "join_hot_both", "bucket_mean_states", "committed_output",
+        "sorted_lines", "sql_session_views"]
 
 
 def test_entry_runs(spark):
@@ -87,3 +89,12 @@ def test_wrong_variants_are_seen(spark):
     assert not same(dense, "blocks_dense_cells")
     placed = W.q_block_order(spark, sf)
     assert not same(placed.withColumn("place", W.F.max("place").over(W.Window.partitionBy()) + 1 - W.F.col("place")), "block_order")
+    lines = W.q_sorted_lines(spark, sf)
+    assert not same(lines.withColumn("place", W.F.lit(1) + W.F.max("place").over(W.Window.partitionBy()) - W.F.col("place")), "sorted_lines")
+    assert same(W.q_block_tuple_text(spark, sf), "block_tuple_text")
+    assert not same(W.keyed_block_text(W.q_block_pick(spark, sf)), "block_tuple_text")
+    kept = W.q_committed_output(spark, sf)
+    assert not same(kept.withColumn("refused", ~W.F.col("refused")), "committed_output")
+    plain = W.bucket_mean(W.table(spark, sf, "lineitem").where("l_orderkey % 2 = 0"), W.F.col("l_extendedprice") / 500, W._revenue(),
+                          min_key=0, max_key=200)
+    assert not same(plain, "bucket_mean_states")
