@@ -20,8 +20,10 @@ result are replaced; an empty input gives no rows.
 from __future__ import annotations
 
 import os
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,6 +38,11 @@ from kestrel.plans.materialize import RunTables, write_and_reload
 
 #: Bytes of text that are tokenised at a time (one text at least).
 CHUNK = 1 << 18
+#: Words that are encoded as one row.
+ROW = 500
+#: Matches that a task keeps the ids of; beyond it the cache starts anew (bounds memory, not results).
+CACHE_SIZE = 150_000
+CACHE_CHARS = 64
 #: Pairs that are broadcast at most: a row of two ids and two counts.
 MAX_BROADCAST_PAIRS = 4_000_000
 
@@ -50,13 +57,14 @@ class Tokenizers:
     """Both tokenizers as values that travel to the tasks, and the bytes of their ids."""
 
     a_spec: str
+    a_pattern: str
     b_model: bytes
     a_bytes: list[bytes]
     b_bytes: list[bytes]
 
 
-def read_tokenizers(a_path: str, b_path: str) -> Tokenizers:
-    """A's JSON file and B's model file."""
+def read_tokenizers(a_path: str, b_path: str, a_pattern: str) -> Tokenizers:
+    """A's JSON file and B's model file; ``a_pattern``: what A's byte-level pre-tokenizer splits by."""
     import sentencepiece
     from tokenizers import Tokenizer
 
@@ -74,7 +82,7 @@ def read_tokenizers(a_path: str, b_path: str) -> Tokenizers:
     pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
     b_bytes = [bytes([int(p[3:5], 16)]) if pieces.is_byte(i) else p.replace("▁", " ").encode()
                for i in range(pieces.get_piece_size()) for p in [pieces.id_to_piece(i)]]
-    return Tokenizers(spec, model, a_bytes, b_bytes)
+    return Tokenizers(spec, a_pattern, model, a_bytes, b_bytes)
 
 
 def linkable_pairs(a_bytes: list[bytes], b_bytes: list[bytes]) -> int:
@@ -106,28 +114,87 @@ class Batch:
     base: np.ndarray
 
 
+class ByteLevel:
+    """Ids of a byte-level tokenizer, match by match of its splitting pattern.
+
+    The tokenizer encodes each match on its own, so a text's ids are those of its matches, and the
+    ids of matches are kept for a while.  The pattern is the library's own for this pre-tokenizer; the
+    ``regex`` module cuts alike as long as both know a character's class alike.  Texts with characters
+    that are newer than Unicode 3.2, or whose class changed since, go to the library whole.
+    """
+
+    def __init__(self, spec: str, pattern: str, sizes: np.ndarray):
+        import regex
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(spec)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.split, self.sizes = regex.compile(pattern).findall, sizes
+        self.known: dict[str, bool] = {c: c.isprintable() or c in "\t\n\r" for c in map(chr, range(128))}
+        self.cache: dict[str, bytes] = {}
+
+    def cut(self, text: str) -> list[str]:
+        """Matches of a text, or the text."""
+        chars = set(text)
+        for c in chars.difference(self.known):
+            kind = unicodedata.category(c)
+            self.known[c] = kind == unicodedata.ucd_3_2_0.category(c) and kind[0] != "C"
+        return self.split(text) if all(map(self.known.__getitem__, chars)) else [text]
+
+    def library(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def fresh(self, matches: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Each match and its ids.  Words behind a space are encoded many at a time: the library cuts a
+        row of them before each space, and the bytes of the tokens tell which are whose."""
+        words = [m for m in matches if m[0] == " " and m[1:].isalpha()]
+        rest = list(set(matches).difference(words))
+        rows = [words[i:i + ROW] for i in range(0, len(words), ROW)]
+        for row, ids in zip(rows, self.library(["".join(row) for row in rows])):
+            want, ends = np.cumsum([len(w.encode()) for w in row]), np.cumsum(self.sizes[ids])
+            at = np.searchsorted(ends, want)
+            if len(ids) <= at[-1] or (ends[at] != want).any():
+                rest += row
+                continue
+            raw, begin = ids.tobytes(), 0
+            for word, end in zip(row, ((at + 1) * 4).tolist()):
+                yield word, raw[begin:end]
+                begin = end
+        yield from ((m, ids.tobytes()) for m, ids in zip(rest, self.library(rest)))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        if len(self.cache) > CACHE_SIZE:
+            self.cache = {}
+        cut = [self.cut(t) for t in texts]
+        new = dict(self.fresh(list(set(chain.from_iterable(cut)).difference(self.cache))))
+        self.cache.update(new)
+        out = [np.frombuffer(b"".join(map(self.cache.__getitem__, matches)), np.int32) for matches in cut]
+        for m in new:  # long ones are encoded each time, so that the cache stays small
+            if len(m) > CACHE_CHARS:
+                del self.cache[m]
+        return out
+
+
 class Aligner:
     """Tokenises and aligns texts; made once in each task."""
 
     def __init__(self, with_: Tokenizers):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_str(with_.a_spec)
-        self.a.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.b = sentencepiece.SentencePieceProcessor(model_proto=with_.b_model)
         self.bytes = with_.a_bytes, with_.b_bytes
         self.sizes = tuple(np.array([len(t) for t in of], np.int64) for of in self.bytes)
+        self.a = ByteLevel(with_.a_spec, with_.a_pattern, self.sizes[0])
+        self.b = sentencepiece.SentencePieceProcessor(model_proto=with_.b_model)
         a, b = len(with_.a_bytes), len(with_.b_bytes)
         self.ids = a, b
         # the text of a token: its id, and "," inside a run or what ends the run
         self.words = [f"{i}{c}" for n, stops in ((a, ",|"), (b, ",;")) for c in stops for i in range(n)]
 
-    def frame(self, side: int, ids: list[list[int]]) -> pd.DataFrame:
-        counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.int64, int(counts.sum()))
-        doc = np.repeat(np.arange(len(ids)), counts)
+    def frame(self, side: int, ids: list[np.ndarray]) -> pd.DataFrame:
+        flat = np.concatenate([np.zeros(0, np.int64), *ids]).astype(np.int64)
+        doc = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
         # tokens tile each text that has any, and the texts follow each other
         end = np.cumsum(self.sizes[side][flat])
         return pd.DataFrame({"at": end - self.sizes[side][flat], "doc": doc, "id": flat, "end": end})
@@ -135,13 +202,14 @@ class Aligner:
     def align(self, texts: list[str | None]) -> Batch:
         """All overlaps of the texts' tokens."""
         told = [i for i, t in enumerate(texts) if t]
-        a = self.a.encode_batch_fast([" " + texts[i] for i in told], add_special_tokens=False)
+        none = np.zeros(0, np.int32)
+        a_ids, b_ids, sizes = [none] * len(texts), [none] * len(texts), np.zeros(len(texts) + 1, np.int64)
+        a = self.a.encode([" " + texts[i] for i in told])
         b = self.b.encode([texts[i] for i in told], num_threads=1) if told else []
-        a_ids, b_ids, sizes = [[]] * len(texts), [[]] * len(texts), np.zeros(len(texts) + 1, np.int64)
-        for i, x, y in zip(told, (e.ids for e in a), b):
+        for i, x, y in zip(told, a, b):
             raw = (" " + texts[i]).encode()
-            if all(b"".join(map(of.__getitem__, ids)) == raw for of, ids in zip(self.bytes, (x, y))):
-                a_ids[i], b_ids[i], sizes[i + 1] = x, y, len(raw)
+            if all(b"".join(map(of.__getitem__, ids)) == raw for of, ids in zip(self.bytes, (x.tolist(), y))):
+                a_ids[i], b_ids[i], sizes[i + 1] = x, np.array(y, np.int32), len(raw)
         base = np.cumsum(sizes)
         left, right = self.frame(0, a_ids), self.frame(1, b_ids)
         if not len(left):
@@ -253,10 +321,10 @@ def pair_counts(links: DataFrame) -> DataFrame:
     return counts.withColumn("best", F.col("count") == F.max("count").over(Window.partitionBy("b")))
 
 
-def digests(df: DataFrame, a_path: str, b_path: str) -> DataFrame:
+def digests(df: DataFrame, a_path: str, b_path: str, a_pattern: str) -> DataFrame:
     """Per document: numbers of tokens, groups and links, how its links stand in the corpus, and a
     digest of the groups."""
-    spark, tokenizers = df.sparkSession, read_tokenizers(a_path, b_path)
+    spark, tokenizers = df.sparkSession, read_tokenizers(a_path, b_path, a_pattern)
     bounded = linkable_pairs(tokenizers.a_bytes, tokenizers.b_bytes) <= MAX_BROADCAST_PAIRS
     with RunTables(spark, "alignment") as tables:
         # written once: the texts are tokenised once, and row numbers stay

@@ -89,7 +89,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens by two tokenizers, aligned, as counts and digests."""
-    return alignment.digests(table(spark, sf_dir, "documents"), *map(public_tokenizers.path, ALIGNED))
+    return alignment.digests(table(spark, sf_dir, "documents"), *map(public_tokenizers.path, ALIGNED), public_tokenizers.PATTERN)
 
 
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ from conftest import SF_SMALL
 from kestrel.llm import alignment, queries
 
 A, B = map(public_tokenizers.path, queries.ALIGNED)
+PATTERN = public_tokenizers.PATTERN
 TEXTS = [None, "", " ", "\n", "a", " lead", "trail ", "Straße für Ärzte", "日本語 テスト 🙂🙂", "<|endoftext|> <s> <0x41>", "a▁b", "\x00x",
          "x" * 4000, "word " * 3000, "é ½ ²³", "tab\tand\r\nline", "same text", "same text"]
 
@@ -76,7 +77,7 @@ def test_whole_table_equals_brute_force(spark, plain):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
     short = [(i, t) for i, t in docs if len(t or "") < 3000]
     df = spark.createDataFrame(short, "doc_id long, text string").repartition(5)
-    assert sorted(map(tuple, alignment.digests(df, A, B).collect())) == expected(short, plain)
+    assert sorted(map(tuple, alignment.digests(df, A, B, PATTERN).collect())) == expected(short, plain)
     whole = queries.op11_alignment(spark, SF_SMALL)
     assert whole.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     assert sorted(r["doc_id"] for r in whole.collect()) == sorted(i for i, _ in docs)
@@ -85,7 +86,7 @@ def test_whole_table_equals_brute_force(spark, plain):
 def test_awkward_rows_and_clashing_columns(spark, plain):
     rows = [(k, t) for k, t in enumerate(TEXTS)]
     df = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], "doc_id long, text string, links string, row string").repartition(3)
-    got = alignment.digests(df, A, B)
+    got = alignment.digests(df, A, B, PATTERN)
     assert sorted(map(tuple, got.collect())) == expected(rows, plain)
     zero = {r["doc_id"]: r for r in got.collect()}
     for i in (0, 1, TEXTS.index("a▁b")):
@@ -94,19 +95,19 @@ def test_awkward_rows_and_clashing_columns(spark, plain):
 
 def test_null_ids_repeated_rows_and_empty_table(spark):
     df = spark.createDataFrame([(None, "one two"), (None, "one two"), (7, "one two"), (7, None)], "doc_id long, text string")
-    got = alignment.digests(df, A, B).collect()
+    got = alignment.digests(df, A, B, PATTERN).collect()
     assert sorted(str(r["doc_id"]) for r in got) == ["7", "7", "None", "None"]
     said = [r for r in got if r["n_a"]]
     assert len({tuple(r)[1:] for r in said}) == 1 and len(said) == 3
     # each of the links is in three rows, and is the only one of its B id
     assert said[0]["count_sum"] == 3 * said[0]["n_links"] and said[0]["n_best"] == said[0]["n_links"]
-    assert alignment.digests(df.limit(0), A, B).count() == 0
+    assert alignment.digests(df.limit(0), A, B, PATTERN).count() == 0
 
 
 def test_overlaps_are_all_pairs_that_share_bytes(spark, plain):
     texts = [t for t in TEXTS if len(t or "") < 200]
     df = spark.createDataFrame([(k, t, "kept") for k, t in enumerate(texts)], "doc_id long, text string, first string").repartition(2)
-    got = alignment.overlaps(df, alignment.read_tokenizers(A, B))
+    got = alignment.overlaps(df, alignment.read_tokenizers(A, B, PATTERN))
     assert got.columns == ["doc_id", *alignment.OVERLAPS]
     found = {}
     for r in got.collect():
@@ -118,7 +119,7 @@ def test_overlaps_are_all_pairs_that_share_bytes(spark, plain):
 
 @pytest.fixture(scope="module")
 def aligner():
-    return alignment.Aligner(alignment.read_tokenizers(A, B))
+    return alignment.Aligner(alignment.read_tokenizers(A, B, PATTERN))
 
 
 @settings(max_examples=200, deadline=None)
@@ -130,14 +131,43 @@ def test_any_texts(aligner, plain, texts):
     assert sorted(zip(*(x.tolist() for x in aligner.links(found)))) == sorted((*k, n) for k, n in Counter(links).items())
 
 
+ANY = st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(" \t\n\r\x0b\x1c\x85\u00a0\u2028\u180e\u200b'sabc1½▁")))
+
+
+@settings(max_examples=400, deadline=None)
+@given(ANY)
+def test_matches_equal_the_library(aligner, library, text):
+    assert aligner.a.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+@pytest.fixture(scope="module")
+def library():
+    t = Tokenizer.from_file(A)
+    t.encode_special_tokens = True
+    return t
+
+
+def test_documents_equal_the_library(spark, aligner, library):
+    texts = [" " + r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect() if r["text"]]
+    for ids, t in zip(aligner.a.encode(texts), texts):
+        assert ids.tolist() == library.encode(t, add_special_tokens=False).ids
+
+
+def test_cache_restarts(aligner, library, monkeypatch):
+    monkeypatch.setattr(alignment, "CACHE_SIZE", 3)
+    for text in ("one two three four five", "six one " + "x" * 200, "\u0001 \U0001f9ff one  "):
+        assert [x.tolist() for x in aligner.a.encode([text, text])] == [library.encode(text, add_special_tokens=False).ids] * 2
+
+
 def test_linkable_pairs_bound_what_is_linked():
     a, b = [b"the", b"he", b"x"], [b"e", b"he", b"xthe"]
     ends = {(x, y) for x in a for y in b if x.endswith(y) or y.endswith(x)}
     assert alignment.linkable_pairs(a, b) == len(ends)
 
 
-def test_vocabularies(aligner):
+def test_vocabularies():
     with open(A, encoding="utf-8") as f:
         spec = json.load(f)
-    assert len(aligner.bytes[0]) == len(spec["model"]["vocab"]) + len(spec["added_tokens"])
-    assert aligner.bytes[1][3] == b"\0" and b" " in aligner.bytes[1]
+    told = alignment.read_tokenizers(A, B, PATTERN)
+    assert len(told.a_bytes) == len(spec["model"]["vocab"]) + len(spec["added_tokens"])
+    assert told.b_bytes[3] == b"\0" and b" " in told.b_bytes
