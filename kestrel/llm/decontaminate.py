@@ -6,9 +6,11 @@ binary-searched in it: its longest verbatim match follows from its neighbours, a
 match a whole window are located by the range of suffixes that begin with the window.  No row is
 shuffled and nothing depends on how often a passage repeats.
 
-The benchmark is read in blocks of about ``BLOCK_BYTES`` of text, each sent to the tasks whole:
-that bounds what is broadcast.  More blocks are more passes over the documents, chained, each
-adding its matches to the columns of the one before.
+The benchmark's distinct rows are dealt to blocks of about ``BLOCK_BYTES`` of text by a hash of the whole
+row.  All blocks travel with the one Python stage of the plan, compressed, and a task unpacks one at
+a time: a shard is sorted once and searched block by block, and what the blocks find is merged.  The
+benchmark is a stated set of queries that goes through the driver; one of more than
+``max_bytes`` of text fails the job, and can be given in several calls.
 
 Words: ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z are lower-cased.  A window is
 ``WINDOW`` consecutive words of an item; an item of fewer words, but not none, is one window.
@@ -22,6 +24,8 @@ has the name of a new one is replaced; ``prefix`` keeps them apart.
 from __future__ import annotations
 
 import math
+import pickle
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +39,7 @@ from kestrel.llm.textnum import WordHasher, map_batches, separators, slices
 WINDOW = 10
 SHARD_WORDS = 1 << 19
 BLOCK_BYTES = 4 << 20
+MAX_BYTES = 1 << 30
 SEPARATORS = separators(bytes([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]) )
 SEPARATORS[65:91] = False  # lower-cased before words are cut
 
@@ -143,37 +148,48 @@ class Tests:
         return known, words, array[words[array] > 0], place
 
 
+class Shard:
+    """Documents of a task as one array of words, and its suffixes in order by ``depth`` words."""
+
+    def __init__(self, parts: list[pa.Array], hasher: WordHasher, depth: int):
+        hashed = [hasher.words(p) for p in parts]
+        self.counts = np.concatenate([np.diff(o) for _, o in hashed])
+        self.first = np.concatenate([[0], np.cumsum(self.counts + 1)])  # with a text's end after each text
+        self.text_of = np.repeat(np.arange(len(self.counts)), self.counts)
+        self.place = np.arange(len(self.text_of)) + self.text_of
+        self.hashes = np.concatenate([h for h, _ in hashed])
+        if len(self.hashes) and depth:
+            self.known, rank = np.unique(self.hashes, return_inverse=True)
+            self.words = np.zeros(self.first[-1] + 1, np.int64)
+            self.words[self.place] = 2 * (rank + 1)
+            self.array = suffix_array(self.words >> 1, depth)
+
+    def matches(self) -> list[dict]:
+        """A row for each text, without matches as yet."""
+        return [{"n_words": int(c), "hit_spans": [], "items": [], "longest_words": 0, "longest_start": None,
+                 "longest_item": None} for c in self.counts]
+
+
 class Matcher:
     """Searches shards for one block of items."""
 
     def __init__(self, tests: Tests):
-        self.tests, self.hasher = tests, WordHasher(SEPARATORS)
+        self.tests = tests
         if len(tests.words):
             self.known, self.test_words, self.test_array, place = tests.order()
             self.owner = np.zeros(len(self.test_words), np.int64)
             self.owner[place] = tests.item
 
-    def shard(self, parts: list[pa.Array]) -> list[dict]:
+    def search(self, shard: Shard) -> list[dict]:
         """Matches of each text of the shard."""
-        t, hashed = self.tests, [self.hasher.words(p) for p in parts]
-        counts = np.concatenate([np.diff(o) for _, o in hashed])
-        first = np.concatenate([[0], np.cumsum(counts + 1)])  # with a text's end after each text
-        out = [{"n_words": int(c), "hit_spans": [], "items": [], "longest_words": 0, "longest_start": None,
-                "longest_item": None} for c in counts]
-        if not counts.sum() or not len(t.words):
+        t, out = self.tests, shard.matches()
+        if not len(shard.hashes) or not len(t.words):
             return out
-        text_of = np.repeat(np.arange(len(counts)), counts)
-        place = np.arange(len(text_of)) + text_of
-        hashes = np.concatenate([h for h, _ in hashed])
-        known, rank = np.unique(hashes, return_inverse=True)
-        words = np.zeros(first[-1] + 1, np.int64)
-        words[place] = 2 * (rank + 1)
+        known, words, array, first = shard.known, shard.words, shard.array, shard.first
         near = np.searchsorted(known, t.words)
         seen = known[np.minimum(near, len(known) - 1)] == t.words
         pattern = 2 * (near + 1) - ~seen  # odd: stands between the shard's words
 
-        compact = words >> 1
-        array = suffix_array(compact, t.depth)
         low = find(array, words, pattern, t.starts, t.lengths, after=False)
         before, behind = np.where(low > 0, array[np.maximum(low - 1, 0)], -1), \
             np.where(low < len(array), array[np.minimum(low, len(array) - 1)], -1)
@@ -207,7 +223,7 @@ class Matcher:
         for k in np.unique(pairs[0]):
             mine = np.unique(np.concatenate([owners[w] for w in pairs[1][pairs[0] == k]]))
             out[k]["items"] = sorted(set(t.ids[mine]))
-        self._extend(out, np.unique(at), hashes, place, text_of, first)
+        self._extend(out, np.unique(at), shard.hashes, shard.place, shard.text_of, first)
         return out
 
     def _extend(self, out, at, hashes, place, text_of, first) -> None:
@@ -244,24 +260,47 @@ def merge(old: dict, new: dict) -> dict:
             "items": sorted({*old["items"], *new["items"]})}
 
 
-def _pass(df: DataFrame, tests: Tests, prefix: str, again: bool) -> DataFrame:
+def _block(packed: bytes, window: int) -> Tests:
+    ids, texts = pickle.loads(zlib.decompress(packed))
+    return Tests(ids, texts, window)
+
+
+def match(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, prefix: str = "",
+          block_bytes: int = BLOCK_BYTES, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """``documents`` with the columns of ``MATCHES``, their names behind ``prefix``."""
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"), "text").distinct()
+    total = items.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    if total > max_bytes:
+        raise ValueError(f"the benchmark has {total} bytes of text: give it in parts, or set max_bytes")
+    blocks = max(1, math.ceil(total / block_bytes))
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks))).orderBy("block", "id", "text")
+    held: dict[int, tuple[list, list]] = {}
+    for r in dealt.toLocalIterator():
+        ids, texts = held.setdefault(r["block"], ([], []))
+        ids.append(r["id"])
+        texts.append(r["text"])
+    packed = [zlib.compress(pickle.dumps(x), 1) for x in held.values()]
+    depth = max((_block(p, window).depth for p in packed), default=0)
+
     fields = MATCHES.fieldNames()
     names = [prefix + c for c in fields]
-    rest = [c for c in df.columns if c not in names]
-    schema = T.StructType([*(df.schema[c] for c in rest), *(T.StructField(prefix + f.name, f.dataType) for f in MATCHES)])
+    rest = [c for c in documents.columns if c not in names]
+    schema = T.StructType([*(documents.schema[c] for c in rest), *(T.StructField(prefix + f.name, f.dataType) for f in MATCHES)])
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
     types = dict(zip(fields, [pa.int64(), pa.list_(span), pa.list_(pa.string()), pa.int64(), pa.int64(), pa.string()]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(tests)
+        hasher = WordHasher(SEPARATORS)
+        only = Matcher(_block(packed[0], window)) if len(packed) == 1 else None
 
         def flush(held):
-            rows = matcher.shard([b.column("text") for b in held])
+            shard, rows = Shard([b.column("text") for b in held], hasher, depth), None
+            for p in packed:  # one block is unpacked at a time
+                found = (only or Matcher(_block(p, window))).search(shard)
+                rows = found if rows is None else [merge(a, b) for a, b in zip(rows, found)]
+            rows = rows or shard.matches()
             for b in held:
                 mine, rows = rows[:b.num_rows], rows[b.num_rows:]
-                if again:
-                    old = b.select(names).rename_columns(fields).to_pylist()
-                    mine = [merge(o, m) for o, m in zip(old, mine)]
                 yield pa.RecordBatch.from_arrays(
                     [*(b.column(c) for c in rest), *(pa.array([m[c] for m in mine], types[c]) for c in fields)],
                     [*rest, *names])
@@ -277,20 +316,7 @@ def _pass(df: DataFrame, tests: Tests, prefix: str, again: bool) -> DataFrame:
         if held:
             yield from flush(held)
 
-    return map_batches(df.select(*rest, *(names if again else ())), run, schema)
-
-
-def match(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, prefix: str = "",
-          block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``documents`` with the columns of ``MATCHES``, their names behind ``prefix``."""
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"), "text")
-    total = items.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    blocks = max(1, math.ceil(total / block_bytes))
-    out = documents
-    for k in range(blocks):
-        rows = items.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == k).orderBy("id", "text").collect()
-        out = _pass(out, Tests([r["id"] for r in rows], [r["text"] for r in rows], window), prefix, k > 0)
-    return out
+    return map_batches(documents.select(*rest), run, schema)
 
 
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

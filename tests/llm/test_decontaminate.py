@@ -58,6 +58,27 @@ def test_brute_force(spark, block_bytes):
         assert (r["__n_words"], hit, len(r["__items"]), sha, hit > 0, r["__longest_words"]) == want, r["text"]
 
 
+def test_one_python_stage_for_many_blocks(spark):
+    docs, items = spark.createDataFrame(DOCS, "doc_id long, text string"), spark.createDataFrame(ITEMS, "item_id long, text string")
+    plan = D.match(docs, items, block_bytes=20)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    with pytest.raises(ValueError, match="give it in parts"):
+        D.match(docs, items, max_bytes=10)
+
+
+def test_items_without_ids_lie_in_all_blocks(spark, monkeypatch):
+    sizes, block = [], D._block
+    monkeypatch.setattr(D, "_block", lambda packed, window: (lambda t: (sizes.append(len(t.ids)), t)[1])(block(packed, window)))
+    items = [(None, long_words(12, 40 * k)) for k in range(60)]
+    df = spark.createDataFrame(items * 3, "item_id long, text string")
+    docs = spark.createDataFrame([(k, "x " + long_words(11, 40 * k)) for k in range(60)], "doc_id long, text string")
+    got = D.report(docs, df).collect()
+    assert all((r["n_hit"], r["n_items"], r["contaminated"]) == (11, 1, True) for r in got)
+    sizes.clear()
+    D.match(docs, df, block_bytes=500)
+    assert sum(sizes) == 60 and len(sizes) >= 6 and max(sizes) <= 20
+
+
 def test_report_and_clean(spark):
     docs, items = spark.createDataFrame(DOCS, "doc_id long, text string"), spark.createDataFrame(ITEMS, "item_id long, text string")
     want = sorted((repr(d),) + brute(t, ITEMS)[:5] for d, t in DOCS)
