@@ -15,9 +15,12 @@ trivial; a null or empty text has none.
 Two digests without features are alike (1), one without and one with are not (0).  Repeated rows
 have equal digests, and an empty table gives no rows.
 
-``with_successors`` orders documents without a global sort: documents are dealt to buckets of
-neighbouring ids (quantiles of the ids), and the first document of each bucket is copied to the
-bucket before it.  Null ids count as the lowest; rows that share an id are ordered by text.
+``with_successors`` orders documents without a global sort: by id, and rows that share an id by a
+hash of the text, so that an id with very many texts is dealt like any others (repeated rows stay
+together: they follow each other anyway).  Documents are dealt to buckets of neighbours, bounded by quantiles of a
+sample (``PER_BUCKET`` rows for each of at most ``MAX_BUCKETS`` buckets), and the first document of
+each bucket is copied to the bucket before it.  A bucket streams through its task; no task holds
+one.  Null ids count as the lowest.
 """
 
 from __future__ import annotations
@@ -42,7 +45,8 @@ PER_FILTER = 160
 TYPICAL = 680  # entropy of prose, in thousandths of the most that a window can have
 TRIVIAL = 100  # windows of less entropy are never features
 BUCKET_ROWS = 1000
-MAX_BUCKETS = 20_000
+MAX_BUCKETS = 50_000
+PER_BUCKET = 20
 
 _SCALE = 1 << 10
 _COUNTS = np.arange(WIDTH + 2, dtype=float)
@@ -174,33 +178,46 @@ def written(digest: np.ndarray) -> str:
     return f"{len(digest)}:{base64.b64encode(digest.tobytes()).decode()}"
 
 
+def sortable(*columns: np.ndarray) -> np.ndarray:
+    """Rows of 64-bit whole numbers as byte strings in the same order."""
+    rows = np.stack([np.asarray(c, np.int64) for c in columns], 1)
+    return (rows ^ np.int64(-(1 << 63))).view(np.uint64).astype(">u8").view(f"S{8 * rows.shape[1]}").ravel()
+
+
 def with_successors(documents: DataFrame) -> DataFrame:
     """Rows ``bucket, doc_id, text, copied``: within a bucket by descending id, each row is followed
     by its successor; the last row of a bucket is a copy from the next bucket (of the first
     document, in the end)."""
     lowest = -(1 << 63)
-    rows = documents.select("doc_id", "text").withColumn("place", F.coalesce(F.col("doc_id").cast("long"), F.lit(lowest)))
-    n = documents.count()
-    buckets = min(max(n // BUCKET_ROWS, 1), MAX_BUCKETS)
-    found = rows.agg(F.percentile_approx("place", [k / buckets for k in range(1, buckets + 1)], 20 * buckets).alias("q"),
-                     F.max("place").alias("top")).first()
-    bounds = np.array(sorted({*(found["q"] or []), *([found["top"]] if n else [])}), np.int64)
+    order = ["place", "by_text"]
+    rows = documents.select("doc_id", "text").select(
+        "doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(lowest)).alias("place"),
+        F.xxhash64("text").alias("by_text"))
+    told = rows.agg(F.count("*").alias("n"), F.max(F.struct(*order)).alias("top")).first()
+    n, buckets = told["n"], min(max(told["n"] // BUCKET_ROWS, 1), MAX_BUCKETS)
+    share = min(1.0, PER_BUCKET * buckets / max(n, 1))
+    drawn = rows.filter(F.xxhash64(F.lit("sample"), *order).bitwiseAND((1 << 62) - 1) < F.lit(int(share * (1 << 62))))
+    sample = drawn.select(*order).toArrow()  # about PER_BUCKET rows of two numbers for each bucket
+    keys = np.unique(sortable(*(sample.column(c).to_numpy() for c in order)))
+    some = keys[np.arange(1, buckets) * len(keys) // buckets] if len(keys) else keys
+    bounds = np.unique(np.concatenate([some, sortable(*([x] for x in told["top"]))])) if n else some
 
     @F.pandas_udf("bucket int, next int")
-    def dealt(place):
+    def dealt(place, by_text):
         import pandas as pd
 
-        at = np.searchsorted(bounds, place.to_numpy(np.int64))
-        after = np.where(bounds[at] == place.to_numpy(np.int64), (at + 1) % len(bounds), -1)
-        return pd.DataFrame({"bucket": at, "next": after})
+        key = sortable(place, by_text)
+        at = np.searchsorted(bounds, key)
+        return pd.DataFrame({"bucket": at, "next": np.where(bounds[at] == key, (at + 1) % len(bounds), -1)})
 
-    # bucket k holds the ids in (bounds[k - 1], bounds[k]]; bounds are ids that occur
-    return (rows.withColumn("at", dealt("place"))
-            .select("doc_id", "text", "place", F.inline(F.filter(F.array(
+    # bucket k holds the rows in (bounds[k - 1], bounds[k]]; bounds are rows that occur, and a row that
+    # occurs repeatedly is copied as often: the first copy follows the bucket's last row
+    return (rows.withColumn("at", dealt(*order))
+            .select("doc_id", "text", *order, F.inline(F.filter(F.array(
                 F.struct(F.col("at.bucket").alias("bucket"), F.lit(False).alias("copied")),
                 F.struct(F.col("at.next").alias("bucket"), F.lit(True).alias("copied"))),
                 lambda x: x["bucket"] >= 0)))
-            .repartition("bucket").sortWithinPartitions("bucket", "copied", F.desc("place"), "text")
+            .repartition("bucket").sortWithinPartitions("bucket", "copied", *map(F.desc, order), "text")
             .select("bucket", "doc_id", "text", "copied"))
 
 

@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from kestrel.llm import fingerprint as FP
@@ -78,7 +79,9 @@ def test_awkward_rows(spark, monkeypatch, bucket_rows):
     rows = [(i * 7 % 31, t) for i, t in enumerate(TEXTS)] + [(None, "no id"), (None, None), (5, None), (5, "z"), (5, "z"), (-4, "é" * 90)]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS bucket", "'x' AS copied").repartition(3)
     got = FP.fingerprints(df).collect()
-    order = sorted(rows, key=lambda r: (-(r[0] if r[0] is not None else -(1 << 63)), r[1] is not None, (r[1] or "").encode()))
+    hashed = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(rows)], "k int, t string").select("k", F.xxhash64("t").alias("h"))
+    by_text = {rows[r["k"]][1]: r["h"] for r in hashed.collect()}
+    order = sorted(rows, key=lambda r: (-(r[0] if r[0] is not None else -(1 << 63)), -by_text[r[1]]))
     want, d = [], FP.Digester()
     for i, (doc_id, text) in enumerate(order):
         text, after = text or "", order[(i + 1) % len(order)][1] or ""
@@ -90,6 +93,31 @@ def test_awkward_rows(spark, monkeypatch, bucket_rows):
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
 
 
+def test_one_id_with_a_third_of_all_rows_is_dealt(spark, monkeypatch):
+    """Buckets are even, whatever the ids are, and each row is followed by its successor."""
+    monkeypatch.setattr(FP, "BUCKET_ROWS", 50)
+    n = 6000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 7 == 1, None).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 600 == 0, "the same").otherwise(F.concat(F.lit("text "), "id")).alias("text")).repartition(5)
+    rows = FP.with_successors(df).collect()
+    sizes = Counter(r["bucket"] for r in rows if not r["copied"])
+    assert sum(sizes.values()) == n and len(sizes) >= 100
+    assert max(sizes.values()) <= 3 * n / len(sizes)
+    assert {r["bucket"] for r in rows if r["copied"]} == set(sizes)
+    rows = [r for k, r in enumerate(rows) if not (r["copied"] and rows[k - 1]["copied"] and rows[k - 1]["bucket"] == r["bucket"])]
+    ids = [[r["doc_id"] if r["doc_id"] is not None else -1 for r in rows if r["bucket"] == k] for k in sorted(sizes)]
+    assert all(x[:-1] == sorted(x[:-1], reverse=True) for x in ids)
+    # a bucket ends with the first row of the one below it
+    assert all(ids[k][-1] == ids[k - 1][0] for k in range(1, len(ids))) and ids[0][-1] == ids[-1][0]
+
+
+def test_keys_sort_as_their_numbers():
+    rng = np.random.default_rng(4)
+    x = rng.integers(-3, 4, (500, 3)) * rng.choice([1, 256, 1 << 61], (500, 3))
+    assert [tuple(r) for r in x[np.argsort(FP.sortable(*x.T), kind="stable")]] == sorted(map(tuple, x))
+
+
 def test_empty_and_single(spark):
     df = spark.createDataFrame([(1, "only one document, with some words in it to be cut in half")], "doc_id long, text string")
     assert FP.fingerprints(df.limit(0)).count() == 0
