@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
-from kestrel.llm.textnum import map_batches
+from kestrel.llm.textnum import map_batches, slices
 
 #: Matches kept in a task's cache; beyond it the cache starts anew (bounds memory, not results).
 CACHE_SIZE = 150_000
@@ -117,6 +117,27 @@ class Encoder:
         return out
 
 
+class SpanEncoder(Encoder):
+    """Ids and byte offsets of whole texts: the library's offsets of each match, behind those before it."""
+
+    def _add(self, matches: list[str]) -> dict[str, bytes]:
+        mapped = [to_characters(m.encode(), self.table) for m in matches]
+        # a character of a mapped match is a byte, so its offsets are bytes
+        return {m: np.array([(i, *span) for i, span in zip(e.ids, e.offsets)], "<u4").tobytes()
+                for m, e in zip(matches, self.tokenizer.encode_batch(mapped, add_special_tokens=False))}
+
+    def spans(self, text: str | None) -> np.ndarray:
+        """(tokens, 3): id, first byte and end byte of each token."""
+        matches = self.split(text) if text else []
+        parts = [np.frombuffer(self.encode([m])[0] if m not in self.cache else self.cache[m], "<u4").reshape(-1, 3).astype(np.int64)
+                 for m in matches]
+        at = 0
+        for m, part in zip(matches, parts):
+            part[:, 1:] += at
+            at += len(m.encode())
+        return np.concatenate(parts) if parts else np.zeros((0, 3), np.int64)
+
+
 def token_bytes(ranks: dict[bytes, int]) -> dict[int, bytes]:
     """Id -> bytes, by way of the tokenizer's characters: the byte table reversed."""
     table = byte_characters()
@@ -173,6 +194,28 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", into: str
     return _mapped(df, text, (text,), [into], make)
 
 
+def encode_spans(df: DataFrame, path: str, pattern: str, text: str = "text", into: str = "tokens") -> DataFrame:
+    """``df`` with ``into``: an array of ``(id, first, end)`` for each text, the bytes of its UTF-8 that
+    a token covers; null and empty texts have none.  A column already named ``into`` is replaced."""
+    spec = tokenizer_json(read_ranks(path))
+    rest = [c for c in df.columns if c != into]
+    kind = "array<struct<id:int,first:int,end:int>>"
+    schema = T.StructType([*(df.schema[c] for c in rest), *T._parse_datatype_string(f"`{into}` {kind}").fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = SpanEncoder(spec, pattern)
+        for batch in batches:
+            for rows in slices(batch, text):
+                found = [encoder.spans(t) for t in rows.column(text).to_pylist()]
+                flat = np.concatenate([np.zeros((0, 3), np.int64), *found]).astype(np.int32)
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+                tokens = pa.StructArray.from_arrays([pa.array(flat[:, k]) for k in range(3)], ["id", "first", "end"])
+                yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in rest), pa.ListArray.from_arrays(pa.array(ends), tokens)],
+                                                 [*rest, into])
+
+    return map_batches(df.select(*rest), run, schema)
+
+
 def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """``df`` with ``into``: the bytes that the ids in ``ids`` stand for.
 

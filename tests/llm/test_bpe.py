@@ -85,6 +85,22 @@ def test_offsets_cover_the_bytes(spec):
     assert all(decoder.decode(packed([i])) == text.encode()[a:b] for i, a, b in found)
 
 
+def test_spans_over_a_table_hold_the_tokens_bytes(spark, reference):
+    rows = [(i if i else None, t, "old") for i, t in enumerate(TEXTS)] + [(3, "a", "old")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, tokens string").repartition(3)
+    got = bpe.encode_spans(df, PATH, public_tokenizers.PATTERN)
+    assert got.columns == ["doc_id", "text", "tokens"] and bpe.encode_spans(df.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
+    tokens = bpe.token_bytes(bpe.read_ranks(PATH))
+    found = got.collect()
+    assert len(found) == len(rows)
+    for r in [*found, *bpe.encode_spans(spark.read.parquet(f"{SF_SMALL}/documents.parquet"), PATH, public_tokenizers.PATTERN).collect()]:
+        raw, at = (r["text"] or "").encode(), 0
+        for i, first, end in r["tokens"]:
+            assert first == at and raw[first:end] == tokens[i]
+            at = end
+        assert at == len(raw) and [i for i, _, _ in r["tokens"]] == reference.encode_ordinary(r["text"] or "")
+
+
 def test_streamed_text_waits_for_split_characters(spec):
     text = "🙂é"
     assert "".join(bpe.streamed_text(bytes([b]) for b in text.encode())) == text
