@@ -59,13 +59,14 @@ def write_committed(df: DataFrame, folder: str, format: str = "parquet", **optio
               "schema": ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)}
     told = _files(spark, folder).join(_checksum(_parts(spark, folder, layout)), "file", "left").select(
         "file", "bytes", F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("checksum", F.lit("0")).alias("checksum"),
-        F.lit(None).cast("string").alias("layout"))
+        F.lit(None).cast("string").alias("layout")).persist()  # a row for each file; made anew if it gets lost
     total = told.agg(F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"), F.count("*").cast("string").alias("checksum"))
     whole = told.unionByName(total.select(F.lit(TOTAL).alias("file"), F.coalesce("bytes", F.lit(0)).alias("bytes"),
                                           F.coalesce("rows", F.lit(0)).alias("rows"), "checksum",
                                           F.lit(json.dumps(layout)).alias("layout")))
     # the rename of a finished write is the commit: files of a write that stops lie in _temporary
-    whole.write.mode("errorifexists").parquet(f"{folder}/{MANIFEST}")
+    whole.coalesce(1).write.mode("errorifexists").parquet(f"{folder}/{MANIFEST}")
+    told.unpersist()
 
 
 def manifest(spark: SparkSession, folder: str) -> tuple[DataFrame, dict, int]:

@@ -54,7 +54,8 @@ def means_of(states: DataFrame, min_key: int | None = None, max_key: int | None
 class StateFolder:
     """Batches of states under ``path``, one committed folder each.
 
-    A batch may be a merge of earlier ones: those it names no longer count.
+    A batch may be a merge of earlier ones: those it names no longer count.  The files a batch was made
+    from, if told, are a committed folder beside it.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -63,24 +64,27 @@ class StateFolder:
     def add(self, batch: str, states: DataFrame, sources: DataFrame | None = None) -> None:
         """Commit the states of a new batch; ``sources(file)``: the files it was made from."""
         self._check(batch)
-        files = sources if sources is not None else self.spark.createDataFrame([], "file string")
-        # the files come first: a batch that is there has told all of them
-        write_committed(files.select("file"), f"{self.path}/sources/{batch}")
+        if sources is not None:  # first: a batch that is there has told all of them
+            write_committed(sources.select("file"), f"{self.path}/sources/{batch}")
         write_committed(states.select("key", "sum", "n"), f"{self.path}/states/{batch}")
 
     def _check(self, batch: str) -> None:
         if not batch or "/" in batch or batch.startswith(("_", ".")):
             raise ValueError(f"{batch!r} is no name of a batch")
 
-    def batches(self) -> list[str]:
-        """Names of the committed batches that count."""
+    def _committed(self, kind: str) -> set[str]:
+        """Names of the committed folders of a kind."""
         try:
-            found = self.spark.read.format("binaryFile").load(f"{self.path}/states/*/{MANIFEST}/*.parquet")
+            found = self.spark.read.format("binaryFile").load(f"{self.path}/{kind}/*/{MANIFEST}/*.parquet")
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-            return []
-        names = {r[0] for r in found.select(F.element_at(F.split("path", "/"), -3)).collect()}
+            return set()
+        return {r[0] for r in found.select(F.element_at(F.split("path", "/"), -3)).distinct().collect()}
+
+    def batches(self) -> list[str]:
+        """Names of the committed batches that count."""
+        names = self._committed("states")
         merges = [n for n in names if n.startswith("merge-")]
         gone = {r["file"] for m in merges for r in read_committed(self.spark, f"{self.path}/sources/{m}").collect()
                 if r["file"].startswith("batch:")}
@@ -99,16 +103,20 @@ class StateFolder:
     def new_files(self, path: str | list[str]) -> DataFrame:
         """``(file)`` at ``path`` that no batch was made from yet."""
         there = self.spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"))
-        for batch in self.batches():
+        for batch in self._with_sources():
             there = there.join(read_committed(self.spark, f"{self.path}/sources/{batch}"), "file", "left_anti")
         return there
 
+    def _with_sources(self) -> list[str]:
+        told = self._committed("sources")
+        return [b for b in self.batches() if b in told]
+
     def merge(self, name: str) -> str:
         """All batches as one, which counts in their place; gives its name.  Their sources stay known."""
         self._check(name)
         old = self.batches()
         told = self.spark.createDataFrame([(f"batch:{b}",) for b in old], "file string")
-        for batch in old:
+        for batch in self._with_sources():
             known = read_committed(self.spark, f"{self.path}/sources/{batch}")
             told = told.unionByName(known.where(~F.col("file").startswith("batch:")))
         self.add(f"merge-{name}", merged(self.states()), told)
