@@ -149,3 +149,32 @@ def test_tuple_text(spark):
     m = spark.createDataFrame([(1, 0, 2.0)], "i long, j long, v double")
     text = tuple_block_text(coo_to_block_text(m, 2, 2, " %.2f")).first()[0]
     assert text == "((0,0),\n 0.00 0.00\n 2.00 0.00\n)"
+
+
+def _line_items(spark, folder, rows_):
+    spark.createDataFrame(rows_, "l_partkey long, l_suppkey long, l_quantity double, l_linestatus string").write.parquet(
+        f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("shape", [(1, 1), (3, 63), (2, 64), (13, 65), (40, 41)])
+def test_dense_runs_of_zeros_of_any_length(spark, shape):
+    import random
+    rnd = random.Random(shape[1])
+    want = {(rnd.randrange(3 * shape[0]), rnd.randrange(3 * shape[1])): rnd.choice([1.5, -2.0, 0.0]) for _ in range(25)}
+    want |= {(0, 0): 4.0, (3 * shape[0] - 1, 3 * shape[1] - 1): 5.0}
+    got = _blocks(coo_to_blocks(_cells(spark, [(*at, v) for at, v in want.items()]), *shape))
+    assert set(got) == {(i // shape[0], j // shape[1]) for i, j in want}
+    for (bi, bj), data in got.items():
+        assert data == [want.get((bi * shape[0] + r, bj * shape[1] + c), 0.0) for r in range(shape[0]) for c in range(shape[1])]
+
+
+def test_dense_arrays_are_built_once_and_read_without_lambdas(spark, tmp_path):
+    from kestrel.plans import workloads
+    folder = _line_items(spark, tmp_path, [(5, 7, 2.0, "O"), (5, 7, 3.0, "F"), (299, 39, -1.0, "F"), (301, 7, 0.0, "O")])
+    cells_, sums = workloads.q_blocks_dense_cells(spark, folder), workloads.q_block_add_dense(spark, folder)
+    assert sorted(map(tuple, cells_.collect())) == [(0, 0, 207, 3.0), (0, 0, 11999, -1.0)]
+    assert rows(sums) == [(0, 0, 12000, 2, 4.0), (1, 0, 12000, 0, 0.0)]
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (cells_, sums)]
+    assert all(plan.count("zip_with(") == 1 for plan in plans)  # a filter on the size of the arrays built them again
+    assert "filter(data" not in plans[1] and "aggregate(data" not in plans[1]
