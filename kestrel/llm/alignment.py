@@ -2,8 +2,8 @@
 
 Tokenizer A is a byte-level BPE of the ``tokenizers`` library and reads a space and the text;
 tokenizer B is a ``sentencepiece`` model, which puts that space in front by itself.  Either side's
-tokens tile the same bytes.  Inside a task the tokens of a batch become two pandas frames, keyed
-by document; ``merge_asof`` finds for each token start the token of the other side that covers it,
+tokens tile the same bytes.  Inside a task the tokens of a batch become two pandas frames, keyed by
+their byte among the batch's texts; ``merge_asof`` finds for each token start the token of the other side that covers it,
 in both directions.  The union of the two is all overlaps.  Overlapping tokens that end at the same
 byte are linked, and cut the text into groups.
 
@@ -215,8 +215,9 @@ class Aligner:
         if not len(left):
             none = np.zeros(0, bool)
             return Batch(left, right, np.zeros((0, 2), np.int64), none, none, none, base)
-        covering = [pd.merge_asof(x[["at", "doc"]], y[["at", "doc"]].assign(token=np.arange(len(y))),
-                                  on="at", by="doc")["token"].to_numpy() for x, y in ((left, right), (right, left))]
+        # both sides tile the same bytes, text behind text: a position tells its text, too
+        covering = [pd.merge_asof(x[["at"]], y[["at"]].assign(token=np.arange(len(y))), on="at")["token"].to_numpy()
+                    for x, y in ((left, right), (right, left))]
         a_in, b_in = covering  # of each A token's start: the B token; of each B token's start: the A token
         more = np.flatnonzero(a_in[b_in] != np.arange(len(right)))  # not found from the other side already
         pairs = np.concatenate([np.stack([np.arange(len(left)), a_in], 1), np.stack([b_in[more], more], 1)])

@@ -171,3 +171,12 @@ def test_vocabularies():
     told = alignment.read_tokenizers(A, B, PATTERN)
     assert len(told.a_bytes) == len(spec["model"]["vocab"]) + len(spec["added_tokens"])
     assert told.b_bytes[3] == b"\0" and b" " in told.b_bytes
+
+
+def test_positions_alone_join_the_tokens_of_a_batch(plain, monkeypatch):
+    joins, plainly = [], alignment.pd.merge_asof
+    monkeypatch.setattr(alignment.pd, "merge_asof", lambda *x, **how: joins.append(how) or plainly(*x, **how))
+    texts = [t for t in TEXTS if t is None or len(t) < 1000]
+    aligner = alignment.Aligner(alignment.read_tokenizers(A, B, PATTERN))
+    assert aligner.groups(aligner.align(texts), len(texts)) == [brute(t, plain)[3] for t in texts]
+    assert [how.get("by") for how in joins] == [None, None]  # a key besides the position costs a hash table each
