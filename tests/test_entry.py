@@ -98,3 +98,9 @@ def test_wrong_variants_are_seen(spark):
     plain = W.bucket_mean(W.table(spark, sf, "lineitem").where("l_orderkey % 2 = 0"), W.F.col("l_extendedprice") / 500, W._revenue(),
                           min_key=0, max_key=200)
     assert not same(plain, "bucket_mean_states")
+
+
+def test_session_views_are_not_left_behind(spark):
+    from kestrel.plans import workloads
+    assert workloads.q_sql_session_views(spark, SF_SMALL).count() > 0
+    assert "per_nation" not in {t.name for t in spark.catalog.listTables()}
