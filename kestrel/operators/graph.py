@@ -11,6 +11,8 @@ Distributed plan of one round:
   hot sources' labels, so a hot source's edges are never funnelled into
   one task.  A source is hot once it outweighs a bucket, so there are at
   most ``MAX_BUCKETS`` of them: the proven bound on what is broadcast;
+* in the first round every head sends its own id, which its edges tell:
+  nothing is joined; the messages of later rounds meet the frontier;
 * messages alone are reduced with ``min`` per target, combined map-side
   first, so a target with a huge in-degree sends one row per task to the
   shuffle.  The reduction has as many partitions as there are buckets, and
@@ -27,14 +29,12 @@ dropped once the result is written.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.operators.grouping import count_by_key
 from kestrel.plans.layers import LayeredTable
-from kestrel.plans.materialize import RunTables, write_and_reload
+from kestrel.plans.materialize import RunTables, setting, write_and_reload
 from kestrel.sources.adjacency import Graph
 
 # A source whose out-degree reaches this many edges is treated as hot
@@ -44,6 +44,9 @@ DEFAULT_MIN_HOT_DEGREE = 100_000
 MAX_BUCKETS = 100_000
 # At most this many sources are ever treated as hot (and broadcast).
 DEFAULT_MAX_HOT_SOURCES = MAX_BUCKETS
+# Cells that sources are hashed to, to tell which of them may be hot: more than hot sources, so that
+# an average cell stays below the threshold.
+DEGREE_CELLS = 1 << 18
 # Target size of one bucket of the written edge table (two longs per edge).
 EDGES_PER_BUCKET = 16_000_000
 # Layers of the label log before those below the newest are merged.
@@ -51,22 +54,30 @@ MERGE_DEPTH = 8
 
 
 def hot_sources(pairs: DataFrame, min_hot_degree: int, max_hot_sources: int,
-                tables: RunTables) -> tuple[DataFrame | None, int]:
+                tables: RunTables, cells: int = DEGREE_CELLS) -> tuple[DataFrame | None, int]:
     """(ids of the hot sources, |E|) of ``pairs(src, dst)``.
 
     The threshold is ``max(min_hot_degree, ceil(|E| / max_hot_sources))``;
     since out-degrees add up to ``|E|``, at most ``max_hot_sources`` sources
-    can reach it.  One aggregation over the out-degrees gives both |E| and
-    the largest degree; when no source reaches the threshold nothing more
-    is computed and the ids are ``None``.
+    can reach it.  The edges are first counted by ``cells`` hashes of their
+    sources, which gives |E| and, as no source has more edges than its
+    cell, which sources can be hot.  Only these have their degrees counted;
+    where there are none, nothing more is computed and the ids are ``None``.
     """
-    degrees = pairs.groupBy("src").agg(F.count("dst").alias("_deg"))
-    total, largest = degrees.agg(F.sum("_deg"), F.max("_deg")).first()
+    cell = F.pmod(F.xxhash64("src"), F.lit(cells))
+    counted = pairs.groupBy(cell.alias("_cell")).agg(F.count("dst").alias("_deg"))
+    total, largest = counted.agg(F.sum("_deg"), F.max("_deg")).first()
     total, largest = total or 0, largest or 0
     threshold = max(min_hot_degree, -(-total // max_hot_sources), 1)
     if largest < threshold:
         return None, total
-    return tables.write(degrees.where(F.col("_deg") >= F.lit(threshold)).select("src"), "hot_src"), total
+    some = pairs
+    if threshold * cells > total:  # else most cells reach the threshold
+        full = counted.where(F.col("_deg") >= F.lit(threshold)).select("_cell")
+        some = pairs.withColumn("_cell", cell).join(F.broadcast(full), "_cell", "left_semi")
+    degrees = some.groupBy("src").agg(F.count("dst").alias("_deg"))
+    hot = tables.write(degrees.where(F.col("_deg") >= F.lit(threshold)).select("src"), "hot_src")
+    return (None if hot.isEmpty() else hot), total
 
 
 def bucket_count(spark: SparkSession, edges: int, per_bucket: int = EDGES_PER_BUCKET) -> int:
@@ -76,17 +87,6 @@ def bucket_count(spark: SparkSession, edges: int, per_bucket: int = EDGES_PER_BU
     return min(parts * max(1, -(-edges // (per_bucket * parts))), MAX_BUCKETS)
 
 
-@contextmanager
-def _shuffle_partitions(spark: SparkSession, n: int):
-    """While inside, shuffles of this session have ``n`` partitions."""
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", n)
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-
-
 def propagate_min(graph: Graph, rounds: int = 5, implicit_vertices: bool = True, *,
                   min_hot_degree: int = DEFAULT_MIN_HOT_DEGREE,
                   max_hot_sources: int = DEFAULT_MAX_HOT_SOURCES,
@@ -148,25 +148,33 @@ def propagate_min(graph: Graph, rounds: int = 5, implicit_vertices: bool = True,
         # Round 1 starts from the distinct heads (own id as label), which lie
         # in the buckets of the edges.
         log = LayeredTable(tables, "labels", "id", buckets, merge_depth)
-        with _shuffle_partitions(spark, buckets):
+        with setting(spark, "spark.sql.shuffle.partitions", buckets):
             log.append(light.select(F.col("src").alias("id")).distinct().select("id", F.col("id").alias("grp")))
             for r in range(1, rounds + 1):
-                dropped = _dropped(log, light, hot, hot_ids, implicit_vertices)
+                dropped = _dropped(log, _messages(log, light, hot, hot_ids, r), implicit_vertices)
                 if on_round is not None:
                     on_round(r, dropped)
                 log.append(dropped)
             return write_and_reload(log.current(), "labels")
 
 
-def _dropped(log: LayeredTable, light: DataFrame, hot: DataFrame | None, hot_ids: DataFrame | None,
-             implicit_vertices: bool) -> DataFrame:
-    """``(id, grp)`` of the vertices whose label drops in one more round."""
+def _messages(log: LayeredTable, light: DataFrame, hot: DataFrame | None, hot_ids: DataFrame | None,
+              r: int) -> DataFrame:
+    """``(id, grp)`` sent in round ``r`` along the edges of the vertices whose label dropped before."""
+    light = light.where(F.col("dst").isNotNull())
+    if r == 1:  # every head sends its own id, which its edges tell
+        sent = light if hot is None else light.unionByName(hot)
+        return sent.where(F.col("src").isNotNull()).select(F.col("dst").alias("id"), F.col("src").alias("grp"))
     frontier = log.newest().select(F.col("id").alias("src"), F.col("grp"))
-    msgs = (light.where(F.col("dst").isNotNull()).join(frontier.hint("shuffle_hash"), "src")
-            .select(F.col("dst").alias("id"), "grp"))
+    msgs = light.join(frontier.hint("shuffle_hash"), "src").select(F.col("dst").alias("id"), "grp")
     if hot_ids is not None:
         hot_frontier = frontier.join(F.broadcast(hot_ids), "src", "left_semi")
         msgs = msgs.unionByName(hot.join(F.broadcast(hot_frontier), "src").select(F.col("dst").alias("id"), "grp"))
+    return msgs
+
+
+def _dropped(log: LayeredTable, msgs: DataFrame, implicit_vertices: bool) -> DataFrame:
+    """``(id, grp)`` of the vertices whose label drops in one more round, by the messages of the round."""
     best = msgs.groupBy("id").agg(F.min("grp").alias("_best"))
     met = log.current().join(best.hint("shuffle_hash"), "id", "right" if implicit_vertices else "inner")
     return met.where(F.col("grp").isNull() | (F.col("_best") < F.col("grp"))).select("id", F.col("_best").alias("grp"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.plans.materialize import RunTables
+from kestrel.plans.materialize import RunTables, buckets_as_they_come
 
 LAYER = "_layer"
 
@@ -45,8 +45,9 @@ class LayeredTable:
         self.layers += 1
 
     def _write(self, df: DataFrame, layer: int) -> None:
-        (df.withColumn(LAYER, F.lit(layer)).write.mode("append").format("parquet").partitionBy(LAYER)
-         .bucketBy(self.buckets, self.key).saveAsTable(f"{self.tables.database}.{self.table}"))
+        with buckets_as_they_come(self.tables.spark):
+            (df.withColumn(LAYER, F.lit(layer)).write.mode("append").format("parquet").partitionBy(LAYER)
+             .bucketBy(self.buckets, self.key).saveAsTable(f"{self.tables.database}.{self.table}"))
 
     def _merge(self, newest: DataFrame) -> None:
         """A new generation: all that there is as its first layer, and ``newest`` above it."""

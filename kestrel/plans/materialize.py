@@ -8,6 +8,7 @@ came before.  The folder comes from ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +31,26 @@ def write_text_and_reload(lines: DataFrame, name: str = "text") -> DataFrame:
     return spark.read.text(path)
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value):
+    """While inside, setting ``key`` of this session is ``value``."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def buckets_as_they_come(spark: SparkSession):
+    """While inside, a task that writes one bucket writes its rows as they come, instead of sorting
+    them by their bucket first; a task of more buckets than one still sorts those after the first."""
+    return setting(spark, "spark.sql.maxConcurrentOutputFileWriters", 1)
+
+
 class RunTables:
     """Tables of one run, in a database of its own under the checkpoint folder.
 
@@ -63,8 +84,9 @@ class RunTables:
 
     def write_bucketed(self, df: DataFrame, name: str, buckets: int, key: str) -> DataFrame:
         """``write`` in ``buckets`` buckets of ``key``."""
-        (df.write.mode("errorifexists").format("parquet").bucketBy(buckets, key)
-         .saveAsTable(f"{self.database}.{name}"))
+        with buckets_as_they_come(self.spark):
+            (df.write.mode("errorifexists").format("parquet").bucketBy(buckets, key)
+             .saveAsTable(f"{self.database}.{name}"))
         return self.spark.read.table(f"{self.database}.{name}")
 
     def drop(self, *names: str) -> None:

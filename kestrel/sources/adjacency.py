@@ -44,24 +44,28 @@ def adjacency_rows(lines: DataFrame, sep: str = ",", line_col: str = "value") ->
     vertex 1 with no neighbours.
     """
     fields = split_fields(F.col(line_col), sep, java_split=True)
-
-    def parsed(x):
-        return F.coalesce(x.try_cast("bigint"), F.raise_error(F.concat(
-            F.lit("cannot parse id '"), x, F.lit("' in an adjacency line"))).cast("bigint"))
-
-    return lines.select(F.transform(fields, parsed).alias("_v")).select(
+    return lines.select(F.transform(fields, _parsed_id).alias("_v")).select(
         F.col("_v")[0].alias("id"),
         F.slice("_v", 2, F.size("_v") - 1).alias("adj"))
 
 
+def _parsed_id(x):
+    return F.coalesce(x.try_cast("bigint"), F.raise_error(F.concat(
+        F.lit("cannot parse id '"), x, F.lit("' in an adjacency line"))).cast("bigint"))
+
+
 def read_adjacency(lines: DataFrame, sep: str = ",", line_col: str = "value") -> Graph:
     """Parse adjacency lines straight into edge form, in one pass.
 
     Several lines may head the same vertex; their neighbours add up.  A
     line with no neighbour still makes its head a vertex.
     """
-    rows = adjacency_rows(lines, sep, line_col)
-    return Graph(rows.select(F.col("id").alias("src"), F.explode_outer("adj").alias("dst")))
+    # the same ids as ``adjacency_rows`` gives; a head once for each line, a neighbour once for each
+    # row, both by compiled code, which a lambda over the fields is not
+    fields = lines.select(split_fields(F.col(line_col), sep, java_split=True).alias("_f"))
+    rows = fields.select(F.when(F.col("_f").isNotNull(), _parsed_id(F.col("_f")[0])).alias("src"),
+                         F.explode_outer(F.slice("_f", 2, F.size("_f") - 1)).alias("_d"))
+    return Graph(rows.select("src", F.when(F.col("_d").isNotNull(), _parsed_id(F.col("_d"))).alias("dst")))
 
 
 def graph_from_edges(edges: DataFrame, src: str = "src", dst: str = "dst",
@@ -155,10 +159,6 @@ def _with_heads(records: DataFrame) -> DataFrame:
     pairs = records.mapInArrow(walk, "file long, block long, src string, dst string")
     met = pairs.join(F.broadcast(heads.withColumn("known", F.lit(True))), ["file", "block"], "left")
 
-    def parsed(x):
-        return F.coalesce(x.try_cast("bigint"), F.raise_error(F.concat(
-            F.lit("cannot parse id '"), x, F.lit("' in an adjacency line"))).cast("bigint"))
-
     src = F.coalesce("src", F.when(F.col("known"), F.coalesce("carried", F.lit(""))).otherwise(
         F.raise_error(F.lit("the files were split anew between two passes; run the job again"))))
-    return met.select(parsed(src).alias("src"), F.when(F.col("dst").isNotNull(), parsed(F.col("dst"))).alias("dst"))
+    return met.select(_parsed_id(src).alias("src"), F.when(F.col("dst").isNotNull(), _parsed_id(F.col("dst"))).alias("dst"))

@@ -111,3 +111,52 @@ def test_hot_sources_without_edges_and_repeats(spark, lines):
         a = _labels(propagate_min(read_adjacency(lines(text)), 3, implicit))
         b = _labels(propagate_min(read_adjacency(lines(text)), 3, implicit, min_hot_degree=2))
         assert a == b and (set(a) == {1, 2, 3, 4, 5, 7, 9} if implicit else set(a) == {1, 2, 7, 9})
+
+
+def test_hot_sources_are_those_of_the_threshold_whatever_their_cells(spark):
+    from kestrel.operators.graph import hot_sources
+    from kestrel.plans.materialize import RunTables
+    pairs = spark.createDataFrame([(s, d) for s in range(40) for d in range(s)] + [(99, None), (None, None)], "src long, dst long")
+    for cells in (1, 2, 64, 1 << 16):
+        for least in (1, 20, 38, 39, 40):
+            with RunTables(spark, "hot") as tables:
+                ids, total = hot_sources(pairs, least, 100, tables, cells)
+                assert total == 780
+                # 100 sources at most: a hot one has 8 of the 780 edges at least
+                hot = set() if ids is None else {r["src"] for r in ids.collect()}
+                assert hot == set(range(max(least, 8), 40)), (cells, least)
+
+
+def test_first_round_sends_along_the_edges_without_a_join(spark, lines):
+    for hot in (2, 100):
+        plans = {}
+        propagate_min(read_adjacency(lines(FIXTURE)), rounds=2, min_hot_degree=hot,
+                      on_round=lambda r, df: plans.update({r: df._jdf.queryExecution().executedPlan().toString()}))  # noqa: B023
+        assert plans[1].count("Join ") == 1 < plans[2].count("Join "), "the labels are met, no more"
+
+
+def test_an_edge_without_a_source_sends_nothing(spark):
+    e = spark.createDataFrame([(5, 6), (None, 7), (None, 5)], "src long, dst long")
+    for hot in (1, 100):
+        labels = _labels(propagate_min(graph_from_edges(e), 3, min_hot_degree=hot))
+        assert {k: v for k, v in labels.items() if k is not None} == {5: 5, 6: 5}
+
+
+def test_lines_are_parsed_without_lambdas(spark, lines):
+    pairs = read_adjacency(lines(["1,2, 3", "4", "5,,", None])).pairs
+    assert "lambda" not in pairs._jdf.queryExecution().executedPlan().toString()
+    got = sorted(((r["src"], r["dst"]) for r in pairs.collect()), key=str)
+    assert got == [(1, 2), (1, 3), (4, None), (5, None), (None, None)]
+
+
+def test_a_bucket_is_written_as_its_rows_come(spark):
+    from kestrel.plans.materialize import RunTables
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    with RunTables(spark, "come") as tables:
+        # one task, all of the buckets, and a task for each of them
+        for k, df in enumerate((spark.range(0, 1000, 1, 1), spark.range(1000).repartition(4, "id"))):
+            table = tables.write_bucketed(df, f"b{k}", 4, "id")
+            assert sorted(r["id"] for r in table.collect()) == list(range(1000))
+            assert "Exchange" not in table.groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
+    assert spark.conf.get(key) == before
