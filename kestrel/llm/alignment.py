@@ -7,6 +7,9 @@ their byte among the batch's texts; ``merge_asof`` finds for each token start th
 in both directions.  The union of the two is all overlaps.  Overlapping tokens that end at the same
 byte are linked, and cut the text into groups.
 
+Neither tokenizer joins bytes across a single space between words, so most texts' ids are those of
+their words, which both libraries encode once and a task keeps for a while (``Aligner.by_words``).
+
 Corpus-wide counts of linked id pairs are one aggregation over each document's distinct pairs.
 Two linked tokens end with the same bytes, so one is the end of the other: the two vocabularies
 alone bound the number of pairs (``linkable_pairs``), whatever the corpus's size.
@@ -19,15 +22,19 @@ result are replaced; an empty input gives no rows.
 
 from __future__ import annotations
 
+import codecs
+import json
 import os
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
+from operator import add
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,7 +47,8 @@ from kestrel.plans.materialize import RunTables, write_and_reload
 CHUNK = 1 << 18
 #: Words that are encoded as one row.
 ROW = 500
-#: Matches that a task keeps the ids of; beyond it the cache starts anew (bounds memory, not results).
+#: Words (and half as many matches) that a task keeps the ids of.  Beyond it a cache starts anew, and those
+#: needed again come from the one before (bounds memory, not results).
 CACHE_SIZE = 150_000
 CACHE_CHARS = 64
 #: Pairs that are broadcast at most: a row of two ids and two counts.
@@ -61,6 +69,19 @@ class Tokenizers:
     b_model: bytes
     a_bytes: list[bytes]
     b_bytes: list[bytes]
+    b_by_words: bool = False
+
+
+def by_words(model: bytes) -> bool:
+    """Is a text of words between single spaces encoded word by word: merges of pairs that know no
+    piece across a space (but runs of spaces), on the text as it is."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    spec = sentencepiece_model_pb2.ModelProto.FromString(model)
+    normal, kinds = spec.normalizer_spec, spec.trainer_spec
+    return (kinds.model_type == kinds.BPE and not kinds.treat_whitespace_as_suffix and not kinds.user_defined_symbols
+            and not normal.precompiled_charsmap and normal.add_dummy_prefix and normal.escape_whitespaces
+            and not any("▁" in p.piece[1:] and p.piece.strip("▁") for p in spec.pieces))
 
 
 def read_tokenizers(a_path: str, b_path: str, a_pattern: str) -> Tokenizers:
@@ -82,7 +103,7 @@ def read_tokenizers(a_path: str, b_path: str, a_pattern: str) -> Tokenizers:
     pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
     b_bytes = [bytes([int(p[3:5], 16)]) if pieces.is_byte(i) else p.replace("▁", " ").encode()
                for i in range(pieces.get_piece_size()) for p in [pieces.id_to_piece(i)]]
-    return Tokenizers(spec, a_pattern, model, a_bytes, b_bytes)
+    return Tokenizers(spec, a_pattern, model, a_bytes, b_bytes, by_words(model))
 
 
 def linkable_pairs(a_bytes: list[bytes], b_bytes: list[bytes]) -> int:
@@ -125,32 +146,53 @@ class ByteLevel:
 
     def __init__(self, spec: str, pattern: str, sizes: np.ndarray):
         import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.split, self.sizes = regex.compile(pattern).findall, sizes
         self.known: dict[str, bool] = {c: c.isprintable() or c in "\t\n\r" for c in map(chr, range(128))}
         self.cache: dict[str, bytes] = {}
-
-    def cut(self, text: str) -> list[str]:
-        """Matches of a text, or the text."""
+        self.older: dict[str, bytes] = {}
+        said = json.loads(spec)
+        cuts = said["pre_tokenizer"] or {}
+        self.bare = None
+        if (cuts.get("type") == "ByteLevel" and cuts.get("use_regex", True) and not cuts.get("add_prefix_space")
+                and not said["normalizer"] and all(t["special"] for t in said["added_tokens"])):
+            # matches are what it would cut, so the model alone reads them, a line each, in the byte table's characters
+            self.bare, self.table = Tokenizer.from_str(spec), "".join(byte_characters())
+            self.bare.encode_special_tokens, self.bare.pre_tokenizer = True, pre_tokenizers.CharDelimiterSplit("\n")
+
+    def knows(self, text: str) -> bool:
+        """Are all characters' classes known alike."""
         chars = set(text)
         for c in chars.difference(self.known):
             kind = unicodedata.category(c)
             self.known[c] = kind == unicodedata.ucd_3_2_0.category(c) and kind[0] != "C"
-        return self.split(text) if all(map(self.known.__getitem__, chars)) else [text]
+        return all(map(self.known.__getitem__, chars))
+
+    def known_of(self, texts: list[str]) -> list[str]:
+        return texts if self.knows("".join(texts)) else list(filter(self.knows, texts))
 
-    def library(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def cut(self, text: str) -> list[str]:
+        """Matches of a text, or the text."""
+        return self.split(text) if self.knows(text) else [text]
+
+    def library(self, texts: list[str], by=None) -> list[np.ndarray]:
+        return [np.array(e.ids, np.int32) for e in (by or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
+
+    def row(self, matches: list[str]) -> str:
+        if not self.bare:
+            return "".join(matches)
+        return "\n".join(codecs.charmap_decode(m.encode(), "strict", self.table)[0] for m in matches)
 
     def fresh(self, matches: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Each match and its ids.  Words behind a space are encoded many at a time: the library cuts a
-        row of them before each space, and the bytes of the tokens tell which are whose."""
-        words = [m for m in matches if m[0] == " " and m[1:].isalpha()]
+        """Each match and its ids.  Many are encoded as one row, and the bytes of the tokens tell which
+        are whose: those of known characters, or the words behind a space, before which the library cuts."""
+        words = self.known_of(matches) if self.bare else [m for m in matches if m[0] == " " and m[1:].isalpha()]
         rest = list(set(matches).difference(words))
         rows = [words[i:i + ROW] for i in range(0, len(words), ROW)]
-        for row, ids in zip(rows, self.library(["".join(row) for row in rows])):
+        for row, ids in zip(rows, self.library(list(map(self.row, rows)), self.bare)):
             want, ends = np.cumsum([len(w.encode()) for w in row]), np.cumsum(self.sizes[ids])
             at = np.searchsorted(ends, want)
             if len(ids) <= at[-1] or (ends[at] != want).any():
@@ -164,10 +206,12 @@ class ByteLevel:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
-        if len(self.cache) > CACHE_SIZE:
-            self.cache = {}
+        if len(self.cache) > CACHE_SIZE // 2:
+            self.older, self.cache = self.cache, {}
         cut = [self.cut(t) for t in texts]
-        new = dict(self.fresh(list(set(chain.from_iterable(cut)).difference(self.cache))))
+        new = set(chain.from_iterable(cut)).difference(self.cache)
+        again = {m for m in new if m in self.older}
+        new = {m: self.older[m] for m in again} | dict(self.fresh(list(new - again)))
         self.cache.update(new)
         out = [np.frombuffer(b"".join(map(self.cache.__getitem__, matches)), np.int32) for matches in cut]
         for m in new:  # long ones are encoded each time, so that the cache stays small
@@ -189,8 +233,65 @@ class Aligner:
         self.b = sentencepiece.SentencePieceProcessor(model_proto=with_.b_model)
         a, b = len(with_.a_bytes), len(with_.b_bytes)
         self.ids = a, b
-        # the text of a token: its id, and "," inside a run or what ends the run
-        self.words = [f"{i}{c}" for n, stops in ((a, ",|"), (b, ",;")) for c in stops for i in range(n)]
+        # the text of a token: its id, and "," inside a run or what ends the run, or nothing at a text's end
+        self.words = pa.array([f"{i}{c}" for n, stops in ((a, (",", "|")), (b, (",", ";", ""))) for c in stops for i in range(n)])
+        self.by_words = with_.b_by_words
+        # ids of words behind a space: A's, and B's counted on from A's
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def whole(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids by both sides of a space and each text; None if either side's don't give the bytes back."""
+        out, behind = [], [" " + t for t in texts]
+        a, b = self.a.encode(behind), self.b.encode(texts, num_threads=1) if texts else []
+        for text, x, y in zip(behind, a, b):
+            raw = text.encode()
+            told = all(b"".join(map(of.__getitem__, ids)) == raw for of, ids in zip(self.bytes, (x.tolist(), y)))
+            out.append((x, np.array(y, np.int32)) if told else None)
+        return out
+
+    def learn(self, words: list[str], row: int = ROW) -> None:
+        """Keep the ids of words.  Many are encoded as one text, and the bytes of the tokens tell which
+        are whose; of a text that doesn't give its bytes back each word is encoded alone."""
+        rows = [words[i:i + row] for i in range(0, len(words), row)]
+        for some, ids in zip(rows, self.whole([" ".join(r) for r in rows])):
+            want = np.cumsum([len(w.encode()) + 1 for w in some])
+            ends = [np.cumsum(of[x]) for of, x in zip(self.sizes, ids)] if ids else []
+            at = [np.searchsorted(e, want) for e in ends]
+            if ids and all((e[k] == want).all() for e, k in zip(ends, at)):
+                parts = []
+                for x, k, first in zip(ids, at, (0, self.ids[0])):
+                    raw, stops = (x + np.int32(first)).tobytes(), ((k + 1) * 4).tolist()
+                    parts.append([raw[i:j] for i, j in zip([0, *stops], stops)])
+                self.known.update(zip(some, map(add, *parts)))
+            elif len(some) > 1:
+                self.learn(some, 1)
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids as of ``whole``: those of a text's words, if each is known and has neither a space nor
+        other white space beside the spaces around it."""
+        if len(self.known) > CACHE_SIZE:
+            self.older, self.known = self.known, {}
+        cut = [t.split(" ") if self.by_words and not ("  " in t or "\n " in t or " \n" in t) else [] for t in texts]
+        new = set(chain.from_iterable(cut)).difference(self.known)
+        again = {w for w in new if w in self.older}
+        self.known.update(zip(again, map(self.older.__getitem__, again)))
+        self.learn(self.a.known_of([w for w in new - again if w and w == w.strip() and "▁" not in w]))
+        out: list = []
+        for words in cut:
+            try:
+                ids = np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.int32)
+                by_b = ids >= self.ids[0]
+                out.append((ids[~by_b], ids[by_b] - np.int32(self.ids[0])) if words else None)
+            except KeyError:
+                out.append(None)
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(rest, self.whole([texts[i] for i in rest])):
+            out[i] = ids
+        for w in new:  # long ones are encoded each time, so that the cache stays small
+            if len(w) > CACHE_CHARS:
+                self.known.pop(w, None)
+        return out
 
     def frame(self, side: int, ids: list[np.ndarray]) -> pd.DataFrame:
         flat = np.concatenate([np.zeros(0, np.int64), *ids]).astype(np.int64)
@@ -204,12 +305,9 @@ class Aligner:
         told = [i for i, t in enumerate(texts) if t]
         none = np.zeros(0, np.int32)
         a_ids, b_ids, sizes = [none] * len(texts), [none] * len(texts), np.zeros(len(texts) + 1, np.int64)
-        a = self.a.encode([" " + texts[i] for i in told])
-        b = self.b.encode([texts[i] for i in told], num_threads=1) if told else []
-        for i, x, y in zip(told, a, b):
-            raw = (" " + texts[i]).encode()
-            if all(b"".join(map(of.__getitem__, ids)) == raw for of, ids in zip(self.bytes, (x.tolist(), y))):
-                a_ids[i], b_ids[i], sizes[i + 1] = x, np.array(y, np.int32), len(raw)
+        for i, ids in zip(told, self.encode([texts[i] for i in told])):
+            if ids:
+                (a_ids[i], b_ids[i]), sizes[i + 1] = ids, self.sizes[0][ids[0]].sum()
         base = np.cumsum(sizes)
         left, right = self.frame(0, a_ids), self.frame(1, b_ids)
         if not len(left):
@@ -228,18 +326,23 @@ class Aligner:
         b_ends[pairs[linked, 1]] = True
         return Batch(left, right, pairs, linked, a_ends, b_ends, base)
 
-    def groups(self, found: Batch, texts: int) -> list[str]:
+    def group_texts(self, found: Batch, texts: int) -> pa.Array:
         """``a1,a2|b1;a3|b2,b3`` of each text: ids of A and of B by group."""
         (a, b), marks = self.ids, (found.a_ends, found.b_ends)
-        group = np.concatenate([2 * (np.cumsum(marks[0]) - marks[0]), 2 * (np.cumsum(marks[1]) - marks[1]) + 1])
-        order = np.argsort(group, kind="stable")
-        word = np.concatenate([found.a["id"].to_numpy() + a * marks[0], 2 * a + found.b["id"].to_numpy() + b * marks[1]])
-        counts = np.bincount(np.concatenate([found.a["doc"], found.b["doc"]]).astype(np.int64), minlength=texts)
-        word, stop, out, at = word[order].tolist(), np.cumsum(counts).tolist(), [], 0
-        for end in stop:
-            out.append("".join(map(self.words.__getitem__, word[at:end]))[:-1])
-            at = end
-        return out
+        group = [np.cumsum(m) - m for m in marks]
+        # tokens of a side before each group's end
+        before = [np.concatenate([[0], np.flatnonzero(m) + 1]) for m in marks]
+        word = np.empty(len(found.a) + len(found.b), np.int64)
+        word[np.arange(len(found.a)) + before[1][group[0]]] = found.a["id"].to_numpy() + a * marks[0]
+        word[np.arange(len(found.b)) + before[0][group[1] + 1]] = 2 * a + found.b["id"].to_numpy() + b * marks[1]
+        counts = [np.bincount(x["doc"].to_numpy().astype(np.int64), minlength=texts) for x in (found.a, found.b)]
+        stop = np.cumsum(counts[0] + counts[1])
+        word[stop[counts[1] > 0] - 1] += b
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], stop]).astype(np.int32)), self.words.take(pa.array(word)))
+        return pc.binary_join(lists, "")
+
+    def groups(self, found: Batch, texts: int) -> list[str]:
+        return self.group_texts(found, texts).to_pylist()
 
     def links(self, found: Batch) -> tuple[np.ndarray, ...]:
         """Distinct linked id pairs of each text: (text, A id, B id, times)."""
@@ -285,7 +388,7 @@ def align(df: DataFrame, tokenizers: Tokenizers, text: str = "text") -> DataFram
                                                 pa.array(times.astype(np.int64))], ["a", "b", "n"])
             return None, [count(found.a["doc"].to_numpy().astype(np.int64)), count(found.b["doc"].to_numpy().astype(np.int64)),
                           count(found.a["doc"].to_numpy()[found.a_ends].astype(np.int64)),
-                          pa.array(aligner.groups(found, n), pa.string()),
+                          aligner.group_texts(found, n),
                           pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)), links)]
 
         return chunk

@@ -180,3 +180,28 @@ def test_positions_alone_join_the_tokens_of_a_batch(plain, monkeypatch):
     aligner = alignment.Aligner(alignment.read_tokenizers(A, B, PATTERN))
     assert aligner.groups(aligner.align(texts), len(texts)) == [brute(t, plain)[3] for t in texts]
     assert [how.get("by") for how in joins] == [None, None]  # a key besides the position costs a hash table each
+
+
+def test_words_are_encoded_once(aligner, plain, monkeypatch):
+    fresh, given_, pieces = alignment.Aligner(alignment.read_tokenizers(A, B, PATTERN)), [], aligner.b
+    monkeypatch.setattr(fresh, "b", type("Counting", (), {
+        "encode": staticmethod(lambda texts, **how: given_.extend(texts) or pieces.encode(texts, **how))}))
+    texts = ["neither joins, nor splits;\nany word", "any word joins neither,\nnor splits; any"] * 50
+    assert fresh.groups(fresh.align(texts), len(texts)) == [brute(t, plain)[3] for t in texts]
+    assert sum(map(len, given_)) < 100  # not 50 times the words
+
+
+SPACED = st.lists(st.sampled_from([" ", " ", " ", "\n", "\t", " ", "　", "word", "it's", "x1½", "▁", "'", "é,", "᠎", "\x1c", "🙂", "<s>", "\x00"]), max_size=14)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(SPACED.map("".join), max_size=5))
+def test_spaces_of_all_kinds(aligner, plain, texts):
+    assert aligner.groups(aligner.align(texts), len(texts)) == [brute(t, plain)[3] for t in texts]
+
+
+def test_words_of_the_cache_before(plain, monkeypatch):
+    monkeypatch.setattr(alignment, "CACHE_SIZE", 3)
+    aligner = alignment.Aligner(alignment.read_tokenizers(A, B, PATTERN))
+    for text in ("one two three four five", "six one seven", "two six, " + "y" * 200, "seven five one", "four"):
+        assert aligner.groups(aligner.align([text]), 1) == [brute(text, plain)[3]]
