@@ -178,3 +178,34 @@ def test_dense_arrays_are_built_once_and_read_without_lambdas(spark, tmp_path):
     plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (cells_, sums)]
     assert all(plan.count("zip_with(") == 1 for plan in plans)  # a filter on the size of the arrays built them again
     assert "filter(data" not in plans[1] and "aggregate(data" not in plans[1]
+
+
+def test_dense_arrays_come_from_sparse_vectors_and_from_runs_alike(spark, monkeypatch):
+    import random
+    import struct
+
+    from kestrel.operators import matrix
+    odd = [float("inf"), float("-inf"), float("nan"), -0.0, 5e-324, 1.7976931348623157e308, 0.1 + 0.2, 1 / 3, 1e-300 / 7]
+    rnd = random.Random(4)
+    want = {(i // 9, i % 9): v for i, v in enumerate(odd + [rnd.uniform(-1e9, 1e9) for _ in range(50)])}
+    c = _cells(spark, [(*at, v) for at, v in want.items() if at != (2, 2)])
+
+    def bits(blocks_):
+        return {at: [None if v is None else "nan" if v != v else struct.pack("d", v) for v in data]
+                for at, data in _blocks(blocks_).items()}
+
+    by_vectors = bits(coo_to_blocks(c, 4, 5, "max"))
+    assert by_vectors[0, 0][:5] == [struct.pack("d", odd[0]), struct.pack("d", odd[1]), "nan", *(struct.pack("d", v) for v in odd[3:5])]
+    assert by_vectors[0, 0][12] == struct.pack("d", 0.0)  # no cell there
+    monkeypatch.setattr(matrix, "VECTOR_CELLS", 3)
+    assert bits(coo_to_blocks(c, 4, 5, "max")) == by_vectors
+    monkeypatch.undo()
+    # each cell was copied with its run of zeros, place by place
+    plan = coo_to_blocks(c, 4, 5, "max")._jdf.queryExecution().optimizedPlan().toString()
+    assert "VectorUDT" in plan
+
+
+def test_null_cells_stay_null_in_dense_arrays(spark):
+    c = _cells(spark, [(0, 1, None), (1, 2, 3.0), (2, 0, 4.0), (4, 4, None)])
+    assert _blocks(coo_to_blocks(c, 2, 3)) == {
+        (0, 0): [0.0, None, 0.0, 0.0, 0.0, 3.0], (1, 0): [4.0, 0.0, 0.0, 0.0, 0.0, 0.0], (2, 1): [0.0, None, 0.0, 0.0, 0.0, 0.0]}
